@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import mixing, quality
+from weir.llm import bpe, mixing, quality
 from weir.llm.common import documents
 
 
@@ -13,9 +13,13 @@ def op1_mix_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op5_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(documents(spark, sf_dir), bpe.vocabulary())
+
+
 def op6_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.robust_quality(documents(spark, sf_dir), carry=["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_pivotal, op6_robust_quality)}
+QUERIES = {f.__name__: f for f in (op1_mix_pivotal, op5_bpe_tree, op6_robust_quality)}
 ORACLE: dict[str, str] = {}
