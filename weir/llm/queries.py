@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, lm, minhash, mixing, quality, toxicity
+from weir.llm import bpe, lm, minhash, mixing, quality, suffix, toxicity
 from weir.llm.common import documents
 
 
@@ -17,6 +17,10 @@ def op2_minhash_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), size=2, percent=80)
 
 
+def op4_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup_substrings(documents(spark, sf_dir))
+
+
 def op5_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), bpe.vocabulary())
 
@@ -33,5 +37,5 @@ def op9_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_pivotal, op2_minhash_bottom_k, op5_bpe_tree, op6_robust_quality, op8_ppm_score, op9_factorization_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_mix_pivotal, op2_minhash_bottom_k, op4_suffix_family, op5_bpe_tree, op6_robust_quality, op8_ppm_score, op9_factorization_toxicity)}
 ORACLE: dict[str, str] = {}
