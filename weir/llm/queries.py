@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, lm, minhash, mixing, quality, suffix, toxicity
+from weir.llm import bpe, embeddings, lm, minhash, mixing, quality, suffix, toxicity
 from weir.llm.common import documents
 
 
@@ -29,6 +29,10 @@ def op6_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.robust_quality(documents(spark, sf_dir), carry=["doc_id"])
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
 
@@ -37,5 +41,5 @@ def op9_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_pivotal, op2_minhash_bottom_k, op4_suffix_family, op5_bpe_tree, op6_robust_quality, op8_ppm_score, op9_factorization_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_mix_pivotal, op2_minhash_bottom_k, op4_suffix_family, op5_bpe_tree, op6_robust_quality, op7_nn_descent, op8_ppm_score, op9_factorization_toxicity)}
 ORACLE: dict[str, str] = {}
