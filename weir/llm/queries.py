@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, embeddings, lm, minhash, mixing, quality, suffix, toxicity
+from weir.llm import bpe, embeddings, lines, lm, minhash, mixing, quality, suffix, toxicity
 from weir.llm.common import documents
 
 
@@ -17,6 +17,10 @@ def op2_minhash_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), size=2, percent=80)
 
 
+def op3_line_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_units(documents(spark, sf_dir))
+
+
 def op4_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.dedup_substrings(documents(spark, sf_dir))
 
@@ -41,5 +45,32 @@ def op9_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_pivotal, op2_minhash_bottom_k, op4_suffix_family, op5_bpe_tree, op6_robust_quality, op7_nn_descent, op8_ppm_score, op9_factorization_toxicity)}
-ORACLE: dict[str, str] = {}
+def op10_segment_edit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_near_lines(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_pivotal, op2_minhash_bottom_k, op3_line_hash, op4_suffix_family, op5_bpe_tree, op6_robust_quality, op7_nn_descent, op8_ppm_score, op9_factorization_toxicity, op10_segment_edit_lines)}
+ORACLE: dict[str, str] = {
+    "op3_line_hash": r"""
+        WITH u AS (
+            SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k
+            FROM documents WHERE length(text) > 0
+        ), n AS (
+            SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS x,
+                   coalesce(sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s
+            FROM u
+        ), r AS (
+            SELECT *, length(x) > 0 AND length(x) - length(replace(x, ' ', '')) + 1 >= 8 AS long_enough,
+                   row_number() OVER (PARTITION BY x ORDER BY doc_id, k) AS rank
+            FROM n
+        ), d AS (
+            SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE long_enough AND rank > 1) AS n_removed,
+                   coalesce(string_agg(s || '-' || (s + strlen(line)), ',' ORDER BY k) FILTER (WHERE long_enough AND rank > 1), '') AS removed,
+                   md5(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT (long_enough AND rank > 1)), '')) AS kept_md5
+            FROM r GROUP BY doc_id
+        )
+        SELECT o.doc_id, coalesce(d.n_units, 0)::BIGINT AS n_units, coalesce(d.n_removed, 0)::BIGINT AS n_removed,
+               coalesce(d.removed, '') AS removed, coalesce(d.kept_md5, md5('')) AS kept_md5
+        FROM documents o LEFT JOIN d USING (doc_id)
+    """,
+}
