@@ -1,4 +1,421 @@
-"""The registered queries and, where SQL can express them, their SQL."""
+"""The registered queries over the driver's tables and, where SQL can express them, their SQL."""
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weir.functions import messages as M
+from weir.functions import text as X
+from weir.operators import generate, pack, quality, relational
+
+# ---- inputs as datasets: a split and an idx column ----
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet").withColumn("idx", F.col("doc_id")).withColumn("split", F.lit("train"))
+
+
+def _turns(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/conversations.parquet")
+
+
+def _convs(spark: SparkSession, d: str) -> DataFrame:
+    """One row per conversation with its turns as messages."""
+    m = F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))), lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
+    return _turns(spark, d).groupBy("conv_id").agg(m.alias("messages")).withColumn("split", F.lit("train")).withColumn("idx", F.col("conv_id"))
+
+
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Preference rows: the conversation, and the same with other letters in the last turn."""
+    c = _convs(spark, d)
+    last = F.element_at("messages", -1)
+    worse = F.concat(F.slice("messages", F.lit(1), F.size("messages") - 1), F.array(F.struct(last["role"].alias("role"), F.replace(last["content"], F.lit("e"), F.lit("_")).alias("content"))))
+    return c.select("conv_id", F.col("messages").alias("chosen"), worse.alias("rejected"))
+
+
+LANG = {"en": "eng_Latn", "de": "deu_Latn", "fr": "fra_Latn", "es": "spa_Latn"}
+LID = F.element_at(F.create_map(*[F.lit(x) for kv in LANG.items() for x in kv]), F.col("lang"))
+WORDS = ["the", "OpenAI", "sorry", "was"]
+PROMPT = "Talk about {subject} as {persona}. Begin turns with user: or assistant: only."
+PERSONAS = {"personas": {"teacher": "a teacher", "nurse": "a nurse", "pilot": "a pilot"}, "weights": {"teacher": 5, "nurse": 3, "pilot": 2}}
+
+
+def _ledger_like(spark: SparkSession, d: str) -> DataFrame:
+    """Ledger rows made of documents: two columns, some cells missing."""
+    x = _docs(spark, d).select("split", "idx", F.substring("text", 1, 40).alias("question"), F.col("source").alias("system"))
+    long = relational.unpivot(x, ["split", "idx"], ["question", "system"])
+    return long.where((F.col("column") == "question") | (F.pmod("idx", F.lit(3)) > 0)).withColumnRenamed("text", "response")
+
+
+def _errors(spark: SparkSession, d: str) -> DataFrame:
+    k = F.pmod("event_id", F.lit(7))
+    text = F.when(k == 0, "Error code: 429 - slow down, timed out").when(k == 1, "Empty conversation").when(k == 2, "Request Timed Out").when(k == 3, "a time out").when(k == 4, "TIMEOUT").otherwise("other")
+    return spark.read.parquet(f"{d}/events.parquet").select(F.col("event_id").alias("idx"), text.alias("error"))
+
+
+def _scores(spark: SparkSession, d: str) -> DataFrame:
+    """Score records made of orders: a model per customer bucket, a dataset per priority."""
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    names = F.array(*[F.lit(x) for x in relational.METRICS])
+    data = F.element_at(names, (F.pmod(F.floor(F.col("o_orderkey") / 8), F.lit(7)) + 1).cast("int"))
+    metric = F.element_at(F.create_map(*[F.lit(x) for kv in relational.METRICS.items() for x in kv]), data)
+    total = F.create_map(metric, (F.pmod("o_custkey", F.lit(1000)) / 1000), F.concat(metric, F.lit("_se")), F.lit(0.5))
+    model = F.concat(F.lit("org/ckpt-"), F.pmod("o_custkey", F.lit(40)).cast("string"))
+    return o.select(F.col("o_orderkey").alias("idx"), model.alias("model"), F.lit("t").alias("task"), data.alias("dataset"), F.struct(total.alias("total")).alias("results"))
+
+
+# ---- queries ----
+
+
+def curate_documents(spark, d):
+    """Flagship: normalise, first row of each text, language rule with its exception for short texts, word count."""
+    x = _docs(spark, d).select("split", "idx", "doc_id", X.normalize_ws(F.col("text")).alias("text"), LID.alias("text_lid"))
+    x = relational.dedup_sequential(x, ["text"])
+    x = quality.quality_filter(x, ["text"], target="eng_Latn", pattern=quality.phrase_pattern())
+    return x.select("doc_id", F.md5("text").alias("text_md5"), X.token_count(F.col("text")).cast("long").alias("n_tokens"))
+
+
+def normalize_ws(spark, d):
+    return _docs(spark, d).select("doc_id", X.normalize_ws(F.col("text")).alias("norm"))
+
+
+def strip_lines(spark, d):
+    one = _docs(spark, d).select("doc_id", F.explode(X.split_lines(F.col("text"))).alias("line"))
+    return one.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.length(X.strip(F.col("line")))).cast("long").alias("n_stripped"))
+
+
+def token_count(spark, d):
+    return _docs(spark, d).select("doc_id", X.token_count(F.col("text")).cast("long").alias("n_tokens"))
+
+
+def dedup_text(spark, d):
+    return relational.dedup_sequential(_docs(spark, d).select("idx", "text"), ["text"]).select(F.col("idx").alias("doc_id"))
+
+
+def dedup_sequential(spark, d):
+    x = _docs(spark, d).select("idx", "text", "source", "n_chars")
+    return relational.dedup_sequential(x, ["text", "n_chars"]).select(F.col("idx").alias("doc_id"), "source")
+
+
+def dedup_conversation(spark, d):
+    return relational.dedup_sequential(_convs(spark, d), ["messages"]).select("conv_id")
+
+
+def phrase_filter(spark, d):
+    pattern = quality.phrase_pattern(["loser"], [WORDS], ["als (?:een )?{}", "{} ben"])
+    return quality.quality_filter(_docs(spark, d).select("doc_id", "text"), ["text"], target=None, pattern=pattern, roman=False).select("doc_id")
+
+
+def roman_filter(spark, d):
+    x = _docs(spark, d).withColumn("text", F.when(F.pmod("doc_id", F.lit(5)) == 0, F.concat("text", F.lit(" α"))).otherwise(F.col("text")))
+    return x.where(X.is_roman(F.col("text"))).select("doc_id")
+
+
+def lid_filter(spark, d):
+    x = _docs(spark, d).withColumn("text", F.when(F.pmod("doc_id", F.lit(4)) == 0, "a short  one").otherwise(F.col("text")))
+    return x.where(quality.language_ok(F.col("text"), LID, "deu_Latn")).select("doc_id", "lang")
+
+
+def identify_language(spark, d):
+    x = quality.identify_language(_docs(spark, d).select("doc_id", "text"), ["text"])
+    return x.select("doc_id", "text_lid", F.round("text_lid_prob", 6).alias("text_lid_prob"))
+
+
+def glue(spark, d):
+    return _convs(spark, d).select("conv_id", M.glue(F.col("messages")).alias("text"))
+
+
+def assistant_text(spark, d):
+    return _convs(spark, d).select("conv_id", M.assistant_text(F.col("messages")).alias("text"))
+
+
+def insert_system(spark, d):
+    m = M.insert_system(F.col("messages"), "system")
+    return _convs(spark, d).select("conv_id", F.size(m).cast("long").alias("n"), F.get(m, 0)["role"].alias("first_role"), F.get(m, 0)["content"].alias("first_content"))
+
+
+def render_sft(spark, d):
+    return M.render_chat(_convs(spark, d), "sft").select("conv_id", "text")
+
+
+def render_generation(spark, d):
+    return M.render_chat(_convs(spark, d), "generation", auto_system=False).select("conv_id", "text")
+
+
+def render_rm(spark, d):
+    return M.render_chat(_pairs(spark, d), "rm").select("conv_id", "text_chosen", "text_rejected")
+
+
+def render_dpo(spark, d):
+    return M.render_chat(_pairs(spark, d), "dpo", auto_system=False).select("conv_id", "text_prompt", "text_chosen", "text_rejected")
+
+
+def parse_conversation(spark, d):
+    lines = F.concat_ws("\n", F.transform(F.filter("messages", lambda x: x["role"] != "system"), lambda x: F.concat(x["role"], F.lit(": "), x["content"])))
+    m = M.parse_conversation(lines, "user:", "assistant:")
+    x = _convs(spark, d).select("conv_id", F.posexplode(m).alias("pos", "m"))
+    return x.select("conv_id", F.col("pos").cast("long").alias("pos"), F.col("m.role").alias("role"), F.col("m.content").alias("content"))
+
+
+def _flat(m) -> F.col:
+    return F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit("="), x["content"])), "|")
+
+
+def answer_prompts(spark, d):
+    j = generate.answer_jobs(_docs(spark, d).select("split", "idx", "text", "source"), "text", "source")
+    return j.select("idx", "column", _flat(F.col("messages")).alias("prompt"))
+
+
+def translate_prompts(spark, d):
+    j = generate.translate_jobs(_docs(spark, d).select("split", "idx", "text", "source"), ["text", "source"], "English", "Dutch", "From {src_lang} to {tgt_lang}")
+    return j.select("idx", "column", _flat(F.col("messages")).alias("prompt"))
+
+
+def converse_prompts(spark, d):
+    j = generate.converse_jobs(_docs(spark, d).select("split", "idx", "source"), "source", PROMPT, "user:", "assistant:", PERSONAS)
+    return j.select("idx", "persona", _flat(F.col("messages")).alias("prompt"))
+
+
+def persona_bucket(spark, d):
+    p = relational.weighted_choice(["a", "b", "c"], [5, 3, 2], 7, F.col("doc_id"))
+    return _docs(spark, d).groupBy(p.alias("persona")).agg(F.count("*").alias("n"))
+
+
+def answer_echo(spark, d):
+    """The whole answer processor with the echo generator, ledgers and all."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="weir-answer-")
+    x = _docs(spark, d).select("split", "idx", F.col("source").alias("question"))
+    out = generate.answer(x, generate.EchoGenerator, f"{root.rstrip('/')}/answer-{spark.sparkContext.applicationId}-{abs(hash(d))}", "question", chunk=1_000_000)
+    return out.select("idx", "question", "response")
+
+
+def resume_antijoin(spark, d):
+    done = _docs(spark, d).where(F.pmod("idx", F.lit(3)) == 0)
+    return relational.exclude(_docs(spark, d).select("split", "idx", "source"), done).select("idx", "source")
+
+
+def ledger_union(spark, d):
+    a = _docs(spark, d).select("split", F.lit("c").alias("column"), "idx").where(F.pmod("idx", F.lit(2)) == 0)
+    b = _docs(spark, d).select("split", F.lit("c").alias("column"), "idx").where(F.pmod("idx", F.lit(3)) == 0)
+    return relational.processed(a, b).groupBy("split", "column").agg(F.count("*").alias("n"), F.sum("idx").alias("sum_idx"))
+
+
+def ledger_pivot(spark, d):
+    return relational.pivot_ledger(_ledger_like(spark, d), "response", ["question", "system"]).select("idx", "question", "system")
+
+
+def merge_original(spark, d):
+    x = _docs(spark, d).select("split", "idx", "lang")
+    return relational.join_columns(x, relational.pivot_ledger(_ledger_like(spark, d), "response", ["question", "system"])).drop("split")
+
+
+def failure_report(spark, d):
+    return relational.failure_report(_errors(spark, d))
+
+
+def merge_revisions(spark, d):
+    x = _docs(spark, d)
+    a = x.select("idx", F.when(F.pmod("idx", F.lit(10)) > 0, F.pmod("idx", F.lit(50))).alias("k"), "lang", F.col("n_chars").alias("n"))
+    b = x.where("idx >= 20").select("idx", F.when(F.pmod("idx", F.lit(10)) > 0, F.pmod("idx", F.lit(50))).alias("k"), "source", F.when(F.pmod("idx", F.lit(4)) > 0, F.col("n_chars")).alias("n"))
+    return relational.merge_revisions([a, b], ["k"])
+
+
+def mix(spark, d):
+    x = _docs(spark, d).select("idx", "source")
+    n = spark.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").alias("idx"), F.col("url").alias("source"))
+    got = relational.mix([("docs", "train_sft", x, 0.29), ("pages", "train", n, 0.5), ("docs", "test", x.where("idx < 10"), 1.0)], seed=None)
+    return got["train"].withColumn("kind", F.lit("train")).unionByName(got["test"].withColumn("kind", F.lit("test")))
+
+
+def shuffle_md5(spark, d):
+    o = spark.read.parquet(f"{d}/events.parquet").select("event_id", F.md5(F.concat(F.lit("42-"), F.col("event_id").cast("string"))).alias("h"))
+    return relational.ranked(o, ["h", "event_id"]).select("event_id", "idx")
+
+
+def first_n(spark, d):
+    return relational.first_n(_docs(spark, d), 100).select("idx", "lang", "source")
+
+
+def select_sorted(spark, d):
+    return relational.sort_columns(_docs(spark, d).select("source", "doc_id", "lang"))
+
+
+def unpivot_columns(spark, d):
+    return relational.unpivot(_docs(spark, d).select("idx", "lang", "source"), ["idx"], ["lang", "source"])
+
+
+def tokenize(spark, d):
+    t = pack.tokenize(_docs(spark, d).select("idx", "text"))
+    return t.select("idx", F.size("input_ids").cast("long").alias("n"))
+
+
+def pack_blocks(spark, d):
+    ids = F.transform(F.split(X.normalize_ws(F.col("text")), " "), lambda x: F.length(x))
+    p = pack.pack_blocks(_docs(spark, d).select("idx", ids.alias("input_ids")), 128, 250)
+    return p.select("batch", "block_no", F.aggregate("input_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), F.get("labels", 0).cast("long").alias("first_id"))
+
+
+def prepare_clm(spark, d):
+    p = pack.prepare_clm(_docs(spark, d).select("idx", "text"), 256, batch=500)
+    return p.select("batch", "block_no", F.md5(F.concat_ws(" ", "input_ids")).alias("ids"))
+
+
+def scoreboard(spark, d):
+    return relational.scoreboard(relational.flatten_scores(_scores(spark, d), {"ckpt-7": "ckpt-seven"}))
+
+
+def scoreboard_compat(spark, d):
+    return relational.scoreboard(relational.flatten_scores(_scores(spark, d)), compat=True).select("model", "average", "average_no_conll")
+
+
+def checkpoint_series(spark, d):
+    return relational.checkpoint_series(relational.flatten_scores(_scores(spark, d)), "ckpt-").select("dataset", "checkpoint", "metric", "value", "error")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        curate_documents, normalize_ws, strip_lines, token_count, dedup_text, dedup_sequential, dedup_conversation, phrase_filter, roman_filter, lid_filter,
+        identify_language, glue, assistant_text, insert_system, render_sft, render_generation, render_rm, render_dpo, parse_conversation, answer_prompts,
+        translate_prompts, converse_prompts, persona_bucket, answer_echo, resume_antijoin, ledger_union, ledger_pivot, merge_original, failure_report,
+        merge_revisions, mix, shuffle_md5, first_n, select_sorted, unpivot_columns, tokenize, pack_blocks, prepare_clm, scoreboard, scoreboard_compat,
+        checkpoint_series,
+    )
+}
+
+# ---- SQL ----
+
+_WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _norm(c: str) -> str:
+    return f"trim(regexp_replace({c}, '{_WS}+', ' ', 'g'))"
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '^{_WS}+', ''), '{_WS}+$', '')"
+
+
+def _tokens(c: str) -> str:
+    return f"len(list_filter(string_split({_norm(c)}, ' '), lambda x: x <> ''))"
+
+
+_LIDS = "CASE lang WHEN 'en' THEN 'eng_Latn' WHEN 'de' THEN 'deu_Latn' WHEN 'fr' THEN 'fra_Latn' WHEN 'es' THEN 'spa_Latn' END"
+_LIT = "'<|' || role || '|>' || chr(10) || {} || '</s>' || chr(10)"
+_ROLES = "role IN ('system', 'user', 'assistant')"
+_RENDER = "coalesce(string_agg(CASE WHEN " + _ROLES + " THEN " + _LIT + " ELSE '' END, '' ORDER BY turn), '')"
+_EMPTY_SYSTEM = "CASE WHEN arg_min(role, turn) <> 'system' THEN '<|system|>' || chr(10) || '</s>' || chr(10) ELSE '' END"
+_LASTS = "(SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations)"
+_WORSE = "CASE WHEN turn = last THEN replace(text, 'e', '_') ELSE text END"
+
+
+def _persona(seed: int, key: str, names: list[str], weights: list[float]) -> str:
+    u = f"(('0x' || substr(md5('{seed}-' || {key}), 1, 8))::BIGINT / 4294967296.0)"
+    out, total, upto = "CASE", sum(weights), 0.0
+    for n, w in zip(names, weights, strict=True):
+        upto += w
+        out += f" WHEN {u} < {upto / total!r}::DOUBLE THEN '{n}'"
+    return out + f" ELSE '{names[-1]}' END"
+
+
+_LEDGER = "(SELECT doc_id AS idx, substr(text, 1, 40) AS question, CASE WHEN doc_id % 3 > 0 THEN source ELSE '' END AS system FROM documents)"
+_SCORES = """
+    s AS (SELECT o_orderkey AS idx, 'ckpt-' || (o_custkey % 40) AS model,
+                 ['dutch-social', 'conll-nl', 'scala-nl', 'squad-nl', 'wiki-lingua-nl', 'mmlu-nl', 'hellaswag-nl'][((o_orderkey // 8) % 7) + 1] AS dataset,
+                 (o_custkey % 1000) / 1000.0::DOUBLE AS score FROM orders),
+    f AS (SELECT * FROM (SELECT {alias} AS model, dataset, score, row_number() OVER (PARTITION BY {alias}, dataset ORDER BY idx) AS rn FROM s) WHERE rn = 1),
+    w AS (SELECT model, {cells} FROM f GROUP BY model HAVING count(*) = 7)
+"""  # noqa: E501
+
+
+def _score_sql(alias: str) -> str:
+    cells = ", ".join(f"max(score) FILTER (WHERE dataset = '{d}') AS \"{d}_{m}\"" for d, m in relational.METRICS.items())
+    return "WITH" + _SCORES.format(alias=alias, cells=cells)
+
+
+_COLS = [f'"{d}_{m}"' for d, m in relational.METRICS.items()]
+_AVG = "((" + " + ".join(_COLS) + ") / 7)"
+_REST = " + ".join(c for c in _COLS if "conll" not in c)
+_BLOCK_TOKENS = f"SELECT doc_id AS idx, unnest(string_split({_norm('text')}, ' ')) AS t, generate_subscripts(string_split({_norm('text')}, ' '), 1) AS p FROM documents"
+
+ORACLE: dict[str, str] = {
+    "curate_documents": f"""
+        WITH n AS (SELECT doc_id, {_norm('text')} AS text, {_LIDS} AS lid FROM documents),
+        u AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM n)
+        SELECT doc_id, md5(text) AS text_md5, {_tokens('text')}::BIGINT AS n_tokens FROM u
+        WHERE rn = 1 AND NOT regexp_matches(text, '{quality.phrase_pattern().replace('(?iu)', '(?i)')}') AND (lid = 'eng_Latn' OR {_tokens('text')} <= 3)""",
+    "normalize_ws": f"SELECT doc_id, {_norm('text')} AS norm FROM documents",
+    "strip_lines": f"""
+        SELECT doc_id, count(*) AS n_lines, sum(length({_strip('line')}))::BIGINT AS n_stripped
+        FROM (SELECT doc_id, unnest(string_split(regexp_replace(text, '\\n$', ''), chr(10))) AS line FROM documents WHERE text <> '') GROUP BY doc_id""",
+    "token_count": f"SELECT doc_id, {_tokens('text')}::BIGINT AS n_tokens FROM documents",
+    "dedup_text": "SELECT min(doc_id) AS doc_id FROM documents GROUP BY text",
+    "dedup_sequential": """
+        WITH a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1),
+        b AS (SELECT *, row_number() OVER (PARTITION BY n_chars ORDER BY doc_id) AS r2 FROM a)
+        SELECT doc_id, source FROM b WHERE r2 = 1""",
+    "dedup_conversation": f"""
+        WITH t AS (SELECT conv_id, {_strip("coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')")} AS k FROM conversations GROUP BY conv_id)
+        SELECT min(conv_id) AS conv_id FROM t GROUP BY k""",
+    "phrase_filter": f"SELECT doc_id FROM documents WHERE NOT regexp_matches({_norm('text')}, '(?i)als (?:een )?loser|loser ben|the|OpenAI|sorry|was')",
+    "roman_filter": "SELECT doc_id FROM documents WHERE doc_id % 5 <> 0",
+    "lid_filter": f"SELECT doc_id, lang FROM documents WHERE {_LIDS} = 'deu_Latn' OR doc_id % 4 = 0 OR {_tokens('text')} <= 3",
+    "glue": "SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
+    "assistant_text": f"SELECT conv_id, {_strip("coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')")} AS text FROM conversations GROUP BY conv_id",
+    "insert_system": """
+        SELECT conv_id, count(*) + (CASE WHEN arg_min(role, turn) <> 'system' THEN 1 ELSE 0 END) AS n, 'system' AS first_role,
+               CASE WHEN arg_min(role, turn) <> 'system' THEN '' ELSE arg_min(text, turn) END AS first_content FROM conversations GROUP BY conv_id""",
+    "render_sft": f"SELECT conv_id, {_EMPTY_SYSTEM} || {_RENDER.format('text')} AS text FROM conversations GROUP BY conv_id",
+    "render_generation": f"SELECT conv_id, {_RENDER.format('text')} || '<|assistant|>' || chr(10) AS text FROM conversations GROUP BY conv_id",
+    "render_rm": f"SELECT conv_id, {_EMPTY_SYSTEM} || {_RENDER.format('text')} AS text_chosen, {_EMPTY_SYSTEM} || {_RENDER.format(_WORSE)} AS text_rejected FROM {_LASTS} GROUP BY conv_id",
+    "render_dpo": f"""
+        SELECT conv_id, coalesce(string_agg({_LIT.format('text')}, '' ORDER BY turn) FILTER (WHERE turn < last), '') AS text_prompt,
+               string_agg({_LIT.format('text')}, '') FILTER (WHERE turn = last) AS text_chosen,
+               string_agg({_LIT.format("replace(text, 'e', '_')")}, '') FILTER (WHERE turn = last) AS text_rejected FROM {_LASTS} GROUP BY conv_id""",
+    "parse_conversation": f"""
+        WITH t AS (SELECT conv_id, turn, role, {_strip('text')} AS content FROM conversations WHERE role <> 'system'),
+        u AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM t WHERE content <> '')
+        SELECT conv_id, pos::BIGINT AS pos, role, content FROM u WHERE NOT (back = 1 AND role <> 'assistant')""",
+    "answer_prompts": "SELECT doc_id AS idx, 'response' AS \"column\", 'system=' || source || '|user=' || text AS prompt FROM documents",
+    "translate_prompts": " UNION ALL ".join(f"SELECT doc_id AS idx, '{c}' AS \"column\", 'system=From English to Dutch|user=' || {_strip(c)} AS prompt FROM documents WHERE {_strip(c)} <> ''" for c in ("text", "source")),
+    "converse_prompts": f"""
+        WITH p AS (SELECT doc_id AS idx, source, {_persona(42, "'train-' || doc_id", ['teacher', 'nurse', 'pilot'], [5, 3, 2])} AS persona FROM documents)
+        SELECT idx, persona, 'system=Talk about ' || source || ' as a ' || persona || '. Begin turns with user: or assistant: only.' AS prompt FROM p""",
+    "persona_bucket": f"SELECT {_persona(7, 'doc_id', ['a', 'b', 'c'], [5, 3, 2])} AS persona, count(*) AS n FROM documents GROUP BY 1",
+    "answer_echo": "SELECT doc_id AS idx, source AS question, source AS response FROM documents",
+    "resume_antijoin": "SELECT doc_id AS idx, source FROM documents WHERE doc_id % 3 <> 0",
+    "ledger_union": "SELECT 'train' AS split, 'c' AS \"column\", count(*) AS n, sum(doc_id)::BIGINT AS sum_idx FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0",
+    "ledger_pivot": f"SELECT idx, question, system FROM {_LEDGER}",
+    "merge_original": f"SELECT l.idx, d.lang, l.question, l.system FROM {_LEDGER} l JOIN documents d ON l.idx = d.doc_id",
+    "failure_report": """
+        SELECT count(*) FILTER (WHERE event_id % 7 = 0) AS rate_limit, count(*) FILTER (WHERE event_id % 7 = 1) AS empty,
+               count(*) FILTER (WHERE event_id % 7 IN (2, 3, 4)) AS time_out, count(*) AS total FROM events""",
+    "merge_revisions": """
+        WITH x AS (SELECT *, CASE WHEN doc_id % 10 > 0 THEN doc_id % 50 END AS k FROM documents),
+        a AS (SELECT * FROM (SELECT k, lang, n_chars AS n, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS rn FROM x) WHERE rn = 1),
+        b AS (SELECT * FROM (SELECT k, source, CASE WHEN doc_id % 4 > 0 THEN n_chars END AS n, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS rn FROM x WHERE doc_id >= 20) WHERE rn = 1)
+        SELECT a.k, a.lang, a.n AS n_x, b.source, b.n AS n_y FROM a JOIN b ON a.k IS NOT DISTINCT FROM b.k
+        WHERE a.lang IS NOT NULL AND a.n IS NOT NULL AND b.source IS NOT NULL AND b.n IS NOT NULL""",
+    "mix": """
+        SELECT 'docs' AS dataset, doc_id AS idx, source, 'train' AS kind FROM documents WHERE doc_id < floor(0.29::DOUBLE * (SELECT count(*) FROM documents))
+        UNION ALL SELECT 'pages', page_id, url, 'train' FROM pages WHERE page_id < floor(0.5 * (SELECT count(*) FROM pages))
+        UNION ALL SELECT 'docs', doc_id, source, 'test' FROM documents WHERE doc_id < 10""",
+    "shuffle_md5": "SELECT event_id, row_number() OVER (ORDER BY md5('42-' || event_id), event_id) - 1 AS idx FROM events",
+    "first_n": "SELECT doc_id AS idx, lang, source FROM documents WHERE doc_id < 100",
+    "select_sorted": "SELECT doc_id, lang, source FROM documents",
+    "unpivot_columns": "SELECT doc_id AS idx, 'lang' AS \"column\", lang AS text FROM documents UNION ALL SELECT doc_id, 'source', source FROM documents",
+    "tokenize": f"SELECT doc_id AS idx, {_tokens('text')}::BIGINT AS n FROM documents",
+    "pack_blocks": f"""
+        WITH t AS ({_BLOCK_TOKENS}),
+        r AS (SELECT idx // 250 AS batch, length(t) AS v, row_number() OVER (PARTITION BY idx // 250 ORDER BY idx, p) - 1 AS rn FROM t)
+        SELECT batch, rn // 128 AS block_no, sum(v)::BIGINT AS total, arg_min(v, rn)::BIGINT AS first_id FROM r GROUP BY 1, 2 HAVING count(*) = 128""",
+    "scoreboard": _score_sql("CASE model WHEN 'ckpt-7' THEN 'ckpt-seven' ELSE model END") + f"SELECT *, {_AVG} AS average, ({_REST}) / 6 AS average_no_conll FROM w",
+    "scoreboard_compat": _score_sql("model") + f"SELECT model, {_AVG} AS average, ({_REST} + {_AVG}) / 7 AS average_no_conll FROM w",
+    "checkpoint_series": _score_sql("model") + """
+        SELECT dataset, replace(model, 'ckpt-', '')::INTEGER AS checkpoint, CASE dataset WHEN 'dutch-social' THEN 'test_macro_f1' WHEN 'conll-nl' THEN 'test_micro_f1'
+            WHEN 'scala-nl' THEN 'test_macro_f1' WHEN 'squad-nl' THEN 'test_f1' WHEN 'wiki-lingua-nl' THEN 'test_bertscore' ELSE 'test_accuracy' END AS metric,
+            score AS value, 0.5::DOUBLE AS error FROM f""",
+}
