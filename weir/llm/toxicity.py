@@ -108,11 +108,15 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.int32())), b.column("label")], names=["terms", "label"])
 
 
-def train(labelled: DataFrame, max_rows: int = 12000, **how) -> Machine:
-    """(doc_id, text, label) -> model, from the ``max_rows`` rows with the smallest hash of doc_id; null labels are left out."""
-    some = labelled.filter(F.col("label").isNotNull()).select("doc_id", "text", F.col("label").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "label").limit(max_rows)
-    got = some.repartition(16, "doc_id").mapInArrow(_hashed, "terms array<int>, label int").collect()
-    got.sort(key=lambda r: (r.label, len(r.terms), r.terms[:5]))
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12000, **how) -> Machine:
+    """Texts of ``docs`` (doc_id, text) with labels (doc_id, label) -> model.
+
+    Uses the ``max_rows`` labels with the smallest hash of doc_id, few enough to be sent to
+    every task, so no text is shuffled; null labels are left out.
+    """
+    some = labels.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("label").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
+    got = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "label").mapInArrow(_hashed, "terms array<int>, label int").collect()
+    got.sort(key=lambda r: (r.label, len(r.terms), r.terms))
     return fit([np.array(r.terms, dtype=np.int64) for r in got], np.array([r.label for r in got]), **how)
 
 
@@ -140,5 +144,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 12000) -> DataF
     Repeated rows are scored alike; a null doc_id is scored but never trains.
     """
     known = labels.filter(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("label"))
-    model = train(docs.select("doc_id", "text").join(known, "doc_id"), max_rows)
+    model = train(docs, known, max_rows)
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
