@@ -51,6 +51,31 @@ def op10_segment_edit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mix_pivotal, op2_minhash_bottom_k, op3_line_hash, op4_suffix_family, op5_bpe_tree, op6_robust_quality, op7_nn_descent, op8_ppm_score, op9_factorization_toxicity, op10_segment_edit_lines)}
 ORACLE: dict[str, str] = {
+    "op2_minhash_bottom_k": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN [w[1]] WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE [] END) AS x FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        e AS MATERIALIZED (SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * i >= 80 * (a.n + b.n - i)),
+        r AS (SELECT u AS doc_id, u AS c FROM e UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.doc_id),
+        c AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.c, d.doc_id) AS component_id, coalesce(c.c, d.doc_id) = d.doc_id AS kept
+        FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+    """,
+    "op7_nn_descent": """
+        WITH RECURSIVE x AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda z: z * z))) AS l FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda z: z IS NULL OR NOT isfinite(z))) = 0
+        ), e AS MATERIALIZED (
+            SELECT a.vec_id AS u, b.vec_id AS v FROM x a JOIN x b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND a.l > 0 AND b.l > 0
+            WHERE list_dot_product(a.v, b.v) >= 0.9::DOUBLE * a.l * b.l
+        ), r AS (SELECT u AS vec_id, u AS c FROM e UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.vec_id),
+        c AS (SELECT vec_id, min(c) AS c FROM r GROUP BY vec_id), n AS (SELECT u AS vec_id, count(*) AS n FROM e GROUP BY u)
+        SELECT m.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.c, m.vec_id) AS component_id, coalesce(c.c, m.vec_id) = m.vec_id AS kept
+        FROM embeddings m LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
+    """,
     "op3_line_hash": r"""
         WITH u AS (
             SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k
