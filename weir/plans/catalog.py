@@ -37,7 +37,12 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 LANG = {"en": "eng_Latn", "de": "deu_Latn", "fr": "fra_Latn", "es": "spa_Latn"}
-LID = F.element_at(F.create_map(*[F.lit(x) for kv in LANG.items() for x in kv]), F.col("lang"))
+
+
+def _lid():
+    return F.element_at(F.create_map(*[F.lit(x) for kv in LANG.items() for x in kv]), F.col("lang"))
+
+
 WORDS = ["the", "OpenAI", "sorry", "was"]
 PROMPT = "Talk about {subject} as {persona}. Begin turns with user: or assistant: only."
 PERSONAS = {"personas": {"teacher": "a teacher", "nurse": "a nurse", "pilot": "a pilot"}, "weights": {"teacher": 5, "nurse": 3, "pilot": 2}}
@@ -72,7 +77,7 @@ def _scores(spark: SparkSession, d: str) -> DataFrame:
 
 def curate_documents(spark, d):
     """Flagship: normalise, first row of each text, language rule with its exception for short texts, word count."""
-    x = _docs(spark, d).select("split", "idx", "doc_id", X.normalize_ws(F.col("text")).alias("text"), LID.alias("text_lid"))
+    x = _docs(spark, d).select("split", "idx", "doc_id", X.normalize_ws(F.col("text")).alias("text"), _lid().alias("text_lid"))
     x = relational.dedup_sequential(x, ["text"])
     x = quality.quality_filter(x, ["text"], target="eng_Latn", pattern=quality.phrase_pattern())
     return x.select("doc_id", F.md5("text").alias("text_md5"), X.token_count(F.col("text")).cast("long").alias("n_tokens"))
@@ -116,7 +121,7 @@ def roman_filter(spark, d):
 
 def lid_filter(spark, d):
     x = _docs(spark, d).withColumn("text", F.when(F.pmod("doc_id", F.lit(4)) == 0, "a short  one").otherwise(F.col("text")))
-    return x.where(quality.language_ok(F.col("text"), LID, "deu_Latn")).select("doc_id", "lang")
+    return x.where(quality.language_ok(F.col("text"), _lid(), "deu_Latn")).select("doc_id", "lang")
 
 
 def identify_language(spark, d):
@@ -160,7 +165,7 @@ def parse_conversation(spark, d):
     return x.select("conv_id", F.col("pos").cast("long").alias("pos"), F.col("m.role").alias("role"), F.col("m.content").alias("content"))
 
 
-def _flat(m) -> F.col:
+def _flat(m):
     return F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit("="), x["content"])), "|")
 
 
