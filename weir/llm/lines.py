@@ -145,6 +145,26 @@ def within(a: Column, b: Column, most: int) -> Column:
     return F.when(F.abs(n - m) > most, False).when(m == 0, n <= most).otherwise(steps <= most)
 
 
+def may_be_within(a: Column, b: Column, most: int) -> Column:
+    """Whether most of a's blocks lie in b where ``most`` edits leave them: an edit touches one block and shifts by one."""
+    blocks, n = 2 * most + 4, F.length(a)
+    cut = lambda i: F.floor(i * n / blocks).cast("int")
+
+    def there(i: Column) -> Column:
+        own = F.substring(a, cut(i) + 1, cut(i + 1) - cut(i))
+        return F.exists(F.lit(list(range(-most, most + 1))), lambda d: (cut(i) + d >= 0) & (F.substring(b, cut(i) + d + 1, cut(i + 1) - cut(i)) == own))
+
+    return F.size(F.filter(F.lit(list(range(blocks))), there)) >= blocks - most
+
+
+def common_prefix(a: Column, b: Column, most_chars: int = 1 << 30) -> Column:
+    """Length of the common prefix of two texts, by bisection."""
+    steps = F.lit([1 << k for k in range(most_chars.bit_length() - 1, -1, -1)])
+    shorter = F.least(F.length(a), F.length(b))
+    fits = lambda k, p: (k + p <= shorter) & (F.substring(a, k + 1, p.cast("int")) == F.substring(b, k + 1, p.cast("int")))
+    return F.aggregate(steps, F.lit(0), lambda k, p: F.when(F.when(k.cast("long") + p > shorter, False).otherwise(fits(k, p)), k + p).otherwise(k))
+
+
 def normal_line(line: Column) -> Column:
     return F.trim(F.regexp_replace(lower_ascii(line), f"[{SPACE_CLASS}]+", " "))
 
@@ -204,8 +224,14 @@ def near_line_groups(docs: DataFrame, stash: Stash, most: int = 2, least: int =
         need = pairs.select(F.col("u").alias("k")).union(pairs.select("v")).distinct()
         text = stash.put(lines.select("k", "x").join(need, "k", "left_semi").groupBy("k").agg(F.first("x").alias("x")))
         both = pairs.join(text.withColumnsRenamed({"k": "u", "x": "xu"}), "u").join(text.withColumnsRenamed({"k": "v", "x": "xv"}), "v")
-        both = both.select("u", "v", chars("xu").alias("a"), chars("xv").alias("b"))
-        return pairs, stash.put(both.filter(within(F.col("a"), F.col("b"), most)).select("u", "v"))
+        # false pairs go by their blocks; of the others only what lies between the first and the last edit is compared
+        both = both.filter(may_be_within(F.col("xu"), F.col("xv"), most)).select("u", "v", "xu", "xv").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        both = both.withColumn("p", common_prefix(F.col("xu"), F.col("xv"), 1 << 24))
+        both = both.select("u", "v", *[F.reverse(F.substring(c, F.col("p") + 1, F.length(c))).alias(c) for c in ("xu", "xv")])
+        both = both.withColumn("p", common_prefix(F.col("xu"), F.col("xv"), 1 << 24))
+        # written, for a filter over a projection would split the texts again at every step of the distance
+        both = stash.put(both.select("u", "v", *[chars(F.substring(c, F.col("p") + 1, F.length(c))).alias(c) for c in ("xu", "xv")]))
+        return pairs, stash.put(both.filter(within(F.col("xu"), F.col("xv"), most)).select("u", "v"))
 
     tried, links = confirm(led.filter(F.col("k") != F.col("lead")).select(*pair("k", "lead")).distinct())
     found = components(links, stash)
