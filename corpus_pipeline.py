@@ -25,14 +25,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the least doc_id, of each group of near duplicates."""
-    kept = minhash.near_duplicates(docs, size=5, percent=80).filter("kept").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    return minhash.near_duplicates(docs, size=5, percent=80, carry=tuple(COLUMNS)).filter("kept").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     taken = mixing.mix(docs).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("__copies"))
-    return docs.join(taken, "doc_id").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*COLUMNS)
+    taken = taken.withColumnRenamed("doc_id", "__id")
+    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id"))).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

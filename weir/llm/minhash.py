@@ -29,6 +29,8 @@ from weir.llm.lm import tokens
 
 K = 64
 COUNTERS_LOG2 = 20
+#: Of K common-or-not values at a similarity of 0.8, 51.2 are common, with a deviation of 3.2; all but K / 2 - 1 of them are listed.
+LEAST_SHARED = int(0.8 * K - 4 * (K * 0.8 * 0.2) ** 0.5) - (K // 2 - 1)
 CACHE_WORDS = 400_000
 _A = np.uint64(0x9E3779B97F4A7C15)
 
@@ -151,61 +153,77 @@ def _estimated(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tuple[str, ...] = ("doc_id",), random_rounds: int = 2) -> DataFrame:
+    """``carry`` columns with n_shingles, component_id and kept of every row of ``docs``.
 
     Rows whose sets have 100 * intersection >= ``percent`` * union are linked; component_id
     is the least doc_id that links reach, its own included.  Null, empty and
     wordless texts have no shingles and are linked with nothing.  Rows with
     one doc_id are rows of their own; a null doc_id is no candidate for
-    component_id unless its component has no other.
+    component_id unless its component has no other.  Other columns of ``docs`` do not matter.
     """
     spark = docs.sparkSession
     stash = Stash(spark, "minhash")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = stash.put(docs.select("doc_id", "text").mapInArrow(_sketch_rows(size), f"doc_id {kind}, text string, n_shingles long, cls long, sketch binary"))
-    sets = rows.filter(F.col("cls").isNotNull())
+    own = docs.select(F.struct(*carry).alias("carried"), "doc_id", "text")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema)
+    full = stash.put(own.mapInArrow(_sketch_rows(size), f"{ddl}, n_shingles long, cls long, sketch binary"))
+    sets = full.filter(F.col("cls").isNotNull())
     classes = stash.put(sets.groupBy("cls").agg(F.min("doc_id").alias("min_doc"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     slots = classes.select("sketch").mapInArrow(_counted, "slot int, uses long").groupBy("slot").agg(F.sum("uses").alias("uses")).toArrow()  # at most 2**COUNTERS_LOG2 rows
     table = np.zeros(1 << COUNTERS_LOG2, dtype=np.int64)
     table[slots.column("slot").to_numpy()] = slots.column("uses").to_numpy()
     uses = spark.sparkContext.broadcast(table)
-    lists = stash.put(classes.select("cls", "n_shingles", "sketch").mapInArrow(_prefixes(uses), "value long, cls long, n long, pop long"))
-
-    sketch = classes.select("cls", "sketch")
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        """Links among the pairs, by estimate and then on full sets."""
-        ends = lambda df, c, v: df.withColumnsRenamed({"cls": c, v: f"{v[0]}{c}"})
-        guess = stash.put(pairs.join(ends(sketch, "u", "sketch"), "u").join(ends(sketch, "v", "sketch"), "v").select("u", "v", "su", "sv").mapInArrow(_estimated(percent), "u long, v long"))
-        need = guess.select(F.col("u").alias("cls")).union(guess.select("v")).distinct()
-        texts = stash.put(sets.select("cls", "text").join(need, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")))
-        full = guess.join(ends(texts, "v", "text"), "v").join(ends(texts, "u", "text"), "u").select("u", "v", "tu", "tv")
-        out = stash.put(full.mapInArrow(_verified(size, percent), "u long, v long"))
-        stash.drop(texts)
-        return out, guess
-
-    fits = (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    need = F.greatest(F.lit(1), F.floor(0.07 * F.least(F.least("n", "m"), F.lit(K))))
-    lead = lists.groupBy("value").agg(F.count("*").alias("k"), F.max(F.struct("pop", "cls", "n")).alias("lead")).filter("k > 1").select("value", F.col("lead.cls").alias("lead"), F.col("lead.n").alias("m"))
-    first = lists.join(lead, "value").filter((F.col("cls") != F.col("lead")) & fits)
-    pair = lambda df, a, b: df.groupBy(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m")).select("u", "v")
-    links, tried = confirm(pair(first, "cls", "lead"))
-    found = components(links, stash)
-
-    # lists whose classes are not all connected yet: compare across components
-    named = stash.put(lists.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls")))
-    open_ = named.groupBy("value").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("value")
-    named = named.join(open_, "value", "left_semi").select("value", "cls", "n", "component")
-    other = named.select("value", F.col("cls").alias("cls2"), F.col("n").alias("m"), F.col("component").alias("component2"))
-    rest = named.join(other, "value").filter((F.col("cls") < F.col("cls2")) & (F.col("component") != F.col("component2")) & fits)
-    rest = rest.groupBy(F.col("cls2").alias("u"), F.col("cls").alias("v")).agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m")).filter(F.col("shared") >= need).select("u", "v")
+
+    # lists of one class link nothing and go at once
+    every = stash.put(classes.select("cls", "n_shingles", "sketch").mapInArrow(_prefixes(uses), "value long, cls long, n long, pop long"))
+    lead = every.groupBy("value").agg(F.count("*").alias("k"), F.max(F.struct("pop", "cls", "n")).alias("lead")).filter("k > 1")
+    lists = stash.put(every.join(lead.select("value", F.col("lead.cls").alias("lead"), F.col("lead.n").alias("m")), "value").drop("pop"))
+    stash.drop(every)
+    member = stash.put(lists.groupBy("cls").agg(F.sort_array(F.collect_list("value")).alias("values")))  # at most K values
+    texts = stash.put(sets.select("cls", "text").join(member.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")))
+    sketch = classes.select("cls", "sketch").join(member.select("cls"), "cls", "left_semi")
+    rows = full.drop("text", "sketch")
+    meet = lambda pairs, what, a, b: pairs.join(what.toDF("u", a), "u").join(what.toDF("v", b), "v").select("u", "v", a, b)
+
+    def confirm(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links among the pairs, by estimate and then on full sets; and the pairs that took the full sets."""
+        guess = stash.put(meet(pairs, sketch, "su", "sv").mapInArrow(_estimated(percent), "u long, v long"))
+        return stash.put(meet(guess, texts, "tu", "tv").mapInArrow(_verified(size, percent), "u long, v long")), guess
+
+    fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+    pair = lambda a, b: (F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    first = lists.filter((F.col("cls") != F.col("lead")) & fits)
+    links, tried = confirm(first.select(*pair("cls", "lead")).distinct())
+    lists = lists.drop("lead", "m")
+
+    def open_lists(found: DataFrame) -> DataFrame:
+        """Lists whose classes are in more than one component."""
+        named = lists.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        some = named.groupBy("value").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("value")
+        return stash.put(named.join(some, "value", "left_semi"))
+
+    for r in range(random_rounds):  # another leader for each list, at random
+        named = open_lists(components(links, stash))
+        lead = named.groupBy("value").agg(F.min(F.struct(F.xxhash64("value", "cls", F.lit(r)).alias("h"), "cls", "n", "component")).alias("lead"))
+        lead = lead.select("value", F.col("lead.cls").alias("lead"), F.col("lead.n").alias("m"), F.col("lead.component").alias("c2"))
+        first = named.join(lead, "value").filter((F.col("component") != F.col("c2")) & fits)
+        more, also = confirm(first.select(*pair("cls", "lead")).distinct().join(tried, ["u", "v"], "left_anti"))
+        links, tried = links.unionByName(more), tried.unionByName(also)
+
+    # what is left: each pair of a list in different components, at the first value that the two share
+    named = open_lists(components(links, stash)).join(member, "cls")
+    other = named.select("value", F.col("cls").alias("cls2"), F.col("n").alias("m"), F.col("component").alias("component2"), F.col("values").alias("values2"))
+    both = F.array_intersect("values", "values2")
+    # sketches of sets at the threshold have at least this many listed values in common, 4 standard deviations below the mean
+    need = F.when(F.least("n", "m") >= K, LEAST_SHARED).otherwise(1)
+    meets = (F.col("cls") < F.col("cls2")) & (F.col("component") != F.col("component2")) & fits & (F.size(both) >= need) & (F.array_min(both) == F.col("value"))
+    rest = named.join(other, "value").filter(meets).select(F.col("cls2").alias("u"), F.col("cls").alias("v"))
     more, _ = confirm(rest.join(tried, ["u", "v"], "left_anti"))
     found = stash.put(components(links.unionByName(more), stash))
 
     label = classes.select("cls", "min_doc").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = label.groupBy("component").agg(F.min("min_doc").alias("least"))
     label = label.join(least, "component").select("cls", "least")
-    out = rows.select("doc_id", "n_shingles", "cls").join(label, "cls", "left")
+    out = rows.join(label, "cls", "left")
     out = out.withColumn("component_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.coalesce("least", "doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("carried.*", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
