@@ -46,3 +46,22 @@ def test_links_match_brute_force(spark):
     found, there = embeddings.audit(df.where("vec_id < 1000"), res, every=10)
     assert there and found >= 0.9 * there
     assert embeddings.near_vectors(df.limit(0)).count() == 0
+
+
+def test_tight_groups_join(spark):
+    """Lists of k entries are full of a vector's own sub-group; the links across sub-groups count too."""
+    rng = np.random.Generator(np.random.PCG64(3))
+    unit = lambda v: v / np.linalg.norm(v)
+    vs = []
+    for _ in range(8):
+        centre = unit(rng.normal(size=64))
+        for _ in range(4):
+            sub = centre + 0.25 * unit(rng.normal(size=64))
+            vs += [sub + 0.1 * unit(rng.normal(size=64)) for _ in range(20)]
+    vs += list(rng.normal(size=(600, 64)))
+    rows = [(i, v.tolist()) for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = sorted(tuple(r) for r in embeddings.near_vectors(df, leaf=64).collect())
+    want = brute(rows, 0.9)
+    assert len({r[2] for r in want}) == 608
+    assert got == want

@@ -3,10 +3,12 @@
 Equal vectors form a class that is compared once.  Neighbour lists start from
 a forest of random hyperplane codes: classes with one code are compared in
 blocks of bounded size.  Rounds refine them: neighbours of a class, in either direction, are
-compared with each other, and the best stay.  Listed pairs at or above the
-threshold, confirmed in double precision, are links.  A list whose entries
-all pass is saturated: it is enlarged to the whole component that its links
-reach, which is compared within itself in pairs of blocks, so a component's links
+compared with each other, and the best stay, until no list changes.  Lists are
+bounded, links are not: whatever passes the threshold in a block joins its two labels,
+through a spanning forest of the block, confirmed in double precision.  A class whose list
+passes throughout also lists its nearest under other labels, so that the
+search goes on beyond its own group.  At the end each component
+is compared within itself in pairs of blocks, so its links
 are complete whatever its size.  ``audit`` measures recall against all pairs of sampled queries.
 """
 
@@ -25,6 +27,7 @@ from weir.llm.common import Stash
 from weir.llm.components import components
 
 MARGIN = 1e-4  # single precision may miss the threshold by less
+LIST, BEYOND, LINK = 0, 1, 2
 
 
 def _unit(x) -> np.ndarray | None:
@@ -68,52 +71,77 @@ def _codes(trees: int, depth: int, seed: int):
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[int], np.ndarray]]:
-    """Runs of rows with one key, in a stream sorted by it: key, classes, vectors."""
-    at, ids, vecs = None, [], []
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[int], list[int], list[bool], list[bytes]]]:
+    """Runs of rows with one key, in a stream sorted by it: key, classes, labels, whether they want more, vectors."""
+    at, cols = None, ([], [], [], [])
     for b in batches:
-        for k, c, u in zip(b.column(key).to_pylist(), b.column("cls").to_pylist(), b.column("unit").to_pylist(), strict=True):
-            if k != at and ids:
-                yield at, ids, vecs
-                ids, vecs = [], []
+        for k, *row in zip(*(b.column(x).to_pylist() for x in (key, "cls", "label", "wants", "unit")), strict=True):
+            if k != at and cols[0]:
+                yield at, *cols
+                cols = ([], [], [], [])
             at = k
-            ids.append(c)
-            vecs.append(u)
-    if ids:
-        yield at, ids, vecs
-
-
-def _best(keep: int):
-    """Per block: each class's ``keep`` nearest of the block."""
+            for c, x in zip(cols, row, strict=True):
+                c.append(x)
+    if cols[0]:
+        yield at, *cols
+
+
+def _joining(sim: np.ndarray, same: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a block that connect all that its passing pairs do: a spanning forest of the sure ones, and every doubtful one between its trees."""
+    sure = (sim >= least + MARGIN) & ~same
+    tree, u, v = np.arange(len(sim)), [], []
+    open_ = sure.any(axis=1)
+    while open_.any():
+        root = int(np.argmax(open_))
+        open_[root], stack = False, [root]
+        while stack:
+            i = stack.pop()
+            new = np.flatnonzero(sure[i] & open_)
+            open_[new], tree[new] = False, root
+            u.append(np.full(len(new), i))
+            v.append(new)
+            stack.extend(new.tolist())
+    a, b = np.nonzero(np.triu((sim >= least - MARGIN) & (sim < least + MARGIN) & ~same & (tree[:, None] != tree)))
+    return np.concatenate([*u, a]).astype(np.int64), np.concatenate([*v, b]).astype(np.int64)
+
+
+def _best(keep: int, least: float):
+    """Per block: each class's ``keep`` nearest of the block (LIST), of classes that want it also those under other labels (BEYOND), and the pairs that join labels (LINK)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        us, vs, ss, held = [], [], [], 0
-        for _, ids, vecs in _groups(batches, "block"):
+        out, held = [], 0
+        for _, ids, labels, wants, vecs in _groups(batches, "block"):
             if len(ids) < 2 or len({len(x) for x in vecs}) > 1:
                 continue
             m = np.frombuffer(b"".join(vecs), dtype=np.float32).reshape(len(ids), -1)
             sim = m @ m.T
             np.fill_diagonal(sim, -2)
             k = min(keep, len(ids) - 1)
-            top = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-            ids = np.array(ids, dtype=np.int64)
-            us.append(np.repeat(ids, k))
-            vs.append(ids[top].ravel())
-            ss.append(np.take_along_axis(sim, top, 1).ravel())
-            held += k * len(ids)
+            ids, labels = np.array(ids, dtype=np.int64), np.array(labels, dtype=np.int64)
+            same = labels[:, None] == labels
+            rows = np.arange(len(ids))
+            for kind, at, s in ((LIST, rows, sim), (BEYOND, rows[np.array(wants)], np.where(same, np.float32(-2), sim))):
+                if len(at):
+                    top = np.argpartition(-s[at], k - 1, axis=1)[:, :k]
+                    out.append((np.repeat(ids[at], k), ids[top].ravel(), np.take_along_axis(s[at], top, 1).ravel(), kind))
+                    held += k * len(at)
+            u, v = _joining(sim, same, least)
+            out.append((ids[u], ids[v], sim[u, v], LINK))
+            held += len(u)
             if held > 100_000:
-                yield _pairs(us, vs, ss)
-                us, vs, ss, held = [], [], [], 0
-        if us:
-            yield _pairs(us, vs, ss)
+                yield _pairs(out)
+                out, held = [], 0
+        if out:
+            yield _pairs(out)
 
     return run
 
 
-def _pairs(us, vs, ss) -> pa.RecordBatch:
-    u, v, s = np.concatenate(us), np.concatenate(vs), np.concatenate(ss).astype(np.float32)
-    keep = u != v
-    return pa.RecordBatch.from_arrays([pa.array(u[keep]), pa.array(v[keep]), pa.array(s[keep])], names=["u", "v", "sim"])
+def _pairs(out) -> pa.RecordBatch:
+    u, v, s = (np.concatenate([x[i] for x in out]) for i in range(3))
+    kind = np.concatenate([np.full(len(x[0]), x[3], dtype=np.int32) for x in out])
+    keep = (u != v) & (s > -2)
+    return pa.RecordBatch.from_arrays([pa.array(u[keep]), pa.array(v[keep]), pa.array(s[keep].astype(np.float32)), pa.array(kind[keep])], names=["u", "v", "sim", "kind"])
 
 
 def _dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +192,7 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
     return one.withColumn("rank", F.row_number().over(W.partitionBy("u").orderBy(F.desc("sim"), "v"))).filter(F.col("rank") <= k).drop("rank")
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int = 10, rounds: int = 2, leaf: int = 128, block: int = 256, seed: int = 5) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int = 10, leaf: int = 128, block: int = 256, seed: int = 5) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding).
 
     Links have a cosine of at least ``least``; vectors of other lengths, null,
@@ -184,20 +212,57 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int
     large = codes.groupBy("code").agg(F.count("*").alias("n")).filter(F.col("n") > block)
     part = F.pmod(F.xxhash64("cls", "code"), F.coalesce(F.ceil(F.col("n") / block), F.lit(1)))
     blocks = codes.join(large, "code", "left").select("cls", F.concat_ws("/", "code", part).alias("block"))
-    start = _compared(blocks, single, k)
-    graph = stash.put(_top(start, k))
-    for _ in range(rounds):
-        both = _top(graph.unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim")), 2 * k)
-        lists = both.select(F.col("u").alias("block"), F.col("v").alias("cls"))
-        new = stash.put(_top(_compared(lists, single, k).unionByName(graph), k))
-        stash.drop(graph)
-        graph = new
-
     unit = classes.select("cls", "unit")
-    near = graph.filter(F.col("sim") >= least - MARGIN).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    near = near.join(unit.withColumnsRenamed({"cls": "u", "unit": "uu"}), "u").join(unit.withColumnsRenamed({"cls": "v", "unit": "uv"}), "v").select("u", "v", "uu", "uv")
-    links = stash.put(near.mapInArrow(_dots, "u long, v long, sim double").filter(F.col("sim") >= least).select("u", "v"))
-    found = stash.put(components(links, stash))
+    label = stash.put(classes.select("cls", F.col("cls").alias("label")))
+
+    def merged(new: DataFrame) -> DataFrame:
+        """Labels after the pairs of ``new`` that double precision confirms; ``label`` itself where they join none."""
+        near = new.filter((F.col("kind") == LINK) & (F.col("sim") >= least - MARGIN)).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        near = near.join(unit.withColumnsRenamed({"cls": "u", "unit": "uu"}), "u").join(unit.withColumnsRenamed({"cls": "v", "unit": "uv"}), "v").select("u", "v", "uu", "uv")
+        links = near.mapInArrow(_dots, "u long, v long, sim double").filter(F.col("sim") >= least).select("u", "v")
+        ends = links.join(label.withColumnsRenamed({"cls": "u", "label": "lu"}), "u").join(label.withColumnsRenamed({"cls": "v", "label": "lv"}), "v")
+        ends = stash.put(ends.filter("lu <> lv").select(F.col("lu").alias("u"), F.col("lv").alias("v")).distinct())
+        if ends.isEmpty():
+            return label
+        joined = components(ends, stash).withColumnsRenamed({"node": "label", "component": "to"})
+        return stash.put(label.join(joined, "label", "left").select("cls", F.coalesce("to", "label").alias("label")))
+
+    def tagged(graph: DataFrame) -> DataFrame:
+        """Labels, and whether a class's whole list passes, so that it needs the nearest beyond its label too."""
+        full = graph.groupBy("u").agg((F.min("sim") >= least - MARGIN).alias("wants")).withColumnRenamed("u", "cls")
+        return stash.put(label.join(full, "cls", "left").select("cls", "label", F.coalesce("wants", F.lit(False)).alias("wants")))
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(label.withColumnsRenamed({"cls": "u", "label": "lu"}), "u").join(label.withColumnsRenamed({"cls": "v", "label": "lv"}), "v")
+        return both.filter("lu <> lv").select("u", "v", "sim")
+
+    blocks = stash.put(blocks)
+    plain = label.withColumn("wants", F.lit(False))
+    start = stash.put(_compared(blocks, single, plain, k, least))
+    graph = stash.put(_top(_kind(start, LIST), k))
+    label = merged(start)
+    stash.drop(start)
+    tags = tagged(graph)
+    asking = blocks.join(tags.filter("wants").select("cls"), "cls", "left_semi").select("block").distinct()
+    beyond = stash.put(_top(_kind(_compared(blocks.join(asking, "block", "left_semi"), single, tags, k, least), BEYOND), k))
+    seen = None
+    while True:
+        ways = [_top(x.unionByName(x.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim")), 2 * k) for x in (graph, beyond)]
+        lists = stash.put(ways[0].unionByName(ways[1]).select(F.col("u").alias("block"), F.col("v").alias("cls")).distinct())
+        marks = stash.put(lists.join(tags, "cls").groupBy("block").agg(F.bit_xor(F.xxhash64("cls", "label", "wants")).alias("mark")))
+        changed = marks if seen is None else stash.put(marks.join(seen, ["block", "mark"], "left_anti"))
+        if changed.isEmpty():
+            break
+        new = stash.put(_compared(lists.join(changed.select("block"), "block", "left_semi"), single, tags, k, least))
+        old = graph, beyond, tags, lists
+        graph = stash.put(_top(_kind(new, LIST).unionByName(graph), k))
+        label = merged(new)
+        beyond = stash.put(_top(apart(_kind(new, BEYOND).unionByName(beyond)), k))
+        tags = tagged(graph)
+        seen = marks
+        stash.drop(*old, new)
+    large = label.groupBy("label").agg(F.count("*").alias("n")).filter("n > 1").select("label")
+    found = stash.put(label.join(large, "label", "left_semi").select(F.col("cls").alias("node"), F.col("label").alias("component")))
 
     # each component against itself, part by part
     member = classes.join(found.withColumnRenamed("node", "cls"), "cls")
@@ -222,10 +287,14 @@ def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("cls"), pa.array([np.frombuffer(u).astype(np.float32).tobytes() for u in b.column("unit").to_pylist()], pa.binary())], names=["cls", "unit"])
 
 
-def _compared(blocks: DataFrame, single: DataFrame, k: int) -> DataFrame:
-    """(block, cls) -> the best pairs of each block."""
-    full = blocks.join(single, "cls").select("block", "cls", "unit")
-    return full.repartition("block").sortWithinPartitions("block").mapInArrow(_best(k), "u long, v long, sim float")
+def _kind(pairs: DataFrame, kind: int) -> DataFrame:
+    return pairs.filter(F.col("kind") == kind).select("u", "v", "sim")
+
+
+def _compared(blocks: DataFrame, single: DataFrame, tags: DataFrame, k: int, least: float) -> DataFrame:
+    """(block, cls) -> the best and the joining pairs of each block."""
+    full = blocks.join(tags, "cls").join(single, "cls").select("block", "cls", "label", "wants", "unit")
+    return full.repartition("block").sortWithinPartitions("block").mapInArrow(_best(k, least), "u long, v long, sim float, kind int")
 
 
 def audit(vectors: DataFrame, result: DataFrame, every: int = 100, least: float = 0.9) -> tuple[int, int]:
