@@ -13,7 +13,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality.robust_quality(docs.select(*COLUMNS)).filter("kept").select(*COLUMNS)
+    return quality.robust_quality(docs.select(*COLUMNS), widen=True).filter("kept").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,3 +94,15 @@ def test_carry_and_empty(spark):
     out = quality.robust_quality(df, carry=["doc_id"])
     assert out.columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept"]
     assert out.first().base_failed and quality.robust_quality(df.where(F.lit(False))).count() == 0
+
+
+def test_small_pools_fall_back(spark):
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdef") for _ in range(rnd.randint(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, text(rnd.randint(40, 80)), "en", "hot") for i in range(90)] + [(90 + i, text(50), "en", "rare") for i in range(5)]
+    rows += [(95, " ".join(word() + "%%%%%%" for _ in range(60)), "en", "rare"), (96, text(50), "xx", "s"), (97, " ".join(word() + "%%%%%%" for _ in range(60)), "xx", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.robust_quality(df, widen=True).collect()}
+    assert len(got) == len(rows) and all(r.distance is not None for r in got.values() if not r.base_failed)
+    assert not got[95].kept and not got[97].kept and got[90].kept and got[96].kept

@@ -129,12 +129,13 @@ def chi2_median(p: int) -> float:
     return p * (1 - 2 / (9 * p)) ** 3
 
 
-def robust_quality(docs: DataFrame, cutoff: float = 36.0, share: float = 0.75, steps: int = 3, least: int = 60, carry: list[str] | None = None) -> DataFrame:
+def robust_quality(docs: DataFrame, cutoff: float = 36.0, share: float = 0.75, steps: int = 3, least: int = 60, carry: list[str] | None = None, widen: bool = False) -> DataFrame:
     """Adds the base statistics, base_failed, distance and kept to ``docs``.
 
     A row of a group (language, source) with fewer than ``least`` rows that pass the
     base rules is judged in the pool of its language's small groups; in a pool that
-    is itself too small only the base rules count.  Null languages and sources are
+    is itself too small only the base rules count, or with ``widen`` an estimate of all rows
+    of the language, and where they are too few one of all rows.  Null languages and sources are
     values like others.  Null, empty and short texts fail the base rules.
     Equal rows get equal verdicts.  Columns of ``docs`` (those of ``carry`` if
     given) are kept as they are; one named like a column that is added is
@@ -153,11 +154,21 @@ def robust_quality(docs: DataFrame, cutoff: float = 36.0, share: float = 0.75, s
     key = F.when(F.col("__n") >= least, F.to_json(F.struct(F.col("__l"), F.col("__s"), F.lit(1).alias("own")))).otherwise(F.to_json(F.struct(F.col("__l"))))
     groups = size.withColumn("g", key)
     pool = groups.groupBy("g").agg(F.sum("__n").alias("__pool"))
-    groups = stash.put(groups.join(pool, "g").filter(F.col("__pool") >= least).select("__l", "__s", "g"))
+    lang = size.groupBy(F.col("__l").alias("__k")).agg(F.sum("__n").alias("__lang"))
+    sized = groups.join(pool, "g").join(lang, F.col("__l").eqNullSafe(F.col("__k")))
+    # a pool that is too small is judged by its whole language, and a language that is by all rows
+    whole = F.to_json(F.struct(F.col("__l"), F.lit(1).alias("whole")))
+    if not widen:
+        sized = sized.filter(F.col("__pool") >= least)
+    choice = F.when(F.col("__pool") >= least, F.col("g")).when(F.col("__lang") >= least, whole).otherwise(F.lit("all"))
+    groups = stash.put(sized.select("__l", "__s", choice.alias("g"), whole.alias("__w")))
+    wide = groups.select("g").distinct()
     same = F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s"))
-    rows = full.filter(~F.col("base_failed")).join(groups, same).select("g", *[F.col(f"__{k}").alias(k) for k in names])
+    fit = full.filter(~F.col("base_failed")).join(groups, same).withColumn("own", F.col("g"))
+    fit = fit.withColumn("g", F.explode(F.array_distinct(F.array("own", "__w", F.lit("all"))))).join(F.broadcast(wide), "g", "left_semi")
+    rows = fit.select("g", *[F.col(f"__{k}").alias(k) for k in names])
     par = fit_mcd(rows, names, stash, share, steps)
-    judged = full.join(groups, same, "left").join(par, "g", "left")
+    judged = full.join(groups.drop("__w"), same, "left").join(par, "g", "left")
     dist = _distance([f"__{k}" for k in names]) * F.least(F.col("scale"), F.lit(1.0))
     out = judged.withColumn("distance", F.when(~F.col("base_failed"), dist)).withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff))
     return out.select(*keep, *added)

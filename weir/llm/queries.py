@@ -30,7 +30,7 @@ def op5_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.robust_quality(documents(spark, sf_dir), carry=["doc_id"])
+    return quality.robust_quality(documents(spark, sf_dir), carry=["doc_id"], widen=True)
 
 
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
