@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +19,12 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share; one of our own only where none is set and all run on one machine."""
     told = spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="weir-")
@@ -30,9 +34,12 @@ def shared_dir(spark: SparkSession) -> str:
 class Stash:
     """Tables written to the shared folder, which cuts lineage and survives lost executors.
 
-    ``put`` writes and rereads a table; ``drop`` deletes those no longer needed.
+    ``put`` writes and rereads a table; ``drop`` deletes those no longer needed.  The shuffle
+    files of a write go when it has ended.
     """
 
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
@@ -42,11 +49,22 @@ class Stash:
     def put(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{self.n}"
         self.n += 1
-        df.write.parquet(path)
+        with self.cleanup():
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         return out
 
+    @contextlib.contextmanager
+    def cleanup(self) -> Iterator[None]:
+        """Actions in it leave no shuffle files behind."""
+        before = self.spark.conf.get(self.CLEANUP, "false")
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(self.CLEANUP, before)
+
     def drop(self, *dfs: DataFrame) -> None:
         for df in dfs:
             path = self.paths.pop(id(df), None)

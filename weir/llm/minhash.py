@@ -1,15 +1,20 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
 Texts with equal shingle sets form a class; classes are compared, not copies.
-A class keeps the K least hashes of its set.  An inverted list holds the classes that
-retain a value; each class enters the lists of its rarest values only, as
-many as make sure that two sketches with half their values in common meet.
-Rarity comes from a table of counters of fixed size, so values that a large
-share of all texts has fill no lists.  Per list the class with the most
-common values is compared with the others; components then close over
-what it links, and only classes of one list in different components are
-still compared with each other.  The union's bottom-k sketch estimates the similarity of a pair
-first; the full sets decide.
+One hash function orders all shingles: below the octave of how often a
+shingle's counter is used, so that frequent ones come last, its hash decides.
+A class of n shingles keeps the k least, k = n - ceil(0.8 n) + 1 for a threshold of 0.8:
+two sets with no retained value in common cannot be as similar, so no link is
+missed.  An inverted list holds the classes that retain a value.  Of
+two classes the smaller is met by its first values only (those that a
+partner of its size or more must share one of).
+
+Per list its members are compared with one leader, the class in which the value
+comes first; each class first with the leader that most of its lists
+name.  Components close over the links, and only lists that still hold several
+components go on: with other leaders, then pair by pair.  What two sketches say
+of the union up to their common horizon bounds the similarity of a pair from
+above and drops most pairs; the full sets decide.
 """
 
 from __future__ import annotations
@@ -19,94 +24,79 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import Stash
 from weir.llm.components import components
-from weir.llm.lm import tokens
+from weir.llm.shingles import mix, shingle_sets
 
-K = 64
 COUNTERS_LOG2 = 20
-#: Of K common-or-not values at a similarity of 0.8, 51.2 are common, with a deviation of 3.2; all but K / 2 - 1 of them are listed.
-LEAST_SHARED = int(0.8 * K - 4 * (K * 0.8 * 0.2) ** 0.5) - (K // 2 - 1)
-CACHE_WORDS = 400_000
-_A = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
-_words: dict[bytes, int] = {}
-
-
-def shingles(text: bytes, size: int = 2) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the ``size``-word shingles; the whole sequence is one if it is shorter."""
-    if len(_words) > CACHE_WORDS:
-        _words.clear()
-    ws = tokens(text)
-    if not ws:
-        return np.empty(0, np.uint64)
-    known, h = _words, []
-    for w in ws:
-        x = known.get(w)
-        if x is None:
-            x = known[w] = xxhash.xxh64_intdigest(w)
-        h.append(x)
-    v = np.array(h, dtype=np.uint64)
-    k = min(size, len(v))
-    out = np.full(len(v) - k + 1, _mix(np.array([k], np.uint64))[0])
-    for j in range(k):
-        out = _mix(out * _A + v[j : j + len(out)])
-    return np.unique(out)
-
-
-def _sketch_rows(size: int):
+TEXTS = 512  # texts that are hashed at once
+#: Classes whose texts are fetched by a broadcast of their keys (16 bytes each); more are joined by shuffle.
+SENT_KEYS = 200_000
+
+
+def _texts(column: pa.Array) -> list[bytes]:
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+
+
+def _slots(sets: np.ndarray) -> np.ndarray:
+    return (mix(sets) >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)
+
+
+def _counted(size: int):
+    """Uses of each counter by the sets of a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNTERS_LOG2, dtype=np.int64)
         for b in batches:
-            n, cls, sk = [], [], []
-            for t in b.column("text").cast(pa.binary()).to_pylist():
-                s = shingles(t or b"", size)
-                n.append(len(s))
-                cls.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "big", signed=True) if len(s) else None)
-                sk.append(s[:K].tobytes())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sk, pa.binary())], names=[*b.schema.names, "n_shingles", "cls", "sketch"])
+            texts = _texts(b.column("text"))
+            for i in range(0, len(texts), TEXTS):
+                sets = shingle_sets(texts[i : i + TEXTS], size)
+                total += np.bincount(_slots(np.concatenate(sets)), minlength=len(total))
+        at = np.flatnonzero(total)
+        for i in range(0, len(at), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000].astype(np.int32)), pa.array(total[at[i : i + 100_000]])], names=["slot", "uses"])
 
     return run
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Uses of each counter by the sketches of a task."""
-    total = np.zeros(1 << COUNTERS_LOG2, dtype=np.int64)
-    for b in batches:
-        v = np.frombuffer(b"".join(b.column("sketch").to_pylist()), dtype=np.uint64)
-        total += np.bincount((_mix(v) >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64), minlength=len(total))
-    at = np.flatnonzero(total)
-    for i in range(0, len(at), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000].astype(np.int32)), pa.array(total[at[i : i + 100_000]])], names=["slot", "uses"])
+def prefix(n: int, percent: int) -> int:
+    """How many retained values two sets, one of n, must share one of: what any partner leaves out of the n, and one more."""
+    return n - -(-n * percent // 100) + 1
+
 
+def index_prefix(n: int, percent: int) -> int:
+    """The same where the partner has n shingles or more, so that the overlap is 2p / (1 + p) n at least."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
 
-def _prefixes(uses):
+
+def ranked(sets: np.ndarray, octaves: np.ndarray) -> np.ndarray:
+    """The place of each shingle in the order of all: the octave of its counter, then its hash; never negative as a long."""
+    return (octaves[_slots(sets)].astype(np.uint64) << np.uint64(56)) | (sets >> np.uint64(8))
+
+
+def sketch(sets: np.ndarray, octaves: np.ndarray, percent: int) -> np.ndarray:
+    x = ranked(sets, octaves)
+    k = prefix(len(x), percent)
+    return np.sort(np.partition(x, k - 1)[:k])
+
+
+def _sketch_rows(size: int, percent: int, octaves):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each class in the lists of its rarest retained values, with how common its values are."""
-        table = uses.value
         for b in batches:
-            vs, ids, ns, pops = [], [], [], []
-            for cls, n, sk in zip(*(b.column(c).to_pylist() for c in ("cls", "n_shingles", "sketch")), strict=True):
-                v = np.frombuffer(sk, dtype=np.uint64)
-                u = table[(_mix(v) >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)]
-                m = len(v)
-                keep = m - (m + 1) // 2 + 1
-                vs.append(v[np.lexsort((v, u))[:keep]].astype(np.int64))
-                ids.append(np.full(keep, cls, dtype=np.int64))
-                ns.append(np.full(keep, n, dtype=np.int64))
-                pops.append(np.full(keep, int(np.sort(u)[: keep].sum()), dtype=np.int64))
-            if vs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (vs, ids, ns, pops)], names=["value", "cls", "n", "pop"])
+            texts = _texts(b.column("text"))
+            for i in range(0, len(texts), TEXTS):
+                sets = shingle_sets(texts[i : i + TEXTS], size)
+                cls = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                kept = [sketch(s, octaves.value, percent).astype(np.int64) if len(s) else None for s in sets]
+                offsets = np.concatenate([[0], np.cumsum([0 if k is None else len(k) for k in kept])]).astype(np.int32)
+                flat = np.concatenate([np.empty(0, np.int64), *[k for k in kept if k is not None]])
+                part = b.slice(i, len(sets))
+                cols = [part.column(c) for c in part.schema.names if c != "text"]
+                names = [c for c in part.schema.names if c != "text"]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.binary()), pa.ListArray.from_arrays(offsets, flat)], names=[*names, "n_shingles", "cls", "sketch"])
 
     return run
 
@@ -116,39 +106,55 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * inter >= percent * (len(a) + len(b) - inter)
 
 
+def may_link(x: np.ndarray, n: int, y: np.ndarray, m: int, percent: int) -> bool:
+    """Whether sets of n and m shingles with these sketches can be similar: of the union both sketches know all up to their common horizon, and no more of the rest can be common than the smaller rest."""
+    end = min(x[-1], y[-1])
+    a, b = np.searchsorted(x, end, side="right"), np.searchsorted(y, end, side="right")
+    both = len(np.intersect1d(x[:a], y[:b], assume_unique=True))
+    most = both + min(n - a, m - b)
+    return bool(100 * most >= percent * (n + m - most))
+
+
+def _bounded(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, m = (b.column(c).to_numpy() for c in ("nu", "nv"))
+            (xs, xo), (ys, yo) = ((b.column(c).values.to_numpy(), b.column(c).offsets.to_numpy()) for c in ("su", "sv"))
+            ok = [i for i in range(b.num_rows) if may_link(xs[xo[i] : xo[i + 1]], n[i], ys[yo[i] : yo[i + 1]], m[i], percent)]
+            at = pa.array(ok, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("u").take(at), b.column("v").take(at)], names=["u", "v"])
+
+    return run
+
+
 def _verified(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, kept = None, None
         for b in batches:
-            us, vs = [], []
-            for u, v, tu, tv in zip(*(b.column(c).to_pylist() for c in ("u", "v", "tu", "tv")), strict=True):
-                if u != last:
-                    last, kept = u, shingles((tu or "").encode(), size)
-                if similar(kept, shingles((tv or "").encode(), size), percent):
-                    us.append(u)
-                    vs.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+            for i in range(0, b.num_rows, TEXTS):
+                part = b.slice(i, TEXTS)
+                us = part.column("u").to_pylist()
+                fresh = [k for k, u in enumerate(us) if not k or u != us[k - 1]]
+                tu = _texts(part.column("tu").take(pa.array(fresh)))
+                sets = shingle_sets([*tu, *_texts(part.column("tv"))], size)
+                left = np.searchsorted(np.array(fresh), np.arange(len(us)), side="right") - 1
+                ok = [k for k in range(len(us)) if similar(sets[left[k]], sets[len(tu) + k], percent)]
+                at = pa.array(ok, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("u").take(at), part.column("v").take(at)], names=["u", "v"])
 
     return run
 
 
-def _estimated(percent: int):
-    """Keeps pairs whose union sketch leaves the threshold possible: 5 standard deviations below it."""
+def _same_text(size: int):
+    """Keeps texts whose set is that of the class which their key stands for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = percent / 100
         for b in batches:
-            ok = []
-            for x, y in zip(b.column("su").to_pylist(), b.column("sv").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) < K and len(y) < K:
-                    ok.append(similar(x, y, percent))
-                    continue
-                top = np.union1d(x, y)[:K]
-                both = np.intersect1d(x, y, assume_unique=True)
-                ok.append(len(np.intersect1d(top, both, assume_unique=True)) >= p * len(top) - 5 * (p * (1 - p) * len(top)) ** 0.5)
-            at = pa.array(np.flatnonzero(ok))
-            yield pa.RecordBatch.from_arrays([b.column("u").take(at), b.column("v").take(at)], names=["u", "v"])
+            for i in range(0, b.num_rows, TEXTS):
+                part = b.slice(i, TEXTS)
+                sets = shingle_sets(_texts(part.column("text")), size)
+                ok = [k for k, (s, c) in enumerate(zip(sets, part.column("cls").to_pylist(), strict=True)) if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == c]
+                at = pa.array(ok, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("id").take(at), part.column("text").take(at)], names=["id", "text"])
 
     return run
 
@@ -160,68 +166,97 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     is the least doc_id that links reach, its own included.  Null, empty and
     wordless texts have no shingles and are linked with nothing.  Rows with
     one doc_id are rows of their own; a null doc_id is no candidate for
-    component_id unless its component has no other.  Other columns of ``docs`` do not matter.
+    component_id unless its component has no other.  Texts of any length are
+    hashed whole, in pieces.  Which classes lead a list changes the work, not the
+    result; ties go to the smaller class number.  Other columns of ``docs`` do not matter.
     """
     spark = docs.sparkSession
     stash = Stash(spark, "minhash")
-    own = docs.select(F.struct(*carry).alias("carried"), "doc_id", "text")
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema)
-    full = stash.put(own.mapInArrow(_sketch_rows(size), f"{ddl}, n_shingles long, cls long, sketch binary"))
-    sets = full.filter(F.col("cls").isNotNull())
-    classes = stash.put(sets.groupBy("cls").agg(F.min("doc_id").alias("min_doc"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
-    slots = classes.select("sketch").mapInArrow(_counted, "slot int, uses long").groupBy("slot").agg(F.sum("uses").alias("uses")).toArrow()  # at most 2**COUNTERS_LOG2 rows
+    own = docs.select(F.struct(*carry).alias("carried"), "doc_id", "text", F.xxhash64("text").alias("tkey"))
+    with stash.cleanup():
+        slots = own.select("text").mapInArrow(_counted(size), "slot int, uses long").groupBy("slot").agg(F.sum("uses").alias("uses")).toArrow()  # at most 2**COUNTERS_LOG2 rows
     table = np.zeros(1 << COUNTERS_LOG2, dtype=np.int64)
     table[slots.column("slot").to_numpy()] = slots.column("uses").to_numpy()
-    uses = spark.sparkContext.broadcast(table)
-
-    # lists of one class link nothing and go at once
-    every = stash.put(classes.select("cls", "n_shingles", "sketch").mapInArrow(_prefixes(uses), "value long, cls long, n long, pop long"))
-    lead = every.groupBy("value").agg(F.count("*").alias("k"), F.max(F.struct("pop", "cls", "n")).alias("lead")).filter("k > 1")
-    lists = stash.put(every.join(lead.select("value", F.col("lead.cls").alias("lead"), F.col("lead.n").alias("m")), "value").drop("pop"))
-    stash.drop(every)
-    member = stash.put(lists.groupBy("cls").agg(F.sort_array(F.collect_list("value")).alias("values")))  # at most K values
-    texts = stash.put(sets.select("cls", "text").join(member.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")))
-    sketch = classes.select("cls", "sketch").join(member.select("cls"), "cls", "left_semi")
-    rows = full.drop("text", "sketch")
-    meet = lambda pairs, what, a, b: pairs.join(what.toDF("u", a), "u").join(what.toDF("v", b), "v").select("u", "v", a, b)
+    octaves = spark.sparkContext.broadcast(np.log2(np.maximum(table, 1)).astype(np.uint8))
 
-    def confirm(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Links among the pairs, by estimate and then on full sets; and the pairs that took the full sets."""
-        guess = stash.put(meet(pairs, sketch, "su", "sv").mapInArrow(_estimated(percent), "u long, v long"))
-        return stash.put(meet(guess, texts, "tu", "tv").mapInArrow(_verified(size, percent), "u long, v long")), guess
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.drop("text").schema)
+    full = stash.put(own.mapInArrow(_sketch_rows(size, percent, octaves), f"{ddl}, n_shingles long, cls binary, sketch array<long>"))
+    sets = full.filter(F.col("cls").isNotNull())
+    found = sets.groupBy("cls").agg(F.min("doc_id").alias("min_doc"), F.min("tkey").alias("tkey"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    classes = stash.put(found.withColumn("id", F.monotonically_increasing_id()))
+    rows = stash.put(full.drop("sketch", "tkey"))
+    stash.drop(full)
+
+    # a class that retains a value: its place there, and whether partners of its size or more can meet it there
+    n, m, pos = F.col("n"), F.col("m"), F.col("pos")
+    fewest = F.ceil(F.lit(2 * percent) * n / F.lit(100 + percent))
+    entries = classes.select("id", "n", F.posexplode("sketch").alias("pos", "value")).withColumn("own", pos <= n - fewest)
+    # the leader's place above its number, which leaves 50 bits to the number
+    code = F.when(F.col("own"), F.least(pos, F.lit(8191)).cast("long") * F.lit(1 << 50) + F.col("id"))
+    lead = entries.groupBy("value").agg(F.count("*").alias("k"), F.min(code).alias("code")).filter("k > 1 and code is not null")
+    lists = stash.put(entries.join(lead.select("value", F.col("code").bitwiseAND(F.lit((1 << 50) - 1)).alias("lead")), "value"))
+    sketches = classes.select("id", "n", "sketch")
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        """(id, text) of the classes of the pairs, one text each."""
+        need = stash.put(pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct().join(classes.select("id", "tkey", "cls"), "id"))
+        few = need.count() <= SENT_KEYS
+        got = own.select("tkey", "text").join(F.broadcast(need) if few else need, "tkey").select("id", "cls", "text")
+        # copies of a text meet here: one from each task goes on, and one of those is kept
+        one = got.groupBy("id", "cls").agg(F.first("text").alias("text"))
+        return stash.put(one.mapInArrow(_same_text(size), "id long, text string"))
 
-    fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+    def confirm(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links among the pairs (u, v), by what the sketches allow and then by full sets; and the pairs that took the full sets."""
+        pairs = pairs.join(sketches.toDF("u", "nu", "su"), "u").join(sketches.toDF("v", "nv", "sv"), "v").select("u", "v", "nu", "nv", "su", "sv")
+        guess = stash.put(pairs.mapInArrow(_bounded(percent), "u long, v long"))
+        texts = texts_of(guess)
+        both = guess.join(texts.toDF("v", "tv"), "v").join(texts.toDF("u", "tu"), "u").select("u", "v", "tu", "tv")
+        links = stash.put(both.mapInArrow(_verified(size, percent), "u long, v long"))
+        stash.drop(texts)
+        return links, guess
+
+    fits = 100 * F.least(n, m) >= percent * F.greatest(n, m)
     pair = lambda a, b: (F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    first = lists.filter((F.col("cls") != F.col("lead")) & fits)
-    links, tried = confirm(first.select(*pair("cls", "lead")).distinct())
-    lists = lists.drop("lead", "m")
+
+    def reach(p: Column, q: Column) -> Column:
+        """Whether sets that meet first at these places of theirs can be similar."""
+        most = 1 + F.least(n - p - 1, m - q - 1)
+        return 100 * most >= percent * (n + m - most)
+
+    # each class with the leader that most of its lists name: the lists' overlap is counted before anything is compared
+    votes = lists.filter("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("votes"))
+    best = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("lead")).alias("lead"))).alias("best")).select("id", (-F.col("best.lead")).alias("lead"))
+    links, tried = confirm(best.select(*pair("id", "lead")).distinct())
+    lists = lists.drop("lead")
 
     def open_lists(found: DataFrame) -> DataFrame:
         """Lists whose classes are in more than one component."""
-        named = lists.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        named = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         some = named.groupBy("value").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("value")
-        return stash.put(named.join(some, "value", "left_semi"))
+        return stash.put(named.join(some, "value"))
 
-    for r in range(random_rounds):  # another leader for each list, at random
+    for r in range(random_rounds):  # other leaders for the lists that are still open: at their first place, then at random
         named = open_lists(components(links, stash))
-        lead = named.groupBy("value").agg(F.min(F.struct(F.xxhash64("value", "cls", F.lit(r)).alias("h"), "cls", "n", "component")).alias("lead"))
-        lead = lead.select("value", F.col("lead.cls").alias("lead"), F.col("lead.n").alias("m"), F.col("lead.component").alias("c2"))
-        first = named.join(lead, "value").filter((F.col("component") != F.col("c2")) & fits)
-        more, also = confirm(first.select(*pair("cls", "lead")).distinct().join(tried, ["u", "v"], "left_anti"))
-        links, tried = links.unionByName(more), tried.unionByName(also)
-
-    # what is left: each pair of a list in different components, at the first value that the two share
-    named = open_lists(components(links, stash)).join(member, "cls")
-    other = named.select("value", F.col("cls").alias("cls2"), F.col("n").alias("m"), F.col("component").alias("component2"), F.col("values").alias("values2"))
-    both = F.array_intersect("values", "values2")
-    # sketches of sets at the threshold have at least this many listed values in common, 4 standard deviations below the mean
-    need = F.when(F.least("n", "m") >= K, LEAST_SHARED).otherwise(1)
-    meets = (F.col("cls") < F.col("cls2")) & (F.col("component") != F.col("component2")) & fits & (F.size(both) >= need) & (F.array_min(both) == F.col("value"))
-    rest = named.join(other, "value").filter(meets).select(F.col("cls2").alias("u"), F.col("cls").alias("v"))
-    more, _ = confirm(rest.join(tried, ["u", "v"], "left_anti"))
-    found = stash.put(components(links.unionByName(more), stash))
-
-    label = classes.select("cls", "min_doc").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        if named.isEmpty():
+            break
+        rank = F.struct("pos" if not r else F.xxhash64("value", "id").alias("h"), "id")
+        lead = named.filter("own").groupBy("value").agg(F.min(rank).alias("lead")).select("value", F.col("lead.id").alias("id"))
+        lead = named.join(lead, ["value", "id"]).select("value", F.col("id").alias("lead"), n.alias("m"), pos.alias("q"), F.col("component").alias("c2"))
+        new = named.join(lead, "value").filter((F.col("component") != F.col("c2")) & fits & reach(pos, F.col("q")))
+        more, also = confirm(new.select(*pair("id", "lead")).distinct().join(tried, ["u", "v"], "left_anti"))
+        links, tried, lists = links.unionByName(more), tried.unionByName(also), named.drop("component")
+
+    # what is left: the pairs of a list in different components, the smaller set by its first values
+    known = components(links, stash)
+    named = open_lists(known)
+    other = named.filter("own").select("value", F.col("id").alias("id2"), n.alias("m"), pos.alias("q"), F.col("component").alias("c2"))
+    smaller = (m < n) | ((m == n) & (F.col("id2") < F.col("id")))
+    rest = named.join(other, (named.value == other.value) & smaller & (F.col("component") != F.col("c2")) & fits & reach(pos, F.col("q")))
+    more, _ = confirm(rest.select(*pair("id", "id2")).distinct().join(tried, ["u", "v"], "left_anti"))
+    found = known if more.isEmpty() else components(links.unionByName(more), stash)
+
+    label = classes.select("cls", "id", "min_doc").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = label.groupBy("component").agg(F.min("min_doc").alias("least"))
     label = label.join(least, "component").select("cls", "least")
     out = rows.join(label, "cls", "left")
