@@ -3,16 +3,18 @@
 Texts with equal shingle sets form a class; classes are compared, not copies.
 One hash function orders all shingles: below the octave of how often a
 shingle's counter is used, so that frequent ones come last, its hash decides.
+(Any order gives the same links; each task tells its most used counters only.)
 A class of n shingles keeps the k least, k = n - ceil(0.8 n) + 1 for a threshold of 0.8:
 two sets with no retained value in common cannot be as similar, so no link is
 missed.  An inverted list holds the classes that retain a value.  Of
 two classes the smaller is met by its first values only (those that a
 partner of its size or more must share one of).
 
-Per list its members are compared with one leader, the class in which the value
-comes first; each class first with the leader that most of its lists
-name.  Components close over the links, and only lists that still hold several
-components go on: with other leaders, then pair by pair.  What two sketches say
+Lists count the values that two classes have in common; similar sets have so many
+that most pairs of short lists go at once.  In a long list its members meet one leader, the class in which the value
+comes first.  Each class is compared with the partner that most of its lists
+name.  Components close over the links, and only what still joins several
+components goes on: long lists with other leaders, then pair by pair.  What two sketches say
 of the union up to their common horizon bounds the similarity of a pair from
 above and drops most pairs; the full sets decide.
 """
@@ -31,7 +33,9 @@ from weir.llm.common import Stash
 from weir.llm.components import components
 from weir.llm.shingles import mix, shingle_sets
 
-COUNTERS_LOG2 = 20
+COUNTERS_LOG2 = 22
+SENT_SLOTS = 1 << 16  # of each task
+SHORT = 16  # classes of a list that are paired at once; longer lists go by leaders first
 TEXTS = 512  # texts that are hashed at once
 #: Classes whose texts are fetched by a broadcast of their keys (16 bytes each); more are joined by shuffle.
 SENT_KEYS = 200_000
@@ -46,18 +50,27 @@ def _slots(sets: np.ndarray) -> np.ndarray:
 
 
 def _counted(size: int):
-    """Uses of each counter by the sets of a task."""
+    """The counters that the sets of a task use most, SENT_SLOTS at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNTERS_LOG2, dtype=np.int64)
+        total = np.zeros(1 << COUNTERS_LOG2, dtype=np.int32)
+        held: list[np.ndarray] = []
+
+        def add() -> None:
+            slots, uses = np.unique(_slots(np.concatenate([np.empty(0, np.uint64), *held])), return_counts=True)
+            total[slots] += uses.astype(np.int32)
+            held.clear()
+
         for b in batches:
             texts = _texts(b.column("text"))
             for i in range(0, len(texts), TEXTS):
-                sets = shingle_sets(texts[i : i + TEXTS], size)
-                total += np.bincount(_slots(np.concatenate(sets)), minlength=len(total))
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000].astype(np.int32)), pa.array(total[at[i : i + 100_000]])], names=["slot", "uses"])
+                held += shingle_sets(texts[i : i + TEXTS], size)
+                if sum(map(len, held)) > 1_000_000:
+                    add()
+        add()
+        least = max(2, int(np.partition(total, -SENT_SLOTS)[-SENT_SLOTS]) + 1)
+        at = np.flatnonzero(total >= least)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at].astype(np.int64))], names=["slot", "uses"])
 
     return run
 
@@ -159,7 +172,7 @@ def _same_text(size: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tuple[str, ...] = ("doc_id",), random_rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tuple[str, ...] = ("doc_id",), rounds: int = 3) -> DataFrame:
     """``carry`` columns with n_shingles, component_id and kept of every row of ``docs``.
 
     Rows whose sets have 100 * intersection >= ``percent`` * union are linked; component_id
@@ -189,12 +202,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
 
     # a class that retains a value: its place there, and whether partners of its size or more can meet it there
     n, m, pos = F.col("n"), F.col("m"), F.col("pos")
-    fewest = F.ceil(F.lit(2 * percent) * n / F.lit(100 + percent))
-    entries = classes.select("id", "n", F.posexplode("sketch").alias("pos", "value")).withColumn("own", pos <= n - fewest)
+    part = lambda x, top, base: F.ceil(F.lit(top) * x / F.lit(base))
+    entries = classes.select("id", "n", F.posexplode("sketch").alias("pos", "value")).withColumn("own", pos <= n - part(n, 2 * percent, 100 + percent))
     # the leader's place above its number, which leaves 50 bits to the number
     code = F.when(F.col("own"), F.least(pos, F.lit(8191)).cast("long") * F.lit(1 << 50) + F.col("id"))
-    lead = entries.groupBy("value").agg(F.count("*").alias("k"), F.min(code).alias("code")).filter("k > 1 and code is not null")
-    lists = stash.put(entries.join(lead.select("value", F.col("code").bitwiseAND(F.lit((1 << 50) - 1)).alias("lead")), "value"))
+    lead = entries.groupBy("value").agg(F.count("*").alias("k"), F.min(code).alias("code")).filter("k > 1")
+    lists = stash.put(entries.join(lead.select("value", "k", F.col("code").bitwiseAND(F.lit((1 << 50) - 1)).alias("lead")), "value"))
+    short, lists = lists.filter(F.col("k") <= SHORT).select("value", "id", "n"), lists.filter(F.col("k") > SHORT)
+    heavy = stash.put(lists.groupBy("id").agg(F.count("*").alias("h")))
+    lists = lists.filter("lead is not null").drop("k")
     sketches = classes.select("id", "n", "sketch")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
@@ -224,28 +240,48 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
         most = 1 + F.least(n - p - 1, m - q - 1)
         return 100 * most >= percent * (n + m - most)
 
-    # each class with the leader that most of its lists name: the lists' overlap is counted before anything is compared
-    votes = lists.filter("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("lead")).alias("lead"))).alias("best")).select("id", (-F.col("best.lead")).alias("lead"))
+    # Short lists pair by pair: sets that are similar have so many retained values in common, of which long lists can hold h.
+    twin = short.select("value", F.col("id").alias("id2"), n.alias("m"))
+    met = short.join(twin, (short.value == twin.value) & (F.col("id") > F.col("id2")) & fits)
+    met = met.groupBy(F.col("id").alias("u"), F.col("id2").alias("v"), n, m).agg(F.count("*").alias("votes"))
+    for c in ("u", "v"):
+        met = met.join(heavy.toDF(c, f"h{c}"), c, "left")
+    shared = part(n + m, percent, 100 + percent) + 1 - part(F.greatest(n, m), percent, 100)
+    met = stash.put(met.filter(F.col("votes") + F.least(F.coalesce("hu", F.lit(0)), F.coalesce("hv", F.lit(0))) >= shared).select("u", "v", "votes"))
+
+    # each class with the partner that most of its lists name: overlaps are counted before anything is compared
+    told = lists.filter("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("votes"))
+    sides = [met.select(F.col(x).alias("id"), F.col(y).alias("lead"), "votes") for x, y in ("uv", "vu")]
+    best = told.unionByName(sides[0]).unionByName(sides[1]).groupBy("id").agg(F.max(F.struct("votes", (-F.col("lead")).alias("lead"))).alias("best")).select("id", (-F.col("best.lead")).alias("lead"))
     links, tried = confirm(best.select(*pair("id", "lead")).distinct())
-    lists = lists.drop("lead")
+    lists = stash.put(lists.drop("lead"))
 
-    def open_lists(found: DataFrame) -> DataFrame:
-        """Lists whose classes are in more than one component."""
-        named = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    def open_lists(known: DataFrame) -> DataFrame:
+        """Long lists whose classes are in more than one component."""
+        named = lists.drop("component").join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         some = named.groupBy("value").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("value")
         return stash.put(named.join(some, "value"))
 
-    for r in range(random_rounds):  # other leaders for the lists that are still open: at their first place, then at random
-        named = open_lists(components(links, stash))
-        if named.isEmpty():
+    def open_pairs(known: DataFrame) -> DataFrame:
+        """(u, v, votes) of short lists that are in different components a and b."""
+        out = met.join(tried, ["u", "v"], "left_anti")
+        for c, to in (("u", "cu"), ("v", "cv")):
+            out = out.join(known.toDF(c, to), c, "left").withColumn(to, F.coalesce(to, c))
+        return out.filter("cu <> cv").select("u", "v", F.least("cu", "cv").alias("a"), F.greatest("cu", "cv").alias("b"), "votes")
+
+    for r in range(rounds):  # two components by the pair with the most values in common; long lists by a leader, the first or a random one
+        known = components(links, stash)
+        lists = open_lists(known)
+        rank = F.struct("pos" if not r else F.xxhash64("value", "id", F.lit(r)).alias("h"), "id")
+        lead = lists.filter("own").groupBy("value").agg(F.min(rank).alias("lead")).select("value", F.col("lead.id").alias("id"))
+        lead = lists.join(lead, ["value", "id"]).select("value", F.col("id").alias("lead"), n.alias("m"), pos.alias("q"), F.col("component").alias("c2"))
+        new = lists.join(lead, "value").filter((F.col("component") != F.col("c2")) & fits & reach(pos, F.col("q")))
+        new = new.groupBy(*pair("id", "lead"), F.least("component", "c2").alias("a"), F.greatest("component", "c2").alias("b")).agg(F.count("*").alias("votes"))
+        new = new.join(tried, ["u", "v"], "left_anti").unionByName(open_pairs(known)).groupBy("a", "b").agg(F.max(F.struct("votes", "u", "v")).alias("best")).select("best.u", "best.v")
+        more, also = confirm(new)
+        links, tried = links.unionByName(more), tried.unionByName(also)
+        if more.isEmpty():
             break
-        rank = F.struct("pos" if not r else F.xxhash64("value", "id").alias("h"), "id")
-        lead = named.filter("own").groupBy("value").agg(F.min(rank).alias("lead")).select("value", F.col("lead.id").alias("id"))
-        lead = named.join(lead, ["value", "id"]).select("value", F.col("id").alias("lead"), n.alias("m"), pos.alias("q"), F.col("component").alias("c2"))
-        new = named.join(lead, "value").filter((F.col("component") != F.col("c2")) & fits & reach(pos, F.col("q")))
-        more, also = confirm(new.select(*pair("id", "lead")).distinct().join(tried, ["u", "v"], "left_anti"))
-        links, tried, lists = links.unionByName(more), tried.unionByName(also), named.drop("component")
 
     # what is left: the pairs of a list in different components, the smaller set by its first values
     known = components(links, stash)
@@ -253,7 +289,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     other = named.filter("own").select("value", F.col("id").alias("id2"), n.alias("m"), pos.alias("q"), F.col("component").alias("c2"))
     smaller = (m < n) | ((m == n) & (F.col("id2") < F.col("id")))
     rest = named.join(other, (named.value == other.value) & smaller & (F.col("component") != F.col("c2")) & fits & reach(pos, F.col("q")))
-    more, _ = confirm(rest.select(*pair("id", "id2")).distinct().join(tried, ["u", "v"], "left_anti"))
+    rest = rest.select(*pair("id", "id2")).distinct().join(tried, ["u", "v"], "left_anti").unionByName(open_pairs(known).select("u", "v"))
+    more, _ = confirm(rest.distinct())
     found = known if more.isEmpty() else components(links.unionByName(more), stash)
 
     label = classes.select("cls", "id", "min_doc").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
