@@ -190,3 +190,54 @@ def test_cli(spark, rows, tmp_path):
     said, lines = [], iter(["hi", "restart", "yo", "exit"])
     cli.repl(G.EchoGenerator(), None, lambda _: next(lines), said.append)
     assert said == ["hi", "yo"]
+
+
+def test_ranked_keeps_every_row(spark):
+    """Wide rows over many partitions that adaptive execution coalesces."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        df = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("h"), F.repeat(F.lit("x"), 200).alias("wide"), F.pmod("id", F.lit(7)).alias("g")).repartition(9)
+        got = [tuple(r) for r in relational.ranked(df, ["g", "h"]).select("idx", "g", "h").orderBy("idx").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [r[0] for r in got] == list(range(20_000))
+    assert [r[1:] for r in got] == sorted(r[1:] for r in got)
+
+
+def test_prefixes_do_not_need_gapless_idx(spark):
+    df = spark.range(100).withColumnRenamed("id", "idx").where("idx % 3 = 0")
+    assert sorted(r.idx for r in relational.first_n(df, 4).collect()) == [0, 3, 6, 9]
+    assert sorted(r.idx for r in relational.prefix_fraction(df, 0.2).collect()) == [0, 3, 6, 9, 12, 15]
+    assert relational.prefix_fraction(df.limit(0), 0.5).count() == 0
+
+
+def test_small_reports(spark):
+    df = spark.range(9).withColumnRenamed("id", "idx")
+    assert [r.idx for r in relational.preview(df)] == [0, 1, 2]
+    assert relational.removed_rows(df, df.where("idx > 4")) == {"before": 9, "after": 4, "removed": 5}
+    got = spark.sql("select map('b', 1, 'a', 2) m").select(relational.sorted_items(F.col("m")).alias("x")).first().x
+    assert [tuple(r) for r in got] == [("a", 2), ("b", 1)]
+    assert io.pair_configs(["a", "b"], None, [0.5, 1.0]) == [("a", None, 0.5), ("b", None, 1.0)]
+    with pytest.raises(ValueError):
+        io.pair_configs(["a", "b"], ["x"])
+
+
+def test_batches_of_a_local_model_and_completion_order(spark):
+    class Fake(G.LocalGenerator):
+        calls = []
+
+        def complete_many(self, batch):
+            self.calls.append(len(batch))
+            if any(m[0]["content"] == "bad" for m in batch):
+                raise RuntimeError("bad")
+            return [(m[0]["content"].upper(), "stop") for m in batch]
+
+    jobs = [[{"role": "user", "content": c}] for c in ("a", "b", "c", "bad", "e")]
+    got = list(Fake("m", batch_size=2).batch_query_messages(jobs, list(range(5))))
+    assert [g.text_response for g in got] == ["A", "B", "C", None, "E"] and [g.extra_args for g in got] == [[i] for i in range(5)]
+    assert Fake.calls[0] == 2 and got[3].error == "bad"
+    slow = G.EchoGenerator(max_workers=3, in_order=False)
+    assert sorted(r.job_idx for r in slow.batch_query_messages(jobs)) == list(range(5))

@@ -17,13 +17,20 @@ def duck():
     return con
 
 
+#: What must hold for queries that have no SQL.
+WITHOUT_SQL = {"identify_language": lambda rows, cols: len({r[cols.index("doc_id")] for r in rows}) == len(rows) and {r[cols.index("text_lid")] for r in rows} >= {"eng_Latn", "deu_Latn"}}
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = catalog.QUERIES[name](spark, SMALL)
     cols = sorted(df.columns)
     key = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
-    got = sorted(key(r[c] for c in cols) for r in df.collect())
+    got = sorted((key(r[c] for c in cols) for r in df.collect()), key=repr)
+    assert got
     if name in catalog.ORACLE:
         rel = duck.sql(catalog.ORACLE[name])
         assert sorted(rel.columns) == cols
-        assert got == sorted(key(r[rel.columns.index(c)] for c in cols) for r in rel.fetchall())
+        assert got == sorted((key(r[rel.columns.index(c)] for c in cols) for r in rel.fetchall()), key=repr)
+    else:
+        assert WITHOUT_SQL[name](got, cols)

@@ -52,7 +52,7 @@ def phrase_pattern(names: list[str] = AI_NAMES, phrases: list[list[str]] | None
 
 Predict = Callable[[str], tuple[str, float]]
 
-# Frequent short words, by language label.
+# Frequent short words by language label, for the stand-in model.
 STOP_WORDS = {
     "nld_Latn": "de het een en van ik je niet dat zijn op te met voor maar ook naar deze wordt".split(),
     "eng_Latn": "the of and to in is that it for was with as on be are this by from".split(),

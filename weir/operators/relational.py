@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from weir.functions.messages import assistant_text, is_messages
+from weir.sources.shared import materialize
 
 
 def _key(df: DataFrame, name: str) -> Column:
@@ -62,19 +63,25 @@ def merge_revisions(frames: list[DataFrame], on: list[str], order: list[str] = (
 
 
 def first_n(df: DataFrame, n: int) -> DataFrame:
-    """The rows with idx below n: a predicate that reaches the scan."""
-    return df.where(F.col("idx") < n)
+    """The n rows with the least idx, gaps or not: a partial top-n in each task, and no sort of the rest."""
+    return df.orderBy("idx").limit(n)
 
 
 def prefix_fraction(df: DataFrame, fraction: float) -> DataFrame:
-    """The first int(fraction * rows) rows by idx."""
+    """The first int(fraction * rows) rows by idx, which may have gaps; idx is unique.
+
+    With gapless idx from 0 this is a predicate that reaches the scan; otherwise rows are numbered by a distributed sort.
+    """
     if fraction < 0:
         raise ValueError("fractions must not be negative")
-    n = df.count()
+    n, low, high = df.agg(F.count("*"), F.min("idx"), F.max("idx")).first()
     k = int(fraction * n)
     if k > n:
         raise IndexError(f"{k} rows were asked for and there are {n}")
-    return df.where(F.col("idx") < k)
+    if not n or (low == 0 and high == n - 1):
+        return df.where(F.col("idx") < k)
+    numbered = ranked(df.withColumnRenamed("idx", "__own"), ["__own"])
+    return numbered.where(F.col("idx") < k).drop("idx").withColumnRenamed("__own", "idx").select(*df.columns)
 
 
 def split_kind(name: str) -> str:
@@ -150,11 +157,18 @@ def processed(done: DataFrame, failed: DataFrame, keys: list[str] = ("split", "c
     return done.select(*keys).unionByName(failed.select(*keys)).distinct()
 
 
+# What error texts of each kind hold, lower-cased.
+ERROR_TEXTS = {
+    "rate_limit": ["error code: 429"],
+    "empty": ["empty conversation"],
+    "time_out": ["timed out", "time out", "timeout"],
+}
+
+
 def error_kind(error: Column) -> Column:
     """rate_limit, empty, time_out or null, the first that fits."""
     e = F.lower(error)
-    late = e.contains("timed out") | e.contains("time out") | e.contains("timeout")
-    return F.when(e.contains("error code: 429"), "rate_limit").when(e.contains("empty conversation"), "empty").when(late, "time_out")
+    return F.coalesce(*[F.when(reduce(lambda a, b: a | b, [e.contains(t) for t in texts]), kind) for kind, texts in ERROR_TEXTS.items()])
 
 
 def failure_report(failed: DataFrame) -> DataFrame:
@@ -221,8 +235,29 @@ def unpivot(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
 
 
 def ranked(df: DataFrame, by: list[str]) -> DataFrame:
-    """idx from 0 in the order of ``by``, by a distributed sort: partition sizes first, then places within them."""
-    sorted_ = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-    sizes = sorted_.groupBy("__p").count()
+    """idx from 0 in the order of ``by``, by a distributed sort: partition sizes first, then places within them.
+
+    The sorted table is written once: a sampled range exchange that ran twice would draw other borders.
+    """
+    place = F.monotonically_increasing_id()
+    sorted_ = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__p", F.shiftright(place, 33)).withColumn("__i", place.bitwiseAND(F.lit((1 << 33) - 1)))
+    sorted_ = materialize(sorted_, "ranked")
+    sizes = sorted_.groupBy("__p").count()  # one row for each partition
     before = sizes.withColumn("__b", F.coalesce(F.sum("count").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("__p", "__b")
     return sorted_.join(before, "__p").withColumn("idx", F.col("__b") + F.col("__i")).drop("__p", "__i", "__b")
+
+
+def preview(df: DataFrame, n: int = 3) -> list:
+    """The first ``n`` rows by idx, for a look."""
+    return df.orderBy("idx").limit(n).collect()
+
+
+def removed_rows(before: DataFrame, after: DataFrame) -> dict[str, int]:
+    """Row counts before and after a filter, and how many it removed."""
+    a, b = before.count(), after.count()
+    return {"before": a, "after": b, "removed": a - b}
+
+
+def sorted_items(c: Column) -> Column:
+    """A map as an array of its entries by key, which can be compared and grouped by."""
+    return F.array_sort(F.map_entries(c))

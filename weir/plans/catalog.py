@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.functions import messages as M
 from weir.functions import text as X
 from weir.operators import generate, pack, quality, relational
+from weir.sources.shared import fresh_path
 
 # ---- inputs as datasets: a split and an idx column ----
 
@@ -49,10 +48,10 @@ PERSONAS = {"personas": {"teacher": "a teacher", "nurse": "a nurse", "pilot": "a
 
 
 def _ledger_like(spark: SparkSession, d: str) -> DataFrame:
-    """Ledger rows made of documents: two columns, some cells missing."""
-    x = _docs(spark, d).select("split", "idx", F.substring("text", 1, 40).alias("question"), F.col("source").alias("system"))
+    """Ledger rows made of documents: two columns, and no system cell where the language is not English."""
+    x = _docs(spark, d).select("split", "idx", F.col("text").alias("question"), F.when(F.col("lang") == "en", F.col("source")).alias("system"))
     long = relational.unpivot(x, ["split", "idx"], ["question", "system"])
-    return long.where((F.col("column") == "question") | (F.pmod("idx", F.lit(3)) > 0)).withColumnRenamed("text", "response")
+    return long.where(F.col("text").isNotNull()).withColumnRenamed("text", "response")
 
 
 def _errors(spark: SparkSession, d: str) -> DataFrame:
@@ -191,9 +190,8 @@ def persona_bucket(spark, d):
 
 def answer_echo(spark, d):
     """The whole answer processor with the echo generator, ledgers and all."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="weir-answer-")
-    x = _docs(spark, d).select("split", "idx", F.col("source").alias("question"))
-    out = generate.answer(x, generate.EchoGenerator, f"{root.rstrip('/')}/answer-{spark.sparkContext.applicationId}-{abs(hash(d))}", "question", chunk=1_000_000)
+    x = _docs(spark, d).select("split", "idx", F.col("text").alias("question"))
+    out = generate.answer(x, generate.EchoGenerator, fresh_path(spark, "answer"), "question", chunk=1_000_000)
     return out.select("idx", "question", "response")
 
 
@@ -223,15 +221,17 @@ def failure_report(spark, d):
 
 def merge_revisions(spark, d):
     x = _docs(spark, d)
-    a = x.select("idx", F.when(F.pmod("idx", F.lit(10)) > 0, F.pmod("idx", F.lit(50))).alias("k"), "lang", F.col("n_chars").alias("n"))
-    b = x.where("idx >= 20").select("idx", F.when(F.pmod("idx", F.lit(10)) > 0, F.pmod("idx", F.lit(50))).alias("k"), "source", F.when(F.pmod("idx", F.lit(4)) > 0, F.col("n_chars")).alias("n"))
+    k = F.when(F.length("text") >= 100, F.md5("text")).alias("k")  # copies share it; short texts share the null key
+    a = x.select("idx", k, "lang", F.col("n_chars").alias("n"))
+    b = x.select("idx", k, "source", F.when(F.col("lang") != "fr", F.col("n_chars")).alias("n"))
     return relational.merge_revisions([a, b], ["k"])
 
 
 def mix(spark, d):
     x = _docs(spark, d).select("idx", "source")
     n = spark.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").alias("idx"), F.col("url").alias("source"))
-    got = relational.mix([("docs", "train_sft", x, 0.29), ("pages", "train", n, 0.5), ("docs", "test", x.where("idx < 10"), 1.0)], seed=None)
+    b = spark.read.parquet(f"{d}/benchmark.parquet").select(F.col("item_id").alias("idx"), F.col("text").alias("source"))
+    got = relational.mix([("docs", "train_sft", x, 0.29), ("pages", "train", n, 0.5), ("benchmark", "test", b, 1.0)], seed=None)
     return got["train"].withColumn("kind", F.lit("train")).unionByName(got["test"].withColumn("kind", F.lit("test")))
 
 
@@ -264,10 +264,22 @@ def pack_blocks(spark, d):
 
 
 def prepare_clm(spark, d):
-    p = pack.prepare_clm(_docs(spark, d).select("idx", "text"), 256, batch=500)
+    p = pack.prepare_clm(_docs(spark, d).select("idx", "text"), 256, factory=_lengths, batch=500)
     return p.select("batch", "block_no", F.md5(F.concat_ws(" ", "input_ids")).alias("ids"))
 
 
+def _lengths():
+    """Words to their lengths: a tokenizer that SQL has too."""
+    return lambda text: [len(w) for w in text.split()]
+
+
+def prepare_chat(spark, d):
+    """Whole conversations as the train split, rendered, shuffled and packed."""
+    c = _convs(spark, d).select("idx", "messages")
+    got = pack.prepare_chat([("conversations", "train", c, 1.0)], 64, factory=_lengths, batch=50)["train"]
+    return got.select("batch", "block_no", F.md5(F.concat_ws(" ", "input_ids")).alias("ids"))
+
+
 def scoreboard(spark, d):
     return relational.scoreboard(relational.flatten_scores(_scores(spark, d), {"ckpt-7": "ckpt-seven"}))
 
@@ -286,7 +298,7 @@ QUERIES = {
         curate_documents, normalize_ws, strip_lines, token_count, dedup_text, dedup_sequential, dedup_conversation, phrase_filter, roman_filter, lid_filter,
         identify_language, glue, assistant_text, insert_system, render_sft, render_generation, render_rm, render_dpo, parse_conversation, answer_prompts,
         translate_prompts, converse_prompts, persona_bucket, answer_echo, resume_antijoin, ledger_union, ledger_pivot, merge_original, failure_report,
-        merge_revisions, mix, shuffle_md5, first_n, select_sorted, unpivot_columns, tokenize, pack_blocks, prepare_clm, scoreboard, scoreboard_compat,
+        merge_revisions, mix, shuffle_md5, first_n, select_sorted, unpivot_columns, tokenize, pack_blocks, prepare_clm, prepare_chat, scoreboard, scoreboard_compat,
         checkpoint_series,
     )
 }
@@ -326,7 +338,7 @@ def _persona(seed: int, key: str, names: list[str], weights: list[float]) -> str
     return out + f" ELSE '{names[-1]}' END"
 
 
-_LEDGER = "(SELECT doc_id AS idx, substr(text, 1, 40) AS question, CASE WHEN doc_id % 3 > 0 THEN source ELSE '' END AS system FROM documents)"
+_LEDGER = "(SELECT doc_id AS idx, text AS question, CASE WHEN lang = 'en' THEN source ELSE '' END AS system FROM documents)"
 _SCORES = """
     s AS (SELECT o_orderkey AS idx, 'ckpt-' || (o_custkey % 40) AS model,
                  ['dutch-social', 'conll-nl', 'scala-nl', 'squad-nl', 'wiki-lingua-nl', 'mmlu-nl', 'hellaswag-nl'][((o_orderkey // 8) % 7) + 1] AS dataset,
@@ -390,7 +402,7 @@ ORACLE: dict[str, str] = {
         WITH p AS (SELECT doc_id AS idx, source, {_persona(42, "'train-' || doc_id", ['teacher', 'nurse', 'pilot'], [5, 3, 2])} AS persona FROM documents)
         SELECT idx, persona, 'system=Talk about ' || source || ' as a ' || persona || '. Begin turns with user: or assistant: only.' AS prompt FROM p""",
     "persona_bucket": f"SELECT {_persona(7, 'doc_id', ['a', 'b', 'c'], [5, 3, 2])} AS persona, count(*) AS n FROM documents GROUP BY 1",
-    "answer_echo": "SELECT doc_id AS idx, source AS question, source AS response FROM documents",
+    "answer_echo": f"SELECT doc_id AS idx, text AS question, regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g') AS response FROM documents",
     "resume_antijoin": "SELECT doc_id AS idx, source FROM documents WHERE doc_id % 3 <> 0",
     "ledger_union": "SELECT 'train' AS split, 'c' AS \"column\", count(*) AS n, sum(doc_id)::BIGINT AS sum_idx FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0",
     "ledger_pivot": f"SELECT idx, question, system FROM {_LEDGER}",
@@ -399,15 +411,15 @@ ORACLE: dict[str, str] = {
         SELECT count(*) FILTER (WHERE event_id % 7 = 0) AS rate_limit, count(*) FILTER (WHERE event_id % 7 = 1) AS empty,
                count(*) FILTER (WHERE event_id % 7 IN (2, 3, 4)) AS time_out, count(*) AS total FROM events""",
     "merge_revisions": """
-        WITH x AS (SELECT *, CASE WHEN doc_id % 10 > 0 THEN doc_id % 50 END AS k FROM documents),
+        WITH x AS (SELECT *, CASE WHEN length(text) >= 100 THEN md5(text) END AS k FROM documents),
         a AS (SELECT * FROM (SELECT k, lang, n_chars AS n, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS rn FROM x) WHERE rn = 1),
-        b AS (SELECT * FROM (SELECT k, source, CASE WHEN doc_id % 4 > 0 THEN n_chars END AS n, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS rn FROM x WHERE doc_id >= 20) WHERE rn = 1)
+        b AS (SELECT * FROM (SELECT k, source, CASE WHEN lang <> 'fr' THEN n_chars END AS n, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS rn FROM x) WHERE rn = 1)
         SELECT a.k, a.lang, a.n AS n_x, b.source, b.n AS n_y FROM a JOIN b ON a.k IS NOT DISTINCT FROM b.k
         WHERE a.lang IS NOT NULL AND a.n IS NOT NULL AND b.source IS NOT NULL AND b.n IS NOT NULL""",
     "mix": """
         SELECT 'docs' AS dataset, doc_id AS idx, source, 'train' AS kind FROM documents WHERE doc_id < floor(0.29::DOUBLE * (SELECT count(*) FROM documents))
         UNION ALL SELECT 'pages', page_id, url, 'train' FROM pages WHERE page_id < floor(0.5 * (SELECT count(*) FROM pages))
-        UNION ALL SELECT 'docs', doc_id, source, 'test' FROM documents WHERE doc_id < 10""",
+        UNION ALL SELECT 'benchmark', item_id, text, 'test' FROM benchmark""",
     "shuffle_md5": "SELECT event_id, row_number() OVER (ORDER BY md5('42-' || event_id), event_id) - 1 AS idx FROM events",
     "first_n": "SELECT doc_id AS idx, lang, source FROM documents WHERE doc_id < 100",
     "select_sorted": "SELECT doc_id, lang, source FROM documents",
@@ -417,6 +429,17 @@ ORACLE: dict[str, str] = {
         WITH t AS ({_BLOCK_TOKENS}),
         r AS (SELECT idx // 250 AS batch, length(t) AS v, row_number() OVER (PARTITION BY idx // 250 ORDER BY idx, p) - 1 AS rn FROM t)
         SELECT batch, rn // 128 AS block_no, sum(v)::BIGINT AS total, arg_min(v, rn)::BIGINT AS first_id FROM r GROUP BY 1, 2 HAVING count(*) = 128""",
+    "prepare_clm": f"""
+        WITH o AS (SELECT doc_id, text, row_number() OVER (ORDER BY md5('42-' || doc_id), doc_id) - 1 AS idx FROM documents),
+        t AS (SELECT idx, unnest(string_split({_norm('text')}, ' ')) AS t, generate_subscripts(string_split({_norm('text')}, ' '), 1) AS p FROM o),
+        r AS (SELECT idx // 500 AS batch, length(t) AS v, row_number() OVER (PARTITION BY idx // 500 ORDER BY idx, p) - 1 AS rn FROM t WHERE t <> '')
+        SELECT batch, rn // 256 AS block_no, md5(string_agg(v, ' ' ORDER BY rn)) AS ids FROM r GROUP BY 1, 2 HAVING count(*) = 256""",
+    "prepare_chat": f"""
+        WITH c AS (SELECT conv_id, {_EMPTY_SYSTEM} || {_RENDER.format('text')} AS text FROM conversations GROUP BY conv_id),
+        o AS (SELECT text, row_number() OVER (ORDER BY md5('42-conversations-' || conv_id), conv_id) - 1 AS idx FROM c),
+        t AS (SELECT idx, unnest(string_split({_norm('text')}, ' ')) AS t, generate_subscripts(string_split({_norm('text')}, ' '), 1) AS p FROM o),
+        r AS (SELECT idx // 50 AS batch, length(t) AS v, row_number() OVER (PARTITION BY idx // 50 ORDER BY idx, p) - 1 AS rn FROM t WHERE t <> '')
+        SELECT batch, rn // 64 AS block_no, md5(string_agg(v, ' ' ORDER BY rn)) AS ids FROM r GROUP BY 1, 2 HAVING count(*) = 64""",
     "scoreboard": _score_sql("CASE model WHEN 'ckpt-7' THEN 'ckpt-seven' ELSE model END") + f"SELECT *, {_AVG} AS average, ({_REST}) / 6 AS average_no_conll FROM w",
     "scoreboard_compat": _score_sql("model") + f"SELECT model, {_AVG} AS average, ({_REST} + {_AVG}) / 7 AS average_no_conll FROM w",
     "checkpoint_series": _score_sql("model") + """

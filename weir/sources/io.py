@@ -87,6 +87,15 @@ def write_dataset(df: DataFrame, path: str, publish=None) -> None:
         publish(path)
 
 
+def pair_configs(datasets: list[str], configs: list[str | None] | None, fractions: list[float] | None = None) -> list[tuple[str, str | None, float]]:
+    """(dataset, configuration, fraction) in turn; configurations and fractions are none or one for each dataset."""
+    configs = [None] * len(datasets) if configs is None else list(configs)
+    fractions = [1.0] * len(datasets) if fractions is None else list(fractions)
+    if len(configs) != len(datasets) or len(fractions) != len(datasets):
+        raise ValueError("configurations and fractions need one value for each dataset")
+    return list(zip(datasets, configs, fractions, strict=True))
+
+
 def publish_to(root: str, name: str, revision: str, config: str | None = None):
     """A publisher that copies to a versioned folder; it never overwrites one."""
 
