@@ -87,29 +87,66 @@ def test_distance_in_a_band(spark):
     assert all(r.w == (distance(r.a, r.b) <= 2) for r in got)
 
 
+def pieces(text, unit):
+    if unit == "sentence":
+        return re.findall(r"[^\n.!?]*[\n.!?]+|[^\n.!?]+", text)
+    have = re.findall(r"[^\n]*\n|[^\n]+", text)
+    if unit == "line":
+        return have
+    cut = re.split(r"(\n[\x20\x09-\x0D]*\n)", text)
+    return [x for x in ("".join(cut[i : i + 2]) for i in range(0, len(cut), 2)) if x]
+
+
 def brute_units(rows, unit, least):
-    seen, out = set(), []
-    for i, t in sorted(rows, key=lambda r: r[0]):
-        b = (t or "").encode()
-        spans = lines.units(b, unit) if b else []
-        drop = []
-        for s, e in spans:
-            x = norm(b[s:e].decode())
-            if len(x.split(" ")) >= least and x:
-                if x in seen:
-                    drop.append((s, e))
-                seen.add(x)
-        kept = (b"\n" if unit == "line" else b"\n\n").join(b[s:e] for s, e in spans if (s, e) not in drop) if drop else b
-        out.append((i, len(spans), len(drop), ",".join(f"{s}-{e}" for s, e in drop), hashlib.md5(kept).hexdigest()))
-    return out
+    """Every pair of runs, the plain way."""
+    found = []
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        have = [(k, norm(x).split(" ")) for k, x in enumerate(pieces(t or "", unit)) if norm(x)]
+        for a in range(len(have)):
+            for b in range(a, len(have)):
+                if sum(len(x) for _, x in have[a : b + 1]) >= least:
+                    found.append((i, have[a][0], have[b][0], [x for _, x in have[a : b + 1]]))
+                    break
+    drop = {i: set() for i, _ in rows}
+    for n, (i, a, b, x) in enumerate(found):
+        if any(y == x for *_, y in found[:n]):
+            drop[i] |= set(range(a, b + 1))
+    out = []
+    for i, t in rows:
+        have, at, spans, kept = pieces(t or "", unit), 0, [], ""
+        for k, x in enumerate(have):
+            e = at + len(x.encode())
+            if k in drop[i] and norm(x):
+                spans.append(f"{at}-{e}")
+            else:
+                kept += x
+            at = e
+        out.append((i, len(have), len(spans), ",".join(spans), hashlib.md5(kept.encode()).hexdigest()))
+    return sorted(out)
 
 
 def test_units_match_brute_force(spark):
     rnd = random.Random(3)
-    parts = ["one two three", "One  two three ", "é ü", "", "a b", "x y z w", "  "]
-    for unit, sep in (("line", "\n"), ("paragraph", "\n \n")):
+    parts = ["one two three", "One  two three ", "é ü. Ab", "", "a b", "x y z w! v", "  ", "one. two three"]
+    for unit, sep in (("line", "\n"), ("paragraph", "\n \n"), ("sentence", " "), ("sentence", "\n")):
         rows = [(0, None), (1, "")] + [(i, sep.join(rnd.choice(parts) for _ in range(rnd.randint(0, 9)))) for i in range(2, 60)]
-        df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, s int").repartition(3)
-        got = sorted(tuple(r) for r in lines.dedup_units(df, unit, 2).collect())
-        assert got == brute_units(rows, unit, 2)
+        df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, tid int").repartition(3)
+        for least in (2, 5):
+            got = sorted(tuple(r) for r in lines.dedup_units(df, unit, least).collect())
+            assert got == brute_units(rows, unit, least), (unit, least)
     assert lines.dedup_units(df.limit(0)).count() == 0
+
+
+def test_a_passage_inside_a_line_goes_and_clean_texts_stay(spark):
+    rnd = random.Random(4)
+    say = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    passage = ". ".join(say(9) for _ in range(7)) + "."
+    rows = [(1, say(20) + ". " + passage + " " + say(20)), (2, say(15) + ". " + passage + " " + say(9) + ".\nAll rights reserved."), (3, say(80) + ".\nAll rights reserved."), (None, None)]
+    rows += [(4, say(30_000)), (4, rows[0][1]), (4, rows[0][1])]
+    got = sorted(((r.doc_id, r.n_removed, r.kept) for r in lines.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), texts=True).collect()), key=repr)
+    by = {}
+    for i, n, kept in got:
+        by.setdefault(i, []).append((n, kept))
+    assert by[1] == [(0, rows[0][1])] and by[3] == [(0, rows[2][1])] and by[None] == [(0, "")]
+    assert by[2][0][0] == 7 and passage[:40] not in by[2][0][1] and by[2][0][1].endswith("reserved.")
+    assert sorted(n > 0 for n, _ in by[4]) == [False, True, True] and by[4][1] == by[4][2]

@@ -1,7 +1,7 @@
 """Line dedup: by digests of normalised units, and by an edit-distance join of near-equal lines.
 
-``dedup_units`` hashes lines or paragraphs and keeps the earliest ranked
-occurrence of each digest.  ``dedup_near_lines`` links lines within an edit
+``dedup_units`` hashes runs of lines, of paragraphs or of their sentences and keeps the
+earliest ranked occurrence of each digest.  ``dedup_near_lines`` links lines within an edit
 distance by a segment-partition join: a line of THRESHOLD + 1 segments that is at most
 THRESHOLD edits away keeps one segment whole, at a place that its length
 bounds.  It uses DataFrame functions only.
@@ -9,9 +9,11 @@ bounds.  It uses DataFrame functions only.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -22,17 +24,18 @@ from weir.llm.common import SPACE_CLASS, Stash, lower_ascii
 from weir.llm.components import components
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]+")
-_BLANK = re.compile(rb"\n(?:[\x20\x09-\x0D]*\n)+")
+#: What ends a unit belongs to it, so the units of a text are the text.
+_UNITS = {
+    "sentence": re.compile(rb"[^\n.!?]*[\n.!?]+|[^\n.!?]+"),
+    "line": re.compile(rb"[^\n]*\n|[^\n]+"),
+    "paragraph": re.compile(rb"(?s:.*?)(?:\n[\x20\x09-\x0D]*\n|\Z)"),
+}
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def units(text: bytes, unit: str) -> list[tuple[int, int]]:
-    """Byte spans of a text's lines, or of its paragraphs between blank lines; separators belong to none."""
-    out, at = [], 0
-    for m in (re.compile(rb"\n") if unit == "line" else _BLANK).finditer(text):
-        out.append((at, m.start()))
-        at = m.end()
-    return [*out, (at, len(text))]
+    """Byte spans of a text's units, end to end."""
+    return [m.span() for m in _UNITS[unit].finditer(text) if m.end() > m.start()]
 
 
 def normal(unit: bytes) -> bytes:
@@ -40,59 +43,87 @@ def normal(unit: bytes) -> bytes:
     return _SPACE.sub(b" ", unit.translate(_LOWER)).strip(b" ")
 
 
+def runs(text: bytes, unit: str, least: int) -> Iterator[tuple[int, int, bytes]]:
+    """(first unit, last unit, normal form) of the shortest run from each unit on that has ``least`` words; units without words are passed over."""
+    have = [(k, x, x.count(b" ") + 1) for k, (s, e) in enumerate(units(text, unit)) if (x := normal(text[s:e]))]
+    end = total = 0
+    for a, (k, _, n) in enumerate(have):
+        while end < len(have) and total < least:
+            total += have[end][2]
+            end += 1
+        if total < least:
+            return
+        yield k, have[end - 1][0], b"\n".join(h[1] for h in have[a:end])
+        total -= n
+
+
 def _digests(unit: str, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table() -> pa.RecordBatch:
+            at = pa.array(np.array(who, dtype=np.int64))
+            d = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+            cols = [b.column("doc_id").take(at), b.column("tid").take(at), *(pa.array(np.array(c, dtype=np.int32)) for c in (first, last)), pa.array(d[:, 0]), pa.array(d[:, 1])]
+            return pa.RecordBatch.from_arrays(cols, names=["doc_id", "tid", "a", "b", "d1", "d2"])
+
         for b in batches:
-            rows = []
-            for doc, tid, t in zip(b.column("doc_id"), b.column("tid").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                for k, (s, e) in enumerate(units(t or b"", unit)):
-                    x = normal(t[s:e]) if t else b""
-                    if x and x.count(b" ") + 1 >= least:
-                        rows.append((doc, tid, k, s, e, xxhash.xxh3_128_digest(x)))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            kinds = [b.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array([x.as_py() for x in cols[0]] if not i else c, kind) for i, (c, kind) in enumerate(zip(cols, kinds, strict=True))], names=["doc_id", "tid", "unit", "s", "e", "digest"])
+            who, first, last, digests = [], [], [], []
+            for i, t in enumerate(b.column("text").cast(pa.binary()).to_pylist()):
+                for k, e, x in runs(t or b"", unit, least):
+                    who.append(i)
+                    first.append(k)
+                    last.append(e)
+                    digests.append(xxhash.xxh3_128_digest(x))
+                if len(who) > 200_000:
+                    yield table()
+                    who, first, last, digests = [], [], [], []
+            yield table()
 
     return run
 
 
 def _without(unit: str, texts: bool):
-    import hashlib
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, gone, md5, kept = [], [], [], []
-            for t, spans in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("removed").to_pylist(), strict=True):
-                t, drop = t or b"", {(p["s"], p["e"]) for p in spans or []}
+            n, gone, lost, md5, kept = [], [], [], [], []
+            for t, found in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("removed").to_pylist(), strict=True):
+                t = t or b""
                 have = units(t, unit)
-                left = [t[s:e] for s, e in have if (s, e) not in drop]
-                n.append(len(have) if t else 0)
-                gone.append(",".join(f"{s}-{e}" for s, e in sorted(drop)))
-                kept.append((b"\n" if unit == "line" else b"\n\n").join(left) if drop else t)
+                drop = sorted({k for p in found or [] for k in range(p["a"], p["b"] + 1) if normal(t[slice(*have[k])])})
+                n.append(len(have))
+                lost.append(len(drop))
+                gone.append(",".join(f"{have[k][0]}-{have[k][1]}" for k in drop))
+                left = set(drop)
+                kept.append(b"".join(t[s:e] for k, (s, e) in enumerate(have) if k not in left) if drop else t)
                 md5.append(hashlib.md5(kept[-1]).hexdigest())
-            cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array([g.count("-") for g in gone], pa.int64()), pa.array(gone), pa.array(md5)]
+            cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(lost, pa.int64()), pa.array(gone, pa.string()), pa.array(md5, pa.string())]
             names = ["doc_id", "n_units", "n_removed", "removed", "kept_md5"]
             yield pa.RecordBatch.from_arrays([*cols, *([pa.array([k.decode() for k in kept])] if texts else [])], names=[*names, *(["kept"] if texts else [])])
 
     return run
 
 
-def dedup_units(docs: DataFrame, unit: str = "line", least: int = 8, texts: bool = False) -> DataFrame:
+def dedup_units(docs: DataFrame, unit: str = "sentence", least: int = 30, texts: bool = False) -> DataFrame:
     """(doc_id, n_units, n_removed, removed, kept_md5) of every row of ``docs``, with ``texts`` also the kept text.
 
-    Of the units with equal normal forms and at least ``least`` words the first by (doc_id, place) stays, null ids
-    first; ``removed`` lists the byte spans, start-end, of the others in the original text.
-    Null and empty texts have no units.  Rows equal in doc_id and text are one
-    document.  ``unit`` is line or paragraph.
+    A unit is a line, a paragraph (up to blank lines) or a line's part up to a full stop, exclamation or question mark.
+    The shortest run of units from each unit on that has ``least`` words is hashed in normal form; of equal runs the first by
+    (doc_id, place) stays, null ids first, and all units of the others go.  So the first occurrence of a
+    unit always stays, and passages are found inside lines and across them.  ``removed`` lists the
+    byte spans, start-end, of the removed units in the original text.
+    Null and empty texts have no units; texts with fewer than ``least`` words are left alone.  Rows equal in doc_id and text are one
+    document.  Texts of any length are taken whole.  Other columns do not matter.
     """
     stash = Stash(docs.sparkSession, "lines")
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tid"))
-    found = stash.put(rows.mapInArrow(_digests(unit, least), f"doc_id {kind}, tid long, unit long, s long, e long, digest binary"))
-    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "unit", "tid")
-    first = found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
-    again = found.join(first, "digest").filter(~place.eqNullSafe(F.col("first")))
-    spans = again.groupBy("doc_id", "tid").agg(F.collect_set(F.struct("s", "e")).alias("removed")).withColumnsRenamed({"doc_id": "d", "tid": "t"})
+    found = stash.put(rows.mapInArrow(_digests(unit, least), f"doc_id {kind}, tid long, a int, b int, d1 long, d2 long"))
+    twice = stash.put(found.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1").select("d1", "d2"))
+    shared = stash.put(found.join(twice, ["d1", "d2"]))
+    stash.drop(found, twice)
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "a", "tid")
+    first = shared.groupBy("d1", "d2").agg(F.min(place).alias("first"))
+    again = shared.join(first, ["d1", "d2"]).filter(~place.eqNullSafe(F.col("first")))
+    spans = stash.put(again.groupBy("doc_id", "tid").agg(F.collect_set(F.struct("a", "b")).alias("removed")).withColumnsRenamed({"doc_id": "d", "tid": "t"}))
     both = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tid") == F.col("t")), "left")
     more = ", kept string" if texts else ""
     return both.select("doc_id", "text", "removed").mapInArrow(_without(unit, texts), f"doc_id {kind}, n_units long, n_removed long, removed string, kept_md5 string{more}")

@@ -77,25 +77,35 @@ ORACLE: dict[str, str] = {
         FROM embeddings m LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
     """,
     "op3_line_hash": r"""
-        WITH u AS (
-            SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k
-            FROM documents WHERE length(text) > 0
-        ), n AS (
-            SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS x,
-                   coalesce(sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s
+        WITH p AS (
+            SELECT doc_id, regexp_extract_all(text, '[^\n.!?]*[\n.!?]+|[^\n.!?]+') AS p FROM documents
+        ), u AS (
+            SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM p
+        ), x AS (
+            SELECT *, trim(regexp_replace(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS x,
+                   (coalesce(sum(strlen(piece)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS s
             FROM u
-        ), r AS (
-            SELECT *, length(x) > 0 AND length(x) - length(replace(x, ' ', '')) + 1 >= 8 AS long_enough,
-                   row_number() OVER (PARTITION BY x ORDER BY doc_id, k) AS rank
-            FROM n
+        ), w AS (
+            SELECT doc_id, k, x, length(x) - length(replace(x, ' ', '')) + 1 AS n, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS r FROM x WHERE x <> ''
+        ), c AS (
+            SELECT *, (sum(n) OVER (PARTITION BY doc_id ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS c FROM w
+        ), e AS (
+            SELECT a.doc_id, a.r AS a, min(b.r) AS b FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.r BETWEEN a.r AND a.r + 29
+            WHERE b.c - a.c + a.n >= 30 GROUP BY a.doc_id, a.r
+        ), t AS (
+            SELECT e.doc_id, e.a, e.b, string_agg(c.x, chr(10) ORDER BY c.r) AS t FROM e JOIN c ON c.doc_id = e.doc_id AND c.r BETWEEN e.a AND e.b GROUP BY e.doc_id, e.a, e.b
         ), d AS (
-            SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE long_enough AND rank > 1) AS n_removed,
-                   coalesce(string_agg(s || '-' || (s + strlen(line)), ',' ORDER BY k) FILTER (WHERE long_enough AND rank > 1), '') AS removed,
-                   md5(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT (long_enough AND rank > 1)), '')) AS kept_md5
-            FROM r GROUP BY doc_id
+            SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, a) AS rank FROM t
+        ), g AS (
+            SELECT DISTINCT c.doc_id, c.k FROM d JOIN c ON c.doc_id = d.doc_id AND c.r BETWEEN d.a AND d.b WHERE d.rank > 1
+        ), f AS (
+            SELECT x.doc_id, count(*) AS n_units, count(g.k) AS n_removed,
+                   coalesce(string_agg(x.s || '-' || (x.s + strlen(x.piece)), ',' ORDER BY x.k) FILTER (WHERE g.k IS NOT NULL), '') AS removed,
+                   md5(coalesce(string_agg(x.piece, '' ORDER BY x.k) FILTER (WHERE g.k IS NULL), '')) AS kept_md5
+            FROM x LEFT JOIN g ON x.doc_id = g.doc_id AND x.k = g.k GROUP BY x.doc_id
         )
-        SELECT o.doc_id, coalesce(d.n_units, 0)::BIGINT AS n_units, coalesce(d.n_removed, 0)::BIGINT AS n_removed,
-               coalesce(d.removed, '') AS removed, coalesce(d.kept_md5, md5('')) AS kept_md5
-        FROM documents o LEFT JOIN d USING (doc_id)
+        SELECT o.doc_id, coalesce(f.n_units, 0)::BIGINT AS n_units, coalesce(f.n_removed, 0)::BIGINT AS n_removed,
+               coalesce(f.removed, '') AS removed, coalesce(f.kept_md5, md5('')) AS kept_md5
+        FROM documents o LEFT JOIN f USING (doc_id)
     """,
 }
