@@ -8,7 +8,7 @@ from weir.llm import lines
 
 
 def norm(x):
-    return re.sub(r"[\x20\x09-\x0D]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), x)).strip(" ")
+    return re.sub(r"[\x20\x09-\x0D]+", " ", x.lower()).strip(" ")
 
 
 def distance(a, b):
@@ -79,6 +79,30 @@ def test_kept_text_and_extra_columns(spark):
     assert lines.dedup_near_lines(df.limit(0)).count() == 0
 
 
+def test_clashing_names_short_lines_and_long_texts(spark):
+    long = "".join(random.Random(1).choice("abc de") for _ in range(60_000))
+    stock = "All rights reserved!"
+    rows = [(1, f"{stock}\n" + long, 5, 6, 7), (2, f"tiny\n{stock}\n" + long[:30_000] + "z" + long[30_000:], 5, 6, 7), (3, f"tiny\n{stock[:-1]}", None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, gone int, __d int, __lost int")
+    got = {r.doc_id: r for r in lines.dedup_near_lines(df, texts=True).collect()}
+    assert {k: r.kept_text for k, r in got.items()} == {1: rows[0][1], 2: "tiny", 3: rows[2][1]}
+    assert got[1].gone == 5 and got[2]["__d"] == 6 and got[2]["__lost"] == 7
+
+
+def test_one_large_group_of_variants(spark):
+    """Lines that share segments by the hundred and link only here and there."""
+    rnd = random.Random(6)
+    base = [rnd.choice("abcdefgh") for _ in range(90)]
+    rows = []
+    for i in range(150):
+        x = list(base)
+        for _ in range(rnd.randint(0, 5)):
+            x[rnd.randrange(90)] = rnd.choice("ijklmnop")
+        rows.append((i, "".join(x)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in lines.dedup_near_lines(df).collect()) == brute_near(rows, 2, 40)
+
+
 def test_distance_in_a_band(spark):
     rnd = random.Random(9)
     rows = [("".join(rnd.choice("ab") for _ in range(rnd.randint(0, 9))), "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 9)))) for _ in range(400)]

@@ -18,11 +18,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from weir.llm.common import SPACE_CLASS, Stash, lower_ascii
+from weir.llm.common import Stash
 from weir.llm.components import components
 
+#: Lines whose texts are fetched by a broadcast of their keys (24 bytes each); more are joined by shuffle.
+SENT_LINES = 400_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 #: What ends a unit belongs to it, so the units of a text are the text.
 _UNITS = {
@@ -196,11 +197,7 @@ def common_prefix(a: Column, b: Column, most_chars: int = 1 << 30) -> Column:
     return F.aggregate(steps, F.lit(0), lambda k, p: F.when(F.when(k.cast("long") + p > shorter, False).otherwise(fits(k, p)), k + p).otherwise(k))
 
 
-def normal_line(line: Column) -> Column:
-    return F.trim(F.regexp_replace(lower_ascii(line), f"[{SPACE_CLASS}]+", " "))
-
-
-def _segments(most: int) -> tuple[Column, Column]:
+def _segments(most: int) -> tuple[list[Column], list[Column]]:
     """For a line ``x`` of ``len`` characters: its own segments, and the substrings where segments of lines as long or up to ``most`` shorter may lie.
 
     Segment i of a line of n characters starts at i * n div (most + 1).  A line longer by d keeps some segment i at a
@@ -209,95 +206,137 @@ def _segments(most: int) -> tuple[Column, Column]:
     parts = most + 1
 
     def entry(size: Column, i: int, start: Column, begin: Column, end: Column) -> Column:
-        return F.xxhash64(size, F.lit(i), F.substring(F.col("x"), start + 1, end - begin))
+        return F.xxhash64(size, F.lit(i), F.substring(F.col("x"), start + 1, end - begin))  # where two differ, the edit distance tells
 
     def bounds(size: Column, i: int) -> tuple[Column, Column]:
         return F.floor(F.lit(i) * size / parts).cast("int"), F.floor(F.lit(i + 1) * size / parts).cast("int")
 
     own = [entry(F.col("len"), i, bounds(F.col("len"), i)[0], *bounds(F.col("len"), i)) for i in range(parts)]
     probes = []
-    for d in range(most + 1):
+    for d, i, shift in _shifts(most):
         size = F.col("len") - d
-        for i in range(parts):
-            b, e = bounds(size, i)
+        b, e = bounds(size, i)
+        at = b + shift
+        probes.append(F.when((size > 0) & (at >= 0) & (at + e - b <= F.col("len")), entry(size, i, at, b, e)))
+    return own, probes
+
+
+def _shifts(most: int) -> Iterator[tuple[int, int, int]]:
+    """(how much shorter the other line is, segment, how far from its place) where a segment of another line may lie."""
+    for d in range(most + 1):
+        for i in range(most + 1):
             # multi-match bounds: i edits before the segment at most from the left, most - i behind it from the right
-            lo, hi = max(-i, d - (most - i)), min(i, d + (most - i))
-            for shift in range(lo, hi + 1):
-                if d == 0 and shift == 0:
-                    continue  # the line's own segments
-                at = b + shift
-                probes.append(F.when((size > 0) & (at >= 0) & (at + e - b <= F.col("len")), entry(size, i, at, b, e)))
-    return F.array(*own), F.filter(F.array(*probes), lambda h: h.isNotNull())
+            for shift in range(max(-i, d - (most - i)), min(i, d + (most - i)) + 1):
+                if d or shift:  # else the line's own segments
+                    yield d, i, shift
 
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """(doc_id, tid, unit, x, len, k) of each line of at least ``least`` characters in normal form."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("tid"), F.posexplode(F.split("text", "\n", -1)).alias("unit", "line"))
-    rows = rows.select("doc_id", "tid", F.col("unit").cast("long").alias("unit"), normal_line(F.col("line")).alias("x"))
-    return rows.withColumn("len", F.length("x")).filter(F.col("len") >= least).withColumn("k", F.xxhash64("x"))
+    """(doc_id, tid, unit, x, len, k1, k2) of each line of at least ``least`` characters in normal form; k1 and k2 tell lines apart."""
+    text = F.lower("text")
+    text = F.when(text.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(text, r"[ \t\x0B\f\r]+", " ")).otherwise(text)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("tid"), F.posexplode(F.split(text, "\n", -1)).alias("unit", "x"))
+    rows = rows.select("doc_id", "tid", F.col("unit").cast("long").alias("unit"), F.trim("x").alias("x")).withColumn("len", F.length("x"))
+    return rows.filter(F.col("len") >= least).withColumns({"k1": F.xxhash64("x"), "k2": F.xxhash64(F.lit(1), "x")})
 
 
-def near_line_groups(docs: DataFrame, stash: Stash, most: int = 2, least: int = 40) -> DataFrame:
-    """(k, component) of the normal lines that have another within ``most`` edits; equal lines are one."""
-    lines = _lines(docs, least)
-    distinct = lines.groupBy("k").agg(F.first("x").alias("x"), F.first("len").alias("len"))
+def bigram_parity(x: Column) -> Column:
+    """64 bits, each the parity of how often the two-character strings of one hash class occur: an edit flips four of them at most."""
+    chars = F.array_remove(F.split(x, ""), "")
+    return F.transform(F.array(chars), lambda c: F.aggregate(F.sequence(F.lit(0), F.size(c) - 2), F.lit(0).cast("long"), lambda acc, i: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(F.get(c, i), F.get(c, i + 1)).bitwiseAND(F.lit(63)).cast("int")))))[0]
+
+
+def near_line_groups(lines: DataFrame, stash: Stash, most: int = 2, least: int = 40) -> DataFrame:
+    """(k1, k2, r1, r2): of the lines that have another within ``most`` edits, the line that stands for the group; equal lines are one.
+
+    A list holds the lines that have a segment, or a substring where the segment of a line up to ``most`` shorter may
+    lie.  Its members are compared with its first line; lists that still hold several groups after that go on pair by
+    pair.  Pairs whose two-character strings differ by more than ``most`` edits can explain are never made.
+    """
     own, probes = _segments(most)
-    entries = distinct.select("k", "len", F.explode(F.concat(F.transform(own, lambda h: F.struct(h.alias("h"), F.lit(True).alias("own"))), F.transform(probes, lambda h: F.struct(h.alias("h"), F.lit(False).alias("own"))))).alias("e")).select("k", "len", "e.h", "e.own")
+    n_own, names = len(own), [f"h{i}" for i in range(len(own) + len(probes))]
+    keyed = lines.filter(F.col("len") >= least).select("k1", "k2", "len", *[c.alias(h) for c, h in zip([*own, *probes], names, strict=True)])
+    # numbers only, so that copies are combined by hash before the shuffle
+    distinct = keyed.groupBy("k1", "k2").agg(F.max("len").alias("len"), *[F.max(h).alias(h) for h in names])
+    distinct = stash.put(distinct.withColumn("id", F.monotonically_increasing_id()))
+    entries = distinct.select("id", F.posexplode(F.array(*names)).alias("i", "h")).filter(F.col("h").isNotNull()).select("id", "h", (F.col("i") < n_own).alias("own"))
     # the least own line of a list leads it; lists without one, or with one line, link nothing
-    w = W.partitionBy("h")
-    led = entries.withColumn("lead", F.min(F.when(F.col("own"), F.col("k"))).over(w)).withColumn("n", F.count("*").over(w))
-    led = stash.put(led.filter((F.col("n") > 1) & F.col("lead").isNotNull()).drop("n"))
+    lead = entries.groupBy("h").agg(F.count("*").alias("n"), F.min(F.when(F.col("own"), F.col("id"))).alias("lead"), F.max("id").alias("last"), F.min("id").alias("first"))
+    led = stash.put(entries.join(lead.filter("n > 1 and lead is not null and first < last").select("h", "lead"), "h").distinct())
+    need = stash.put(led.select("id").distinct().join(distinct.select("id", "k1", "k2"), "id"))
+    few = need.count() <= SENT_LINES
+    got = lines.select("k1", "k2", "x").join(F.broadcast(need) if few else need, ["k1", "k2"])
+    text = stash.put(got.groupBy("id").agg(F.first("x").alias("x")).withColumn("bits", bigram_parity(F.col("x"))))
+    stash.drop(need)
+    bits = text.select("id", "bits")
     pair = lambda a, b: (F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    near = lambda a, b: F.call_function("bit_count", a.bitwiseXOR(b)) <= 4 * most
     chars = lambda c: F.array_remove(F.split(c, ""), "")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        pairs = stash.put(pairs)
-        need = pairs.select(F.col("u").alias("k")).union(pairs.select("v")).distinct()
-        text = stash.put(lines.select("k", "x").join(need, "k", "left_semi").groupBy("k").agg(F.first("x").alias("x")))
-        both = pairs.join(text.withColumnsRenamed({"k": "u", "x": "xu"}), "u").join(text.withColumnsRenamed({"k": "v", "x": "xv"}), "v")
-        # false pairs go by their blocks; of the others only what lies between the first and the last edit is compared
-        both = both.filter(may_be_within(F.col("xu"), F.col("xv"), most)).select("u", "v", "xu", "xv").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        both = both.withColumn("p", common_prefix(F.col("xu"), F.col("xv"), 1 << 24))
+        """Links among the pairs (u, v)."""
+        both = pairs.join(text.select("id", "x").toDF("u", "xu"), "u").join(text.select("id", "x").toDF("v", "xv"), "v")
+        # of pairs that have enough blocks in common only what lies between the first and the last edit is compared
+        both = both.filter(may_be_within(F.col("xu"), F.col("xv"), most)).withColumn("p", common_prefix(F.col("xu"), F.col("xv"), 1 << 24))
         both = both.select("u", "v", *[F.reverse(F.substring(c, F.col("p") + 1, F.length(c))).alias(c) for c in ("xu", "xv")])
         both = both.withColumn("p", common_prefix(F.col("xu"), F.col("xv"), 1 << 24))
         # written, for a filter over a projection would split the texts again at every step of the distance
         both = stash.put(both.select("u", "v", *[chars(F.substring(c, F.col("p") + 1, F.length(c))).alias(c) for c in ("xu", "xv")]))
-        return pairs, stash.put(both.filter(within(F.col("xu"), F.col("xv"), most)).select("u", "v"))
-
-    tried, links = confirm(led.filter(F.col("k") != F.col("lead")).select(*pair("k", "lead")).distinct())
-    found = components(links, stash)
-    named = stash.put(led.join(found.withColumnRenamed("node", "k"), "k", "left").withColumn("component", F.coalesce("component", "k")).drop("lead"))
+        out = stash.put(both.filter(within(F.col("xu"), F.col("xv"), most)).select("u", "v"))
+        stash.drop(both)
+        return out
+
+    first = led.filter("id <> lead").select("id", "lead").distinct().join(bits, "id")
+    first = first.join(bits.toDF("id2", "bits2"), (F.col("lead") == F.col("id2")) & near(F.col("bits"), F.col("bits2")))
+    links = confirm(first.select(*pair("id", "lead")).distinct())
+    known = components(links, stash)
+    named = led.drop("lead").join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = named.groupBy("h").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("h")
-    named = named.join(open_, "h", "left_semi")
-    index = named.filter("own").select("h", F.col("k").alias("k2"), F.col("component").alias("c2"))
-    rest = named.join(index, "h").filter((F.col("k") != F.col("k2")) & (F.col("component") != F.col("c2"))).select(*pair("k", "k2")).distinct()
-    _, more = confirm(rest.join(tried, ["u", "v"], "left_anti"))
-    return components(links.unionByName(more), stash).withColumnRenamed("node", "k")
+    named = stash.put(named.join(open_, "h").join(bits, "id"))
+    index = named.filter("own").select("h", F.col("id").alias("id2"), F.col("component").alias("c2"), F.col("bits").alias("bits2"))
+    rest = named.join(index, (named.h == index.h) & (F.col("component") != F.col("c2")) & near(F.col("bits"), F.col("bits2"))).select(*pair("id", "id2")).distinct()
+    more = confirm(rest)
+    found = known if more.isEmpty() else components(links.unionByName(more), stash)
+    keys = distinct.select("id", "k1", "k2")
+    one = keys.join(found.withColumnRenamed("node", "id"), "id").select("k1", "k2", "component")
+    return stash.put(one.join(keys.toDF("component", "r1", "r2"), "component").select("k1", "k2", "r1", "r2"))
 
 
-def dedup_near_lines(docs: DataFrame, most: int = 2, least: int = 40, texts: bool = False) -> DataFrame:
+def dedup_near_lines(docs: DataFrame, most: int = 2, least: int = 40, exact: int = 20, texts: bool = False) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed) of every row of ``docs``; with ``texts`` the columns of ``docs`` and kept_text instead.
 
-    Lines of at least ``least`` characters in normal form (A-Z lower-cased, white space as one space)
+    Lines of at least ``least`` characters in normal form (lower-cased, white space as one space)
     that an edit distance of at most ``most`` links, directly or by others between
-    them, form a group; the first by (doc_id, place) stays, null ids first.  ``removed`` lists the
-    places of the others, from 0.  Shorter lines stay.  Null texts have no
-    lines and stay null.  Rows equal in doc_id and text are one document.
+    them, form a group; shorter lines from ``exact`` characters on are grouped with equal ones.
+    The first of a group by (doc_id, place) stays, null ids first.  ``removed`` lists the
+    places of the others, from 0.  Lines below ``exact`` characters stay.  Null texts have no
+    lines and stay null.  Rows equal in doc_id and text are one document.  Columns of ``docs`` may have any names but
+    kept_text, which is replaced.  Lines of any length are compared whole.
     """
     stash = Stash(docs.sparkSession, "edit")
-    group = stash.put(near_line_groups(docs, stash, most, least))
+    exact = min(exact, least)
+    lines = stash.put(_lines(docs, exact))
+    group = near_line_groups(lines, stash, most, least)
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "unit", "tid")
-    rows = stash.put(_lines(docs, least).select("doc_id", "tid", "unit", "k").join(group, "k", "left").select("doc_id", "tid", "unit", F.coalesce("component", "k").alias("k")))
-    first = rows.groupBy("k").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("k", "first")
-    gone = rows.join(first, "k").filter(~place.eqNullSafe(F.col("first"))).groupBy("doc_id", "tid").agg(F.sort_array(F.collect_set("unit")).alias("gone")).withColumnsRenamed({"doc_id": "__d", "tid": "__t"})
-    keyed = docs.withColumn("__tid", F.xxhash64("text"))
+    rows = lines.select("doc_id", "tid", "unit", "k1", "k2").join(group, ["k1", "k2"], "left")
+    rows = stash.put(rows.select("doc_id", "tid", "unit", F.coalesce("r1", "k1").alias("k1"), F.coalesce("r2", "k2").alias("k2")))
+    stash.drop(lines)
+    twice = rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1").select("k1", "k2")
+    shared = stash.put(rows.join(twice, ["k1", "k2"]))
+    first = shared.groupBy("k1", "k2").agg(F.min(place).alias("first"))
+    gone = shared.join(first, ["k1", "k2"]).filter(~place.eqNullSafe(F.col("first"))).groupBy("doc_id", "tid").agg(F.sort_array(F.collect_set("unit")).alias("gone"))
+    own = "__"  # no column of docs begins like ours
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    gone = stash.put(gone.toDF(f"{own}doc", f"{own}text", f"{own}gone"))
+    keyed = docs.withColumn(f"{own}tid", F.xxhash64("text"))
     if not texts:
-        keyed = keyed.select("doc_id", "__tid", F.when(F.length("text") > 0, F.size(F.split("text", "\n", -1))).otherwise(0).cast("long").alias("n_lines"))
-    both = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__tid") == F.col("__t")), "left")
+        keyed = keyed.select("doc_id", f"{own}tid", F.when(F.length("text") > 0, F.size(F.split("text", "\n", -1))).otherwise(0).cast("long").alias("n_lines"))
+    both = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col(f"{own}doc")) & (F.col(f"{own}tid") == F.col(f"{own}text")), "left")
+    lost = F.col(f"{own}gone")
     if not texts:
-        return both.select("doc_id", "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join("gone", ","), F.lit("")).alias("removed"))
+        return both.select("doc_id", "n_lines", F.coalesce(F.size(lost), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join(lost, ","), F.lit("")).alias("removed"))
     # array_contains is a scan, so the removed places go into a map first
-    lost = F.map_from_arrays("gone", F.transform("gone", lambda x: F.lit(True)))
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: F.element_at(F.col("__lost"), i.cast("long")).isNull()), "\n")
-    both = both.withColumn("__lost", lost)
-    return both.select(*docs.columns, F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("kept_text"))
+    both = both.withColumn(f"{own}lost", F.map_from_arrays(lost, F.transform(lost, lambda x: F.lit(True))))
+    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: F.element_at(F.col(f"{own}lost"), i.cast("long")).isNull()), "\n")
+    return both.select(*[c for c in docs.columns if c != "kept_text"], F.when(lost.isNull(), F.col("text")).otherwise(left).alias("kept_text"))
