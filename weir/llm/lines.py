@@ -200,7 +200,7 @@ def common_prefix(a: Column, b: Column, most_chars: int = 1 << 30) -> Column:
 def _segments(most: int) -> tuple[list[Column], list[Column]]:
     """For a line ``x`` of ``len`` characters: its own segments, and the substrings where segments of lines as long or up to ``most`` shorter may lie.
 
-    Segment i of a line of n characters starts at i * n div (most + 1).  A line longer by d keeps some segment i at a
+    Segment i of a line of n characters starts at about i * n / (most + 1).  A line longer by d keeps some segment i at a
     start that differs by no more than the edits before it and by d less those behind it.
     """
     parts = most + 1
@@ -209,7 +209,8 @@ def _segments(most: int) -> tuple[list[Column], list[Column]]:
         return F.xxhash64(size, F.lit(i), F.substring(F.col("x"), start + 1, end - begin))  # where two differ, the edit distance tells
 
     def bounds(size: Column, i: int) -> tuple[Column, Column]:
-        return F.floor(F.lit(i) * size / parts).cast("int"), F.floor(F.lit(i + 1) * size / parts).cast("int")
+        # any borders do that depend on the size alone; products keep the code small enough to be compiled
+        return (size * F.lit(i / parts)).cast("int"), (size * F.lit((i + 1) / parts)).cast("int") if i + 1 < parts else size
 
     own = [entry(F.col("len"), i, bounds(F.col("len"), i)[0], *bounds(F.col("len"), i)) for i in range(parts)]
     probes = []
@@ -233,8 +234,8 @@ def _shifts(most: int) -> Iterator[tuple[int, int, int]]:
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
     """(doc_id, tid, unit, x, len, k1, k2) of each line of at least ``least`` characters in normal form; k1 and k2 tell lines apart."""
-    text = F.lower("text")
-    text = F.when(text.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(text, r"[ \t\x0B\f\r]+", " ")).otherwise(text)
+    spaced = F.col("text").rlike(r"[\t\x0B\f\r]|  ")
+    text = F.lower(F.when(spaced, F.regexp_replace("text", r"[ \t\x0B\f\r]+", " ")).otherwise(F.col("text")))
     rows = docs.select("doc_id", F.xxhash64("text").alias("tid"), F.posexplode(F.split(text, "\n", -1)).alias("unit", "x"))
     rows = rows.select("doc_id", "tid", F.col("unit").cast("long").alias("unit"), F.trim("x").alias("x")).withColumn("len", F.length("x"))
     return rows.filter(F.col("len") >= least).withColumns({"k1": F.xxhash64("x"), "k2": F.xxhash64(F.lit(1), "x")})
@@ -261,8 +262,10 @@ def near_line_groups(lines: DataFrame, stash: Stash, most: int = 2, least: int =
     distinct = stash.put(distinct.withColumn("id", F.monotonically_increasing_id()))
     entries = distinct.select("id", F.posexplode(F.array(*names)).alias("i", "h")).filter(F.col("h").isNotNull()).select("id", "h", (F.col("i") < n_own).alias("own"))
     # the least own line of a list leads it; lists without one, or with one line, link nothing
-    lead = entries.groupBy("h").agg(F.count("*").alias("n"), F.min(F.when(F.col("own"), F.col("id"))).alias("lead"), F.max("id").alias("last"), F.min("id").alias("first"))
-    led = stash.put(entries.join(lead.filter("n > 1 and lead is not null and first < last").select("h", "lead"), "h").distinct())
+    ends = entries.groupBy("h").agg(F.min(F.when(F.col("own"), F.col("id"))).alias("lead"), F.max("id").alias("last"), F.min("id").alias("first"))
+    lead = stash.put(ends.filter("lead is not null and first < last").select("h", "lead"))
+    led = stash.put(entries.join(lead, "h").distinct())
+    stash.drop(lead)
     need = stash.put(led.select("id").distinct().join(distinct.select("id", "k1", "k2"), "id"))
     few = need.count() <= SENT_LINES
     got = lines.select("k1", "k2", "x").join(F.broadcast(need) if few else need, ["k1", "k2"])
