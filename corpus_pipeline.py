@@ -25,7 +25,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the least doc_id, of each group of near duplicates."""
-    return minhash.near_duplicates(docs, size=5, percent=80, carry=tuple(COLUMNS)).filter("kept").select(*COLUMNS)
+    text_id = F.xxhash64("text")
+    found = minhash.near_duplicates(docs.select("doc_id", "text", text_id.alias("__t")), size=5, percent=80, carry=("doc_id", "__t"))
+    stays = found.filter("kept").select(F.col("doc_id").alias("__id"), "__t").distinct()
+    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_id == F.col("__t")), "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
