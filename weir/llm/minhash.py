@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     lists = stash.put(entries.join(lead.select("value", "k", F.col("code").bitwiseAND(F.lit((1 << 50) - 1)).alias("lead")), "value"))
     short, lists = lists.filter(F.col("k") <= SHORT).select("value", "id", "n"), lists.filter(F.col("k") > SHORT)
     heavy = stash.put(lists.groupBy("id").agg(F.count("*").alias("h")))
-    lists = lists.filter("lead is not null").drop("k")
+    lists = lists.filter("lead is not null").drop("k").join(heavy, "id")
     sketches = classes.select("id", "n", "sketch")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
@@ -240,17 +240,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
         most = 1 + F.least(n - p - 1, m - q - 1)
         return 100 * most >= percent * (n + m - most)
 
-    # Short lists pair by pair: sets that are similar have so many retained values in common, of which long lists can hold h.
+    # Sets that are similar have so many retained values in common.  Short lists go pair by pair; long lists can hold h more,
+    # and where no short list has a pair they must hold them all.
+    shared = part(n + m, percent, 100 + percent) + 1 - part(F.greatest(n, m), percent, 100)
+    held = F.least("h", "h2") >= shared
     twin = short.select("value", F.col("id").alias("id2"), n.alias("m"))
     met = short.join(twin, (short.value == twin.value) & (F.col("id") > F.col("id2")) & fits)
     met = met.groupBy(F.col("id").alias("u"), F.col("id2").alias("v"), n, m).agg(F.count("*").alias("votes"))
     for c in ("u", "v"):
         met = met.join(heavy.toDF(c, f"h{c}"), c, "left")
-    shared = part(n + m, percent, 100 + percent) + 1 - part(F.greatest(n, m), percent, 100)
     met = stash.put(met.filter(F.col("votes") + F.least(F.coalesce("hu", F.lit(0)), F.coalesce("hv", F.lit(0))) >= shared).select("u", "v", "votes"))
 
     # each class with the partner that most of its lists name: overlaps are counted before anything is compared
-    told = lists.filter("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("votes"))
+    told = lists.filter("id <> lead").groupBy("id", "lead", "n", "h").agg(F.count("*").alias("votes"))
+    told = told.join(classes.select("id", "n").join(heavy, "id").toDF("lead", "m", "h2"), "lead").filter(fits & held).select("id", "lead", "votes")
     sides = [met.select(F.col(x).alias("id"), F.col(y).alias("lead"), "votes") for x, y in ("uv", "vu")]
     best = told.unionByName(sides[0]).unionByName(sides[1]).groupBy("id").agg(F.max(F.struct("votes", (-F.col("lead")).alias("lead"))).alias("best")).select("id", (-F.col("best.lead")).alias("lead"))
     links, tried = confirm(best.select(*pair("id", "lead")).distinct())
@@ -274,8 +277,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
         lists = open_lists(known)
         rank = F.struct("pos" if not r else F.xxhash64("value", "id", F.lit(r)).alias("h"), "id")
         lead = lists.filter("own").groupBy("value").agg(F.min(rank).alias("lead")).select("value", F.col("lead.id").alias("id"))
-        lead = lists.join(lead, ["value", "id"]).select("value", F.col("id").alias("lead"), n.alias("m"), pos.alias("q"), F.col("component").alias("c2"))
-        new = lists.join(lead, "value").filter((F.col("component") != F.col("c2")) & fits & reach(pos, F.col("q")))
+        lead = lists.join(lead, ["value", "id"]).select("value", F.col("id").alias("lead"), n.alias("m"), F.col("h").alias("h2"), pos.alias("q"), F.col("component").alias("c2"))
+        new = lists.join(lead, "value").filter((F.col("component") != F.col("c2")) & fits & held & reach(pos, F.col("q")))
         new = new.groupBy(*pair("id", "lead"), F.least("component", "c2").alias("a"), F.greatest("component", "c2").alias("b")).agg(F.count("*").alias("votes"))
         new = new.join(tried, ["u", "v"], "left_anti").unionByName(open_pairs(known)).groupBy("a", "b").agg(F.max(F.struct("votes", "u", "v")).alias("best")).select("best.u", "best.v")
         more, also = confirm(new)
@@ -286,9 +289,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     # what is left: the pairs of a list in different components, the smaller set by its first values
     known = components(links, stash)
     named = open_lists(known)
-    other = named.filter("own").select("value", F.col("id").alias("id2"), n.alias("m"), pos.alias("q"), F.col("component").alias("c2"))
+    other = named.filter("own").select("value", F.col("id").alias("id2"), n.alias("m"), F.col("h").alias("h2"), pos.alias("q"), F.col("component").alias("c2"))
     smaller = (m < n) | ((m == n) & (F.col("id2") < F.col("id")))
-    rest = named.join(other, (named.value == other.value) & smaller & (F.col("component") != F.col("c2")) & fits & reach(pos, F.col("q")))
+    rest = named.join(other, (named.value == other.value) & smaller & (F.col("component") != F.col("c2")) & fits & held & reach(pos, F.col("q")))
     rest = rest.select(*pair("id", "id2")).distinct().join(tried, ["u", "v"], "left_anti").unionByName(open_pairs(known).select("u", "v"))
     more, _ = confirm(rest.distinct())
     found = known if more.isEmpty() else components(links.unionByName(more), stash)
