@@ -24,6 +24,8 @@ from weir.llm.components import components
 
 #: Lines whose texts are fetched by a broadcast of their keys (24 bytes each); more are joined by shuffle.
 SENT_LINES = 400_000
+#: Lists of two lines or more that are sent to the entries (16 bytes each); more are joined by shuffle.
+SENT_LISTS = 500_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 #: What ends a unit belongs to it, so the units of a text are the text.
 _UNITS = {
@@ -264,8 +266,8 @@ def near_line_groups(lines: DataFrame, stash: Stash, most: int = 2, least: int =
     # the least own line of a list leads it; lists without one, or with one line, link nothing
     ends = entries.groupBy("h").agg(F.min(F.when(F.col("own"), F.col("id"))).alias("lead"), F.max("id").alias("last"), F.min("id").alias("first"))
     lead = stash.put(ends.filter("lead is not null and first < last").select("h", "lead"))
-    led = stash.put(entries.join(lead, "h").distinct())
-    stash.drop(lead)
+    short = lead.count() <= SENT_LISTS
+    led = stash.put(entries.join(F.broadcast(lead) if short else lead, "h"))
     need = stash.put(led.select("id").distinct().join(distinct.select("id", "k1", "k2"), "id"))
     few = need.count() <= SENT_LINES
     got = lines.select("k1", "k2", "x").join(F.broadcast(need) if few else need, ["k1", "k2"])
