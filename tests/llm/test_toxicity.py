@@ -42,6 +42,48 @@ def test_pairs_count_beyond_their_terms():
     assert m.score("grob gruppe") > 0.7 > 0.3 > max(m.score("grob"), m.score("gruppe"))
 
 
+def hashed(words):
+    return np.array(sorted(toxicity.bucket(w) for w in words), dtype=np.int64)
+
+
+def test_neutral_terms_that_interact():
+    """Neither term tells anything alone: toxic where exactly one of them is there."""
+    rnd, rows, labels = random.Random(4), [], []
+    plain = [f"wort{i}" for i in range(60)]
+    for k in range(2400):
+        a, b = k % 2, k // 2 % 2
+        rows.append(hashed({*rnd.sample(plain, 12), *(["links"] if a else []), *(["rechts"] if b else [])}))
+        labels.append(int(a != b))
+    m = toxicity.fit(rows, np.array(labels))
+    assert min(m.score("links"), m.score("rechts")) > 0.7 > 0.3 > max(m.score("links rechts"), m.score("wort1"))
+
+
+def test_insult_with_group(spark):
+    """The insult is toxic in 45 % of its rows alone and in 95 % with a group; the group by itself never is."""
+    rnd, rows, labels = random.Random(5), [], []
+    plain = [f"wort{i}" for i in range(60)]
+    for _ in range(4000):
+        a, b = rnd.random() < 0.2, rnd.random() < 0.5
+        rows.append(hashed({*rnd.sample(plain, 12), *(["grob"] if a else []), *(["gruppe"] if b else [])}))
+        labels.append(int(a and rnd.random() < (0.95 if b else 0.45)))
+    m = toxicity.fit(rows, np.array(labels))
+    assert m.place.keys() >= {toxicity.bucket("grob"), toxicity.bucket("gruppe")}
+    assert m.score("grob gruppe") - m.score("grob") > 0.1 and m.score("gruppe") < 0.2
+    dealt = toxicity.fit(rows, np.array(labels), spark=spark, tasks=5)
+    assert dealt.place == m.place and np.array_equal(dealt.vectors, m.vectors)
+
+
+def test_pairs_in_one_pass_match_plain_sum():
+    rng = np.random.Generator(np.random.PCG64(1))
+    words = [f"w{i}" for i in range(30)]
+    buckets = [toxicity.bucket(w) for w in words]
+    m = toxicity.Machine(np.array(buckets), -0.3, rng.normal(size=30), rng.normal(size=(30, 3)))
+    for size in (0, 1, 2, 9, 30):
+        own = rng.choice(30, size, replace=False)
+        z = m.bias + sum(m.weights[i] for i in own) + sum(m.vectors[i] @ m.vectors[j] for i in own for j in own if i < j)
+        assert abs(m.score(" ".join(words[i].upper() for i in [*own, *own]) + " fremd") - 1 / (1 + np.exp(-z))) < 1e-12
+
+
 def test_without_labels(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")

@@ -5,8 +5,10 @@ buckets; a text is the set of its buckets.  The model is a bias, a weight for
 each bucket and a short vector for each bucket whose dot products are the
 weights of pairs, so a pair such as an insult with a group's name counts
 beyond what either adds alone.  It is fitted on a bounded sample of labelled
-rows (``max_rows``, by hash of doc_id) with the ``max_terms`` buckets whose document
-frequency differs most between the labels; scoring reads all of every text.
+rows (``max_rows``, by hash of doc_id).  A bucket enters by itself, where its document frequency
+differs between the labels, or by a pair, where the rows that hold both are toxic
+more or less often than the terms alone explain, though each may be neutral.
+Scoring reads all of every text.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HASH_BITS = 26
@@ -59,34 +61,54 @@ class Machine:
         return 1.0 / (1.0 + float(np.exp(-np.clip(z, -500, 500))))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, max_terms: int = 512, factors: int = 4, rounds: int = 400, least: int = 4, z_least: float = 4.0, ridge: float = 3e-5, weight: float = 4.0, seed: int = 7) -> Machine:
-    """Chooses terms by the z-score of their document frequencies and fits by Adam on the log loss; positive rows count ``weight`` times."""
-    labels = np.asarray(labels, dtype=np.float64)
-    n, pos = len(rows), float(labels.sum())
-    prior = (pos + 0.5) / (n + 1)
-    bias = float(np.log(prior / (1 - prior)))
-    none = Machine(np.empty(0, np.int64), bias, np.empty(0), np.empty((0, factors)))
-    if not n or not 0 < pos < n:
-        return none
-    flat = np.concatenate([*rows, np.empty(0, np.int64)])
-    who = np.repeat(np.arange(n), [len(r) for r in rows])
-    ids, inv = np.unique(flat, return_inverse=True)
-    df = np.bincount(inv, minlength=len(ids))
-    dp = np.bincount(inv, weights=labels[who], minlength=len(ids))
-    p = (df + 1) / (n + 2)
-    z = (dp / pos - (df - dp) / (n - pos)) / np.sqrt(p * (1 - p) * (1 / pos + 1 / (n - pos)))
-    ok = np.flatnonzero((np.abs(z) >= z_least) & (df >= least))
-    ok = ok[np.lexsort((ids[ok], -np.abs(z[ok])))][:max_terms]
-    if not len(ok):
-        return none
-    new = np.full(len(ids), -1)
-    new[ok] = np.arange(len(ok))
-    hit = new[inv] >= 0
-    x = np.zeros((n, len(ok)), dtype=np.float32)
-    x[who[hit], new[inv][hit]] = 1
+def interacting(start: np.ndarray, at: np.ndarray, labels: np.ndarray, chance: np.ndarray, among: np.ndarray, nats: float) -> set[int]:
+    """Terms of the pairs, one of them in ``among``, whose rows are toxic more or less often than ``chance`` of each row explains.
+
+    Row k holds the terms ``at[start[k]:start[k + 1]]`` in ascending order.  A pair counts where the
+    likelihood ratio of its rows, a bound of how probable such a share is by chance, reaches ``nats``.
+    """
+    who = np.repeat(np.arange(len(start) - 1), np.diff(start))
+    order = np.argsort(at, kind="stable")
+    of = at[order]
+    out: set[int] = set()
+    for i in among:
+        pos = order[np.searchsorted(of, i) : np.searchsorted(of, i, side="right")]
+        begin = start[who[pos]]
+        size = pos - begin  # terms of the row below i: each pair is met once
+        if not size.sum():
+            continue
+        place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        j, row = at[place], np.repeat(who[pos], size)
+        n = np.bincount(j).astype(np.float64)
+        x, e = np.bincount(j, weights=labels[row]), np.bincount(j, weights=chance[row])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = np.where(x > 0, x * np.log(x / e), 0) + np.where(n > x, (n - x) * np.log((n - x) / (n - e)), 0)
+        hit = np.flatnonzero((n > 0) & (gain >= nats))
+        if len(hit):
+            out.update([int(i), *hit.tolist()])
+    return out
+
+
+def _interacting_on(spark: SparkSession, tasks: int, start, at, labels, chance, count: int, nats: float) -> set[int]:
+    """The same for all ``count`` terms, dealt over tasks; the sample is bounded, so each task is sent the whole of it."""
+    sent = spark.sparkContext.broadcast((start, at, labels, chance))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column("id").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(interacting(*sent.value, np.arange(t, count, tasks), nats)), pa.int32())], names=["term"])
+
+    found = {r.term for r in spark.range(0, tasks, 1, tasks).mapInArrow(run, "term int").distinct().collect()}
+    sent.unpersist()
+    return found
+
+
+def _descend(x: np.ndarray, labels: np.ndarray, bias: float, factors: int, rounds: int, ridge: float, weight: float, seed: int) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """Bias, weights and vectors by Adam on the log loss, and the score of each row before the logistic."""
+    n = len(labels)
     scale = (np.where(labels > 0, weight, 1.0) / n).astype(np.float32)
     rng = np.random.Generator(np.random.PCG64(seed))
-    par = [np.array([bias]), np.zeros(len(ok)), rng.normal(0, 0.01, (len(ok), factors))]
+    par = [np.array([bias]), np.zeros(x.shape[1]), rng.normal(0, 0.01, (x.shape[1], factors))]
     mom = [[np.zeros_like(a), np.zeros_like(a)] for a in par]
     for t in range(1, rounds + 1):
         b, w, v = par
@@ -99,7 +121,61 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, max_terms: int = 512, factor
             m[0] = 0.9 * m[0] + 0.1 * g
             m[1] = 0.999 * m[1] + 0.001 * g * g
             a -= 0.05 * (m[0] / (1 - 0.9**t)) / (np.sqrt(m[1] / (1 - 0.999**t)) + 1e-8)
-    return Machine(ids[ok], float(par[0][0]), par[1], par[2])
+    return float(par[0][0]), par[1], par[2], zed.astype(np.float64)
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, rounds: int = 400, least: int = 4, z_least: float = 4.0, ridge: float = 3e-5, weight: float = 4.0, seed: int = 7, spark: SparkSession | None = None, tasks: int = 32) -> Machine:
+    """Chooses terms and fits the machine; positive rows count ``weight`` times.
+
+    The first machine has the terms whose document frequency differs between the labels by
+    ``z_least``.  Then every pair of terms is held against what that machine expects of its rows;
+    terms of pairs that differ beyond chance (one pair in 20 such samples) join, and a second
+    machine is fitted.  With ``spark`` the pairs are dealt over ``tasks`` tasks.
+    """
+    labels = np.asarray(labels, dtype=np.float64)
+    n, pos = len(rows), float(labels.sum())
+    prior = (pos + 0.5) / (n + 1)
+    bias = float(np.log(prior / (1 - prior)))
+    none = Machine(np.empty(0, np.int64), bias, np.empty(0), np.empty((0, factors)))
+    if not n or not 0 < pos < n:
+        return none
+    flat = np.concatenate([*rows, np.empty(0, np.int64)])
+    who = np.repeat(np.arange(n), [len(r) for r in rows])
+    ids, inv = np.unique(flat, return_inverse=True)
+    df = np.bincount(inv, minlength=len(ids))
+    dp = np.bincount(inv, weights=labels[who], minlength=len(ids))
+    p = (df + 1) / (n + 2)
+    z = (dp / pos - (df - dp) / (n - pos)) / np.sqrt(p * (1 - p) * (1 / pos + 1 / (n - pos)))
+
+    def machine(ok: np.ndarray) -> tuple[Machine, np.ndarray]:
+        new = np.full(len(ids), -1)
+        new[ok] = np.arange(len(ok))
+        hit = new[inv] >= 0
+        x = np.zeros((n, len(ok)), dtype=np.float32)
+        x[who[hit], new[inv][hit]] = 1
+        b, w, v, zed = _descend(x, labels, bias, factors, rounds, ridge, weight, seed)
+        return Machine(ids[ok], b, w, v), zed
+
+    main = np.flatnonzero((np.abs(z) >= z_least) & (df >= least))
+    first, chance = none, np.full(n, pos / n)
+    if len(main):
+        first, zed = machine(main)
+        odds = np.exp(np.clip(zed, -30, 30)) / weight  # without the weight of positive rows
+        chance = odds / (1 + odds)
+
+    nats = float(np.log(20.0 * max(1, int((df >= least).sum())) ** 2 / 2))
+    common = np.flatnonzero(df >= max(least, nats / np.log(n / pos)))  # fewer rows, all toxic, could not show against the prior
+    place = np.full(len(ids), -1)
+    place[common] = np.arange(len(common))
+    keep = place[inv] >= 0
+    at = place[inv][keep].astype(np.int32)
+    start = np.concatenate([[0], np.cumsum(np.bincount(who[keep], minlength=n))])
+    sample = (start, at, labels, chance)
+    found = interacting(*sample, np.arange(len(common)), nats) if spark is None else _interacting_on(spark, tasks, *sample, len(common), nats)
+    both = np.union1d(main, common[sorted(found)]).astype(np.int64)
+    if len(both) == len(main):
+        return first
+    return machine(both)[0]
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,12 +188,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12000, **how) -> M
     """Texts of ``docs`` (doc_id, text) with labels (doc_id, label) -> model.
 
     Uses the ``max_rows`` labels with the smallest hash of doc_id, few enough to be sent to
-    every task, so no text is shuffled; null labels are left out.
+    every task, so no text is shuffled; null labels are left out.  ``how`` goes to ``fit``.
     """
     some = labels.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("label").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
     got = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "label").mapInArrow(_hashed, "terms array<int>, label int").collect()
     got.sort(key=lambda r: (r.label, len(r.terms), r.terms))
-    return fit([np.array(r.terms, dtype=np.int64) for r in got], np.array([r.label for r in got]), **how)
+    return fit([np.array(r.terms, dtype=np.int64) for r in got], np.array([r.label for r in got]), **{"spark": docs.sparkSession} | how)
 
 
 def held_out(doc_id: Column) -> Column:
