@@ -61,11 +61,11 @@ class Machine:
         return 1.0 / (1.0 + float(np.exp(-np.clip(z, -500, 500))))
 
 
-def interacting(start: np.ndarray, at: np.ndarray, labels: np.ndarray, chance: np.ndarray, among: np.ndarray, nats: float) -> set[int]:
+def interacting(start: np.ndarray, at: np.ndarray, labels: np.ndarray, chance: np.ndarray, among: np.ndarray, nats: float, least: int) -> set[int]:
     """Terms of the pairs, one of them in ``among``, whose rows are toxic more or less often than ``chance`` of each row explains.
 
     Row k holds the terms ``at[start[k]:start[k + 1]]`` in ascending order.  A pair counts where the
-    likelihood ratio of its rows, a bound of how probable such a share is by chance, reaches ``nats``.
+    likelihood ratio of its rows, a bound of how probable such a share is by chance, reaches ``nats``, in ``least`` rows or more.
     """
     who = np.repeat(np.arange(len(start) - 1), np.diff(start))
     order = np.argsort(at, kind="stable")
@@ -73,30 +73,37 @@ def interacting(start: np.ndarray, at: np.ndarray, labels: np.ndarray, chance: n
     out: set[int] = set()
     for i in among:
         pos = order[np.searchsorted(of, i) : np.searchsorted(of, i, side="right")]
-        begin = start[who[pos]]
-        size = pos - begin  # terms of the row below i: each pair is met once
-        if not size.sum():
+        row = who[pos]
+        toxic = int(labels[row].sum())
+        first = np.argsort(-labels[row], kind="stable")  # toxic rows first
+        pos, row = pos[first], row[first]
+        size = pos - start[row]  # terms of the row below i: each pair is met once
+        ends = np.cumsum(size)
+        if not len(ends) or not ends[-1]:
             continue
-        place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        j, row = at[place], np.repeat(who[pos], size)
-        n = np.bincount(j).astype(np.float64)
-        x, e = np.bincount(j, weights=labels[row]), np.bincount(j, weights=chance[row])
+        j = at[np.repeat(start[row] - (ends - size), size) + np.arange(ends[-1])]
+        cut = ends[toxic - 1] if toxic else 0
+        x = np.bincount(j[:cut], minlength=i)
+        n = x + np.bincount(j[cut:], minlength=i)
+        seen = np.flatnonzero(n >= least)
+        e = np.bincount(j, weights=np.repeat(chance[row], size), minlength=i)[seen]
+        x, n = x[seen].astype(np.float64), n[seen].astype(np.float64)
         with np.errstate(divide="ignore", invalid="ignore"):
             gain = np.where(x > 0, x * np.log(x / e), 0) + np.where(n > x, (n - x) * np.log((n - x) / (n - e)), 0)
-        hit = np.flatnonzero((n > 0) & (gain >= nats))
+        hit = seen[gain >= nats]
         if len(hit):
             out.update([int(i), *hit.tolist()])
     return out
 
 
-def _interacting_on(spark: SparkSession, tasks: int, start, at, labels, chance, count: int, nats: float) -> set[int]:
+def _interacting_on(spark: SparkSession, tasks: int, start, at, labels, chance, count: int, nats: float, least: int) -> set[int]:
     """The same for all ``count`` terms, dealt over tasks; the sample is bounded, so each task is sent the whole of it."""
     sent = spark.sparkContext.broadcast((start, at, labels, chance))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for t in b.column("id").to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(sorted(interacting(*sent.value, np.arange(t, count, tasks), nats)), pa.int32())], names=["term"])
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(interacting(*sent.value, np.arange(t, count, tasks), nats, least)), pa.int32())], names=["term"])
 
     found = {r.term for r in spark.range(0, tasks, 1, tasks).mapInArrow(run, "term int").distinct().collect()}
     sent.unpersist()
@@ -168,10 +175,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, rounds: in
     place = np.full(len(ids), -1)
     place[common] = np.arange(len(common))
     keep = place[inv] >= 0
-    at = place[inv][keep].astype(np.int32)
+    at = place[inv][keep]
     start = np.concatenate([[0], np.cumsum(np.bincount(who[keep], minlength=n))])
     sample = (start, at, labels, chance)
-    found = interacting(*sample, np.arange(len(common)), nats) if spark is None else _interacting_on(spark, tasks, *sample, len(common), nats)
+    found = interacting(*sample, np.arange(len(common)), nats, least) if spark is None else _interacting_on(spark, tasks, *sample, len(common), nats, least)
     both = np.union1d(main, common[sorted(found)]).astype(np.int64)
     if len(both) == len(main):
         return first
