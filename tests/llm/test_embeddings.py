@@ -45,6 +45,7 @@ def test_links_match_brute_force(spark):
     assert sum(r[1] for r in got) >= 0.99 * sum(r[1] for r in want)
     found, there = embeddings.audit(df.where("vec_id < 1000"), res, every=10)
     assert there and found >= 0.9 * there
+    assert embeddings.audit(df.where("vec_id < 1000"), res, every=10, at_once=7) == (found, there)
     assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 

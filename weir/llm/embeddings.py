@@ -297,11 +297,22 @@ def _compared(blocks: DataFrame, single: DataFrame, tags: DataFrame, k: int, lea
     return full.repartition("block").sortWithinPartitions("block").mapInArrow(_best(k, least), "u long, v long, sim float, kind int")
 
 
-def audit(vectors: DataFrame, result: DataFrame, every: int = 100, least: float = 0.9) -> tuple[int, int]:
-    """(links found, links there are) of the rows whose vec_id is divisible by ``every``, against all rows."""
+def audit(vectors: DataFrame, result: DataFrame, every: int = 100, least: float = 0.9, at_once: int = 5_000) -> tuple[int, int]:
+    """(links found, links there are) of all rows whose vec_id is divisible by ``every``, against all rows; ``at_once`` queries or so are sent at a time."""
     ask = vectors.filter(F.pmod("vec_id", F.lit(every)) == 0).select("vec_id", "embedding")
-    queries = [(r.vec_id, _unit(r.embedding)) for r in ask.limit(10_000).collect()]
-    queries = [(i, u) for i, u in queries if u is not None]
+    parts = max(1, -(-ask.count() // at_once))
+    found = there = 0
+    for part in range(parts):
+        some = ask.filter(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part)
+        queries = [(r.vec_id, u) for r in some.collect() if (u := _unit(r.embedding)) is not None]
+        total = vectors.mapInArrow(_linked(queries, least), "vec_id long, there long").groupBy("vec_id").agg((F.sum("there") - 1).alias("there"))
+        got = result.join(total, "vec_id").agg(F.sum("n_links"), F.sum("there")).first()
+        found, there = found + (got[0] or 0), there + (got[1] or 0)
+    return found, there
+
+
+def _linked(queries: list[tuple[int, np.ndarray]], least: float):
+    """How many rows of a partition each query links with, itself included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, int] = {}
@@ -314,6 +325,4 @@ def audit(vectors: DataFrame, result: DataFrame, every: int = 100, least: float
                         total[i] = total.get(i, 0) + int((m @ q >= least).sum())
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["vec_id", "there"])
 
-    there = vectors.mapInArrow(run, "vec_id long, there long").groupBy("vec_id").agg((F.sum("there") - 1).alias("there"))
-    got = result.join(there, "vec_id").agg(F.sum("n_links"), F.sum("there")).first()
-    return got[0] or 0, got[1] or 0
+    return run
