@@ -3,7 +3,9 @@
 Equal vectors form a class that is compared once.  Neighbour lists start from
 a forest of random hyperplane codes: classes with one code are compared in
 blocks of bounded size.  Rounds refine them: neighbours of a class, in either direction, are
-compared with each other, and the best stay, until no list changes.  Lists are
+compared with each other, and the best stay, until ``patience`` rounds in a row join no
+labels or no list changes: as each label is compared within itself at the end, a round
+that joins none adds no link.  Lists are
 bounded, links are not: whatever passes the threshold in a block joins its two labels,
 through a spanning forest of the block, confirmed in double precision.  A class whose list
 passes throughout also lists its nearest under other labels, so that the
@@ -192,7 +194,7 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
     return one.withColumn("rank", F.row_number().over(W.partitionBy("u").orderBy(F.desc("sim"), "v"))).filter(F.col("rank") <= k).drop("rank")
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int = 10, leaf: int = 128, block: int = 256, seed: int = 5) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int = 10, leaf: int = 128, block: int = 256, seed: int = 5, patience: int = 2) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding).
 
     Links have a cosine of at least ``least``; vectors of other lengths, null,
@@ -245,7 +247,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int
     tags = tagged(graph)
     asking = blocks.join(tags.filter("wants").select("cls"), "cls", "left_semi").select("block").distinct()
     beyond = stash.put(_top(_kind(_compared(blocks.join(asking, "block", "left_semi"), single, tags, k, least), BEYOND), k))
-    seen = None
+    seen, quiet = None, 0
     while True:
         ways = [_top(x.unionByName(x.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim")), 2 * k) for x in (graph, beyond)]
         lists = stash.put(ways[0].unionByName(ways[1]).select(F.col("u").alias("block"), F.col("v").alias("cls")).distinct())
@@ -254,9 +256,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int
         if changed.isEmpty():
             break
         new = stash.put(_compared(lists.join(changed.select("block"), "block", "left_semi"), single, tags, k, least))
-        old = graph, beyond, tags, lists
-        graph = stash.put(_top(_kind(new, LIST).unionByName(graph), k))
+        old, before = (graph, beyond, tags, lists), label
         label = merged(new)
+        quiet = quiet + 1 if label is before else 0
+        if quiet == patience:
+            break
+        graph = stash.put(_top(_kind(new, LIST).unionByName(graph), k))
         beyond = stash.put(_top(apart(_kind(new, BEYOND).unionByName(beyond)), k))
         tags = tagged(graph)
         seen = marks
