@@ -5,7 +5,8 @@ a forest of random hyperplane codes: classes with one code are compared in
 blocks of bounded size.  Rounds refine them: neighbours of a class, in either direction, are
 compared with each other, and the best stay, until ``patience`` rounds in a row join no
 labels or no list changes: as each label is compared within itself at the end, a round
-that joins none adds no link.  Lists are
+that joins none adds no link.  The forest grows with the table, so that it misses a pair at
+the threshold equally often at every size.  Lists are
 bounded, links are not: whatever passes the threshold in a block joins its two labels,
 through a spanning forest of the block, confirmed in double precision.  A class whose list
 passes throughout also lists its nearest under other labels, so that the
@@ -16,6 +17,7 @@ are complete whatever its size.  ``audit`` measures recall against all pairs of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -194,12 +196,13 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
     return one.withColumn("rank", F.row_number().over(W.partitionBy("u").orderBy(F.desc("sim"), "v"))).filter(F.col("rank") <= k).drop("rank")
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int = 10, leaf: int = 128, block: int = 256, seed: int = 5, patience: int = 2) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int = 10, leaf: int = 128, block: int = 256, seed: int = 5, miss: float = 0.05, patience: int = 2) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding).
 
     Links have a cosine of at least ``least``; vectors of other lengths, null,
     zero and empty ones and those with null or non-finite components have none.
-    Rows with one vec_id are vectors of their own.  n_links counts the other rows.
+    ``trees`` is the least number of trees; more are taken where a pair at the threshold
+    would share no leaf with a chance above ``miss``.  Rows with one vec_id are vectors of their own.  n_links counts the other rows.
     """
     spark = vectors.sparkSession
     stash = Stash(spark, "descent")
@@ -208,6 +211,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int
     classes = stash.put(rows.filter(F.col("unit").isNotNull()).groupBy("cls").agg(F.first("unit").alias("unit"), F.count("*").alias("times"), F.min("vec_id").alias("least")))
     n = classes.count()
     depth = max(0, int(np.ceil(np.log2(max(1, n) / leaf))))
+    if depth:
+        together = (1 - math.acos(least) / math.pi) ** depth
+        trees = max(trees, math.ceil(math.log(miss) / math.log1p(-together)))
     single = stash.put(classes.select("cls", "unit").mapInArrow(_single, "cls long, unit binary"))
 
     codes = stash.put(classes.select("cls", "unit").mapInArrow(_codes(trees, depth, seed), "cls long, code string"))
