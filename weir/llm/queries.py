@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, embeddings, lines, lm, minhash, mixing, quality, suffix, toxicity
+from weir.llm import bpe, embeddings, exact, lines, lm, minhash, mixing, quality, spelling, suffix, toxicity, whitening
 from weir.llm.common import documents
 
 
@@ -49,7 +49,25 @@ def op10_segment_edit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_near_lines(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_pivotal, op2_minhash_bottom_k, op3_line_hash, op4_suffix_family, op5_bpe_tree, op6_robust_quality, op7_nn_descent, op8_ppm_score, op9_factorization_toxicity, op10_segment_edit_lines)}
+def op11_spelling_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir), typo=31)
+
+
+def op12_gramian_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_streaming_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.dedup_exact(spark, f"{sf_dir}/documents.parquet")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_pivotal, op2_minhash_bottom_k, op3_line_hash, op4_suffix_family, op5_bpe_tree, op6_robust_quality, op7_nn_descent, op8_ppm_score,
+        op9_factorization_toxicity, op10_segment_edit_lines, op11_spelling_dictionaries, op12_gramian_whitening, op13_streaming_exact,
+    )
+}
 ORACLE: dict[str, str] = {
     "op2_minhash_bottom_k": r"""
         WITH RECURSIVE w AS (
@@ -108,4 +126,9 @@ ORACLE: dict[str, str] = {
                coalesce(f.removed, '') AS removed, coalesce(f.kept_md5, md5('')) AS kept_md5
         FROM documents o LEFT JOIN f USING (doc_id)
     """,
+    "op13_streaming_exact": """
+        WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+        SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256 FROM n JOIN g USING (t)
+    """,
 }
