@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from weir.llm.common import Stash, lower_ascii
 
-#: Settings of the stream: state on the executors' disks, copied to the checkpoint as changes.
+#: Settings of the stream: state on the executors' disks, copied to the checkpoint as changes; files take no more room there than they fill.
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
