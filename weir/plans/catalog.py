@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weir.functions import messages as M
 from weir.functions import text as X
+from weir.functions.template import ProgramTemplate
 from weir.operators import generate, pack, quality, relational
 from weir.sources.shared import fresh_path
 
@@ -157,6 +158,55 @@ def render_dpo(spark, d):
     return M.render_chat(_pairs(spark, d), "dpo", auto_system=False).select("conv_id", "text_prompt", "text_chosen", "text_rejected")
 
 
+ROLES_PROGRAM = """{% for message in messages %}
+{% if message['role'] in ['system', 'user', 'assistant'] %}
+{{ '<|' + message['role'] + '|>\n' + message['content'] + eos_token }}
+{% endif %}
+{% if loop.last and add_generation_prompt %}
+{{ '<|assistant|>' }}
+{% endif %}
+{% endfor %}"""
+CHATML_PROGRAM = """{%- for message in messages -%}
+    {%- if loop.first and messages[0]['role'] != 'system' -%}
+        {{ '<|im_start|>system\nBe brief.<|im_end|>\n' }}
+    {%- endif -%}
+    {{ '<|im_start|>' ~ message.role ~ '\n' ~ message.content ~ '<|im_end|>\n' }}
+{%- endfor -%}
+{%- if add_generation_prompt -%} {{- '<|im_start|>assistant\n' -}} {%- endif -%}"""
+INST_PROGRAM = """{% if messages[0]['role'] == 'system' %}
+{% set system = messages[0]['content'] | trim %}{% set turns = messages[1:] %}
+{% else %}
+{% set system = false %}{% set turns = messages %}
+{% endif %}
+{% for turn in turns %}
+{% if (turn['role'] == 'user') != (loop.index0 % 2 == 0) %}{{ raise_exception('user and assistant must alternate') }}{% endif %}
+{% set content = '<<SYS>>\n' + system + '\n<</SYS>>\n\n' + turn.content if loop.first and system != false else turn.content %}
+{% if turn.role == 'user' %}
+{{- bos_token + '[INST] ' + content.strip() + ' [/INST]' -}}
+{% else %}
+{{- ' ' ~ turn.content | trim ~ ' ' ~ eos_token -}}
+{% endif %}
+{% endfor %}"""
+
+
+def render_roles_program(spark, d):
+    """A template program of the kind that tokenizers carry, in place of the table of roles; one line end follows what is printed last."""
+    return M.render_chat(_convs(spark, d), "generation", ProgramTemplate(ROLES_PROGRAM)).select("conv_id", "text")
+
+
+def render_chatml_program(spark, d):
+    return M.render_chat(_convs(spark, d), "generation", ProgramTemplate(CHATML_PROGRAM), auto_system=False).select("conv_id", "text")
+
+
+def render_inst_program(spark, d):
+    return M.render_chat(_convs(spark, d), "sft", ProgramTemplate(INST_PROGRAM), auto_system=False).select("conv_id", "text")
+
+
+def render_orpo_program(spark, d):
+    """Preference rows by a program: prompt, and the last turn of either side."""
+    return M.render_chat(_pairs(spark, d), "orpo", ProgramTemplate(CHATML_PROGRAM), auto_system=False).select("conv_id", "text_prompt", "text_chosen", "text_rejected")
+
+
 def parse_conversation(spark, d):
     lines = F.concat_ws("\n", F.transform(F.filter("messages", lambda x: x["role"] != "system"), lambda x: F.concat(x["role"], F.lit(": "), x["content"])))
     m = M.parse_conversation(lines, "user:", "assistant:")
@@ -296,7 +346,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         curate_documents, normalize_ws, strip_lines, token_count, dedup_text, dedup_sequential, dedup_conversation, phrase_filter, roman_filter, lid_filter,
-        identify_language, glue, assistant_text, insert_system, render_sft, render_generation, render_rm, render_dpo, parse_conversation, answer_prompts,
+        identify_language, glue, assistant_text, insert_system, render_sft, render_generation, render_rm, render_dpo,
+        render_roles_program, render_chatml_program, render_inst_program, render_orpo_program, parse_conversation, answer_prompts,
         translate_prompts, converse_prompts, persona_bucket, answer_echo, resume_antijoin, ledger_union, ledger_pivot, merge_original, failure_report,
         merge_revisions, mix, shuffle_md5, first_n, select_sorted, unpivot_columns, tokenize, pack_blocks, prepare_clm, prepare_chat, scoreboard, scoreboard_compat,
         checkpoint_series,
@@ -325,6 +376,8 @@ _LIT = "'<|' || role || '|>' || chr(10) || {} || '</s>' || chr(10)"
 _ROLES = "role IN ('system', 'user', 'assistant')"
 _RENDER = "coalesce(string_agg(CASE WHEN " + _ROLES + " THEN " + _LIT + " ELSE '' END, '' ORDER BY turn), '')"
 _EMPTY_SYSTEM = "CASE WHEN arg_min(role, turn) <> 'system' THEN '<|system|>' || chr(10) || '</s>' || chr(10) ELSE '' END"
+_IM = "'<|im_start|>' || role || chr(10) || {} || '<|im_end|>' || chr(10)"
+_BRIEF = "'<|im_start|>system' || chr(10) || 'Be brief.<|im_end|>' || chr(10)"
 _LASTS = "(SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations)"
 _WORSE = "CASE WHEN turn = last THEN replace(text, 'e', '_') ELSE text END"
 
@@ -392,6 +445,20 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, coalesce(string_agg({_LIT.format('text')}, '' ORDER BY turn) FILTER (WHERE turn < last), '') AS text_prompt,
                string_agg({_LIT.format('text')}, '') FILTER (WHERE turn = last) AS text_chosen,
                string_agg({_LIT.format("replace(text, 'e', '_')")}, '') FILTER (WHERE turn = last) AS text_rejected FROM {_LASTS} GROUP BY conv_id""",
+    "render_roles_program": f"SELECT conv_id, {_EMPTY_SYSTEM} || {_RENDER.format('text')} || '<|assistant|>' || chr(10) AS text FROM conversations GROUP BY conv_id",
+    "render_chatml_program": f"""
+        SELECT conv_id, CASE WHEN arg_min(role, turn) <> 'system' THEN {_BRIEF} ELSE '' END || string_agg({_IM.format('text')}, '' ORDER BY turn) || '<|im_start|>assistant' || chr(10) AS text
+        FROM conversations GROUP BY conv_id""",
+    "render_inst_program": f"""
+        WITH s AS (SELECT conv_id, arg_min(role, turn) = 'system' AS has, {_strip('arg_min(text, turn)')} AS system FROM conversations GROUP BY conv_id),
+        t AS (SELECT c.conv_id, role, text, has, system, turn, row_number() OVER (PARTITION BY c.conv_id ORDER BY turn) AS r FROM conversations c JOIN s USING (conv_id)),
+        u AS (SELECT *, CASE WHEN has AND r = 2 THEN '<<SYS>>' || chr(10) || system || chr(10) || '<</SYS>>' || chr(10) || chr(10) || text ELSE text END AS content FROM t WHERE NOT (has AND r = 1))
+        SELECT conv_id, string_agg(CASE role WHEN 'user' THEN '<s>[INST] ' || {_strip('content')} || ' [/INST]' ELSE ' ' || {_strip('text')} || ' </s>' END, '' ORDER BY turn) AS text
+        FROM u GROUP BY conv_id""",
+    "render_orpo_program": f"""
+        SELECT conv_id, CASE WHEN count(*) = 1 THEN '' WHEN arg_min(role, turn) <> 'system' THEN {_BRIEF} ELSE '' END || coalesce(string_agg({_IM.format('text')}, '' ORDER BY turn) FILTER (WHERE turn < last), '') AS text_prompt,
+               {_BRIEF} || string_agg({_IM.format('text')}, '') FILTER (WHERE turn = last) AS text_chosen,
+               {_BRIEF} || string_agg({_IM.format("replace(text, 'e', '_')")}, '') FILTER (WHERE turn = last) AS text_rejected FROM {_LASTS} GROUP BY conv_id""",
     "parse_conversation": f"""
         WITH t AS (SELECT conv_id, turn, role, {_strip('text')} AS content FROM conversations WHERE role <> 'system'),
         u AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM t WHERE content <> '')
