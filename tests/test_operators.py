@@ -241,3 +241,71 @@ def test_batches_of_a_local_model_and_completion_order(spark):
     assert Fake.calls[0] == 2 and got[3].error == "bad"
     slow = G.EchoGenerator(max_workers=3, in_order=False)
     assert sorted(r.job_idx for r in slow.batch_query_messages(jobs)) == list(range(5))
+
+
+def test_packing_takes_every_list(spark):
+    import random
+
+    rnd = random.Random(4)
+    rows = []
+    for i in range(120):
+        ids = [rnd.randrange(100) for _ in range(rnd.choice([0, 1, 5, 40]))]
+        rows.append((i * 3, ids if i % 17 else None, [x % 2 for x in ids] if i % 17 else None, [f"w{x}" for x in ids] if i % 17 else None, "other"))
+    df = spark.createDataFrame(rows, "idx long, input_ids array<int>, attention_mask array<int>, words array<string>, note string").repartition(5)
+    want = []
+    for b in range(0, 360, 60):
+        part = [r for r in rows if b <= r[0] < b + 60]
+        cat = [[x for r in part for x in (r[k] or [])] for k in (1, 2, 3)]
+        want += [(b // 60, j, *[c[j * 16 : j * 16 + 16] for c in cat], cat[0][j * 16 : j * 16 + 16]) for j in range(len(cat[0]) // 16)]
+    names = ["batch", "block_no", "input_ids", "attention_mask", "words", "labels"]
+    for f in (pack.pack_blocks, pack.pack_blocks_fast):
+        assert sorted(tuple(r[n] for n in names) for r in f(df, 16, 60).collect()) == want
+    bad = df.withColumn("words", F.slice("words", 1, 3))
+    for f in (pack.pack_blocks, pack.pack_blocks_fast):
+        with pytest.raises(Exception, match="differ"):
+            f(bad, 16, 60).collect()
+    with pytest.raises(ValueError):
+        pack.pack_blocks(df.select("idx", "note"), 4)
+
+
+def test_windows_of_tokens(spark):
+    df = spark.createDataFrame([(0, "a bb ccc"), (1, ""), (2, None), (3, "dddd")], "idx long, text string")
+    count = lambda: lambda t: [len(w) for w in t.split()]
+    ids = lambda **how: [r.input_ids for r in pack.tokenize(df, factory=count, **how).orderBy("idx").collect()]
+    assert ids() == [[1, 2, 3], [], [], [4]] and ids(max_length=2) == [[1, 2], [], [], [4]] and ids(max_length=2, side="left") == [[2, 3], [], [], [4]]
+    assert pack.tokenize(df, factory=count, max_length=2, mask=True).orderBy("idx").first().attention_mask == [1, 1]
+    for bad in ({"max_length": 0}, {"max_length": 1, "side": "up"}):
+        with pytest.raises(ValueError):
+            ids(**bad)
+
+
+def test_chat_blocks_by_a_program_with_left_truncation(spark):
+    from weir.functions import messages as M
+    from weir.functions.template import ProgramTemplate
+
+    talk = [("user", "a b c d"), ("assistant", "e f")]
+    df = spark.createDataFrame([(i, talk, talk[:1] + [("assistant", "g h")]) for i in range(4)], f"idx long, chosen {M.DDL}, rejected {M.DDL}")
+    words = lambda: lambda t: [ord(w[-1]) for w in t.split()]
+    program = ProgramTemplate("{% for m in messages %}{{ m.content }} {% endfor %}")
+    for task in ("rm", "dpo", "orpo"):
+        got = pack.prepare_chat([("d", "train", df, 1.0)], 2, task, words, template=program, max_length=2, mask=True)["train"].collect()
+        assert [r.input_ids for r in got] == [[ord("e"), ord("f")]] * 4 and got[0].attention_mask == [1, 1]
+
+
+def test_first_rows_of_each_split(spark):
+    rows = [("train", i * 7) for i in range(50)] + [("test", i * 5 + 1) for i in range(30)] + [(None, 3), (None, 1)]
+    df = spark.createDataFrame(rows, "split string, idx long").repartition(6)
+    for n in (0, 1, 20, 40, 1000):
+        want = sorted(r for s in ("train", "test", None) for r in [x for x in rows if x[0] == s][:n] if s is not None) + [(None, 1), (None, 3)][:n]
+        for small in (1000, 0):
+            got = [tuple(r) for r in relational.first_n(df, n, small).collect()]
+            assert sorted((r for r in got if r[0] is not None)) + sorted((r for r in got if r[0] is None), key=lambda r: r[1]) == want
+    assert sorted(r.idx for r in relational.first_n(df.where("split = 'train' and idx > 0").drop("split"), 3).collect()) == [7, 14, 21]
+    with pytest.raises(ValueError):
+        relational.first_n(df, -1)
+
+
+def test_max_samples_after_a_filter(spark, tmp_path):
+    df = spark.createDataFrame([("train", i, f"q{i}") for i in range(0, 60, 3)] + [("test", i, f"t{i}") for i in range(2, 60, 9)], "split string, idx long, question string")
+    got = G.answer(df, G.EchoGenerator, f"file://{tmp_path}/l", "question", max_samples=4)
+    assert sorted(r.response for r in got.collect()) == sorted(["q0", "q3", "q6", "q9", "t2", "t11", "t20", "t29"])

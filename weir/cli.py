@@ -7,7 +7,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from weir.operators import generate, pack, quality, relational
+from weir.operators import generate, language, pack, quality, relational
 from weir.sources import io
 
 
@@ -55,8 +55,12 @@ def parser() -> argparse.ArgumentParser:
     for name in ("lid", "filter"):
         p = add(name)
         p.add_argument("--column", action="append", required=True)
-        p.add_argument("--model", help="language model file")
+        p.add_argument("--model", help="language model file: of fit-lid (.json) or fastText")
     sub.choices["filter"].add_argument("--target", default="nld_Latn")
+    p = add("fit-lid")
+    p.add_argument("--text-column", default="text")
+    p.add_argument("--label-column", required=True)
+    p.add_argument("--max-rows", type=int, default=100_000)
     p = add("merge")
     p.add_argument("--revision", action="append", required=True)
     p.add_argument("--on", action="append", required=True)
@@ -125,6 +129,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         out = relational.merge_revisions([f.select(*relational.common_columns(frames)) for f in frames], ["split", *a.on])
         return io.write_dataset(out, a.output)
     df = io.read_dataset(spark, a.dataset, a.split)
+    if a.command == "fit-lid":
+        return language.fit_language_model(df, a.text_column, a.label_column, a.max_rows).save(a.output)
     if a.command == "answer":
         out = generate.answer(df, factory(a), a.ledger, a.user_column, a.system_column, a.system_message, a.response_column, a.max_samples, not a.no_merge)
     elif a.command == "translate":
@@ -132,11 +138,11 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif a.command == "converse":
         out = generate.converse(df, factory(a), a.ledger, a.seed_column, a.system_prompt, a.user_id, a.assistant_id, a.personas, a.output_column, a.max_samples, not a.no_merge)
     elif a.command in ("lid", "filter"):
-        model = quality.fasttext_model(a.model) if a.model else lambda: quality.stop_word_model
+        model = quality.STAND_IN if not a.model else language.NgramModel.load(a.model) if a.model.endswith(".json") else quality.fasttext_model(a.model)
         if a.command == "lid":
             out = quality.identify_language(df, a.column, model)
         else:
-            out = quality.quality_filter(relational.dedup_sequential(df, a.column, within=["split"]), a.column, a.target, factory=model)
+            out = quality.quality_filter(relational.dedup_sequential(df, a.column, within=["split"]), a.column, a.target, model=model)
     else:
         tok = pack.file_tokenizer(a.tokenizer) if a.tokenizer else pack.hash_tokenizer
         if a.command == "clm":

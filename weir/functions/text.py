@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections.abc import Mapping
 from string import Formatter
 
@@ -18,7 +19,33 @@ ROMAN_RANGES = (
     "2C60-2C7C 2C7E-2C7F A722-A76F A771-A787 A78B-A7CA A7D0-A7D1 A7D3 A7D5-A7D9 A7F5-A7F7 A7FA-A7FF AB30-AB5A AB60-AB64 "
     "AB66-AB68 FB00-FB06 FF21-FF3A FF41-FF5A 1DF00-1DF1E 1DF25-1DF2A"
 )
-ROMAN_CLASS = "".join("-".join(rf"\x{{{x}}}" for x in r.split("-")) for r in ROMAN_RANGES.split())
+# Where letters were added to Unicode after the version that Java 17 knows.
+NEWER = (
+    "870-8C9 C5D CDD 170D-171F 1B4C 2C2F-2C5F 9FFD-9FFF A7F2-A7F4 10570-105BC 10780-107BA 10F70-10F81 11071-11075 1123F-11240 "
+    "11740-11746 11AB0-11ABF 11F02-11F33 12F90-12FF0 1342F-13446 16A70-16ABE 1AFF0-1AFFE 1B11F-1B155 1E030-1E06D 1E290-1E2AD "
+    "1E4D0-1E4EB 1E7E0-1E7FE 2A6DE-2A6DF 2B735-2B739 2EBF0-2EE5D 31350-323AF"
+)
+
+
+def _class(ranges: str) -> str:
+    return "".join("-".join(rf"\x{{{x}}}" for x in r.split("-")) for r in ranges.split())
+
+
+def newer_letters() -> str:
+    """Ranges of the letters in NEWER that are not Roman, by Python's tables."""
+    out: list[list[int]] = []
+    for r in NEWER.split():
+        low, _, high = r.partition("-")
+        for c in range(int(low, 16), int(high or low, 16) + 1):
+            if chr(c).isalpha() and "LATIN" not in unicodedata.name(chr(c), ""):
+                if out and out[-1][1] == c - 1:
+                    out[-1][1] = c
+                else:
+                    out.append([c, c])
+    return " ".join(f"{a:X}-{b:X}" for a, b in out)
+
+
+ROMAN_CLASS, NEWER_CLASS = _class(ROMAN_RANGES), _class(newer_letters())
 
 
 def normalize_ws(c: Column) -> Column:
@@ -43,7 +70,7 @@ def split_lines(c: Column) -> Column:
 
 def is_roman(c: Column) -> Column:
     """Every letter is a Roman one; other characters do not count and null stays null."""
-    return ~c.rlike(rf"[\p{{L}}&&[^{ROMAN_CLASS}]]")
+    return ~c.rlike(rf"[\p{{L}}&&[^{ROMAN_CLASS}]]|[{NEWER_CLASS}]")
 
 
 def clean_label(c: Column) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from weir.functions import messages as M
 from weir.functions.text import check_ids, check_languages, fill_columns, fill_languages, resolve_text, strip
-from weir.operators.relational import exclude, failure_report, join_columns, pivot_ledger, processed, sort_columns, unpivot, weighted_choice
+from weir.operators.relational import exclude, failure_report, first_n, join_columns, pivot_ledger, processed, sort_columns, unpivot, weighted_choice
 from weir.sources.shared import materialize
 
 log = logging.getLogger("weir")
@@ -312,7 +312,7 @@ def answer_jobs(df: DataFrame, user_column: str, system_column: str | None = Non
 
 def answer(df: DataFrame, factory, ledger: str, user_column: str, system_column: str | None = None, system_message: str | None = None, response_column: str = "response", max_samples: int | None = None, merge_with_original: bool = True, only_save_current: bool = False, chunk: int = 10_000) -> DataFrame | None:
     """Adds a column with an answer to each row's question; rows without one are left out."""
-    df = df if max_samples is None else df.where(F.col("idx") < max_samples)
+    df = df if max_samples is None else first_n(df, max_samples)
     jobs = answer_jobs(df, user_column, system_column, system_message, response_column)
     if only_save_current:
         jobs = jobs.limit(0)
@@ -359,7 +359,7 @@ def translate(df: DataFrame, factory, ledger: str, columns: list[str] | None = N
     """Adds a translation of each column."""
     columns = columns or [f.name for f in df.schema if f.dataType.simpleString() == "string" and f.name != "split"]
     df = df.select("split", "idx", *columns)
-    df = df if max_samples is None else df.where(F.col("idx") < max_samples)
+    df = df if max_samples is None else first_n(df, max_samples)
     name = f"translation_{tgt_lang.lower()}" if tgt_lang else "translation"
     done, _ = run_generation(translate_jobs(df, columns, src_lang, tgt_lang, system_prompt), factory, ledger, strip(F.col("text_response")), f"{name} string", chunk)
     done = done.where(F.col("column").isin(columns))
@@ -407,7 +407,7 @@ def converse_jobs(df: DataFrame, seed_column: str, system_prompt: str, user_id:
 
 def converse(df: DataFrame, factory, ledger: str, seed_column: str, system_prompt: str, user_id: str = "user: ", assistant_id: str = "assistant: ", personas: str | dict | None = None, output_column: str = "messages", max_samples: int | None = None, merge_with_original: bool = True, chunk: int = 10_000) -> DataFrame:
     """Adds a generated conversation, parsed into turns, and its persona."""
-    df = df if max_samples is None else df.where(F.col("idx") < max_samples)
+    df = df if max_samples is None else first_n(df, max_samples)
     jobs = converse_jobs(df, seed_column, system_prompt, user_id, assistant_id, personas, output_column)
     turns = M.parse_conversation(F.col("text_response"), user_id, assistant_id)
     done, _ = run_generation(jobs, factory, ledger, F.when(F.size(turns) > 0, turns), f"messages {M.DDL}", chunk, persona=True, empty="Empty conversation")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from weir.functions.messages import text_of
 from weir.functions.text import clean_label, is_roman, normalize_ws, token_count
+from weir.operators.language import NgramModel, StopWords
 
 # Phrases of generated text, by kind.
 AI_NAMES = [
@@ -50,9 +52,25 @@ def phrase_pattern(names: list[str] = AI_NAMES, phrases: list[list[str]] | None
     return "(?iu)" + "|".join(parts)
 
 
+def phrase_keys(names: list[str] = AI_NAMES, phrases: list[list[str]] | None = None) -> list[str]:
+    """Lower-cased strings one of which is in every text that the pattern of the same lists fits."""
+    lists = [BRANDS, KNOWLEDGE, WRONG_LANGUAGE, APOLOGIES] if phrases is None else phrases
+    all_ = sorted({p.lower() for ps in (names, *lists) for p in ps}, key=len)
+    return [p for i, p in enumerate(all_) if not any(q in p for q in all_[:i])]
+
+
+def has_phrase(text: Column, pattern: str, keys: list[str] | None = None) -> Column:
+    """Whether the pattern fits; with ``keys`` it is tried only where one of them is found, which is much cheaper."""
+    fits = text.rlike(pattern)
+    if keys is None:
+        return fits
+    low = F.lower(F.translate(text, "İıſ\u212a", "iisk"))  # letters that match i, s and k when case is ignored
+    return reduce(lambda a, b: a | b, [low.contains(k) for k in keys], F.lit(False)) & fits
+
+
 Predict = Callable[[str], tuple[str, float]]
 
-# Frequent short words by language label, for the stand-in model.
+# Frequent short words by language label, for the stand-in model.
 STOP_WORDS = {
     "nld_Latn": "de het een en van ik je niet dat zijn op te met voor maar ook naar deze wordt".split(),
     "eng_Latn": "the of and to in is that it for was with as on be are this by from".split(),
@@ -62,16 +80,8 @@ STOP_WORDS = {
 }
 
 
-def stop_word_model(text: str) -> tuple[str, float]:
-    """Label and share of the language whose stop words are most; the stand-in where no model file is given."""
-    ws = text.lower().split()
-    hits = {k: sum(w.strip(".,;:!?") in v for w in ws) for k, v in _STOP_SETS.items()}
-    best = max(sorted(hits), key=hits.get)
-    total = sum(hits.values())
-    return (best, hits[best] / total) if total else ("und_Latn", 0.0)
-
-
-_STOP_SETS = {k: frozenset(v) for k, v in STOP_WORDS.items()}
+STAND_IN = StopWords(STOP_WORDS)
+Model = NgramModel | StopWords | Callable[[], Predict]
 
 
 def fasttext_model(path: str) -> Callable[[], Predict]:
@@ -91,12 +101,21 @@ def fasttext_model(path: str) -> Callable[[], Predict]:
     return load
 
 
-_loaded: dict[int, Predict] = {}
+def identify_language(df: DataFrame, columns: list[str], model: Model = STAND_IN) -> DataFrame:
+    """Adds {column}_lid and {column}_lid_prob; null text gives nulls.
 
+    A model of this library is a Column expression; a factory of a Python function, such as ``fasttext_model``, runs in
+    Arrow batches, the one Python step of the curation plan.
+    """
+    for c in columns:
+        text = normalize_ws(text_of(c, df.schema[c].dataType))
+        got = model.predict(text) if isinstance(model, NgramModel | StopWords) else _in_python(model)(text)
+        df = df.withColumn(f"__{c}", got)
+        df = df.withColumn(f"{c}_lid", clean_label(F.col(f"__{c}.lid"))).withColumn(f"{c}_lid_prob", F.col(f"__{c}.prob")).drop(f"__{c}")
+    return df
 
-def identify_language(df: DataFrame, columns: list[str], factory: Callable[[], Predict] = lambda: stop_word_model) -> DataFrame:
-    """Adds {column}_lid and {column}_lid_prob; null text gives nulls.  The one Python step of the curation plan."""
 
+def _in_python(factory: Callable[[], Predict]):
     @F.pandas_udf("struct<lid:string,prob:double>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = factory()
@@ -104,10 +123,7 @@ def identify_language(df: DataFrame, columns: list[str], factory: Callable[[], P
             got = [(None, None) if t is None else model(t) for t in s]
             yield pd.DataFrame({"lid": [g[0] for g in got], "prob": pd.array([g[1] for g in got], dtype="Float64")})
 
-    for c in columns:
-        df = df.withColumn(f"__{c}", predict(normalize_ws(text_of(c, df.schema[c].dataType))))
-        df = df.withColumn(f"{c}_lid", clean_label(F.col(f"__{c}.lid"))).withColumn(f"{c}_lid_prob", F.col(f"__{c}.prob")).drop(f"__{c}")
-    return df
+    return predict
 
 
 def language_ok(text: Column, lid: Column, target: str, short: int = 3) -> Column:
@@ -115,19 +131,23 @@ def language_ok(text: Column, lid: Column, target: str, short: int = 3) -> Colum
     return F.coalesce(lid == target, F.lit(False)) | (F.coalesce(token_count(text), F.lit(0)) <= short)
 
 
-def quality_filter(df: DataFrame, columns: list[str], target: str | None = "nld_Latn", pattern: str | None = None, roman: bool = True, factory: Callable[[], Predict] = lambda: stop_word_model) -> DataFrame:
+def quality_filter(df: DataFrame, columns: list[str], target: str | None = "nld_Latn", pattern: str | None = None, roman: bool = True, model: Model = STAND_IN) -> DataFrame:
     """Rows all of whose columns pass: no phrase, Roman letters only, and the language.
 
     Uses {column}_lid where it exists and identifies the language otherwise.  Cheap rules stand before the model in the plan.
     """
+    keys = phrase_keys() if pattern is None else None
     pattern = phrase_pattern() if pattern is None else pattern
     missing = [c for c in columns if target is not None and f"{c}_lid" not in df.columns]
     text = {c: normalize_ws(text_of(c, df.schema[c].dataType)) for c in columns}
-    for c in columns:
-        df = df.filter(~F.coalesce(text[c].rlike(pattern), F.lit(False)))
-        if roman:
-            df = df.filter(F.coalesce(is_roman(text[c]), F.lit(True)))
-    full = identify_language(df, missing, factory) if missing else df
+
+    def bad(t: Column) -> Column:
+        phrase = F.coalesce(has_phrase(t, pattern, keys), F.lit(False))
+        return phrase | F.coalesce(~is_roman(t), F.lit(False)) if roman else phrase
+
+    for c in columns:  # as the one element of an array the text is normalised once for all rules
+        df = df.filter(~F.exists(F.array(text[c]), bad))
+    full = identify_language(df, missing, model) if missing else df
     for c in columns if target is not None else []:
         full = full.filter(language_ok(text[c], F.col(f"{c}_lid"), target))
     return full.drop(*[f"{c}_{x}" for c in missing for x in ("lid", "lid_prob")])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weir.functions import messages as M
 from weir.functions import text as X
 from weir.functions.template import ProgramTemplate
-from weir.operators import generate, pack, quality, relational
+from weir.operators import generate, language, pack, quality, relational
 from weir.sources.shared import fresh_path
 
 # ---- inputs as datasets: a split and an idx column ----
@@ -79,7 +79,7 @@ def curate_documents(spark, d):
     """Flagship: normalise, first row of each text, language rule with its exception for short texts, word count."""
     x = _docs(spark, d).select("split", "idx", "doc_id", X.normalize_ws(F.col("text")).alias("text"), _lid().alias("text_lid"))
     x = relational.dedup_sequential(x, ["text"])
-    x = quality.quality_filter(x, ["text"], target="eng_Latn", pattern=quality.phrase_pattern())
+    x = quality.quality_filter(x, ["text"], target="eng_Latn")
     return x.select("doc_id", F.md5("text").alias("text_md5"), X.token_count(F.col("text")).cast("long").alias("n_tokens"))
 
 
@@ -114,8 +114,23 @@ def phrase_filter(spark, d):
     return quality.quality_filter(_docs(spark, d).select("doc_id", "text"), ["text"], target=None, pattern=pattern, roman=False).select("doc_id")
 
 
+PLANTED = ["Als een taalmodel denk ik", "vraag het aan ChatGPT", "mijn kennisstop in 2023", "IT SEEMS LIKE THERE WAS A TYPO", "het \u017fpijt me", "de assistent van de kapper"]
+
+
+def planted_phrases(spark, d):
+    """The real phrase lists, on texts to which sentences of each kind were added; the last is harmless."""
+    planted = F.element_at(F.array(*[F.lit(p) for p in PLANTED]), (F.pmod("doc_id", F.lit(len(PLANTED) + 2)) + 1).cast("int"))
+    x = _docs(spark, d).withColumn("text", F.when(F.pmod("doc_id", F.lit(len(PLANTED) + 2)) < len(PLANTED), F.concat("text", F.lit("\n"), planted)).otherwise(F.col("text")))
+    return quality.quality_filter(x, ["text"], target=None).select("doc_id")
+
+
+#: One letter of scripts old and new (Greek, Chinese, Arabic extended, Toto, Kawi, the latest Chinese extension), then Roman ones and a mark.
+LETTERS = ["\u03b1", "\u4e2d", "\u0870", "\U0001e290", "\U00011f04", "\U0002ebf0", "\u1e9e", "\U0001df25", "\u0301"]
+
+
 def roman_filter(spark, d):
-    x = _docs(spark, d).withColumn("text", F.when(F.pmod("doc_id", F.lit(5)) == 0, F.concat("text", F.lit(" α"))).otherwise(F.col("text")))
+    letter = F.element_at(F.array(*[F.lit(x) for x in LETTERS]), (F.pmod("doc_id", F.lit(20)) + 1).cast("int"))
+    x = _docs(spark, d).withColumn("text", F.when(F.pmod("doc_id", F.lit(20)) < len(LETTERS), F.concat("text", F.lit(" "), letter)).otherwise(F.col("text")))
     return x.where(X.is_roman(F.col("text"))).select("doc_id")
 
 
@@ -125,7 +140,10 @@ def lid_filter(spark, d):
 
 
 def identify_language(spark, d):
-    x = quality.identify_language(_docs(spark, d).select("doc_id", "text"), ["text"])
+    """A model of the labelled rows, four in five for fitting, scores all texts."""
+    x = _docs(spark, d).select("doc_id", "text", "lang")
+    model = language.fit_language_model(x.where(F.pmod("doc_id", F.lit(5)) != 0))
+    x = quality.identify_language(x, ["text"], model)
     return x.select("doc_id", "text_lid", F.round("text_lid_prob", 6).alias("text_lid_prob"))
 
 
@@ -291,7 +309,15 @@ def shuffle_md5(spark, d):
 
 
 def first_n(spark, d):
-    return relational.first_n(_docs(spark, d), 100).select("idx", "lang", "source")
+    """The first 100 rows of each of two splits, whose idx has gaps."""
+    x = _docs(spark, d).withColumn("split", F.when(F.col("lang") == "en", "train").otherwise("test"))
+    return relational.first_n(x, 100).select("split", "idx", "lang", "source")
+
+
+def first_n_many(spark, d):
+    """More rows of each split than a window cuts short."""
+    x = spark.read.parquet(f"{d}/events.parquet").select(F.when(F.pmod("event_id", F.lit(3)) == 0, "a").otherwise("b").alias("split"), (F.col("event_id") * 3).alias("idx"))
+    return relational.first_n(x, 2_000)
 
 
 def select_sorted(spark, d):
@@ -307,10 +333,30 @@ def tokenize(spark, d):
     return t.select("idx", F.size("input_ids").cast("long").alias("n"))
 
 
-def pack_blocks(spark, d):
+def tokenize_left(spark, d):
+    """Long texts keep their last 50 tokens, with a mask as long."""
+    t = pack.tokenize(_docs(spark, d).select("idx", "text"), factory=_lengths, max_length=50, side="left", mask=True)
+    return t.select("idx", F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("ids"), F.size("attention_mask").cast("long").alias("n_mask"))
+
+
+def _numbered(spark, d):
+    """Word lengths, and beside them places and a mask: three lists of a row."""
     ids = F.transform(F.split(X.normalize_ws(F.col("text")), " "), lambda x: F.length(x))
-    p = pack.pack_blocks(_docs(spark, d).select("idx", ids.alias("input_ids")), 128, 250)
-    return p.select("batch", "block_no", F.aggregate("input_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), F.get("labels", 0).cast("long").alias("first_id"))
+    x = _docs(spark, d).select("idx", ids.alias("input_ids"))
+    return x.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1))).withColumn("place", F.transform("input_ids", lambda _, i: i.cast("long")))
+
+
+def _totals(p):
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
+    return p.select("batch", "block_no", total("input_ids").alias("total"), F.get("labels", 0).cast("long").alias("first_id"), total("attention_mask").alias("n_mask"), total("place").alias("places"), F.get("place", 127).alias("last_place"))
+
+
+def pack_blocks(spark, d):
+    return _totals(pack.pack_blocks(_numbered(spark, d), 128, 250))
+
+
+def pack_blocks_fast(spark, d):
+    return _totals(pack.pack_blocks_fast(_numbered(spark, d), 128, 250))
 
 
 def prepare_clm(spark, d):
@@ -345,11 +391,11 @@ def checkpoint_series(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        curate_documents, normalize_ws, strip_lines, token_count, dedup_text, dedup_sequential, dedup_conversation, phrase_filter, roman_filter, lid_filter,
+        curate_documents, normalize_ws, strip_lines, token_count, dedup_text, dedup_sequential, dedup_conversation, phrase_filter, planted_phrases, roman_filter, lid_filter,
         identify_language, glue, assistant_text, insert_system, render_sft, render_generation, render_rm, render_dpo,
         render_roles_program, render_chatml_program, render_inst_program, render_orpo_program, parse_conversation, answer_prompts,
         translate_prompts, converse_prompts, persona_bucket, answer_echo, resume_antijoin, ledger_union, ledger_pivot, merge_original, failure_report,
-        merge_revisions, mix, shuffle_md5, first_n, select_sorted, unpivot_columns, tokenize, pack_blocks, prepare_clm, prepare_chat, scoreboard, scoreboard_compat,
+        merge_revisions, mix, shuffle_md5, first_n, first_n_many, select_sorted, unpivot_columns, tokenize, tokenize_left, pack_blocks, pack_blocks_fast, prepare_clm, prepare_chat, scoreboard, scoreboard_compat,
         checkpoint_series,
     )
 }
@@ -411,6 +457,19 @@ _AVG = "((" + " + ".join(_COLS) + ") / 7)"
 _REST = " + ".join(c for c in _COLS if "conll" not in c)
 _BLOCK_TOKENS = f"SELECT doc_id AS idx, unnest(string_split({_norm('text')}, ' ')) AS t, generate_subscripts(string_split({_norm('text')}, ' '), 1) AS p FROM documents"
 
+_PACKED = f"""
+        WITH t AS ({_BLOCK_TOKENS}),
+        r AS (SELECT idx // 250 AS batch, length(t) AS v, p - 1 AS place, row_number() OVER (PARTITION BY idx // 250 ORDER BY idx, p) - 1 AS rn FROM t)
+        SELECT batch, rn // 128 AS block_no, sum(v)::BIGINT AS total, arg_min(v, rn)::BIGINT AS first_id, count(*) AS n_mask, sum(place)::BIGINT AS places, arg_max(place, rn)::BIGINT AS last_place
+        FROM r GROUP BY 1, 2 HAVING count(*) = 128"""
+
+
+def _char(k: int) -> str:
+    """Code point of the k-th character of w from either end, 0 where there is none."""
+    at = str(k) if k > 0 else f"length(w) - {-k - 1}"
+    return f"CASE WHEN length(w) >= {abs(k)} THEN unicode(substr(w, {at}, 1)) ELSE 0 END"
+
+
 ORACLE: dict[str, str] = {
     "curate_documents": f"""
         WITH n AS (SELECT doc_id, {_norm('text')} AS text, {_LIDS} AS lid FROM documents),
@@ -431,7 +490,10 @@ ORACLE: dict[str, str] = {
         WITH t AS (SELECT conv_id, {_strip("coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')")} AS k FROM conversations GROUP BY conv_id)
         SELECT min(conv_id) AS conv_id FROM t GROUP BY k""",
     "phrase_filter": f"SELECT doc_id FROM documents WHERE NOT regexp_matches({_norm('text')}, '(?i)als (?:een )?loser|loser ben|the|OpenAI|sorry|was')",
-    "roman_filter": "SELECT doc_id FROM documents WHERE doc_id % 5 <> 0",
+    "planted_phrases": f"""
+        WITH p AS (SELECT doc_id, text || CASE doc_id % 8 {' '.join(f"WHEN {i} THEN chr(10) || '{p}'" for i, p in enumerate(PLANTED))} ELSE '' END AS text FROM documents)
+        SELECT doc_id FROM p WHERE NOT regexp_matches({_norm('text')}, '{quality.phrase_pattern().replace('(?iu)', '(?i)')}')""",
+    "roman_filter": "SELECT doc_id FROM documents WHERE doc_id % 20 >= 6",
     "lid_filter": f"SELECT doc_id, lang FROM documents WHERE {_LIDS} = 'deu_Latn' OR doc_id % 4 = 0 OR {_tokens('text')} <= 3",
     "glue": "SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
     "assistant_text": f"SELECT conv_id, {_strip("coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')")} AS text FROM conversations GROUP BY conv_id",
@@ -488,14 +550,33 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'pages', page_id, url, 'train' FROM pages WHERE page_id < floor(0.5 * (SELECT count(*) FROM pages))
         UNION ALL SELECT 'benchmark', item_id, text, 'test' FROM benchmark""",
     "shuffle_md5": "SELECT event_id, row_number() OVER (ORDER BY md5('42-' || event_id), event_id) - 1 AS idx FROM events",
-    "first_n": "SELECT doc_id AS idx, lang, source FROM documents WHERE doc_id < 100",
+    "identify_language": f"""
+        WITH w AS (SELECT doc_id, lang, unnest(list_filter(string_split({_norm('lower(text)')}, ' '), lambda x: x <> '')) AS w FROM documents),
+        g AS (SELECT doc_id, lang, ({_char(1)} * 961 + {_char(2)} * 31 + {_char(3)}) % 4096 AS b FROM w
+              UNION ALL SELECT doc_id, lang, 4096 + ({_char(-1)} * 961 + {_char(-2)} * 31 + {_char(-3)}) % 4096 FROM w),
+        c AS (SELECT lang, b, count(*) AS c FROM g WHERE doc_id % 5 <> 0 AND lang IS NOT NULL GROUP BY lang, b),
+        l AS (SELECT lang, coalesce(sum(c), 0) AS total FROM (SELECT DISTINCT lang FROM documents WHERE doc_id % 5 <> 0 AND lang IS NOT NULL AND text IS NOT NULL) LEFT JOIN c USING (lang) GROUP BY lang),
+        m AS (SELECT l.lang, r.b, floor(1000 * ln((coalesce(c.c, 0) + 0.5::DOUBLE) / (total + 4096)))::BIGINT AS weight FROM l CROSS JOIN (SELECT range AS b FROM range(8192)) r LEFT JOIN c ON c.lang = l.lang AND c.b = r.b),
+        k AS (SELECT doc_id, b, count(*) AS n FROM g GROUP BY doc_id, b),
+        s AS (SELECT doc_id, m.lang, sum(n * weight)::BIGINT AS s FROM k JOIN m USING (b) GROUP BY doc_id, m.lang),
+        t AS (SELECT doc_id, max(s) AS top FROM s GROUP BY doc_id),
+        f AS (SELECT doc_id, arg_min(lang, (top - s, lang)) AS lid, 1.0::DOUBLE / sum(exp((s - top) / 1000.0::DOUBLE)) AS prob FROM s JOIN t USING (doc_id) GROUP BY doc_id)
+        SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(f.lid, 'und_Latn') END AS text_lid, CASE WHEN d.text IS NOT NULL THEN round(coalesce(f.prob, 0), 6) END AS text_lid_prob
+        FROM documents d LEFT JOIN f USING (doc_id)""",
+    "first_n": """
+        SELECT split, doc_id AS idx, lang, source FROM (SELECT *, CASE WHEN lang = 'en' THEN 'train' ELSE 'test' END AS split FROM documents)
+        QUALIFY row_number() OVER (PARTITION BY split ORDER BY doc_id) <= 100""",
+    "first_n_many": """
+        SELECT split, event_id * 3 AS idx FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'a' ELSE 'b' END AS split FROM events)
+        QUALIFY row_number() OVER (PARTITION BY split ORDER BY event_id) <= 2000""",
     "select_sorted": "SELECT doc_id, lang, source FROM documents",
     "unpivot_columns": "SELECT doc_id AS idx, 'lang' AS \"column\", lang AS text FROM documents UNION ALL SELECT doc_id, 'source', source FROM documents",
     "tokenize": f"SELECT doc_id AS idx, {_tokens('text')}::BIGINT AS n FROM documents",
-    "pack_blocks": f"""
-        WITH t AS ({_BLOCK_TOKENS}),
-        r AS (SELECT idx // 250 AS batch, length(t) AS v, row_number() OVER (PARTITION BY idx // 250 ORDER BY idx, p) - 1 AS rn FROM t)
-        SELECT batch, rn // 128 AS block_no, sum(v)::BIGINT AS total, arg_min(v, rn)::BIGINT AS first_id FROM r GROUP BY 1, 2 HAVING count(*) = 128""",
+    "tokenize_left": f"""
+        WITH t AS (SELECT doc_id, list_transform(list_filter(string_split({_norm('text')}, ' '), lambda x: x <> ''), lambda x: length(x)) AS l FROM documents)
+        SELECT doc_id AS idx, array_to_string(list_slice(l, greatest(1, len(l) - 49), len(l)), ' ') AS ids, least(50, len(l))::BIGINT AS n_mask FROM t""",
+    "pack_blocks": _PACKED,
+    "pack_blocks_fast": _PACKED,
     "prepare_clm": f"""
         WITH o AS (SELECT doc_id, text, row_number() OVER (ORDER BY md5('42-' || doc_id), doc_id) - 1 AS idx FROM documents),
         t AS (SELECT idx, unnest(string_split({_norm('text')}, ' ')) AS t, generate_subscripts(string_split({_norm('text')}, ' '), 1) AS p FROM o),
