@@ -217,7 +217,6 @@ def test_prefixes_do_not_need_gapless_idx(spark):
 def test_small_reports(spark):
     df = spark.range(9).withColumnRenamed("id", "idx")
     assert [r.idx for r in relational.preview(df)] == [0, 1, 2]
-    assert relational.removed_rows(df, df.where("idx > 4")) == {"before": 9, "after": 4, "removed": 5}
     got = spark.sql("select map('b', 1, 'a', 2) m").select(relational.sorted_items(F.col("m")).alias("x")).first().x
     assert [tuple(r) for r in got] == [("a", 2), ("b", 1)]
     assert io.pair_configs(["a", "b"], None, [0.5, 1.0]) == [("a", None, 0.5), ("b", None, 1.0)]
@@ -309,3 +308,86 @@ def test_max_samples_after_a_filter(spark, tmp_path):
     df = spark.createDataFrame([("train", i, f"q{i}") for i in range(0, 60, 3)] + [("test", i, f"t{i}") for i in range(2, 60, 9)], "split string, idx long, question string")
     got = G.answer(df, G.EchoGenerator, f"file://{tmp_path}/l", "question", max_samples=4)
     assert sorted(r.response for r in got.collect()) == sorted(["q0", "q3", "q6", "q9", "t2", "t11", "t20", "t29"])
+
+
+class Watched(G.TextGenerator):
+    """Notes when each call begins and ends."""
+
+    def __init__(self, folder, workers):
+        super().__init__(max_workers=workers, max_retries=1, in_order=False)
+        self.folder = folder
+
+    def complete(self, job_idx, messages):
+        import time
+        import uuid
+
+        begin = time.time()
+        time.sleep(0.05 + 0.01 * (job_idx % 3))
+        with open(f"{self.folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write(f"{begin} {time.time()}")
+        return f"answer {messages[0]['content']}", "stop"
+
+
+@pytest.mark.parametrize("most,workers", [(4, 2), (3, 2), (1, 3), (2, 5)])
+def test_calls_of_a_whole_job_are_bounded(spark, tmp_path, most, workers):
+    """Answers come as they are ready and still belong to their rows."""
+    df = spark.range(24).select(F.lit("train").alias("split"), F.col("id").alias("idx"), F.concat(F.lit("q"), "id").alias("question")).repartition(8)
+    folder = tmp_path / "calls"
+    folder.mkdir()
+    out = G.answer(df, lambda: Watched(str(folder), workers), f"file://{tmp_path}/l", "question", most_calls=most).collect()
+    assert {r.idx: r.response for r in out} == {i: f"answer q{i}" for i in range(24)}
+    spans = [tuple(map(float, f.read_text().split())) for f in folder.iterdir()]
+    assert len(spans) == 24 and max(sum(a <= t < b for a, b in spans) for t, _ in spans) <= most
+    with pytest.raises(ValueError):
+        G.respond(df, G.EchoGenerator, 0)
+
+
+def test_a_ledger_keeps_the_first_row_of_a_cell(spark, tmp_path):
+    import os
+
+    for k, text in enumerate(("late", "first", "later")):
+        folder = tmp_path / "l" / "done"
+        folder.mkdir(parents=True, exist_ok=True)
+        f = folder / f"{'cab'[k]}.json"
+        f.write_text(json.dumps({"split": "train", "column": "response", "idx": 1, "response": text}) + "\n")
+        os.utime(f, (1000 + [50, 0, 90][k],) * 2)
+    schema = G.ledger_schema("response string")[0]
+    assert [r.response for r in G.read_ledger(spark, f"file://{tmp_path}/l/done", schema).collect()] == ["first"]
+    df = spark.createDataFrame([("train", 1, "q"), ("train", 2, "r")], "split string, idx long, question string")
+    got = G.answer(df, None, f"file://{tmp_path}/l", "question", only_save_current=True)
+    assert [(r.idx, r.response) for r in got.collect()] == [(1, "first")]
+
+
+def test_cli_options(spark, tmp_path):
+    from weir.functions import messages as M
+
+    words = {"train": ["de kat en het huis op een berg", "het spijt me van de kat", "the cat and the dog are in it"], "test": ["nog een zin van de kat die niet kan"]}
+    text = spark.createDataFrame([(s, i, t, t.split()[0]) for s, ts in words.items() for i, t in enumerate(ts)], "split string, idx long, text string, label string")
+    d = f"file://{tmp_path}/d"
+    io.write_dataset(text, d)
+    cli.main(["filter", "--dataset", d, "--output", f"file://{tmp_path}/f", "--column", "text"], spark)
+    assert spark.read.parquet(f"{tmp_path}/f").count() == 2
+    cli.main(["fit-lid", "--dataset", d, "--output", f"{tmp_path}/m.json", "--label-column", "label"], spark)
+    cli.main(["lid", "--dataset", d, "--output", f"file://{tmp_path}/i", "--column", "text", "--model", f"{tmp_path}/m.json"], spark)
+    assert {r.label: r.text_lid for r in spark.read.parquet(f"{tmp_path}/i").collect()} == {x: x for x in ("de", "het", "the", "nog")}
+    cli.main(["publish", "--dataset", d, "--output", f"file://{tmp_path}/hub", "--name", "n", "--revision", "r1"], spark)
+    assert io.read_revisions(spark, f"file://{tmp_path}/hub/n")["r1"].count() == 4
+    cli.main(["snapshot", "--dataset", f"file://{tmp_path}/d", "--output", f"{tmp_path}/s.txt", "--allow", "*.parquet", "--ignore", "split=test*"], spark)
+    assert all("split=train" in x for x in (tmp_path / "s.txt").read_text().split())
+    args = ["answer", "--dataset", d, "--output", f"file://{tmp_path}/a", "--ledger", f"file://{tmp_path}/l", "--echo", "--user-column", "text"]
+    cli.main([*args, "--max-calls", "2", "--max-samples", "1"], spark)
+    assert spark.read.parquet(f"{tmp_path}/a").count() == 2
+    args[args.index("--output") + 1] = f"file://{tmp_path}/b"
+    cli.main([*args, "--only-save-current"], spark)
+    assert spark.read.parquet(f"{tmp_path}/b").count() == 2
+    talks = [[("user", "a b c"), ("assistant", "d e")], [("user", "f"), ("assistant", "g")]]
+    for k in (0, 1):
+        c = spark.createDataFrame([("train", i, talks[k]) for i in range(4)] + [("test", 9, talks[k])], f"split string, idx long, messages {M.DDL}")
+        io.write_dataset(c, f"file://{tmp_path}/c{k}" + "/conf" * k)
+    (tmp_path / "t.jinja").write_text("{% for m in messages %}{{ m.content }} {% endfor %}")
+    chat = ["chat", "--dataset", f"file://{tmp_path}/c0", "--more", f"file://{tmp_path}/c1", "--config", "-", "--config", "conf", "--fraction", "0.5", "--fraction", "1"]
+    cli.main([*chat, "--output", f"{tmp_path}/p", "--block-size", "2", "--template", f"{tmp_path}/t.jinja", "--max-length", "2"], spark)
+    assert spark.read.parquet(f"{tmp_path}/p/train").count() == 6 and spark.read.parquet(f"{tmp_path}/p/test").count() == 2
+    (tmp_path / "r.jsonl").write_text("\n".join(json.dumps({"model": "o/m", "task": "t", "dataset": x, "results": {"total": {m: 0.5}}}) for x, m in relational.METRICS.items()))
+    cli.main(["scores", "--dataset", f"file://{tmp_path}/r.jsonl", "--output", f"{tmp_path}/o.csv", "--workbook", f"{tmp_path}/o.xlsx"], spark)
+    assert (tmp_path / "o.csv").read_text().startswith("model,") and (tmp_path / "o.xlsx").stat().st_size > 500

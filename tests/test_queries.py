@@ -18,7 +18,7 @@ def duck():
 
 
 #: What must hold for queries that have no SQL.
-WITHOUT_SQL = {"identify_language": lambda rows, cols: len({r[cols.index("doc_id")] for r in rows}) == len(rows) and {r[cols.index("text_lid")] for r in rows} >= {"eng_Latn", "deu_Latn"}}
+WITHOUT_SQL: dict = {}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))

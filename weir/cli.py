@@ -1,4 +1,4 @@
-"""Command line: answer, translate, converse, lid, filter, merge, clm, chat, scores, failures and repl."""
+"""Command line: answer, translate, converse, fit-lid, lid, filter, merge, clm, chat, scores, snapshot, publish, failures and repl."""
 
 from __future__ import annotations
 
@@ -6,9 +6,14 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from weir.functions.messages import ZEPHYR
+from weir.functions.template import ProgramTemplate
 from weir.operators import generate, language, pack, quality, relational
-from weir.sources import io
+from weir.operators.metrics import RowCounts
+from weir.sources import io, workbook
+from weir.sources.revisions import Revisions
 
 
 def parser() -> argparse.ArgumentParser:
@@ -33,6 +38,8 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--max-tokens", type=int, default=2048)
             p.add_argument("--max-samples", type=int)
             p.add_argument("--no-merge", action="store_true")
+            p.add_argument("--max-calls", type=int, help="most calls that are open at a time, over all executors")
+            p.add_argument("--only-save-current", action="store_true", help="ask nothing, write what the ledger has")
         return p
 
     p = add("answer", model=True)
@@ -69,12 +76,28 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--block-size", type=int, required=True)
     p.add_argument("--tokenizer")
     p = add("chat")
-    p.add_argument("--fraction", type=float, default=1.0)
-    p.add_argument("--task-name", choices=["sft", "dpo"], default="sft")
+    p.add_argument("--more", action="append", default=[], help="another dataset, --dataset being the first")
+    p.add_argument("--config", action="append", help="a configuration for each dataset, - for none")
+    p.add_argument("--fraction", type=float, action="append", help="of the train splits, one for each dataset")
+    p.add_argument("--task-name", choices=["sft", "generation", "rm", "dpo", "orpo"], default="sft")
     p.add_argument("--block-size", type=int, required=True)
     p.add_argument("--tokenizer")
+    p.add_argument("--template", help="file of a chat template program")
+    p.add_argument("--no-system", action="store_true", help="do not put an empty system turn first")
+    p.add_argument("--max-length", type=int)
+    p.add_argument("--truncation-side", choices=["left", "right"], default="left")
     p = add("scores")
     p.add_argument("--compat", action="store_true")
+    p.add_argument("--workbook", help="also the single scores, a sheet for each dataset of this .xlsx file")
+    p = add("snapshot")
+    p.add_argument("--allow", action="append")
+    p.add_argument("--ignore", action="append")
+    p.add_argument("--every", type=float, default=60.0)
+    p.add_argument("--most", type=float, help="seconds after which to give up")
+    p = add("publish")
+    p.add_argument("--name", required=True)
+    p.add_argument("--config")
+    p.add_argument("--revision", default="main")
     p = sub.add_parser("failures")
     p.add_argument("--ledger", required=True)
     p = sub.add_parser("repl")
@@ -84,6 +107,16 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--profile", action="append")
     p.add_argument("--system-prompt")
     p.add_argument("--echo", action="store_true")
+    p.add_argument("--max-tokens", type=int, default=2048)
+    p.add_argument("--max-retries", type=int, default=3)
+    p.add_argument("--timeout", type=float, default=30.0)
+    p.add_argument("--model", action="append", help="deployment or model of the service")
+    p.add_argument("--json-mode", action="store_true")
+    p.add_argument("--temperature", type=float, default=1.0)
+    p.add_argument("--top-k", type=int, default=50)
+    p.add_argument("--top-p", type=float, default=1.0)
+    p.add_argument("--load-in-8bit", action="store_true")
+    p.add_argument("--load-in-4bit", action="store_true")
     return top
 
 
@@ -92,8 +125,11 @@ def factory(a: argparse.Namespace):
         return generate.EchoGenerator
     creds = generate.load_credentials(a.credentials, a.profile) if a.credentials else None
     how = {k: getattr(a, k) for k in ("max_workers", "max_retries", "timeout") if hasattr(a, k)}
-    if creds and hasattr(a, "max_tokens"):
-        how["max_tokens"] = a.max_tokens
+    if a.hf_model:
+        how |= {k: getattr(a, k) for k in ("temperature", "top_k", "top_p", "load_in_8bit", "load_in_4bit") if hasattr(a, k)}
+        how |= {"max_new_tokens": a.max_tokens} if hasattr(a, "max_tokens") else {}
+    elif creds:
+        how |= {k: v for k, v in (("max_tokens", getattr(a, "max_tokens", None)), ("models", getattr(a, "model", None)), ("json_mode", getattr(a, "json_mode", None))) if v is not None}
     generate.choose_generator(a.hf_model, creds, a.use_vllm, **how)  # wrong settings fail here, not on an executor
     return lambda: generate.choose_generator(a.hf_model, creds, a.use_vllm, **how)
 
@@ -123,7 +159,22 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     if a.command == "scores":
         board = relational.scoreboard(relational.flatten_scores(io.read_records(spark, a.dataset)), compat=a.compat)
         board.toPandas().to_csv(a.output, index=False)
+        if a.workbook:
+            scores = relational.flatten_scores(io.read_records(spark, a.dataset))
+            single = scores.select("dataset", "model", F.explode("total").alias("metric", "value")).groupBy("dataset", "model").pivot("metric").agg(F.first("value"))
+            workbook.write_workbook(single, "dataset", a.workbook)
         return None
+    if a.command == "snapshot":
+        found = io.snapshot(spark, a.dataset, a.allow, a.ignore, a.every, a.most)
+        with open(a.output, "w", encoding="utf-8") as f:
+            f.writelines(f"{p}\n" for p in found)
+        return None
+    if a.command == "publish":
+        entry = Revisions(spark, a.output, a.name, a.config).publish(io.read_dataset(spark, a.dataset, a.split), a.revision)
+        print(f"{a.name} {entry.ref} {entry.number}: {entry.rows}")
+        return None
+    if a.command == "chat":
+        return chat(spark, a)
     if a.command == "merge":
         frames = [io.read_dataset(spark, f"{a.dataset}/{r}", a.split) for r in a.revision]
         out = relational.merge_revisions([f.select(*relational.common_columns(frames)) for f in frames], ["split", *a.on])
@@ -131,31 +182,48 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     df = io.read_dataset(spark, a.dataset, a.split)
     if a.command == "fit-lid":
         return language.fit_language_model(df, a.text_column, a.label_column, a.max_rows).save(a.output)
+    more = {"most_calls": a.max_calls, "only_save_current": a.only_save_current} if hasattr(a, "max_calls") else {}
+    counts = None
     if a.command == "answer":
-        out = generate.answer(df, factory(a), a.ledger, a.user_column, a.system_column, a.system_message, a.response_column, a.max_samples, not a.no_merge)
+        out = generate.answer(df, factory(a), a.ledger, a.user_column, a.system_column, a.system_message, a.response_column, a.max_samples, not a.no_merge, **more)
     elif a.command == "translate":
-        out = generate.translate(df, factory(a), a.ledger, a.column, a.src_lang, a.tgt_lang, a.system_prompt, a.max_samples, not a.no_merge)
+        out = generate.translate(df, factory(a), a.ledger, a.column, a.src_lang, a.tgt_lang, a.system_prompt, a.max_samples, not a.no_merge, **more)
     elif a.command == "converse":
-        out = generate.converse(df, factory(a), a.ledger, a.seed_column, a.system_prompt, a.user_id, a.assistant_id, a.personas, a.output_column, a.max_samples, not a.no_merge)
+        out = generate.converse(df, factory(a), a.ledger, a.seed_column, a.system_prompt, a.user_id, a.assistant_id, a.personas, a.output_column, a.max_samples, not a.no_merge, **more)
     elif a.command in ("lid", "filter"):
         model = quality.STAND_IN if not a.model else language.NgramModel.load(a.model) if a.model.endswith(".json") else quality.fasttext_model(a.model)
         if a.command == "lid":
             out = quality.identify_language(df, a.column, model)
         else:
-            out = quality.quality_filter(relational.dedup_sequential(df, a.column, within=["split"]), a.column, a.target, model=model)
+            counts = RowCounts()
+            once = relational.dedup_sequential(counts.at(df, "read"), a.column, within=["split"])
+            out = quality.quality_filter(once, a.column, a.target, model=model, counts=counts)
     else:
-        tok = pack.file_tokenizer(a.tokenizer) if a.tokenizer else pack.hash_tokenizer
-        if a.command == "clm":
-            out = pack.prepare_clm(df, a.block_size, a.text_column, tok)
-        else:
-            parts = [("data", s, df.where(df.split == s).drop("split"), a.fraction) for s in io.children(spark, a.dataset)]
-            out = None
-            for kind, blocks in pack.prepare_chat([(n, s.removeprefix("split="), d, f) for n, s, d, f in parts], a.block_size, a.task_name, tok).items():
-                blocks.write.parquet(f"{a.output}/{kind}")
-            return None
-    if a.command == "clm":
+        out = pack.prepare_clm(df, a.block_size, a.text_column, pack.file_tokenizer(a.tokenizer) if a.tokenizer else pack.hash_tokenizer)
         return out.write.parquet(a.output)
-    return io.write_dataset(out, a.output)
+    io.write_dataset(out, a.output)
+    if counts is not None:
+        print(counts)
+    return None
+
+
+def chat(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Mixes the splits of some datasets, renders, tokenizes and packs them, and writes train and test."""
+    configs = None if a.config is None else [None if c == "-" else c for c in a.config]
+    parts = []
+    for dataset, config, fraction in io.pair_configs([a.dataset, *a.more], configs, a.fraction):
+        folder = f"{dataset}/{config}" if config else dataset
+        names = [n.removeprefix("split=") for n in io.children(spark, folder)]
+        for split in a.split or names:
+            parts.append((folder, split, io.read_split(spark, folder, split), fraction))
+    template = ZEPHYR
+    if a.template:
+        with open(a.template, encoding="utf-8") as f:
+            template = ProgramTemplate(f.read())
+    tok = pack.file_tokenizer(a.tokenizer) if a.tokenizer else pack.hash_tokenizer
+    done = pack.prepare_chat(parts, a.block_size, a.task_name, tok, template=template, auto_system=not a.no_system, max_length=a.max_length, side=a.truncation_side)
+    for kind, blocks in done.items():
+        blocks.write.parquet(f"{a.output}/{kind}")
 
 
 if __name__ == "__main__":

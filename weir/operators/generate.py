@@ -224,10 +224,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a JSON-lines ledger, equal ones once; a missing one is empty.  Two answers for one cell stay, for the pivot to refuse."""
+    """One row for each (split, column, idx) of a JSON-lines ledger; a missing one is empty.
+
+    Where two runs answered one cell, the row of the file written first stays, of one file's rows the least.
+    """
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(path).distinct()
+    rows = spark.read.schema(schema).json(path)
+    keys = ["split", "column", "idx"]
+    rest = [c for c in rows.columns if c not in keys]
+    first = F.min(F.struct(F.col("_metadata.file_modification_time").alias("__at"), F.col("_metadata.file_path").alias("__file"), *rest)).alias("__first")
+    return rows.groupBy(*keys).agg(first).select(*[F.col(c) if c in keys else F.col(f"__first.{c}").alias(c) for c in rows.columns])
 
 
 def migrate_tsv(spark: SparkSession, tsv: str, path: str, schema: str) -> None:
@@ -236,33 +243,46 @@ def migrate_tsv(spark: SparkSession, tsv: str, path: str, schema: str) -> None:
         spark.read.schema(schema).csv(tsv, sep="\t", header=True, multiLine=True, quote='"', escape='"').write.json(path)
 
 
-def respond(jobs: DataFrame, factory: Callable[[], TextGenerator]) -> DataFrame:
-    """(…, job_idx, messages) -> the same with the fields of the response; calls the generator when it runs."""
+def respond(jobs: DataFrame, factory: Callable[[], TextGenerator], most_calls: int | None = None) -> DataFrame:
+    """(…, job_idx, messages) -> the same with the fields of the response; calls the generator when it runs.
+
+    At most ``most_calls`` calls are open at any time in the whole job, however many executors there are: tasks are as many as that
+    allows for the workers of each, and a generator with more workers gets fewer.
+    """
     from pyspark.sql.types import StructType
 
     schema = StructType([f for f in jobs.schema if f.name not in ("messages", "job_idx")]).add("job_idx", "long").add("text_response", "string").add("error", "string").add("finish_reason", "string")
     names = [f.name for f in schema][:-3]
+    workers = None
+    if most_calls is not None:
+        if most_calls < 1:
+            raise ValueError("at least one call must be allowed")
+        workers = min(most_calls, max(1, factory().max_workers))
+        jobs = jobs.coalesce(max(1, most_calls // workers))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         generator = factory()
+        if workers is not None:
+            generator.max_workers = workers
         for f in frames:
             if not len(f):
                 continue
             batch = [(int(i), [dict(m) if isinstance(m, dict) else m.asDict() for m in ms]) for i, ms in zip(f["job_idx"], f["messages"], strict=True)]
-            got = list(generator.batch_query_messages(batch))
+            got = {r.extra_args[0]: r for r in generator.batch_query_messages(batch, list(range(len(batch))))}  # they may come in any order
             out = f[names].reset_index(drop=True)
             for c in ("text_response", "error", "finish_reason"):
-                out[c] = [getattr(r, c) for r in got]
+                out[c] = [getattr(got[k], c) for k in range(len(batch))]
             yield out[[x.name for x in schema]]
 
     return jobs.mapInPandas(run, schema)
 
 
-def run_generation(jobs: DataFrame, factory: Callable[[], TextGenerator], ledger: str, value: Column, schema: str, chunk: int = 10_000, persona: bool = False, empty: str | None = None) -> tuple[DataFrame, DataFrame]:
+def run_generation(jobs: DataFrame, factory: Callable[[], TextGenerator], ledger: str, value: Column, schema: str, chunk: int = 10_000, persona: bool = False, empty: str | None = None, most_calls: int | None = None, only_save_current: bool = False) -> tuple[DataFrame, DataFrame]:
     """Answers what the ledgers lack of (split, column, idx, [persona,] messages) and returns both ledgers.
 
     A row is done if it has an answer and no error and ``value`` of its text_response is not null; ``empty`` is the
     error of one whose value is null.  Failed rows are not tried again until they leave the failed ledger.
+    ``most_calls`` bounds the calls that are open at a time; with ``only_save_current`` nothing is answered.
     """
     spark = jobs.sparkSession
     done_schema, failed_schema = ledger_schema(schema, persona)
@@ -270,6 +290,8 @@ def run_generation(jobs: DataFrame, factory: Callable[[], TextGenerator], ledger
     keys = ["split", "column", "idx"] + (["persona"] if persona else [])
     name = schema.split()[0]
     done, failed = read_ledger(spark, paths[0], done_schema), read_ledger(spark, paths[1], failed_schema)
+    if only_save_current:
+        return done, failed
     todo = materialize(exclude(jobs, processed(done, failed), ["split", "column", "idx"]).withColumn("job_idx", F.col("idx")), "todo")
     chunks = -(-todo.count() // chunk)
     if chunks > 1:  # dealt by hash of the key, so chunks are about equal however sparse idx is
@@ -277,7 +299,7 @@ def run_generation(jobs: DataFrame, factory: Callable[[], TextGenerator], ledger
     for k in range(chunks):
         part = todo.where(F.col("__chunk") == k).drop("__chunk") if chunks > 1 else todo
         step = f"{ledger}/answers/{k}-{os.urandom(4).hex()}"
-        respond(part, factory).write.parquet(step)  # the only action that calls the generator
+        respond(part, factory, most_calls).write.parquet(step)  # the only action that calls the generator
         got = spark.read.parquet(step).withColumn("__v", F.when(F.col("error").isNull() & F.col("text_response").isNotNull(), value))
         got.where(F.col("__v").isNotNull()).select(*keys, F.col("__v").alias(name)).write.mode("append").json(paths[0])
         why = F.coalesce("error", F.lit(empty), F.lit("None"))
@@ -310,13 +332,14 @@ def answer_jobs(df: DataFrame, user_column: str, system_column: str | None = Non
     return df.select("split", F.lit(response_column).alias("column"), "idx", prompt.alias("messages"))
 
 
-def answer(df: DataFrame, factory, ledger: str, user_column: str, system_column: str | None = None, system_message: str | None = None, response_column: str = "response", max_samples: int | None = None, merge_with_original: bool = True, only_save_current: bool = False, chunk: int = 10_000) -> DataFrame | None:
-    """Adds a column with an answer to each row's question; rows without one are left out."""
+def answer(df: DataFrame, factory, ledger: str, user_column: str, system_column: str | None = None, system_message: str | None = None, response_column: str = "response", max_samples: int | None = None, merge_with_original: bool = True, only_save_current: bool = False, chunk: int = 10_000, most_calls: int | None = None) -> DataFrame:
+    """Adds a column with an answer to each row's question; rows without one are left out.
+
+    With ``only_save_current`` nothing is asked and the result has what the ledger holds already.
+    """
     df = df if max_samples is None else first_n(df, max_samples)
     jobs = answer_jobs(df, user_column, system_column, system_message, response_column)
-    if only_save_current:
-        jobs = jobs.limit(0)
-    done, _ = run_generation(jobs, factory, ledger, strip(F.col("text_response")), "response string", chunk)
+    done, _ = run_generation(jobs, factory, ledger, strip(F.col("text_response")), "response string", chunk, most_calls=most_calls, only_save_current=only_save_current)
     return _finish(df, done.where(F.col("column") == response_column), "response", [response_column], merge_with_original)
 
 
@@ -355,13 +378,13 @@ def translate_jobs(df: DataFrame, columns: list[str], src_lang: str | None, tgt_
     return rows.select("split", "column", "idx", F.array(M.message("system", system), M.message("user", strip(F.col("text")))).alias("messages"))
 
 
-def translate(df: DataFrame, factory, ledger: str, columns: list[str] | None = None, src_lang: str | None = None, tgt_lang: str | None = None, system_prompt: str | dict[str, str] = TRANSLATION_PROMPT, max_samples: int | None = None, merge_with_original: bool = True, chunk: int = 10_000) -> DataFrame:
+def translate(df: DataFrame, factory, ledger: str, columns: list[str] | None = None, src_lang: str | None = None, tgt_lang: str | None = None, system_prompt: str | dict[str, str] = TRANSLATION_PROMPT, max_samples: int | None = None, merge_with_original: bool = True, chunk: int = 10_000, most_calls: int | None = None, only_save_current: bool = False) -> DataFrame:
     """Adds a translation of each column."""
     columns = columns or [f.name for f in df.schema if f.dataType.simpleString() == "string" and f.name != "split"]
     df = df.select("split", "idx", *columns)
     df = df if max_samples is None else first_n(df, max_samples)
     name = f"translation_{tgt_lang.lower()}" if tgt_lang else "translation"
-    done, _ = run_generation(translate_jobs(df, columns, src_lang, tgt_lang, system_prompt), factory, ledger, strip(F.col("text_response")), f"{name} string", chunk)
+    done, _ = run_generation(translate_jobs(df, columns, src_lang, tgt_lang, system_prompt), factory, ledger, strip(F.col("text_response")), f"{name} string", chunk, most_calls=most_calls, only_save_current=only_save_current)
     done = done.where(F.col("column").isin(columns))
     new = {c: translated_name(c, tgt_lang) for c in columns}
     renamed = done.withColumn("column", F.element_at(F.create_map(*[F.lit(x) for kv in new.items() for x in kv]), F.col("column")))
@@ -405,11 +428,11 @@ def converse_jobs(df: DataFrame, seed_column: str, system_prompt: str, user_id:
     return rows.select("split", F.lit(output_column).alias("column"), "idx", F.col("__persona").alias("persona"), F.array(M.message("system", fill_columns(prompt, values))).alias("messages"))
 
 
-def converse(df: DataFrame, factory, ledger: str, seed_column: str, system_prompt: str, user_id: str = "user: ", assistant_id: str = "assistant: ", personas: str | dict | None = None, output_column: str = "messages", max_samples: int | None = None, merge_with_original: bool = True, chunk: int = 10_000) -> DataFrame:
+def converse(df: DataFrame, factory, ledger: str, seed_column: str, system_prompt: str, user_id: str = "user: ", assistant_id: str = "assistant: ", personas: str | dict | None = None, output_column: str = "messages", max_samples: int | None = None, merge_with_original: bool = True, chunk: int = 10_000, most_calls: int | None = None, only_save_current: bool = False) -> DataFrame:
     """Adds a generated conversation, parsed into turns, and its persona."""
     df = df if max_samples is None else first_n(df, max_samples)
     jobs = converse_jobs(df, seed_column, system_prompt, user_id, assistant_id, personas, output_column)
     turns = M.parse_conversation(F.col("text_response"), user_id, assistant_id)
-    done, _ = run_generation(jobs, factory, ledger, F.when(F.size(turns) > 0, turns), f"messages {M.DDL}", chunk, persona=True, empty="Empty conversation")
+    done, _ = run_generation(jobs, factory, ledger, F.when(F.size(turns) > 0, turns), f"messages {M.DDL}", chunk, persona=True, empty="Empty conversation", most_calls=most_calls, only_save_current=only_save_current)
     done = done.join(df.select("split").distinct(), "split", "left_semi").select("split", "idx", F.coalesce("persona", F.lit("")).alias("persona"), F.col("messages").alias(output_column))
     return join_columns(df, done) if merge_with_original else sort_columns(done)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from weir.functions.messages import text_of
 from weir.functions.text import clean_label, is_roman, normalize_ws, token_count
 from weir.operators.language import NgramModel, StopWords
+from weir.operators.metrics import RowCounts
 
 # Phrases of generated text, by kind.
 AI_NAMES = [
@@ -131,10 +132,11 @@ def language_ok(text: Column, lid: Column, target: str, short: int = 3) -> Colum
     return F.coalesce(lid == target, F.lit(False)) | (F.coalesce(token_count(text), F.lit(0)) <= short)
 
 
-def quality_filter(df: DataFrame, columns: list[str], target: str | None = "nld_Latn", pattern: str | None = None, roman: bool = True, model: Model = STAND_IN) -> DataFrame:
+def quality_filter(df: DataFrame, columns: list[str], target: str | None = "nld_Latn", pattern: str | None = None, roman: bool = True, model: Model = STAND_IN, counts: RowCounts | None = None) -> DataFrame:
     """Rows all of whose columns pass: no phrase, Roman letters only, and the language.
 
     Uses {column}_lid where it exists and identifies the language otherwise.  Cheap rules stand before the model in the plan.
+    ``counts`` gets the rows before, after the rules on phrases and letters, and after that on the language, while the result is written.
     """
     keys = phrase_keys() if pattern is None else None
     pattern = phrase_pattern() if pattern is None else pattern
@@ -145,9 +147,12 @@ def quality_filter(df: DataFrame, columns: list[str], target: str | None = "nld_
         phrase = F.coalesce(has_phrase(t, pattern, keys), F.lit(False))
         return phrase | F.coalesce(~is_roman(t), F.lit(False)) if roman else phrase
 
+    mark = (lambda x, _: x) if counts is None else counts.at
+    df = mark(df, "rows")
     for c in columns:  # as the one element of an array the text is normalised once for all rules
         df = df.filter(~F.exists(F.array(text[c]), bad))
+    df = mark(df, "phrases and letters")
     full = identify_language(df, missing, model) if missing else df
     for c in columns if target is not None else []:
         full = full.filter(language_ok(text[c], F.col(f"{c}_lid"), target))
-    return full.drop(*[f"{c}_{x}" for c in missing for x in ("lid", "lid_prob")])
+    return mark(full, "language").drop(*[f"{c}_{x}" for c in missing for x in ("lid", "lid_prob")])

@@ -269,12 +269,6 @@ def preview(df: DataFrame, n: int = 3) -> list:
     return df.orderBy("idx").limit(n).collect()
 
 
-def removed_rows(before: DataFrame, after: DataFrame) -> dict[str, int]:
-    """Row counts before and after a filter, and how many it removed."""
-    a, b = before.count(), after.count()
-    return {"before": a, "after": b, "removed": a - b}
-
-
 def sorted_items(c: Column) -> Column:
     """A map as an array of its entries by key, which can be compared and grouped by."""
     return F.array_sort(F.map_entries(c))

@@ -263,6 +263,40 @@ def answer_echo(spark, d):
     return out.select("idx", "question", "response")
 
 
+class Exclaimer(generate.TextGenerator):
+    """Answers with the last message and a mark; answers come as they are ready."""
+
+    def __init__(self):
+        super().__init__(max_workers=3, max_retries=1, in_order=False)
+
+    def complete(self, job_idx, messages):
+        return messages[-1]["content"] + " !", "stop"
+
+
+def translate_marks(spark, d):
+    """The whole translate processor over two columns; blank texts are skipped and come back empty."""
+    x = _docs(spark, d).select("split", "idx", F.when(F.pmod("idx", F.lit(6)) != 0, F.col("text")).otherwise(" \n").alias("text"), F.coalesce("source", F.lit("none")).alias("source"))
+    out = generate.translate(x, Exclaimer, fresh_path(spark, "translate"), ["text", "source"], "English", "Dutch", chunk=1_000_000, most_calls=6)
+    return out.select("idx", "text_dutch", "source_dutch")
+
+
+TALK = "user: Talk about {subject}.\nassistant: I, {persona}, will.\n\nuser: and"
+
+
+def converse_echo(spark, d):
+    """The whole converse processor: prompts with personas, answers parsed into turns, the last user turn dropped."""
+    x = _docs(spark, d).select("split", "idx", F.coalesce("source", F.lit("none")).alias("source"))
+    out = generate.converse(x, generate.EchoGenerator, fresh_path(spark, "converse"), "source", TALK, "user:", "assistant:", PERSONAS, chunk=1_000_000)
+    return out.select("idx", "persona", _flat(F.col("messages")).alias("turns"))
+
+
+def answer_first_n(spark, d):
+    """The first 70 rows of each of two splits answered, and the rest left out."""
+    x = _docs(spark, d).select(F.when(F.col("lang") == "en", "train").otherwise("test").alias("split"), "idx", F.col("lang").alias("question"))
+    out = generate.answer(x, Exclaimer, fresh_path(spark, "first"), "question", max_samples=70, chunk=50)
+    return out.select("split", "idx", "response")
+
+
 def resume_antijoin(spark, d):
     done = _docs(spark, d).where(F.pmod("idx", F.lit(3)) == 0)
     return relational.exclude(_docs(spark, d).select("split", "idx", "source"), done).select("idx", "source")
@@ -394,7 +428,7 @@ QUERIES = {
         curate_documents, normalize_ws, strip_lines, token_count, dedup_text, dedup_sequential, dedup_conversation, phrase_filter, planted_phrases, roman_filter, lid_filter,
         identify_language, glue, assistant_text, insert_system, render_sft, render_generation, render_rm, render_dpo,
         render_roles_program, render_chatml_program, render_inst_program, render_orpo_program, parse_conversation, answer_prompts,
-        translate_prompts, converse_prompts, persona_bucket, answer_echo, resume_antijoin, ledger_union, ledger_pivot, merge_original, failure_report,
+        translate_prompts, converse_prompts, persona_bucket, answer_echo, translate_marks, converse_echo, answer_first_n, resume_antijoin, ledger_union, ledger_pivot, merge_original, failure_report,
         merge_revisions, mix, shuffle_md5, first_n, first_n_many, select_sorted, unpivot_columns, tokenize, tokenize_left, pack_blocks, pack_blocks_fast, prepare_clm, prepare_chat, scoreboard, scoreboard_compat,
         checkpoint_series,
     )
@@ -532,6 +566,14 @@ ORACLE: dict[str, str] = {
         SELECT idx, persona, 'system=Talk about ' || source || ' as a ' || persona || '. Begin turns with user: or assistant: only.' AS prompt FROM p""",
     "persona_bucket": f"SELECT {_persona(7, 'doc_id', ['a', 'b', 'c'], [5, 3, 2])} AS persona, count(*) AS n FROM documents GROUP BY 1",
     "answer_echo": f"SELECT doc_id AS idx, text AS question, regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g') AS response FROM documents",
+    "translate_marks": f"""
+        SELECT doc_id AS idx, CASE WHEN doc_id % 6 <> 0 AND {_strip('text')} <> '' THEN {_strip('text')} || ' !' ELSE '' END AS text_dutch, {_strip("coalesce(source, 'none')")} || ' !' AS source_dutch FROM documents""",
+    "converse_echo": f"""
+        WITH p AS (SELECT doc_id AS idx, coalesce(source, 'none') AS source, {_persona(42, "'train-' || doc_id", ['teacher', 'nurse', 'pilot'], [5, 3, 2])} AS persona FROM documents)
+        SELECT idx, persona, 'user=Talk about ' || source || '.|assistant=I, a ' || persona || ', will.' AS turns FROM p""",
+    "answer_first_n": """
+        SELECT split, doc_id AS idx, lang || ' !' AS response FROM (SELECT *, CASE WHEN lang = 'en' THEN 'train' ELSE 'test' END AS split FROM documents)
+        QUALIFY row_number() OVER (PARTITION BY split ORDER BY doc_id) <= 70""",
     "resume_antijoin": "SELECT doc_id AS idx, source FROM documents WHERE doc_id % 3 <> 0",
     "ledger_union": "SELECT 'train' AS split, 'c' AS \"column\", count(*) AS n, sum(doc_id)::BIGINT AS sum_idx FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0",
     "ledger_pivot": f"SELECT idx, question, system FROM {_LEDGER}",

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import os
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weir.sources.revisions import Revisions, wait_for
+
 RECORDS = "model string, task string, dataset string, results struct<total:map<string,double>>"
 
 
@@ -72,6 +75,10 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 
 def read_revisions(spark: SparkSession, root: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """Revisions by name: the last entry of each published reference, or plain folders."""
+    if exists(spark, f"{root}/refs"):
+        published = Revisions(spark, *root.rsplit("/", 1))
+        return {n: published.read(n) for n in names or published.refs()}
     return {n: read_dataset(spark, f"{root}/{n}") for n in names or children(spark, root)}
 
 
@@ -97,11 +104,11 @@ def pair_configs(datasets: list[str], configs: list[str | None] | None, fraction
 
 
 def publish_to(root: str, name: str, revision: str, config: str | None = None):
-    """A publisher that copies to a versioned folder; it never overwrites one."""
+    """A publisher that makes a written dataset the last entry of a revision."""
 
     def run(path: str) -> None:
         spark = SparkSession.active()
-        spark.read.parquet(path).write.partitionBy("split").mode("errorifexists").parquet(resolve(root, name, config, revision))
+        Revisions(spark, root, name, config).publish(spark.read.parquet(path), revision)
 
     return run
 
@@ -112,15 +119,39 @@ def read_records(spark: SparkSession, path: str, schema: str | T.StructType = RE
     return text.select(F.from_json("value", schema).alias("r"), F.col("i").alias("idx")).select("idx", "r.*")
 
 
-def read_files(spark: SparkSession, path: str, allow: str | None = None, recursive: bool = True) -> DataFrame:
-    """Paths and sizes of files whose names fit a glob: what a snapshot would fetch."""
+def read_files(spark: SparkSession, path: str, allow: str | list[str] | None = None, recursive: bool = True, ignore: str | list[str] | None = None) -> DataFrame:
+    """Paths and sizes of files: those whose path below the folder fits a glob of ``allow`` and none of ``ignore``; * also fits slashes."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    r = r.option("pathGlobFilter", allow) if allow else r
-    return r.load(path).select("path", "length")
+    base, fs = _fs(spark, path)
+    inside = F.substring("path", F.lit(len(fs.getFileStatus(base).getPath().toString().rstrip("/")) + 2), F.length("path"))
+    globs = lambda g: [g] if isinstance(g, str) else list(g or [])
+    fits = lambda patterns: reduce(lambda a, b: a | b, [inside.rlike(f"^(?:{_glob(p)})$") for p in patterns], F.lit(False))
+    files = r.load(path).select("path", "length")
+    files = files.where(fits(globs(allow))) if globs(allow) else files
+    return files.where(~fits(globs(ignore))) if globs(ignore) else files
+
+
+def _glob(pattern: str) -> str:
+    """A glob as a regular expression of Java."""
+    out = ""
+    for c in re.split(r"(\*|\?|\[[^\]]*\])", pattern):
+        out += ".*" if c == "*" else "." if c == "?" else c.replace("[!", "[^") if c.startswith("[") else re.escape(c)
+    return out
+
+
+def snapshot(spark: SparkSession, path: str, allow: str | list[str] | None = None, ignore: str | list[str] | None = None, every: float = 60.0, most: float | None = None) -> list[str]:
+    """Paths of a folder's files as ``read_files`` chooses them, waiting until there are some: what a checkpoint that is still being uploaded will have."""
+
+    def look() -> list[str]:
+        if not exists(spark, path):
+            return []
+        return [r.path for r in read_files(spark, path, allow, ignore=ignore).orderBy("path").toLocalIterator()]
+
+    return wait_for(look, every, most)
 
 
 def write_sheets(df: DataFrame, group: str, folder: str) -> list[str]:
-    """One CSV per group of a small report, without an index column; a workbook needs a writer that is not everywhere."""
+    """One CSV per group of a small report, without an index column; ``workbook.write_workbook`` has them as sheets of one file."""
     pdf = df.toPandas()
     os.makedirs(folder, exist_ok=True)
     out = []
