@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from weir.llm import embeddings
 
@@ -66,3 +67,28 @@ def test_tight_groups_join(spark):
     want = brute(rows, 0.9)
     assert len({r[2] for r in want}) == 608
     assert got == want
+
+
+def isolated_pairs(rng, n, others, common, cosine, d=64):
+    """Pairs at about one cosine among vectors that all share a direction."""
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    shared = np.zeros(d)
+    shared[0] = 1
+    out = unit(rng.normal(size=(n + others, d)))
+    out[:, 0] = 0
+    base = np.sqrt(common) * shared + np.sqrt(1 - common) * unit(out)
+    side = rng.normal(size=(n, d))
+    side -= (side * base[:n]).sum(1, keepdims=True) * base[:n]
+    return np.concatenate([base, cosine * base[:n] + np.sqrt(1 - cosine**2) * unit(side)])
+
+
+@pytest.mark.parametrize("common,cosine,goal", [(0.0, 0.905, 0.9995), (0.69, 0.92, 0.9995), (0.8, 0.93, 0.9995)])
+def test_isolated_pairs_with_a_common_mean(spark, common, cosine, goal):
+    rng = np.random.Generator(np.random.PCG64(11))
+    vs = isolated_pairs(rng, 1000, 1200, common, cosine)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vs)], "vec_id long, embedding array<double>").repartition(4)
+    got = sorted(tuple(r) for r in embeddings.near_vectors(df, leaf=32, block=64, asked=500, goal=goal).collect())
+    m = vs / np.linalg.norm(vs, axis=1, keepdims=True)
+    links = (m @ m.T >= 0.9).sum(1) - 1
+    assert sum(links) >= 2000 and sum(r[1] for r in got) == sum(links)
+    assert [r[1] for r in got] == links.tolist()

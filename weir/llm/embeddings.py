@@ -1,12 +1,12 @@
 """Near-duplicate vectors by NN-descent.
 
 Equal vectors form a class that is compared once.  Neighbour lists start from
-a forest of random hyperplane codes: classes with one code are compared in
-blocks of bounded size.  Rounds refine them: neighbours of a class, in either direction, are
+a forest of random hyperplane codes, the planes going through the mean of all vectors: classes with one code are compared in
+blocks of bounded size, and codes that too many share are cut by further planes.  Rounds refine them: neighbours of a class, in either direction, are
 compared with each other, and the best stay, until ``patience`` rounds in a row join no
 labels or no list changes: as each label is compared within itself at the end, a round
-that joins none adds no link.  The forest grows with the table, so that it misses a pair at
-the threshold equally often at every size.  Lists are
+that joins none adds no link.  Then a bounded sample of classes is held against all vectors, and while links of
+theirs are missing a larger forest follows.  Lists are
 bounded, links are not: whatever passes the threshold in a block joins its two labels,
 through a spanning forest of the block, confirmed in double precision.  A class whose list
 passes throughout also lists its nearest under other labels, so that the
@@ -57,20 +57,98 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([row, b.column("vec_id"), pa.array([None if u is None else u.tobytes() for u in units], pa.binary())], names=["row", "vec_id", "unit"])
 
 
-def _codes(trees: int, depth: int, seed: int):
-    planes: dict[int, np.ndarray] = {}
+def _by_length(units: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, places, matrix) of the vectors of a batch, for each length."""
+    sizes = np.array([len(u) // 8 for u in units], dtype=np.int64)
+    for size in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == size)
+        yield size, at, np.frombuffer(b"".join(units[i] for i in at)).reshape(len(at), size)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of a partition's vectors, one row for each length."""
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for size, _, m in _by_length(b.column("unit").to_pylist()):
+            total[size] = total.get(size, 0) + m.sum(axis=0)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))], names=["size", "total"])
+
+
+def _centres(classes: DataFrame) -> dict[int, np.ndarray]:
+    """The mean of the vectors of each length; one number for each dimension comes to the driver."""
+    part = classes.select("unit").mapInArrow(_summed, "size long, total array<double>").select("size", F.posexplode("total").alias("i", "v"))
+    got = part.groupBy("size", "i").agg(F.sum("v").alias("v")).orderBy("size", "i").collect()
+    n = {r["size"]: r["n"] for r in classes.groupBy((F.length("unit") / 8).cast("long").alias("size")).agg(F.count("*").alias("n")).collect()}
+    return {size: np.array([r.v for r in got if r["size"] == size]) / n[size] for size in n}
+
+
+def _codes(trees: int, bits: int, seed: int, centres: dict[int, np.ndarray]):
+    """Each vector's side of ``bits`` random planes through the centre of all, as one number for each tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes: dict[int, np.ndarray] = {}
+        weight = (1 << np.arange(bits - 1, -1, -1, dtype=np.int64)).astype(np.int64)
         for b in batches:
-            for t in range(trees):
-                codes = []
-                for u in b.column("unit").to_pylist():
-                    v = np.frombuffer(u)
-                    if len(v) not in planes:
-                        planes[len(v)] = np.random.Generator(np.random.PCG64([seed, len(v)])).normal(size=(trees, max(1, depth), len(v)))
-                    bits = planes[len(v)][t] @ v > 0
-                    codes.append(f"{len(v)}/{t}/" + ("".join("01"[int(x)] for x in bits) if depth else ""))
-                yield pa.RecordBatch.from_arrays([b.column("cls"), pa.array(codes)], names=["cls", "code"])
+            for size, at, m in _by_length(b.column("unit").to_pylist()):
+                if size not in planes:
+                    planes[size] = np.random.Generator(np.random.PCG64([seed, size])).normal(size=(trees, bits, size))
+                cls = b.column("cls").take(pa.array(at))
+                for t in range(trees):
+                    code = ((m - centres[size]) @ planes[size][t].T > 0) @ weight
+                    yield pa.RecordBatch.from_arrays([cls, pa.array([size] * len(at), pa.int32()), pa.array([t] * len(at), pa.int32()), pa.array(code)], names=["cls", "size", "tree", "code"])
+
+    return run
+
+
+def _blocks(codes: DataFrame, depth: int, bits: int, block: int, stash: Stash, step: int = 4) -> DataFrame:
+    """(cls, block): classes by the first ``depth`` planes of a tree, and where these are more than ``block`` by further ones.
+
+    Classes that all ``bits`` planes leave together are dealt at random into parts; they lie so close that each part joins the others in other trees.
+    """
+    done, left, level = None, codes, depth
+    while True:
+        left = left.withColumn("prefix", F.shiftright("code", bits - level))
+        key = ["size", "tree", "prefix"]
+        large = left.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > block)
+        name = [F.lit(str(level)), *[F.col(c).cast("string") for c in key]]
+        if level == bits:
+            part = F.pmod(F.xxhash64("cls", "tree"), F.coalesce(F.ceil(F.col("n") / block), F.lit(1))).cast("string")
+            here = left.join(large, key, "left").select("cls", F.concat_ws("/", *name, part).alias("block"))
+            return here if done is None else done.unionByName(here)
+        large = stash.put(large.drop("n"))
+        here = left.join(large, key, "left_anti").select("cls", F.concat_ws("/", *name).alias("block"))
+        done = here if done is None else done.unionByName(here)
+        if large.isEmpty():
+            return done
+        left, level = left.join(large, key, "left_semi"), min(bits, level + step)
+
+
+def _missing(queries: pa.Table, least: float):
+    """Per batch: how many links the queries have in it, how many of them join two labels, and one such pair for each query and label."""
+    ask: dict[int, tuple] = {}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not ask and queries.num_rows:
+            ids, labels = (queries.column(c).to_numpy() for c in ("cls", "label"))
+            for size, at, m in _by_length(queries.column("unit").to_pylist()):
+                ask[size] = ids[at], labels[at], m, m.astype(np.float32).T
+        for b in batches:
+            ids, labels = (b.column(c).to_numpy() for c in ("cls", "label"))
+            for size, at, m in _by_length(b.column("unit").to_pylist()):
+                if size not in ask:
+                    continue
+                q, ql, whole, single = ask[size]
+                for i in range(0, len(at), 256):
+                    part = at[i : i + 256]
+                    near = m[i : i + 256].astype(np.float32) @ single >= least - MARGIN
+                    apart = near & (labels[part][:, None] != ql)
+                    u, v = np.nonzero(apart)
+                    ok = np.einsum("ij,ij->i", m[i : i + 256][u], whole[v]) >= least
+                    u, v = u[ok], v[ok]
+                    first = np.unique(np.stack([v, labels[part][u]]), axis=1, return_index=True)[1] if len(u) else np.empty(0, np.int64)
+                    seen = int(near.sum()) - int((near & (ids[part][:, None] == q)).sum())
+                    cols = [np.concatenate([ids[part][u[first]], [0]]), np.concatenate([q[v[first]], [0]]), np.concatenate([np.zeros(len(first), np.int64), [seen]]), np.concatenate([np.zeros(len(first), np.int64), [len(u)]])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["u", "v", "seen", "lost"])
 
     return run
 
@@ -196,13 +274,16 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
     return one.withColumn("rank", F.row_number().over(W.partitionBy("u").orderBy(F.desc("sim"), "v"))).filter(F.col("rank") <= k).drop("rank")
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int = 10, leaf: int = 128, block: int = 256, seed: int = 5, miss: float = 0.05, patience: int = 2) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int = 10, leaf: int = 128, block: int = 256, seed: int = 5, miss: float = 0.05, patience: int = 2, asked: int = 8192, goal: float = 0.9995) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding).
 
     Links have a cosine of at least ``least``; vectors of other lengths, null,
     zero and empty ones and those with null or non-finite components have none.
-    ``trees`` is the least number of trees; more are taken where a pair at the threshold
-    would share no leaf with a chance above ``miss``.  Rows with one vec_id are vectors of their own.  n_links counts the other rows.
+    ``trees`` is the least number of trees of the first forest; up to four times as many are taken where a pair at the threshold
+    would share no leaf with a chance above ``miss``.  Then ``asked`` classes, drawn anew each time, are held against all vectors: while
+    more than 1 - ``goal`` of their links are not found yet, these are added and a forest of twice as many trees is compared.  Rows with one
+    vec_id, or none, are vectors of their own, and equal vectors are links like others; ties in a list go to the smaller class number, and change the work alone.
+    n_links counts the other rows.
     """
     spark = vectors.sparkSession
     stash = Stash(spark, "descent")
@@ -210,16 +291,21 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int
     rows = stash.put(vectors.select("vec_id", "embedding").mapInArrow(_read, f"row long, vec_id {kind}, unit binary").withColumn("cls", F.xxhash64("unit")))
     classes = stash.put(rows.filter(F.col("unit").isNotNull()).groupBy("cls").agg(F.first("unit").alias("unit"), F.count("*").alias("times"), F.min("vec_id").alias("least")))
     n = classes.count()
+    centres = _centres(classes)
     depth = max(0, int(np.ceil(np.log2(max(1, n) / leaf))))
+    bits = min(62, depth + 24)
     if depth:
-        together = (1 - math.acos(least) / math.pi) ** depth
-        trees = max(trees, math.ceil(math.log(miss) / math.log1p(-together)))
+        common = max(float(c @ c) for c in centres.values())  # what all vectors share does not tell them apart
+        angle = math.acos(max(0.0, (least - common) / (1 - common))) if common < 1 else math.pi / 2
+        together = (1 - angle / math.pi) ** depth
+        trees = min(max(trees, math.ceil(math.log(miss) / math.log1p(-together))), 4 * trees)
     single = stash.put(classes.select("cls", "unit").mapInArrow(_single, "cls long, unit binary"))
 
-    codes = stash.put(classes.select("cls", "unit").mapInArrow(_codes(trees, depth, seed), "cls long, code string"))
-    large = codes.groupBy("code").agg(F.count("*").alias("n")).filter(F.col("n") > block)
-    part = F.pmod(F.xxhash64("cls", "code"), F.coalesce(F.ceil(F.col("n") / block), F.lit(1)))
-    blocks = codes.join(large, "code", "left").select("cls", F.concat_ws("/", "code", part).alias("block"))
+    def forest(trees: int, seed: int) -> DataFrame:
+        codes = stash.put(classes.select("cls", "unit").mapInArrow(_codes(trees, bits, seed, centres), "cls long, size int, tree int, code long"))
+        return stash.put(_blocks(codes, depth, bits, block, stash))
+
+    blocks = forest(trees, seed)
     unit = classes.select("cls", "unit")
     label = stash.put(classes.select("cls", F.col("cls").alias("label")))
 
@@ -244,7 +330,6 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int
         both = pairs.join(label.withColumnsRenamed({"cls": "u", "label": "lu"}), "u").join(label.withColumnsRenamed({"cls": "v", "label": "lv"}), "v")
         return both.filter("lu <> lv").select("u", "v", "sim")
 
-    blocks = stash.put(blocks)
     plain = label.withColumn("wants", F.lit(False))
     start = stash.put(_compared(blocks, single, plain, k, least))
     graph = stash.put(_top(_kind(start, LIST), k))
@@ -272,6 +357,22 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, k: int = 10, trees: int
         tags = tagged(graph)
         seen = marks
         stash.drop(*old, new)
+    size = max(1, max((len(c) for c in centres.values()), default=1))
+    asked = max(1, min(asked, (32 << 20) // (8 * size)))  # what is sent to every task stays below 32 MB
+    turn = 0
+    while n > 1:
+        labelled = classes.select("cls", "unit").join(label, "cls")
+        queries = labelled.orderBy(F.xxhash64("cls", F.lit(turn)), "cls").limit(asked).toArrow()
+        got = stash.put(labelled.mapInArrow(_missing(queries, least), "u long, v long, seen long, lost long"))
+        seen, lost = got.agg(F.coalesce(F.sum("seen"), F.lit(0)), F.coalesce(F.sum("lost"), F.lit(0))).first()
+        if lost:
+            label = merged(got.filter("u <> 0 or v <> 0").select("u", "v", F.lit(1.0).cast("float").alias("sim"), F.lit(LINK).alias("kind")))
+        if lost <= (1 - goal) * seen:
+            break
+        turn, trees = turn + 1, 2 * trees
+        start = stash.put(_compared(forest(trees, seed + turn), single, label.withColumn("wants", F.lit(False)), k, least))
+        label = merged(start)
+        stash.drop(start)
     large = label.groupBy("label").agg(F.count("*").alias("n")).filter("n > 1").select("label")
     found = stash.put(label.join(large, "label", "left_semi").select(F.col("cls").alias("node"), F.col("label").alias("component")))
 
