@@ -125,13 +125,23 @@ def brute_units(rows, unit, least):
     """Every pair of runs, the plain way."""
     found = []
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
-        have = [(k, norm(x).split(" ")) for k, x in enumerate(pieces(t or "", unit)) if norm(x)]
+        all_ = pieces(t or "", unit)
+        have = [(k, norm(x).split(" ")) for k, x in enumerate(all_) if norm(x)]
+        if have and sum(len(x) for _, x in have) < least:
+            found.append((i, have[0][0], have[-1][0], ["whole", *[x for _, x in have]]))
+        line = [sum("\n" in x for x in all_[:k]) for k, _ in have]
+        for n in sorted(set(line)) if unit == "sentence" else []:
+            mine = [h for h, m in zip(have, line, strict=True) if m == n]
+            if sum(len(x) for _, x in mine) >= least:
+                found.append((i, mine[0][0], mine[-1][0], [x for _, x in mine]))
         for a in range(len(have)):
             for b in range(a, len(have)):
                 if sum(len(x) for _, x in have[a : b + 1]) >= least:
                     found.append((i, have[a][0], have[b][0], [x for _, x in have[a : b + 1]]))
                     break
     drop = {i: set() for i, _ in rows}
+    found = sorted({(i is not None, i or 0, a, b): (i, a, b, x) for i, a, b, x in found}.items())
+    found = [f for _, f in found]
     for n, (i, a, b, x) in enumerate(found):
         if any(y == x for *_, y in found[:n]):
             drop[i] |= set(range(a, b + 1))

@@ -56,3 +56,12 @@ def test_pivot_keeps_mass_and_expectation():
         assert sum(1e-9 < v < 1 - 1e-9 for v in y) <= 1
         total += y
     assert np.abs(total / 4000 - x).max() < 0.04
+
+
+def test_carried_columns_tell_rows_apart(spark):
+    rows = [(1, "w " * (5 + k), "a", k) for k in range(40)] + [(None, "w", "b", 100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, k int").repartition(4)
+    got = mixing.mix(df, carry=("k",)).collect()
+    assert sorted(r.k for r in got) == sorted(r[3] for r in rows) and all(r.size == 5 + r.k for r in got if r.k < 100)
+    again = mixing.mix(df.repartition(7), carry=("k",)).collect()
+    assert {r.k: r.copies for r in got} == {r.k: r.copies for r in again}

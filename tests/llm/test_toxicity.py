@@ -89,3 +89,30 @@ def test_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.toxicity(docs, none).first().predicted == 0
     assert toxicity.toxicity(docs.limit(0), none).count() == 0
+
+
+def test_repeated_ids_stay_within_the_bound(spark):
+    """Labels meet all rows of their doc_id; no more than max_rows of them are fetched."""
+    rows = corpus(300)
+    docs = spark.createDataFrame([(i % 20, t) for i, t, _ in rows], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, label int")
+    seen = []
+    real = toxicity.fit
+    toxicity.fit = lambda rows, labels, **how: seen.append(len(rows)) or real(rows, labels, **{**how, "spark": None})
+    try:
+        toxicity.train(docs, labels, max_rows=50)
+    finally:
+        toxicity.fit = real
+    assert seen == [50]
+
+
+def test_sparse_products_are_those_of_the_whole_matrix():
+    rng = np.random.Generator(np.random.PCG64(3))
+    x = (rng.random((40, 17)) < 0.2).astype(float)
+    x[[0, 7, 39]] = 0
+    s = toxicity._Sparse(*np.nonzero(x), *x.shape)
+    v, e = rng.normal(size=(17, 3)), rng.normal(size=(40, 3))
+    assert np.allclose(s.times(v), x @ v) and np.allclose(s.times(v[:, 0]), x @ v[:, 0])
+    assert np.allclose(s.turned(e), x.T @ e) and np.allclose(s.turned(e[:, 0]), x.T @ e[:, 0])
+    none = toxicity._Sparse(np.empty(0, np.int64), np.empty(0, np.int64), 4, 2)
+    assert none.times(v[:2]).shape == (4, 3) and not none.turned(e[:4]).any()

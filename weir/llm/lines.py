@@ -47,17 +47,36 @@ def normal(unit: bytes) -> bytes:
 
 
 def runs(text: bytes, unit: str, least: int) -> Iterator[tuple[int, int, bytes]]:
-    """(first unit, last unit, normal form) of the shortest run from each unit on that has ``least`` words; units without words are passed over."""
-    have = [(k, x, x.count(b" ") + 1) for k, (s, e) in enumerate(units(text, unit)) if (x := normal(text[s:e]))]
+    """(first unit, last unit, normal form) of what is compared; units without words are passed over.
+
+    The shortest run from each unit on that has ``least`` words; each whole line that has as many and is no such run; of a text with fewer words,
+    all of it, marked so that it equals whole texts alone.
+    """
+    spans = units(text, unit)
+    have = [(k, x, x.count(b" ") + 1) for k, (s, e) in enumerate(spans) if (x := normal(text[s:e]))]
+    form = lambda a, b: b"\n".join(h[1] for h in have[a:b])
+    if have and sum(h[2] for h in have) < least:
+        yield have[0][0], have[-1][0], b"\x00" + form(0, len(have))
+        return
     end = total = 0
+    made = set()
     for a, (k, _, n) in enumerate(have):
         while end < len(have) and total < least:
             total += have[end][2]
             end += 1
         if total < least:
-            return
-        yield k, have[end - 1][0], b"\n".join(h[1] for h in have[a:end])
+            break
+        made.add((a, end))
+        yield k, have[end - 1][0], form(a, end)
         total -= n
+    if unit != "sentence":
+        return
+    a = 0
+    for b in range(1, len(have) + 1):
+        if b == len(have) or any(b"\n" in text[slice(*spans[k])] for k in range(have[b - 1][0], have[b][0])):  # a line ends here
+            if sum(h[2] for h in have[a:b]) >= least and (a, b) not in made:
+                yield have[a][0], have[b - 1][0], form(a, b)
+            a = b
 
 
 def _digests(unit: str, least: int):
@@ -111,9 +130,10 @@ def dedup_units(docs: DataFrame, unit: str = "sentence", least: int = 30, texts:
     A unit is a line, a paragraph (up to blank lines) or a line's part up to a full stop, exclamation or question mark.
     The shortest run of units from each unit on that has ``least`` words is hashed in normal form; of equal runs the first by
     (doc_id, place) stays, null ids first, and all units of the others go.  So the first occurrence of a
-    unit always stays, and passages are found inside lines and across them.  ``removed`` lists the
-    byte spans, start-end, of the removed units in the original text.
-    Null and empty texts have no units; texts with fewer than ``least`` words are left alone.  Rows equal in doc_id and text are one
+    unit always stays, and passages are found inside lines and across them.  Where units are sentences, lines of ``least`` words or more are hashed whole too, so that
+    the end of a repeated line goes with it.  A text with fewer than ``least`` words is hashed whole and goes if it equals another such text; otherwise it is left
+    alone.  ``removed`` lists the byte spans, start-end, of the removed units in the original text.
+    Null and empty texts have no units.  Rows equal in doc_id and text are one
     document.  Texts of any length are taken whole.  Other columns do not matter.
     """
     stash = Stash(docs.sparkSession, "lines")

@@ -88,10 +88,10 @@ def pivot(x: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
     return x
 
 
-def _reduce(level: int, seed: int):
+def _reduce(level: int, seed: int, carry: tuple[str, ...] = ()):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         # large documents first: they end whole while there is mass left to pair them with
-        pdf = pdf.sort_values(["size", "h", "doc_id"], ascending=[False, True, True], kind="stable", na_position="first")
+        pdf = pdf.sort_values(["size", "h", "doc_id", *carry], ascending=[False, *[True] * (2 + len(carry))], kind="stable", na_position="first")
         draws = np.random.Generator(np.random.PCG64([seed, level, *(int(v) & 0xFFFFFFFF for v in (pdf["source_no"].iloc[0], pdf["leaf"].iloc[0]))])).random(len(pdf))
         x = pivot(pdf["x"].to_numpy(float), pdf["size"].to_numpy(float), draws)
         pdf["copies"] = pdf["copies"] + np.where((x <= EPS) | (x >= 1 - EPS), np.round(x), 0).astype("int64")
@@ -101,17 +101,17 @@ def _reduce(level: int, seed: int):
     return run
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, leaf: int = 4096, fan: int = 64, seed: int = 42) -> DataFrame:
-    """Rows (doc_id, source, size, source_size, target, copies, taken) of a mix of ``docs``.
+def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, leaf: int = 4096, fan: int = 64, seed: int = 42, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (doc_id, source, size, source_size, target, copies, taken) of a mix of ``docs``, with ``carry`` columns after them.
 
-    Null texts and texts without words have size 0 and are never taken.  A null
+    ``carry`` tells rows of one doc_id apart.  Texts of any length count whole.  Null texts and texts without words have size 0 and are never taken.  A null
     source is a source.  Repeated rows are documents of their own.  An empty
     table gives no rows.  Other columns are not carried.  The result depends
     on the rows alone, not on how they are partitioned.
     """
     spark = docs.sparkSession
     stash = Stash(spark, "mix")
-    sized = stash.put(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    sized = stash.put(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry))
     by = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     ranked = targets(by, weights, share, most).withColumn("leaves", F.ceil(F.col("n") / leaf)).withColumn("source_no", F.row_number().over(W.orderBy(F.col("source").isNull(), "source")).cast("long")).drop("n")
     ranked = stash.put(ranked)
@@ -124,12 +124,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
         .withColumn("x", F.greatest(F.col("rate") - F.col("copies"), F.lit(0.0)))
         .withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
         .withColumn("leaf", F.pmod(F.xxhash64("h", F.lit(1)), F.col("leaves")))
-        .select("doc_id", "source", "source_no", "size", "source_size", "target", "copies", "x", "h", "leaf")
+        .select("doc_id", "source", "source_no", "size", "source_size", "target", "copies", "x", "h", "leaf", *carry)
     )
     done, level, left = [], 0, rows.filter(F.col("x") > EPS)
     done.append(rows.filter(F.col("x") <= EPS))
     while True:
-        out = stash.put(left.groupBy("source_no", "leaf").applyInPandas(_reduce(level, seed), left.schema))
+        out = stash.put(left.groupBy("source_no", "leaf").applyInPandas(_reduce(level, seed, carry), left.schema))
         done.append(out.filter(F.col("x") <= EPS))
         left = out.filter(F.col("x") > EPS)
         if height <= 1:
@@ -141,4 +141,4 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *carry)

@@ -96,6 +96,17 @@ def interacting(start: np.ndarray, at: np.ndarray, labels: np.ndarray, chance: n
     return out
 
 
+def _fewest(inv: np.ndarray, who: np.ndarray, chance: np.ndarray, terms: int, nats: float) -> np.ndarray:
+    """For each term the number of rows below which no pair of it can reach ``nats``.
+
+    A pair of n rows says n times what its share of toxic rows is apart from their mean chance, and no share is further apart than
+    the logarithm of the least chance, of being toxic or not, that any row of the term has.
+    """
+    least = np.full(terms, 0.5)
+    np.minimum.at(least, inv, np.minimum(chance[who], 1 - chance[who]))
+    return nats / -np.log(np.maximum(least, 1e-12))
+
+
 def _interacting_on(spark: SparkSession, tasks: int, start, at, labels, chance, count: int, nats: float, least: int) -> set[int]:
     """The same for all ``count`` terms, dealt over tasks; the sample is bounded, so each task is sent the whole of it."""
     sent = spark.sparkContext.broadcast((start, at, labels, chance))
@@ -110,25 +121,46 @@ def _interacting_on(spark: SparkSession, tasks: int, start, at, labels, chance,
     return found
 
 
-def _descend(x: np.ndarray, labels: np.ndarray, bias: float, factors: int, rounds: int, ridge: float, weight: float, seed: int) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+class _Sparse:
+    """A matrix of zeros and ones by the places of its ones, row by row."""
+
+    def __init__(self, who: np.ndarray, col: np.ndarray, rows: int, cols: int):
+        self.who, self.col, self.shape = who, col, (rows, cols)
+        size = np.bincount(who, minlength=rows)
+        self.full = np.flatnonzero(size)
+        self.start = (np.cumsum(size) - size)[self.full]
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.shape[0], *v.shape[1:]))
+        if len(self.full):
+            out[self.full] = np.add.reduceat(v[self.col], self.start, axis=0)
+        return out
+
+    def turned(self, e: np.ndarray) -> np.ndarray:
+        """The transpose times a vector or matrix."""
+        one = lambda x: np.bincount(self.col, weights=x[self.who], minlength=self.shape[1])
+        return one(e) if e.ndim == 1 else np.stack([one(x) for x in e.T], axis=1)
+
+
+def _descend(x: _Sparse, labels: np.ndarray, bias: float, factors: int, rounds: int, ridge: float, weight: float, seed: int) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
     """Bias, weights and vectors by Adam on the log loss, and the score of each row before the logistic."""
     n = len(labels)
-    scale = (np.where(labels > 0, weight, 1.0) / n).astype(np.float32)
+    scale = np.where(labels > 0, weight, 1.0) / n
     rng = np.random.Generator(np.random.PCG64(seed))
     par = [np.array([bias]), np.zeros(x.shape[1]), rng.normal(0, 0.01, (x.shape[1], factors))]
     mom = [[np.zeros_like(a), np.zeros_like(a)] for a in par]
     for t in range(1, rounds + 1):
         b, w, v = par
-        s = x @ v.astype(np.float32)
-        zed = b[0] + x @ w.astype(np.float32) + 0.5 * (s**2 - x @ (v**2).astype(np.float32)).sum(1)
-        err = ((1 / (1 + np.exp(-zed.astype(np.float64)))) - labels).astype(np.float32) * scale
-        gx = x.T @ err
-        grads = [np.array([err.sum()]), gx + ridge * w / 10, x.T @ (err[:, None] * s) - gx[:, None] * v + ridge * v]
+        s = x.times(v)
+        zed = b[0] + x.times(w) + 0.5 * (s**2 - x.times(v**2)).sum(1)
+        err = (1 / (1 + np.exp(-np.clip(zed, -500, 500))) - labels) * scale
+        gx = x.turned(err)
+        grads = [np.array([err.sum()]), gx + ridge * w / 10, x.turned(err[:, None] * s) - gx[:, None] * v + ridge * v]
         for a, g, m in zip(par, grads, mom, strict=True):
             m[0] = 0.9 * m[0] + 0.1 * g
             m[1] = 0.999 * m[1] + 0.001 * g * g
             a -= 0.05 * (m[0] / (1 - 0.9**t)) / (np.sqrt(m[1] / (1 - 0.999**t)) + 1e-8)
-    return float(par[0][0]), par[1], par[2], zed.astype(np.float64)
+    return float(par[0][0]), par[1], par[2], zed
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, rounds: int = 400, least: int = 4, z_least: float = 4.0, ridge: float = 3e-5, weight: float = 4.0, seed: int = 7, spark: SparkSession | None = None, tasks: int = 32) -> Machine:
@@ -137,7 +169,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, rounds: in
     The first machine has the terms whose document frequency differs between the labels by
     ``z_least``.  Then every pair of terms is held against what that machine expects of its rows;
     terms of pairs that differ beyond chance (one pair in 20 such samples) join, and a second
-    machine is fitted.  With ``spark`` the pairs are dealt over ``tasks`` tasks.
+    machine is fitted.  Terms and pairs in fewer than ``least`` rows do not enter.  With ``spark`` the pairs are dealt over ``tasks`` tasks.
     """
     labels = np.asarray(labels, dtype=np.float64)
     n, pos = len(rows), float(labels.sum())
@@ -158,9 +190,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, rounds: in
         new = np.full(len(ids), -1)
         new[ok] = np.arange(len(ok))
         hit = new[inv] >= 0
-        x = np.zeros((n, len(ok)), dtype=np.float32)
-        x[who[hit], new[inv][hit]] = 1
-        b, w, v, zed = _descend(x, labels, bias, factors, rounds, ridge, weight, seed)
+        b, w, v, zed = _descend(_Sparse(who[hit], new[inv][hit], n, len(ok)), labels, bias, factors, rounds, ridge, weight, seed)
         return Machine(ids[ok], b, w, v), zed
 
     main = np.flatnonzero((np.abs(z) >= z_least) & (df >= least))
@@ -171,7 +201,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, rounds: in
         chance = odds / (1 + odds)
 
     nats = float(np.log(20.0 * max(1, int((df >= least).sum())) ** 2 / 2))
-    common = np.flatnonzero(df >= max(least, nats / np.log(n / pos)))  # fewer rows, all toxic, could not show against the prior
+    common = np.flatnonzero(df >= np.maximum(least, np.ceil(_fewest(inv, who, chance, len(ids), nats))))
     place = np.full(len(ids), -1)
     place[common] = np.arange(len(common))
     keep = place[inv] >= 0
@@ -188,17 +218,19 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = 4, rounds: in
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         got = [sorted({bucket(t) for t in terms(x)}) for x in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.int32())), b.column("label")], names=["terms", "label"])
+        yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.int32())), b.column("label"), b.column("h")], names=["terms", "label", "h"])
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12000, **how) -> Machine:
     """Texts of ``docs`` (doc_id, text) with labels (doc_id, label) -> model.
 
     Uses the ``max_rows`` labels with the smallest hash of doc_id, few enough to be sent to
-    every task, so no text is shuffled; null labels are left out.  ``how`` goes to ``fit``.
+    every task, so no text is shuffled; null labels are left out.  Of the rows that these labels meet, which are more
+    where doc_ids repeat, ``max_rows`` at most come to the driver, those of the smallest hash of doc_id and text.  ``how`` goes to ``fit``.
     """
     some = labels.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("label").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
-    got = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "label").mapInArrow(_hashed, "terms array<int>, label int").collect()
+    met = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "label", F.xxhash64("doc_id", "text", "label").alias("h"))
+    got = met.mapInArrow(_hashed, "terms array<int>, label int, h long").orderBy("h", "label").limit(max_rows).collect()
     got.sort(key=lambda r: (r.label, len(r.terms), r.terms))
     return fit([np.array(r.terms, dtype=np.int64) for r in got], np.array([r.label for r in got]), **{"spark": docs.sparkSession} | how)
 
@@ -223,7 +255,8 @@ def score(docs: DataFrame, model: Machine, carry: tuple[str, ...] = ("doc_id",),
 def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 12000) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``.
 
-    Labels of held-out rows are not read.  Without labels of both kinds the score is the prior's.
+    Labels of held-out rows are not read.  A term enters by itself if |z| of its document frequencies is 4 or more, or by a pair, in 4 rows or more
+    either way (``fit``); rarer terms have no weight.  Texts are read whole, however long.  Ties among labels at ``max_rows`` go by doc_id.  Without labels of both kinds the score is the prior's.
     Repeated rows are scored alike; a null doc_id is scored but never trains.
     """
     known = labels.filter(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("label"))
