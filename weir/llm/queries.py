@@ -107,13 +107,17 @@ ORACLE: dict[str, str] = {
             SELECT doc_id, k, x, length(x) - length(replace(x, ' ', '')) + 1 AS n, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS r FROM x WHERE x <> ''
         ), c AS (
             SELECT *, (sum(n) OVER (PARTITION BY doc_id ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS c FROM w
+        ), y AS (
+            SELECT doc_id, k, coalesce(sum(CASE WHEN contains(piece, chr(10)) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line FROM x
         ), e AS (
-            SELECT a.doc_id, a.r AS a, min(b.r) AS b FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.r BETWEEN a.r AND a.r + 29
+            SELECT a.doc_id, a.r AS a, min(b.r) AS b, '' AS mark FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.r BETWEEN a.r AND a.r + 29
             WHERE b.c - a.c + a.n >= 30 GROUP BY a.doc_id, a.r
+            UNION SELECT c.doc_id, min(c.r), max(c.r), '' FROM c JOIN y ON y.doc_id = c.doc_id AND y.k = c.k GROUP BY c.doc_id, y.line HAVING sum(c.n) >= 30
+            UNION SELECT doc_id, min(r), max(r), chr(1) FROM c GROUP BY doc_id HAVING sum(n) < 30
         ), t AS (
-            SELECT e.doc_id, e.a, e.b, string_agg(c.x, chr(10) ORDER BY c.r) AS t FROM e JOIN c ON c.doc_id = e.doc_id AND c.r BETWEEN e.a AND e.b GROUP BY e.doc_id, e.a, e.b
+            SELECT e.doc_id, e.a, e.b, e.mark || string_agg(c.x, chr(10) ORDER BY c.r) AS t FROM e JOIN c ON c.doc_id = e.doc_id AND c.r BETWEEN e.a AND e.b GROUP BY e.doc_id, e.a, e.b, e.mark
         ), d AS (
-            SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, a) AS rank FROM t
+            SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, a, b) AS rank FROM t
         ), g AS (
             SELECT DISTINCT c.doc_id, c.k FROM d JOIN c ON c.doc_id = d.doc_id AND c.r BETWEEN d.a AND d.b WHERE d.rank > 1
         ), f AS (
