@@ -9,6 +9,8 @@ from weir.llm import bpe, lines, minhash, mixing, quality
 from weir.llm.common import Stash, documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Most rows whose numbers (8 bytes each) are sent to every task to spare texts the shuffle.
+SENT = 1_000_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,18 +26,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least doc_id, of each group of near duplicates."""
-    text_id = F.xxhash64("text")
-    found = minhash.near_duplicates(docs.select("doc_id", "text", text_id.alias("__t")), size=5, percent=80, carry=("doc_id", "__t"))
-    stays = found.filter("kept").select(F.col("doc_id").alias("__id"), "__t").distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_id == F.col("__t")), "left_semi").select(*COLUMNS)
+    """One document, that with the least doc_id, of each group of near duplicates; null ids come after all others, and of equal ids one row stays."""
+    stash = Stash(spark, "near")
+    rows = stash.put(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()))  # written, so that numbers stay with their rows
+    one = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    found = minhash.near_duplicates(rows.select(one.alias("doc_id"), "text"), size=5, percent=80)
+    stays = stash.put(found.filter("kept").select(F.col("doc_id.row").alias("__row")))
+    few = stays.count() <= SENT
+    return rows.join(F.broadcast(stays) if few else stays, "__row", "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    taken = mixing.mix(docs).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("__copies"))
-    taken = taken.withColumnRenamed("doc_id", "__id")
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id"))).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*COLUMNS)
+    """Each document as often as the mix takes it; rows equal in doc_id, source and text are taken as often as all of them together."""
+    stash = Stash(spark, "mixed")
+    docs = docs.select(*COLUMNS).withColumn("__text", F.xxhash64("text"))
+    taken = mixing.mix(docs, carry=("__text",)).groupBy("doc_id", "source", "__text").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__n")).filter("__copies > 0")
+    taken = stash.put(taken.withColumnsRenamed({"doc_id": "__id", "source": "__source", "__text": "__t"}))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__text") == F.col("__t"))
+    met = docs.join(taken.filter("__n = 1"), same)
+    if not taken.filter("__n > 1").isEmpty():
+        met = met.unionByName(docs.join(taken.filter("__n > 1"), same).dropDuplicates(["doc_id", "source", "__text"]))
+    return met.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
