@@ -194,6 +194,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
 
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.drop("text").schema)
     full = stash.put(own.mapInArrow(_sketch_rows(size, percent, octaves), f"{ddl}, n_shingles long, cls binary, sketch array<long>"))
+    octaves.destroy()  # what needs it is written
     sets = full.filter(F.col("cls").isNotNull())
     found = sets.groupBy("cls").agg(F.min("doc_id").alias("min_doc"), F.min("tkey").alias("tkey"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     classes = stash.put(found.withColumn("id", F.monotonically_increasing_id()))
