@@ -21,8 +21,11 @@ def stats(text):
     return len(w), sum(map(len, w)), sum(text.count(x) for x in "#*$%&|<>"), len(lines) - len(set(lines)), len(again)
 
 
+chosen = []  # which start each estimate came from
+
+
 def judged(rows, share=0.75, steps=3, least=60, cutoff=36.0):
-    """The same estimate with arrays: concentration by histogram bucket, floors on the diagonal."""
+    """The same estimate with arrays: concentration by histogram bucket from two starts, floors on the diagonal, the least determinant."""
     st = [stats(t) for _, t, _, _ in rows]
     ok = [s[0] >= 20 and 100 * s[4] <= 30 * s[0] for s in st]
     z = {i: np.array([math.floor(1000 * v + 0.5) for v in (math.log(s[0]), math.log(s[1] / s[0]), math.log1p(100 * s[2] / s[0]), math.log1p(s[3]), math.log1p(100 * s[4] / s[0]))], float) for i, s in enumerate(st) if ok[i]}
@@ -39,18 +42,25 @@ def judged(rows, share=0.75, steps=3, least=60, cutoff=36.0):
             continue
         x = np.array([z[i] for i in members])
         low = lambda v: np.sort(v)[math.ceil(len(v) * 0.5) - 1]
-        m = np.array([low(c) for c in x.T])
-        dev = np.array([low(np.abs(c - a)) for c, a in zip(x.T, m, strict=True)])
-        inv = np.diag(1 / ((1.4826 * dev) ** 2 + np.diag(floor)))
         bucket = lambda d: np.minimum(600, np.floor(16 * np.log2(1 + 16 * d)))
-        far = lambda: np.einsum("ij,jk,ik->i", x - m, inv, x - m)
-        for _ in range(steps):
-            b = bucket(far())
-            h = np.sort(b)[math.ceil(share * len(b)) - 1]
-            s = x[b <= h]
+        far = lambda m, inv: np.einsum("ij,jk,ik->i", x - m, inv, x - m)
+
+        def estimate(s):
             m = s.mean(0)
-            inv = np.linalg.inv(s.T @ s / len(s) - np.outer(m, m) + floor)
-        d = far()
+            cov = s.T @ s / len(s) - np.outer(m, m) + floor
+            return m, np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
+
+        m = np.array([low(c) for c in x.T])
+        dev = np.array([low(np.abs(c - a)) for c, a in zip(x.T, m, strict=True)])
+        ends = []
+        for now in ((m, np.diag(1 / ((1.4826 * dev) ** 2 + np.diag(floor))), 0.0), estimate(x)):
+            for _ in range(steps):
+                b = bucket(far(*now[:2]))
+                now = estimate(x[b <= np.sort(b)[math.ceil(share * len(b)) - 1]])
+            ends.append(now)
+        m, inv, _ = min(ends, key=lambda e: round(e[2], 9))
+        chosen.append(int(ends[0][2] > ends[1][2] + 1e-9))
+        d = far(m, inv)
         mid = np.sort(bucket(d))[math.ceil(0.5 * len(d)) - 1]
         scale = min(1.0, quality.chi2_median(5) / ((2 ** ((mid + 1) / 16) - 1) / 16))
         for i, v in zip(members, d * scale, strict=True):

@@ -3,7 +3,8 @@
 Per language and source a minimum-covariance-determinant estimate is fitted to
 transformed statistics by concentration steps: keep the share of rows with the
 smallest distances, recompute mean and covariance, repeat.  A row whose
-Mahalanobis distance under the final estimate passes the cut-off is rejected.
+Mahalanobis distance under the final estimate passes the cut-off is rejected.  There are two
+starts, and the estimate of the least determinant is taken.
 """
 
 from __future__ import annotations
@@ -79,13 +80,13 @@ def _bucket_top(b: Column) -> Column:
 
 
 def _estimate(rows: DataFrame, names: list[str], keep: Column) -> DataFrame:
-    """Mean, covariance and inverse Cholesky factor of each group's kept rows; sums are exact."""
+    """Mean, inverse Cholesky factor and log determinant of the covariance of the kept rows of each group and start; sums are exact."""
     p = len(names)
     big = lambda c: F.sum(F.when(keep, c).cast("decimal(20,0)"))
     aggs = [F.sum(F.when(keep, 1)).cast("double").alias("n")]
     aggs += [big(F.col(a)).cast("double").alias(f"s_{i}") for i, a in enumerate(names)]
     aggs += [big(F.col(names[i]) * F.col(names[j])).cast("double").alias(f"q_{i}_{j}") for i in range(p) for j in range(i + 1)]
-    df = rows.groupBy("g").agg(*aggs)
+    df = rows.groupBy("g", "s").agg(*aggs)
     df = df.withColumns({f"m_{i}": F.col(f"s_{i}") / F.col("n") for i in range(p)})
     floor = [(UNIT * FLOORS[a]) ** 2 for a in names]
     df = df.withColumns({f"c_{i}_{j}": F.col(f"q_{i}_{j}") / F.col("n") - F.col(f"m_{i}") * F.col(f"m_{j}") + F.lit(floor[i] if i == j else 0.0) for i in range(p) for j in range(i + 1)})
@@ -95,33 +96,48 @@ def _estimate(rows: DataFrame, names: list[str], keep: Column) -> DataFrame:
         df = df.withColumns({f"l_{i}_{j}": rest[i] / F.col(f"l_{j}_{j}") for i in range(j + 1, p)})
     for off in range(p):  # its inverse, diagonal by diagonal
         df = df.withColumns({f"w_{j + off}_{j}": (F.lit(float(off == 0)) - sum((F.col(f"l_{j + off}_{k}") * F.col(f"w_{k}_{j}") for k in range(j, j + off)), F.lit(0.0))) / F.col(f"l_{j + off}_{j + off}") for j in range(p - off)})
-    return df.select("g", *[f"m_{i}" for i in range(p)], *[f"w_{i}_{j}" for i in range(p) for j in range(i + 1)])
+    det = sum((2 * F.log(F.col(f"l_{j}_{j}")) for j in range(p)), F.lit(0.0))
+    return df.select("g", "s", *[f"m_{i}" for i in range(p)], *[f"w_{i}_{j}" for i in range(p) for j in range(i + 1)], det.alias("det"))
 
 
 def _threshold(rows: DataFrame, d: Column, share: float, name: str) -> DataFrame:
-    """Per group the first bucket under which ``share`` of its rows lie: a histogram of at most 601 buckets."""
+    """Per group and start the first bucket under which ``share`` of its rows lie: a histogram of at most 601 buckets."""
     from pyspark.sql import Window as W
 
-    hist = rows.groupBy("g", _bucket(d).alias("b")).agg(F.count("*").alias("k"))
-    run = hist.withColumn("run", F.sum("k").over(W.partitionBy("g").orderBy("b").rowsBetween(W.unboundedPreceding, 0))).withColumn("all", F.sum("k").over(W.partitionBy("g")))
-    return run.filter(F.col("run") >= share * F.col("all")).groupBy("g").agg(F.min("b").alias(name))
+    hist = rows.groupBy("g", "s", _bucket(d).alias("b")).agg(F.count("*").alias("k"))
+    run = hist.withColumn("run", F.sum("k").over(W.partitionBy("g", "s").orderBy("b").rowsBetween(W.unboundedPreceding, 0))).withColumn("all", F.sum("k").over(W.partitionBy("g", "s")))
+    return run.filter(F.col("run") >= share * F.col("all")).groupBy("g", "s").agg(F.min("b").alias(name))
+
+
+def _medians(rows: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """The lower median of each value: exact, by counts of whole numbers that are merged in any order."""
+    named = rows.select(*keys, *[v.alias(k) for k, v in values.items()])
+    return named.groupBy(*keys).agg(*[F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {k})").cast("double").alias(k) for k in values])
 
 
 def fit_mcd(rows: DataFrame, names: list[str], stash: Stash, share: float = 0.75, steps: int = 3) -> DataFrame:
-    """(g, statistics) -> per group m_*, w_* and the scale that makes the median distance that of a chi-square."""
+    """(g, statistics) -> per group m_*, w_* and the scale that makes the median distance that of a chi-square.
+
+    Concentration starts from medians and median deviations, and from the plain mean and covariance; of what the two
+    come to, the estimate with the least determinant stays, the first of equals.
+    """
     p = len(names)
-    med = rows.groupBy("g").agg(*[F.percentile_approx(a, 0.5, 10000).cast("double").alias(f"m_{i}") for i, a in enumerate(names)])
-    dev = rows.join(med, "g")
-    dev = dev.groupBy("g", *[f"m_{i}" for i in range(p)]).agg(*[F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{i}")), 0.5, 10000).cast("double").alias(f"d_{i}") for i, a in enumerate(names)])
-    start = dev.select("g", *[f"m_{i}" for i in range(p)], *[(F.lit(1.0) / F.sqrt(F.pow(1.4826 * F.col(f"d_{i}"), 2) + (UNIT * FLOORS[names[i]]) ** 2) if i == j else F.lit(0.0)).alias(f"w_{i}_{j}") for i in range(p) for j in range(i + 1)])
-    par = stash.put(start)
+    m = [f"m_{i}" for i in range(p)]
+    med = _medians(rows, ["g"], {m[i]: F.col(a) for i, a in enumerate(names)})
+    dev = _medians(rows.join(med, "g"), ["g", *m], {f"d_{i}": F.abs(F.col(a) - F.col(m[i])).cast("long") for i, a in enumerate(names)})
+    spread = lambda i: F.lit(1.0) / F.sqrt(F.pow(1.4826 * F.col(f"d_{i}"), 2) + (UNIT * FLOORS[names[i]]) ** 2)
+    robust = dev.select("g", F.lit(0).alias("s"), *m, *[(spread(i) if i == j else F.lit(0.0)).alias(f"w_{i}_{j}") for i in range(p) for j in range(i + 1)])
+    plain = _estimate(rows.withColumn("s", F.lit(1)), names, F.lit(True)).drop("det")
+    par = stash.put(robust.unionByName(plain))
     for _ in range(steps):
-        with_par = rows.join(par, "g")
-        par2 = stash.put(par.join(_threshold(with_par, _distance(names), share, "h"), "g"))
+        with_par = rows.join(par, "g")  # each row once for each start
+        par2 = stash.put(par.join(_threshold(with_par, _distance(names), share, "h"), ["g", "s"]))
         kept = rows.join(par2, "g")
         par = stash.put(_estimate(kept, names, _bucket(_distance(names)) <= F.col("h")))
+    best = par.groupBy("g").agg(F.min(F.struct("det", "s")).alias("best")).select("g", F.col("best.s").alias("s"))
+    par = stash.put(par.join(best, ["g", "s"]).drop("det"))
     mid = _threshold(rows.join(par, "g"), _distance(names), 0.5, "mid")
-    return stash.put(par.join(mid, "g").withColumn("scale", F.lit(chi2_median(p)) / _bucket_top(F.col("mid"))).drop("mid"))
+    return stash.put(par.join(mid, ["g", "s"]).withColumn("scale", F.lit(chi2_median(p)) / _bucket_top(F.col("mid"))).drop("mid", "s"))
 
 
 def chi2_median(p: int) -> float:
@@ -137,7 +153,7 @@ def robust_quality(docs: DataFrame, cutoff: float = 36.0, share: float = 0.75, s
     is itself too small only the base rules count, or with ``widen`` an estimate of all rows
     of the language, and where they are too few one of all rows.  Null languages and sources are
     values like others.  Null, empty and short texts fail the base rules.
-    Equal rows get equal verdicts.  Columns of ``docs`` (those of ``carry`` if
+    Texts of any length are counted whole.  Equal rows get equal verdicts, so ties do not matter.  Columns of ``docs`` (those of ``carry`` if
     given) are kept as they are; one named like a column that is added is
     replaced.  The distance is scaled so that its median is
     a chi-square's; scales below 1 only (wide groups) are undone, so no group is
@@ -166,7 +182,7 @@ def robust_quality(docs: DataFrame, cutoff: float = 36.0, share: float = 0.75, s
     same = F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s"))
     fit = full.filter(~F.col("base_failed")).join(groups, same).withColumn("own", F.col("g"))
     fit = fit.withColumn("g", F.explode(F.array_distinct(F.array("own", "__w", F.lit("all"))))).join(F.broadcast(wide), "g", "left_semi")
-    rows = fit.select("g", *[F.col(f"__{k}").alias(k) for k in names])
+    rows = stash.put(fit.select("g", *[F.col(f"__{k}").alias(k) for k in names]))
     par = fit_mcd(rows, names, stash, share, steps)
     judged = full.join(groups.drop("__w"), same, "left").join(par, "g", "left")
     dist = _distance([f"__{k}" for k in names]) * F.least(F.col("scale"), F.lit(1.0))
