@@ -388,6 +388,7 @@ def test_cli_options(spark, tmp_path):
     chat = ["chat", "--dataset", f"file://{tmp_path}/c0", "--more", f"file://{tmp_path}/c1", "--config", "-", "--config", "conf", "--fraction", "0.5", "--fraction", "1"]
     cli.main([*chat, "--output", f"{tmp_path}/p", "--block-size", "2", "--template", f"{tmp_path}/t.jinja", "--max-length", "2"], spark)
     assert spark.read.parquet(f"{tmp_path}/p/train").count() == 6 and spark.read.parquet(f"{tmp_path}/p/test").count() == 2
-    (tmp_path / "r.jsonl").write_text("\n".join(json.dumps({"model": "o/m", "task": "t", "dataset": x, "results": {"total": {m: 0.5}}}) for x, m in relational.METRICS.items()))
-    cli.main(["scores", "--dataset", f"file://{tmp_path}/r.jsonl", "--output", f"{tmp_path}/o.csv", "--workbook", f"{tmp_path}/o.xlsx"], spark)
+    (tmp_path / "r.jsonl").write_text("\n".join(json.dumps({"model": "o/checkpoint-7", "task": "t", "dataset": x, "results": {"total": {m: 0.5}}}) for x, m in relational.METRICS.items()))
+    cli.main(["scores", "--dataset", f"file://{tmp_path}/r.jsonl", "--output", f"{tmp_path}/o.csv", "--workbook", f"{tmp_path}/o.xlsx", "--plots", f"{tmp_path}/plots"], spark)
+    assert len(list((tmp_path / "plots").iterdir())) == len(relational.METRICS)
     assert (tmp_path / "o.csv").read_text().startswith("model,") and (tmp_path / "o.xlsx").stat().st_size > 500

@@ -160,3 +160,73 @@ def test_workers_elsewhere_can_import_the_library(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert json.loads(done.stdout.strip().splitlines()[-1])["n"] > 0, done.stderr[-2000:]
+
+
+def test_plots_have_every_point_and_error(spark, tmp_path):
+    from weir.sources import plots
+
+    df = spark.createDataFrame([("d/1", c, "test_f1", 0.1 * c, 0.05 if c % 2 else None) for c in (4, 1, 3, 2)] + [("d/1", 1, "average", 0.5, None), ("d/1", 2, "average", float("nan"), None)], "dataset string, checkpoint int, metric string, value double, error double")
+    files = plots.write_plots(df, f"{tmp_path}/p")
+    assert [f.rsplit("/", 1)[1] for f in files] == ["d_1_average.svg", "d_1_test_f1.svg"]
+    root = ET.fromstring(open(files[1]).read())
+    s = "{http://www.w3.org/2000/svg}"
+    dots = [(float(c.get("cx")), float(c.get("cy"))) for c in root.iter(f"{s}circle")]
+    assert len(dots) == 4 and dots == sorted(dots, key=lambda d: (d[0], -d[1])) and dots[0][1] > dots[-1][1]
+    assert sum(p.get("class") == "error" for p in root.iter(f"{s}path")) == 2
+    assert len(list(ET.fromstring(open(files[0]).read()).iter(f"{s}circle"))) == 1
+    assert plots.ticks(0.0, 1.0) == [0.0, 0.2, 0.4, 0.6, 0.8, 1.0] and plots.ticks(3, 3)[0] <= 2.5
+    assert ET.fromstring(plots.line_plot("empty", [])) is not None
+    with pytest.raises(ValueError):
+        plots.write_plots(df, f"{tmp_path}/q", most=3)
+
+
+def test_hub_datasets_are_fetched_whole_and_once(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    calls = []
+
+    def fetch(name, revision, folder):
+        calls.append((name, revision))
+        os.makedirs(f"{folder}/data", exist_ok=True)
+        os.makedirs(f"{folder}/conf", exist_ok=True)
+        pq.write_table(pa.table({"x": [0]}), f"{folder}/data/train-00000-of-00002.parquet")
+        if len(calls) == 1:
+            raise OSError("cut off")
+        pq.write_table(pa.table({"x": [1, 2]}), f"{folder}/data/train-00001-of-00002.parquet")
+        pq.write_table(pa.table({"x": [3]}), f"{folder}/data/test_sft-00000-of-00001.parquet")
+        pq.write_table(pa.table({"x": [9]}), f"{folder}/conf/train.parquet")
+
+    read = lambda **how: io.read_hub(spark, "org/name", f"file://{tmp_path}", fetch=fetch, **how)
+    with pytest.raises(OSError):
+        read()
+    assert sorted((r.split, r.x) for r in read(tries=2).collect()) == [("test_sft", 3), ("train", 0), ("train", 1), ("train", 2)]
+    assert [r.x for r in read(config="conf").collect()] == [9] and read(splits="test_sft").count() == 1 and len(calls) == 2
+    assert read(revision="v2", splits=["train"]).count() == 3 and calls[-1] == ("org/name", "v2")
+    for bad in ({"config": "other"}, {"splits": "dev"}):
+        with pytest.raises(ValueError):
+            read(**bad)
+
+
+def test_a_processor_of_ones_own(spark, tmp_path):
+    from weir.functions import messages as M
+    from weir.operators import generate as G
+
+    class Count(G.Processor):
+        schema = "n long"
+        empty = "not a number"
+
+        def prepare(self, df):
+            return df.select("split", F.lit("n").alias("column"), "idx", F.array(M.message("user", F.col("q"))).alias("messages"))
+
+        def value(self):
+            return F.col("text_response").try_cast("long")
+
+        def finish(self, df, done):
+            return relational.join_columns(df, done.select("split", "idx", "n"))
+
+    df = spark.createDataFrame([("train", 5, "12"), ("train", 1, "x"), ("train", 9, "7"), ("test", 0, "3")], "split string, idx long, q string")
+    got = Count().run(df, G.EchoGenerator, f"file://{tmp_path}/l", max_samples=2)
+    assert sorted((r.split, r.idx, r.n) for r in got.collect()) == [("test", 0, 3), ("train", 5, 12)]
+    failed = G.read_ledger(spark, f"file://{tmp_path}/l/failed", G.ledger_schema("x string")[1]).collect()
+    assert [(r.idx, r.error) for r in failed] == [(1, "not a number")]

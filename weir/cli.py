@@ -12,7 +12,7 @@ from weir.functions.messages import ZEPHYR
 from weir.functions.template import ProgramTemplate
 from weir.operators import generate, language, pack, quality, relational
 from weir.operators.metrics import RowCounts
-from weir.sources import io, workbook
+from weir.sources import io, plots, workbook
 from weir.sources.revisions import Revisions
 
 
@@ -89,6 +89,8 @@ def parser() -> argparse.ArgumentParser:
     p = add("scores")
     p.add_argument("--compat", action="store_true")
     p.add_argument("--workbook", help="also the single scores, a sheet for each dataset of this .xlsx file")
+    p.add_argument("--plots", help="folder of line plots over checkpoints")
+    p.add_argument("--prefix", default="checkpoint-", help="what stands before a checkpoint's number")
     p = add("snapshot")
     p.add_argument("--allow", action="append")
     p.add_argument("--ignore", action="append")
@@ -163,6 +165,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
             scores = relational.flatten_scores(io.read_records(spark, a.dataset))
             single = scores.select("dataset", "model", F.explode("total").alias("metric", "value")).groupBy("dataset", "model").pivot("metric").agg(F.first("value"))
             workbook.write_workbook(single, "dataset", a.workbook)
+        if a.plots:
+            plots.write_plots(relational.checkpoint_series(relational.flatten_scores(io.read_records(spark, a.dataset)), a.prefix), a.plots)
         return None
     if a.command == "snapshot":
         found = io.snapshot(spark, a.dataset, a.allow, a.ignore, a.every, a.most)

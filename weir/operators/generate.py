@@ -313,6 +313,36 @@ def run_generation(jobs: DataFrame, factory: Callable[[], TextGenerator], ledger
     return read_ledger(spark, paths[0], done_schema), read_ledger(spark, paths[1], failed_schema)
 
 
+# ---- an extension point for processors ----
+
+
+class Processor:
+    """A resumable processor of a dataset with a generator; subclasses say what is asked, what an answer must be and what comes of it.
+
+    ``prepare`` gives (split, column, idx, [persona,] messages); ``value`` is what of text_response goes into the ledger, null where the answer is no good;
+    ``finish`` makes the result of the dataset and the ledger.  ``schema`` is the ledger's value column, and ``empty`` the error of rows without a value.
+    """
+
+    schema = "response string"
+    persona = False
+    empty: str | None = None
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        raise NotImplementedError
+
+    def value(self) -> Column:
+        return strip(F.col("text_response"))
+
+    def finish(self, df: DataFrame, done: DataFrame) -> DataFrame:
+        raise NotImplementedError
+
+    def run(self, df: DataFrame, factory: Callable[[], TextGenerator], ledger: str, max_samples: int | None = None, chunk: int = 10_000, most_calls: int | None = None, only_save_current: bool = False) -> DataFrame:
+        """Answers what the ledger lacks of the first ``max_samples`` rows of each split, and finishes."""
+        df = df if max_samples is None else first_n(df, max_samples)
+        done, _ = run_generation(self.prepare(df), factory, ledger, self.value(), self.schema, chunk, self.persona, self.empty, most_calls, only_save_current)
+        return self.finish(df, done.join(df.select("split").distinct(), "split", "left_semi"))
+
+
 # ---- the three processors ----
 
 
@@ -332,19 +362,33 @@ def answer_jobs(df: DataFrame, user_column: str, system_column: str | None = Non
     return df.select("split", F.lit(response_column).alias("column"), "idx", prompt.alias("messages"))
 
 
+@dataclass
+class Answer(Processor):
+    """An answer to each row's question."""
+
+    user_column: str
+    system_column: str | None = None
+    system_message: str | None = None
+    response_column: str = "response"
+    merge: bool = True
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        return answer_jobs(df, self.user_column, self.system_column, self.system_message, self.response_column)
+
+    def finish(self, df: DataFrame, done: DataFrame) -> DataFrame:
+        return _finish(df, done.where(F.col("column") == self.response_column), "response", [self.response_column], self.merge)
+
+
 def answer(df: DataFrame, factory, ledger: str, user_column: str, system_column: str | None = None, system_message: str | None = None, response_column: str = "response", max_samples: int | None = None, merge_with_original: bool = True, only_save_current: bool = False, chunk: int = 10_000, most_calls: int | None = None) -> DataFrame:
     """Adds a column with an answer to each row's question; rows without one are left out.
 
     With ``only_save_current`` nothing is asked and the result has what the ledger holds already.
     """
-    df = df if max_samples is None else first_n(df, max_samples)
-    jobs = answer_jobs(df, user_column, system_column, system_message, response_column)
-    done, _ = run_generation(jobs, factory, ledger, strip(F.col("text_response")), "response string", chunk, most_calls=most_calls, only_save_current=only_save_current)
-    return _finish(df, done.where(F.col("column") == response_column), "response", [response_column], merge_with_original)
+    what = Answer(user_column, system_column, system_message, response_column, merge_with_original)
+    return what.run(df, factory, ledger, max_samples, chunk, most_calls, only_save_current)
 
 
 def _finish(df: DataFrame, done: DataFrame, value: str, columns: list[str], merge: bool) -> DataFrame:
-    done = done.join(df.select("split").distinct(), "split", "left_semi")
     wide = pivot_ledger(done, value, columns)
     return join_columns(df, wide) if merge else sort_columns(wide)
 
@@ -378,17 +422,38 @@ def translate_jobs(df: DataFrame, columns: list[str], src_lang: str | None, tgt_
     return rows.select("split", "column", "idx", F.array(M.message("system", system), M.message("user", strip(F.col("text")))).alias("messages"))
 
 
+@dataclass
+class Translate(Processor):
+    """A translation of each of some columns."""
+
+    columns: list[str]
+    src_lang: str | None = None
+    tgt_lang: str | None = None
+    system_prompt: str | dict[str, str] = TRANSLATION_PROMPT
+    merge: bool = True
+
+    @property
+    def name(self) -> str:
+        return f"translation_{self.tgt_lang.lower()}" if self.tgt_lang else "translation"
+
+    @property
+    def schema(self) -> str:
+        return f"{self.name} string"
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        return translate_jobs(df, self.columns, self.src_lang, self.tgt_lang, self.system_prompt)
+
+    def finish(self, df: DataFrame, done: DataFrame) -> DataFrame:
+        new = {c: translated_name(c, self.tgt_lang) for c in self.columns}
+        to = F.element_at(F.create_map(*[F.lit(x) for kv in new.items() for x in kv]), F.col("column"))
+        return _finish(df, done.where(F.col("column").isin(self.columns)).withColumn("column", to), self.name, list(new.values()), self.merge)
+
+
 def translate(df: DataFrame, factory, ledger: str, columns: list[str] | None = None, src_lang: str | None = None, tgt_lang: str | None = None, system_prompt: str | dict[str, str] = TRANSLATION_PROMPT, max_samples: int | None = None, merge_with_original: bool = True, chunk: int = 10_000, most_calls: int | None = None, only_save_current: bool = False) -> DataFrame:
-    """Adds a translation of each column."""
+    """Adds a translation of each column, of all columns of strings if none are named."""
     columns = columns or [f.name for f in df.schema if f.dataType.simpleString() == "string" and f.name != "split"]
-    df = df.select("split", "idx", *columns)
-    df = df if max_samples is None else first_n(df, max_samples)
-    name = f"translation_{tgt_lang.lower()}" if tgt_lang else "translation"
-    done, _ = run_generation(translate_jobs(df, columns, src_lang, tgt_lang, system_prompt), factory, ledger, strip(F.col("text_response")), f"{name} string", chunk, most_calls=most_calls, only_save_current=only_save_current)
-    done = done.where(F.col("column").isin(columns))
-    new = {c: translated_name(c, tgt_lang) for c in columns}
-    renamed = done.withColumn("column", F.element_at(F.create_map(*[F.lit(x) for kv in new.items() for x in kv]), F.col("column")))
-    return _finish(df, renamed, name, list(new.values()), merge_with_original)
+    what = Translate(columns, src_lang, tgt_lang, system_prompt, merge_with_original)
+    return what.run(df.select("split", "idx", *columns), factory, ledger, max_samples, chunk, most_calls, only_save_current)
 
 
 def load_personas(source: str | dict | None) -> tuple[dict[str, str], list[float] | None]:
@@ -428,11 +493,35 @@ def converse_jobs(df: DataFrame, seed_column: str, system_prompt: str, user_id:
     return rows.select("split", F.lit(output_column).alias("column"), "idx", F.col("__persona").alias("persona"), F.array(M.message("system", fill_columns(prompt, values))).alias("messages"))
 
 
+@dataclass
+class Converse(Processor):
+    """A generated conversation about each row's seed, parsed into turns, and its persona."""
+
+    seed_column: str
+    system_prompt: str
+    user_id: str = "user: "
+    assistant_id: str = "assistant: "
+    personas: str | dict | None = None
+    output_column: str = "messages"
+    merge: bool = True
+
+    schema = f"messages {M.DDL}"
+    persona = True
+    empty = "Empty conversation"
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        return converse_jobs(df, self.seed_column, self.system_prompt, self.user_id, self.assistant_id, self.personas, self.output_column)
+
+    def value(self) -> Column:
+        turns = M.parse_conversation(F.col("text_response"), self.user_id, self.assistant_id)
+        return F.when(F.size(turns) > 0, turns)
+
+    def finish(self, df: DataFrame, done: DataFrame) -> DataFrame:
+        done = done.select("split", "idx", F.coalesce("persona", F.lit("")).alias("persona"), F.col("messages").alias(self.output_column))
+        return join_columns(df, done) if self.merge else sort_columns(done)
+
+
 def converse(df: DataFrame, factory, ledger: str, seed_column: str, system_prompt: str, user_id: str = "user: ", assistant_id: str = "assistant: ", personas: str | dict | None = None, output_column: str = "messages", max_samples: int | None = None, merge_with_original: bool = True, chunk: int = 10_000, most_calls: int | None = None, only_save_current: bool = False) -> DataFrame:
     """Adds a generated conversation, parsed into turns, and its persona."""
-    df = df if max_samples is None else first_n(df, max_samples)
-    jobs = converse_jobs(df, seed_column, system_prompt, user_id, assistant_id, personas, output_column)
-    turns = M.parse_conversation(F.col("text_response"), user_id, assistant_id)
-    done, _ = run_generation(jobs, factory, ledger, F.when(F.size(turns) > 0, turns), f"messages {M.DDL}", chunk, persona=True, empty="Empty conversation", most_calls=most_calls, only_save_current=only_save_current)
-    done = done.join(df.select("split").distinct(), "split", "left_semi").select("split", "idx", F.coalesce("persona", F.lit("")).alias("persona"), F.col("messages").alias(output_column))
-    return join_columns(df, done) if merge_with_original else sort_columns(done)
+    what = Converse(seed_column, system_prompt, user_id, assistant_id, personas, output_column, merge_with_original)
+    return what.run(df, factory, ledger, max_samples, chunk, most_calls, only_save_current)

@@ -68,6 +68,55 @@ def read_dataset(spark: SparkSession, path: str, splits: str | list[str] | None
     return df
 
 
+def fetch_hub(name: str, revision: str | None, folder: str, allow: list[str] | None = None, ignore: list[str] | None = None) -> None:
+    """Fetches a dataset's files to a folder that all machines see, by a client that is not installed everywhere."""
+    import huggingface_hub
+
+    huggingface_hub.snapshot_download(name, repo_type="dataset", revision=revision, local_dir=folder, allow_patterns=allow, ignore_patterns=ignore)
+
+
+def hub_refs(name: str) -> list[str]:
+    """Branches of a dataset on the hub."""
+    import huggingface_hub
+
+    return [b.name for b in huggingface_hub.HfApi().list_repo_refs(name, repo_type="dataset").branches]
+
+
+def read_hub(spark: SparkSession, name: str, folder: str, config: str | None = None, revision: str | None = None, splits: str | list[str] | None = None, fetch=fetch_hub, tries: int = 1) -> DataFrame:
+    """A dataset of the hub: fetched to ``folder`` (once for each revision), all its splits or some with a split column.
+
+    Files lie in the configuration's folder, or in data/, and are named {split}-*.parquet, or lie in folders of their splits.  A failed fetch is tried
+    ``tries`` times; one that ended halfway is not taken for a whole one.
+    """
+    home = resolve(folder, name.replace("/", "--"), revision=revision or "main")
+    mark = f"{home}/.whole"
+    for k in range(tries):
+        if exists(spark, mark):
+            break
+        try:
+            fetch(name, revision, home.removeprefix("file://"))
+            p, fs = _fs(spark, mark)
+            fs.create(p, True).close()
+        except Exception:
+            if k + 1 == tries:
+                raise
+    base = next((b for b in (f"{home}/{config}" if config else None, f"{home}/data", home) if b and exists(spark, b)), home)
+    if config and not base.endswith(f"/{config}"):
+        raise ValueError(f"{name} has no configuration {config}")
+    p, fs = _fs(spark, base)
+    files = [f.getPath().getName() for f in fs.listStatus(p) if f.isFile() and f.getPath().getName().endswith(".parquet")]
+    if not files:
+        return read_dataset(spark, base, splits)
+    have: dict[str, list[str]] = {}
+    for f in sorted(files):
+        have.setdefault(re.split(r"-\d|\.parquet$", f)[0], []).append(f"{base}/{f}")
+    want = sorted(have) if splits is None else [splits] if isinstance(splits, str) else list(splits)
+    if missing := [s for s in want if s not in have]:
+        raise ValueError(f"splits {missing} are not among {sorted(have)}")
+    parts = [spark.read.parquet(*have[s]).withColumn("split", F.lit(s)) for s in want]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     """One split, by a folder of its own if there is no table of splits."""
     direct = f"{path}/{split}"
