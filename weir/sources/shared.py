@@ -22,11 +22,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+    """A folder of that name's own, made now and deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
 
 
 def materialize(df: DataFrame, tag: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Writes a table once and reads it again, so that everything that follows sees the same rows."""
-    path = fresh_path(df.sparkSession, tag)
+    path = f"{fresh_path(df.sparkSession, tag)}/rows"
     df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
     return df.sparkSession.read.parquet(path) if partition_by else df.sparkSession.read.schema(df.schema).parquet(path)
