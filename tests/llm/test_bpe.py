@@ -54,3 +54,10 @@ def test_documents(spark):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == expected(text)
         assert hashlib.sha256(bpe.decode(np.array(r.ids, int), VOCAB).encode()).hexdigest() == r.decoded_sha256
     assert bpe.encode(df.limit(0), VOCAB).count() == 0
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a b", 2, 3, 4)], "doc_id long, text string, n_tokens int, spans int, rid int")
+    with pytest.raises(ValueError):
+        bpe.encode(df, bpe.vocabulary(), carry=("doc_id", "n_tokens"))
+    assert bpe.encode(df, bpe.vocabulary()).count() == 1

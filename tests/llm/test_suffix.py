@@ -66,3 +66,10 @@ def test_spans_and_empty(spark):
     assert [(p.s, p.e) for p in got[1].removed] == [(0, 210)] and bytes(got[1].kept_bytes) == b""
     assert bytes(got[None].kept_bytes) == b"b" and got[None].removed == []
     assert suffix.dedup_substrings(df.limit(0)).count() == 0
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a b", 2, 3, 4)], "doc_id long, text string, n_tokens int, spans int, rid int")
+    with pytest.raises(ValueError):
+        suffix.dedup_substrings(df, carry=("doc_id", "spans"))
+    assert suffix.dedup_substrings(df).count() == 1

@@ -24,6 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weir.llm.common import free_names
+
 CACHE_WORDS = 300_000
 AGREE = 3  # tokens that must be the same on each side of a cut
 
@@ -227,8 +229,10 @@ def encode(docs: DataFrame, vocab: str, piece_chars: int = 32768, texts: bool =
     """``carry`` columns with n_tokens and the digests of ids and decoded text, or with ``texts`` the ids and the decoded text too.
 
     A null text is an empty one: no tokens, digests of the empty string.  Equal
-    rows give equal rows.  Texts beyond ``piece_chars`` characters take the tree.
+    rows give equal rows, so ties do not matter.  Texts beyond ``piece_chars`` characters take the tree.  Columns that are
+    not carried may have any names; carried ones may not be named like those that are added (ValueError).
     """
+    free_names(carry, ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded", "_row", "_seg", "_k", "_piece", "_ids"))
     schema = docs.select(*carry).schema
     names = list(carry)
     out = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if texts else "")

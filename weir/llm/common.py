@@ -3,46 +3,30 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weir.sources.shared import fresh_path
+
 #: Characters that separate words, as a Java regex class body and as plain characters.
 SPACE_CLASS = r"\x20\x09-\x0D"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 WORD = rf"[^{SPACE_CLASS}]+"
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set and all run on one machine."""
-    told = spark.conf.get("spark.checkpoint.dir", None)
-    if told:
-        return told.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="weir-")
-    return _own[app]
-
-
 class Stash:
     """Tables written to the shared folder, which cuts lineage and survives lost executors.
 
-    ``put`` writes and rereads a table; ``drop`` deletes those no longer needed.  The shuffle
-    files of a write go when it has ended.
+    ``put`` writes and rereads a table; ``drop`` deletes those no longer needed, and the end of the application the rest.
+    The shuffle files of a write go when it has ended.
     """
 
     CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+        self.root = fresh_path(spark, tag)
         self.n = 0
         self.paths: dict[int, str] = {}
 
@@ -84,5 +68,11 @@ def words(c: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(c, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
+def free_names(carry: tuple[str, ...], own: tuple[str, ...]) -> None:
+    """Columns that are carried must not be named like those that an operator adds."""
+    if clash := sorted(set(carry) & set(own)):
+        raise ValueError(f"carried columns are named like the operator's own: {clash}")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

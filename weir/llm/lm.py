@@ -240,7 +240,7 @@ def score(docs: DataFrame, folds: int = 10, hot_grams: int = 4_000_000, hot_word
     Learns from rows whose crc32(doc_id as text) mod ``folds`` is not 0; a null doc_id trains.
     Null texts are empty ones, scored by their end alone.  Without training
     rows every byte is equally likely and base_score takes N = V = 0.
-    Repeated rows are scored alike.
+    Repeated rows are scored alike, and ties do not arise.  Texts are scored whole, in pieces; other columns are not read.
     """
     spark = docs.sparkSession
     stash = Stash(spark, "ppm")

@@ -104,7 +104,7 @@ def _reduce(level: int, seed: int, carry: tuple[str, ...] = ()):
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, leaf: int = 4096, fan: int = 64, seed: int = 42, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rows (doc_id, source, size, source_size, target, copies, taken) of a mix of ``docs``, with ``carry`` columns after them.
 
-    ``carry`` tells rows of one doc_id apart.  Texts of any length count whole.  Null texts and texts without words have size 0 and are never taken.  A null
+    ``carry`` tells rows of one doc_id apart; ties in size go by a hash of doc_id, then by doc_id and ``carry``.  Texts of any length count whole.  Null texts and texts without words have size 0 and are never taken.  A null
     source is a source.  Repeated rows are documents of their own.  An empty
     table gives no rows.  Other columns are not carried.  The result depends
     on the rows alone, not on how they are partitioned.

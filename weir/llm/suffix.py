@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import Stash
+from weir.llm.common import Stash, free_names
 
 LENGTH, K = 200, 64
 _BYTE = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -268,8 +268,11 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, k: int = K, carry: t
 
     Removes each byte covered by a ``length``-byte string that also starts anywhere else
     in the texts, the same text included.  A null text is an empty one.  Texts
-    below ``length`` bytes are kept whole.  Repeated rows are occurrences of their own.
+    below ``length`` bytes are kept whole.  Repeated rows are occurrences of their own, so all copies of a text lose what they share.  Texts of any
+    length are taken whole, in a few arrays of their size.  Columns that are not carried may have any names; carried ones may not be named like those that are added
+    (ValueError).
     """
+    free_names(carry, (*NEW, "rid", "spans"))
     spark = docs.sparkSession
     stash = Stash(spark, "suffix")
     keyed = docs.select(*{**dict.fromkeys(carry), "text": None}).withColumn("rid", F.xxhash64(F.coalesce("text", F.lit(""))))
