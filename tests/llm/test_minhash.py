@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from weir.llm import minhash
 
 
@@ -73,3 +75,15 @@ def test_nulls_and_empty(spark):
     got = sorted((tuple(r) for r in minhash.near_duplicates(df, size=2).collect()), key=str)
     assert got == sorted([(None, 2, 3, False), (3, 2, 3, True), (3, 1, 3, True), (None, 0, None, True)], key=str)
     assert minhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_parities_never_part_similar_sets():
+    rng = np.random.Generator(np.random.PCG64(4))
+    for n in (1, 5, 40, 300, 2000):
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        b = np.unique(np.concatenate([a[: n - n // 10], rng.integers(0, 1 << 63, n // 12, dtype=np.uint64)]))
+        x, y = minhash.parities(np.unique(a)), minhash.parities(b)
+        apart = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert apart <= len(np.setxor1d(a, b))
+    c = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    assert sum(int(v).bit_count() for v in (minhash.parities(a[:300]) ^ minhash.parities(c)).view(np.uint64)) > 100

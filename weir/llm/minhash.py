@@ -16,7 +16,9 @@ comes first.  Each class is compared with the partner that most of its lists
 name.  Components close over the links, and only what still joins several
 components goes on: long lists with other leaders, then pair by pair.  What two sketches say
 of the union up to their common horizon bounds the similarity of a pair from
-above and drops most pairs; the full sets decide.
+above and drops most pairs; the full sets decide.  Pairs of long lists are not even made where
+the parities of the two sets, PARITIES bits, differ in more places than similar sets can: a
+shingle that only one of them has changes one bit at most.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ COUNTERS_LOG2 = 22
 SENT_SLOTS = 1 << 16  # of each task
 SHORT = 16  # classes of a list that are paired at once; longer lists go by leaders first
 TEXTS = 512  # texts that are hashed at once
+PARITIES = 512  # bits; they tell sets of up to about twice as many shingles apart
+WORDS = [f"b{i}" for i in range(PARITIES // 64)]
 #: Classes whose texts are fetched by a broadcast of their keys (16 bytes each); more are joined by shuffle.
 SENT_KEYS = 200_000
 
@@ -96,6 +100,12 @@ def sketch(sets: np.ndarray, octaves: np.ndarray, percent: int) -> np.ndarray:
     return np.sort(np.partition(x, k - 1)[:k])
 
 
+def parities(sets: np.ndarray) -> np.ndarray:
+    """How often, odd or even, the shingles of a set fall on each bit, as whole numbers of 64 bits."""
+    odd = np.bincount((mix(sets) & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sketch_rows(size: int, percent: int, octaves):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -106,10 +116,11 @@ def _sketch_rows(size: int, percent: int, octaves):
                 kept = [sketch(s, octaves.value, percent).astype(np.int64) if len(s) else None for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([0 if k is None else len(k) for k in kept])]).astype(np.int32)
                 flat = np.concatenate([np.empty(0, np.int64), *[k for k in kept if k is not None]])
+                bits = np.array([parities(s) for s in sets], dtype=np.int64).reshape(len(sets), len(WORDS))
                 part = b.slice(i, len(sets))
                 cols = [part.column(c) for c in part.schema.names if c != "text"]
                 names = [c for c in part.schema.names if c != "text"]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.binary()), pa.ListArray.from_arrays(offsets, flat)], names=[*names, "n_shingles", "cls", "sketch"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.binary()), pa.ListArray.from_arrays(offsets, flat), *(pa.array(w) for w in bits.T)], names=[*names, "n_shingles", "cls", "sketch", *WORDS])
 
     return run
 
@@ -188,17 +199,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     own = docs.select(F.struct(*carry).alias("carried"), "doc_id", "text", F.xxhash64("text").alias("tkey"))
     with stash.cleanup():
         slots = own.select("text").mapInArrow(_counted(size), "slot int, uses long").groupBy("slot").agg(F.sum("uses").alias("uses")).toArrow()  # at most 2**COUNTERS_LOG2 rows
-    table = np.zeros(1 << COUNTERS_LOG2, dtype=np.int64)
-    table[slots.column("slot").to_numpy()] = slots.column("uses").to_numpy()
-    octaves = spark.sparkContext.broadcast(np.log2(np.maximum(table, 1)).astype(np.uint8))
+    table = np.zeros(1 << COUNTERS_LOG2, dtype=np.uint8)
+    table[slots.column("slot").to_numpy()] = np.log2(slots.column("uses").to_numpy()).astype(np.uint8)
+    octaves = spark.sparkContext.broadcast(table)
+    del slots, table
 
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.drop("text").schema)
-    full = stash.put(own.mapInArrow(_sketch_rows(size, percent, octaves), f"{ddl}, n_shingles long, cls binary, sketch array<long>"))
+    full = stash.put(own.mapInArrow(_sketch_rows(size, percent, octaves), f"{ddl}, n_shingles long, cls binary, sketch array<long>, {', '.join(f'{w} long' for w in WORDS)}"))
     octaves.destroy()  # what needs it is written
     sets = full.filter(F.col("cls").isNotNull())
-    found = sets.groupBy("cls").agg(F.min("doc_id").alias("min_doc"), F.min("tkey").alias("tkey"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    found = sets.groupBy("cls").agg(F.min("doc_id").alias("min_doc"), F.min("tkey").alias("tkey"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), *[F.first(w).alias(w) for w in WORDS])
     classes = stash.put(found.withColumn("id", F.monotonically_increasing_id()))
-    rows = stash.put(full.drop("sketch", "tkey"))
+    rows = stash.put(full.drop("sketch", "tkey", *WORDS))
     stash.drop(full)
 
     # a class that retains a value: its place there, and whether partners of its size or more can meet it there
@@ -208,11 +220,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     # the leader's place above its number, which leaves 50 bits to the number
     code = F.when(F.col("own"), F.least(pos, F.lit(8191)).cast("long") * F.lit(1 << 50) + F.col("id"))
     lead = entries.groupBy("value").agg(F.count("*").alias("k"), F.min(code).alias("code")).filter("k > 1")
-    lists = stash.put(entries.join(lead.select("value", "k", F.col("code").bitwiseAND(F.lit((1 << 50) - 1)).alias("lead")), "value"))
-    short, lists = lists.filter(F.col("k") <= SHORT).select("value", "id", "n"), lists.filter(F.col("k") > SHORT)
+    every = stash.put(entries.join(lead.select("value", "k", F.col("code").bitwiseAND(F.lit((1 << 50) - 1)).alias("lead")), "value"))
+    short, lists = every.filter(F.col("k") <= SHORT).select("value", "id", "n"), every.filter(F.col("k") > SHORT)
     heavy = stash.put(lists.groupBy("id").agg(F.count("*").alias("h")))
     lists = lists.filter("lead is not null").drop("k").join(heavy, "id")
     sketches = classes.select("id", "n", "sketch")
+    parity = classes.select("id", *WORDS)
+
+    def alike(one: list[Column], other: list[Column], n: Column, m: Column) -> Column:
+        """Whether the parities of sets of n and m shingles allow them to be similar."""
+        apart = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(one, other, strict=True)), F.lit(0))
+        return apart <= n + m - 2 * part(n + m, percent, 100 + percent)
+
+    near = lambda m: alike([F.col(w) for w in WORDS], [F.col(f"{w}2") for w in WORDS], n, m)
+    second = [F.col(w).alias(f"{w}2") for w in WORDS]
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         """(id, text) of the classes of the pairs, one text each."""
@@ -224,7 +245,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
         return stash.put(one.mapInArrow(_same_text(size), "id long, text string"))
 
     def confirm(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Links among the pairs (u, v), by what the sketches allow and then by full sets; and the pairs that took the full sets."""
+        """Links among the pairs (u, v), by what parities and sketches allow and then by full sets; and the pairs that took the full sets."""
+        sized = classes.select("id", "n", *WORDS)
+        ends = pairs.join(sized.toDF("u", "n", *WORDS), "u").join(sized.toDF("v", "m", *[f"{w}2" for w in WORDS]), "v")
+        pairs = stash.put(ends.filter(near(F.col("m"))).select("u", "v"))
         pairs = pairs.join(sketches.toDF("u", "nu", "su"), "u").join(sketches.toDF("v", "nv", "sv"), "v").select("u", "v", "nu", "nv", "su", "sv")
         guess = stash.put(pairs.mapInArrow(_bounded(percent), "u long, v long"))
         texts = texts_of(guess)
@@ -258,13 +282,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     sides = [met.select(F.col(x).alias("id"), F.col(y).alias("lead"), "votes") for x, y in ("uv", "vu")]
     best = told.unionByName(sides[0]).unionByName(sides[1]).groupBy("id").agg(F.max(F.struct("votes", (-F.col("lead")).alias("lead"))).alias("best")).select("id", (-F.col("best.lead")).alias("lead"))
     links, tried = confirm(best.select(*pair("id", "lead")).distinct())
-    lists = stash.put(lists.drop("lead"))
+    lists = stash.put(lists.drop("lead").join(parity, "id"))
+    stash.drop(every)
 
     def open_lists(known: DataFrame) -> DataFrame:
         """Long lists whose classes are in more than one component."""
         named = lists.drop("component").join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         some = named.groupBy("value").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("value")
-        return stash.put(named.join(some, "value"))
+        out = stash.put(named.join(some, "value"))
+        stash.drop(lists)
+        return out
 
     def open_pairs(known: DataFrame) -> DataFrame:
         """(u, v, votes) of short lists that are in different components a and b."""
@@ -278,8 +305,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
         lists = open_lists(known)
         rank = F.struct("pos" if not r else F.xxhash64("value", "id", F.lit(r)).alias("h"), "id")
         lead = lists.filter("own").groupBy("value").agg(F.min(rank).alias("lead")).select("value", F.col("lead.id").alias("id"))
-        lead = lists.join(lead, ["value", "id"]).select("value", F.col("id").alias("lead"), n.alias("m"), F.col("h").alias("h2"), pos.alias("q"), F.col("component").alias("c2"))
-        new = lists.join(lead, "value").filter((F.col("component") != F.col("c2")) & fits & held & reach(pos, F.col("q")))
+        lead = lists.join(lead, ["value", "id"]).select("value", F.col("id").alias("lead"), n.alias("m"), F.col("h").alias("h2"), pos.alias("q"), F.col("component").alias("c2"), *second)
+        new = lists.join(lead, "value").filter((F.col("component") != F.col("c2")) & fits & held & reach(pos, F.col("q")) & near(m))
         new = new.groupBy(*pair("id", "lead"), F.least("component", "c2").alias("a"), F.greatest("component", "c2").alias("b")).agg(F.count("*").alias("votes"))
         new = new.join(tried, ["u", "v"], "left_anti").unionByName(open_pairs(known)).groupBy("a", "b").agg(F.max(F.struct("votes", "u", "v")).alias("best")).select("best.u", "best.v")
         more, also = confirm(new)
@@ -290,9 +317,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     # what is left: the pairs of a list in different components, the smaller set by its first values
     known = components(links, stash)
     named = open_lists(known)
-    other = named.filter("own").select("value", F.col("id").alias("id2"), n.alias("m"), F.col("h").alias("h2"), pos.alias("q"), F.col("component").alias("c2"))
+    other = named.filter("own").select("value", F.col("id").alias("id2"), n.alias("m"), F.col("h").alias("h2"), pos.alias("q"), F.col("component").alias("c2"), *second)
     smaller = (m < n) | ((m == n) & (F.col("id2") < F.col("id")))
-    rest = named.join(other, (named.value == other.value) & smaller & (F.col("component") != F.col("c2")) & fits & held & reach(pos, F.col("q")))
+    rest = named.join(other, (named.value == other.value) & smaller & (F.col("component") != F.col("c2")) & fits & held & reach(pos, F.col("q")) & near(m))
     rest = rest.select(*pair("id", "id2")).distinct().join(tried, ["u", "v"], "left_anti").unionByName(open_pairs(known).select("u", "v"))
     more, _ = confirm(rest.distinct())
     found = known if more.isEmpty() else components(links.unionByName(more), stash)
