@@ -16,7 +16,7 @@ comes first.  Each class is compared with the partner that most of its lists
 name.  Components close over the links, and only what still joins several
 components goes on: long lists with other leaders, then pair by pair.  What two sketches say
 of the union up to their common horizon bounds the similarity of a pair from
-above and drops most pairs; the full sets decide.  Pairs of long lists are not even made where
+above and drops most pairs; the full sets decide.  Pairs are not even made where
 the parities of the two sets, PARITIES bits, differ in more places than similar sets can: a
 shingle that only one of them has changes one bit at most.
 """
@@ -269,8 +269,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     # and where no short list has a pair they must hold them all.
     shared = part(n + m, percent, 100 + percent) + 1 - part(F.greatest(n, m), percent, 100)
     held = F.least("h", "h2") >= shared
-    twin = short.select("value", F.col("id").alias("id2"), n.alias("m"))
-    met = short.join(twin, (short.value == twin.value) & (F.col("id") > F.col("id2")) & fits)
+    short = short.join(parity, "id")
+    twin = short.select("value", F.col("id").alias("id2"), n.alias("m"), *second)
+    met = short.join(twin, (short.value == twin.value) & (F.col("id") > F.col("id2")) & fits & near(m))
     met = met.groupBy(F.col("id").alias("u"), F.col("id2").alias("v"), n, m).agg(F.count("*").alias("votes"))
     for c in ("u", "v"):
         met = met.join(heavy.toDF(c, f"h{c}"), c, "left")
