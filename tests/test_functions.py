@@ -103,3 +103,15 @@ def test_render_tasks(spark):
 def test_filled_text_is_not_filled_again(spark):
     df = spark.createDataFrame([("{persona}", "p")], "a string, b string")
     assert df.select(X.fill_columns("{subject}-{persona}", {"subject": F.col("a"), "persona": F.col("b")})).first()[0] == "{persona}-p"
+
+
+def test_roman_letters_of_all_code_points(spark):
+    """The short way past characters of the first ranges changes no verdict."""
+    plain = rf"[\p{{L}}&&[^{X.ROMAN_CLASS}]]|[{X.NEWER_CLASS}]"
+    c = F.decode(F.encode(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')"), "UTF-8"), "UTF-8")
+    df = spark.range(0x110000).where("(id < 55296 or id > 57343) and id <> 65279").select("id", F.concat(F.lit("a"), c).alias("c"))
+    assert df.where(F.length("c") == 2).count() == 0x110000 - 2049
+    assert df.where(~F.col("c").rlike(plain) != X.is_roman(F.col("c"))).count() == 0
+    assert X.WS_BUT_SPACE != X.WS and df.where(X.strip(F.col("c")) == "a").count() == 29  # white space of Python
+    assert df.where((X.normalize_ws(F.concat("c", F.lit(" \t b "), "c")) != F.trim(F.regexp_replace(F.concat("c", F.lit(" \t b "), "c"), X.WS + "+", " ")))).count() == 0
+    assert df.where(X.token_count(F.concat("c", F.lit("b"))) == 2).count() == 29

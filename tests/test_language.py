@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from weir.functions import text as X
 from weir.operators import language, quality
 from weir.operators.language import NgramModel, fit_language_model
 
@@ -88,3 +89,24 @@ def test_keys_are_in_whatever_the_pattern_fits(spark):
     got = df.select(F.col("t").rlike(p).alias("a"), quality.has_phrase(F.col("t"), p, k).alias("b")).collect()
     assert [r.a for r in got] == [r.b for r in got] and sum(r.a for r in got) >= 6
     assert language.NONE == "und_Latn"
+
+
+def test_listed_phrases_are_what_the_pattern_fits_and_fold_a_text_once(spark):
+    texts = ["als een AI-taalmodel", "ALS Taalmodel", "AſſISTENT ben", "ben een assistent", "de assistent van", "ChatGPT", "GPT 3", "it ſeems like there was a typo", "mİjn excuses", "SPIJT ME", "\u212annisstop", "\u212aennisstop in 2023", "Knowledge", "gewoon", "cutoff İn 2023", "assıstant", "taalmodel  ben", "virtuele assistent ben", "als een  taalmodel", "", "Tekstgebaseerde asssistent ben"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    got = df.select("t", F.col("t").rlike(quality.phrase_pattern()).alias("a"), quality.has_listed_phrase(F.col("t")).alias("b")).collect()
+    assert [(r.t, r.a) for r in got] == [(r.t, r.b) for r in got] and 10 <= sum(r.a or False for r in got) < len(texts)
+    names, lists = ["loser"], [["the", "Open.AI"]]
+    own = df.select(F.col("t").rlike(quality.phrase_pattern(names, lists)).alias("a"), quality.has_listed_phrase(F.col("t"), names, lists).alias("b")).collect()
+    assert [r.a for r in own] == [r.b for r in own]
+    with pytest.raises(ValueError):
+        quality.has_listed_phrase(F.col("t"), ["modèle"])
+    plan = quality.quality_filter(df, ["t"], target=None)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1 and "translate(" not in plan
+
+
+def test_more_words(spark):
+    texts = ["", " \n", "a", "a b", "a b c", " a\tb\u3000c ", "a b c d", "\na\u2003b c  d e", " " * 9000 + "a b c", "a b c" + " " * 9000]
+    got = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", X.more_words(F.col("t"), 3).alias("m"), X.token_count(F.col("t")).alias("n")).collect()
+    assert [r.m for r in got[:-1]] == [len(t.split()) > 3 for t in texts] and got[-1].m is None and got[-1].n is None
+    assert [r.n for r in got[:-1]] == [len(t.split()) for t in texts]

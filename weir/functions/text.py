@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: White space of str.isspace, as a regex class.
 WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: The same without the plain space; the class is tried only on characters that are not printed ASCII.
+WS_BUT_SPACE = r"(?=[^ -~])[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 # Letters whose Unicode name has LATIN, as ranges.
 ROMAN_RANGES = (
@@ -49,8 +51,8 @@ ROMAN_CLASS, NEWER_CLASS = _class(ROMAN_RANGES), _class(newer_letters())
 
 
 def normalize_ws(c: Column) -> Column:
-    """Words joined by single spaces."""
-    return F.trim(F.regexp_replace(c, WS + "+", " "))
+    """Words joined by single spaces.  The patterns skip single plain spaces, which most of a text's white space is."""
+    return F.trim(F.regexp_replace(F.regexp_replace(c, WS_BUT_SPACE, " "), " {2,}", " "))
 
 
 def strip(c: Column) -> Column:
@@ -59,7 +61,18 @@ def strip(c: Column) -> Column:
 
 def token_count(c: Column) -> Column:
     """Number of white-space separated words."""
-    return F.size(F.filter(F.split(normalize_ws(c), " "), lambda x: x != ""))
+    return word_count(normalize_ws(c))
+
+
+def word_count(normal: Column) -> Column:
+    """Number of words of a text that is normalised already."""
+    return F.size(F.array_remove(F.split(normal, " "), ""))
+
+
+def more_words(c: Column, n: int) -> Column:
+    """Whether a text has more than ``n`` words; it is read no further than that."""
+    word = WS.replace("[", "[^", 1)
+    return c.rlike(f"^{WS}*+(?:{word}++{WS}++){{{n}}}{word}")
 
 
 def split_lines(c: Column) -> Column:
@@ -69,8 +82,11 @@ def split_lines(c: Column) -> Column:
 
 
 def is_roman(c: Column) -> Column:
-    """Every letter is a Roman one; other characters do not count and null stays null."""
-    return ~c.rlike(rf"[\p{{L}}&&[^{ROMAN_CLASS}]]|[{NEWER_CLASS}]")
+    """Every letter is a Roman one; other characters do not count and null stays null.
+
+    The long classes are tried only on characters outside two ranges without any other letter, which most of a text is in.
+    """
+    return ~c.rlike(rf"(?=[^\x00-\xa9\xc0-\x{{2af}}])(?:[\p{{L}}&&[^{ROMAN_CLASS}]]|[{NEWER_CLASS}])")
 
 
 def clean_label(c: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.functions.messages import text_of
-from weir.functions.text import clean_label, is_roman, normalize_ws, token_count
+from weir.functions.text import clean_label, is_roman, more_words, normalize_ws
 from weir.operators.language import NgramModel, StopWords
 from weir.operators.metrics import RowCounts
 
@@ -63,10 +63,36 @@ def phrase_keys(names: list[str] = AI_NAMES, phrases: list[list[str]] | None = N
 def has_phrase(text: Column, pattern: str, keys: list[str] | None = None) -> Column:
     """Whether the pattern fits; with ``keys`` it is tried only where one of them is found, which is much cheaper."""
     fits = text.rlike(pattern)
-    if keys is None:
-        return fits
-    low = F.lower(F.translate(text, "İıſ\u212a", "iisk"))  # letters that match i, s and k when case is ignored
-    return reduce(lambda a, b: a | b, [low.contains(k) for k in keys], F.lit(False)) & fits
+    return fits if keys is None else F.exists(F.array(folded(text)), lambda low: _contains(low, keys)) & fits
+
+
+def folded(text: Column) -> Column:
+    """Lower case, with the letters that match i, s and k when case is ignored as these."""
+    for a, b in ("İi", "ıi", "ſs", "\u212ak"):
+        text = F.replace(text, F.lit(a), F.lit(b))
+    return F.lower(text)
+
+
+def _contains(low: Column, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [low.contains(k) for k in keys], F.lit(False))
+
+
+def has_listed_phrase(text: Column, names: list[str] = AI_NAMES, phrases: list[list[str]] | None = None) -> Column:
+    """Whether ``phrase_pattern`` of the same lists, all of ASCII, fits; null stays null.
+
+    A text is folded once, as the one element of an array.  Phrases are searched as they are; names lead to a pattern of the templates alone,
+    without the phrases.
+    """
+    lists = [BRANDS, KNOWLEDGE, WRONG_LANGUAGE, APOLOGIES] if phrases is None else phrases
+    if not all(s.isascii() for ps in (names, *lists) for s in ps):
+        raise ValueError("phrases with other than ASCII characters need the pattern")
+    one = "(?:" + "|".join(re.escape(n.lower()).replace(r"\ ", " ") for n in names) + ")"
+    pattern = "|".join(t.format(one) for t in TEMPLATES)
+
+    def fits(low: Column) -> Column:
+        return _contains(low, phrase_keys([], lists)) | (_contains(low, phrase_keys(names, [])) & low.rlike(pattern) if names else F.lit(False))
+
+    return F.when(text.isNotNull(), F.exists(F.array(folded(text)), fits))
 
 
 Predict = Callable[[str], tuple[str, float]]
@@ -129,30 +155,33 @@ def _in_python(factory: Callable[[], Predict]):
 
 def language_ok(text: Column, lid: Column, target: str, short: int = 3) -> Column:
     """The language is the target, or the text has at most ``short`` words."""
-    return F.coalesce(lid == target, F.lit(False)) | (F.coalesce(token_count(text), F.lit(0)) <= short)
+    return F.coalesce(lid == target, F.lit(False)) | ~F.coalesce(more_words(text, short), F.lit(False))
 
 
-def quality_filter(df: DataFrame, columns: list[str], target: str | None = "nld_Latn", pattern: str | None = None, roman: bool = True, model: Model = STAND_IN, counts: RowCounts | None = None) -> DataFrame:
+def quality_filter(df: DataFrame, columns: list[str], target: str | None = "nld_Latn", pattern: str | None = None, roman: bool = True, model: Model = STAND_IN, counts: RowCounts | None = None, normal: bool = False) -> DataFrame:
     """Rows all of whose columns pass: no phrase, Roman letters only, and the language.
 
-    Uses {column}_lid where it exists and identifies the language otherwise.  Cheap rules stand before the model in the plan.
+    Uses {column}_lid where it exists and identifies the language otherwise.  Cheap rules stand before the model in the plan,
+    and languages that are known already before all others unless rows are counted.  ``normal`` says that the texts have single spaces only.
     ``counts`` gets the rows before, after the rules on phrases and letters, and after that on the language, while the result is written.
     """
-    keys = phrase_keys() if pattern is None else None
-    pattern = phrase_pattern() if pattern is None else pattern
     missing = [c for c in columns if target is not None and f"{c}_lid" not in df.columns]
-    text = {c: normalize_ws(text_of(c, df.schema[c].dataType)) for c in columns}
+    raw = {c: text_of(c, df.schema[c].dataType) for c in columns}
+    text = raw if normal else {c: normalize_ws(t) for c, t in raw.items()}
 
     def bad(t: Column) -> Column:
-        phrase = F.coalesce(has_phrase(t, pattern, keys), F.lit(False))
+        phrase = F.coalesce(has_listed_phrase(t) if pattern is None else has_phrase(t, pattern), F.lit(False))
         return phrase | F.coalesce(~is_roman(t), F.lit(False)) if roman else phrase
 
     mark = (lambda x, _: x) if counts is None else counts.at
     df = mark(df, "rows")
+    early = [] if counts is not None or target is None else [c for c in columns if c not in missing]
+    for c in early:
+        df = df.filter(language_ok(raw[c], F.col(f"{c}_lid"), target))
     for c in columns:  # as the one element of an array the text is normalised once for all rules
         df = df.filter(~F.exists(F.array(text[c]), bad))
     df = mark(df, "phrases and letters")
     full = identify_language(df, missing, model) if missing else df
-    for c in columns if target is not None else []:
-        full = full.filter(language_ok(text[c], F.col(f"{c}_lid"), target))
+    for c in [c for c in columns if c not in early] if target is not None else []:
+        full = full.filter(language_ok(raw[c], F.col(f"{c}_lid"), target))
     return mark(full, "language").drop(*[f"{c}_{x}" for c in missing for x in ("lid", "lid_prob")])
