@@ -21,11 +21,15 @@ def keep_first(df: DataFrame, keys: list[Column], order: list[str], within: list
     """The first row, by ``order``, of each key; nulls are equal.
 
     A partial aggregation finds the first row of a key and a semi-join fetches it, so a key that many rows share
-    sends one row from each task.
+    sends one row from each task.  Strings are keys by their SHA-256, so whole texts are neither sorted nor sent.
     """
     named = {f"__k{i}": k for i, k in enumerate(keys)}
-    first = df.select(*within, *order, *[v.alias(k) for k, v in named.items()]).groupBy(*within, *named).agg(F.min(F.struct(*order)).alias("__first"))
-    wanted = first.select(*[F.col(w).alias(f"__w{i}") for i, w in enumerate(within)], *[F.col("__first")[o].alias(f"__o{i}") for i, o in enumerate(order)])
+    small = df.select(*within, *order, *[v.alias(k) for k, v in named.items()])
+    small = small.withColumns({k: F.unhex(F.sha2(k, 256)) for k in named if small.schema[k].dataType.typeName() == "string"})
+    least = F.min(order[0] if len(order) == 1 else F.struct(*order))
+    first = small.groupBy(*within, *named).agg(least.alias("__first"))
+    at = [F.col("__first")] if len(order) == 1 else [F.col("__first")[o] for o in order]
+    wanted = first.select(*[F.col(w).alias(f"__w{i}") for i, w in enumerate(within)], *[c.alias(f"__o{i}") for i, c in enumerate(at)])
     same = reduce(lambda a, b: a & b, [F.col(w).eqNullSafe(F.col(f"__w{i}")) for i, w in enumerate(within)] + [F.col(o).eqNullSafe(F.col(f"__o{i}")) for i, o in enumerate(order)])
     return df.join(wanted, same, "left_semi")
 

@@ -79,8 +79,8 @@ def curate_documents(spark, d):
     """Flagship: normalise, first row of each text, language rule with its exception for short texts, word count."""
     x = _docs(spark, d).select("split", "idx", "doc_id", X.normalize_ws(F.col("text")).alias("text"), _lid().alias("text_lid"))
     x = relational.dedup_sequential(x, ["text"])
-    x = quality.quality_filter(x, ["text"], target="eng_Latn")
-    return x.select("doc_id", F.md5("text").alias("text_md5"), X.token_count(F.col("text")).cast("long").alias("n_tokens"))
+    x = quality.quality_filter(x, ["text"], target="eng_Latn", normal=True)
+    return x.select("doc_id", F.md5("text").alias("text_md5"), X.word_count(F.col("text")).cast("long").alias("n_tokens"))
 
 
 def normalize_ws(spark, d):
