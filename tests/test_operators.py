@@ -392,3 +392,18 @@ def test_cli_options(spark, tmp_path):
     cli.main(["scores", "--dataset", f"file://{tmp_path}/r.jsonl", "--output", f"{tmp_path}/o.csv", "--workbook", f"{tmp_path}/o.xlsx", "--plots", f"{tmp_path}/plots"], spark)
     assert len(list((tmp_path / "plots").iterdir())) == len(relational.METRICS)
     assert (tmp_path / "o.csv").read_text().startswith("model,") and (tmp_path / "o.xlsx").stat().st_size > 500
+
+
+def test_tokenize_holds_the_numbers_of_a_bounded_part(spark):
+    import pyarrow as pa
+
+    texts = ["a b", None, "x" * 300, "", "c " * 200, "d"]
+    got = list(pack.slices(iter([pa.array(texts), pa.array([], pa.string())]), 256))
+    assert sum((p.to_pylist() for p in got), []) == texts and len(got) > 3
+    assert all(len(p) < 2 or sum(len(t or "") for t in p.to_pylist()) <= 512 for p in got)
+    t = pack.hash_tokenizer()
+    many = ["".join(f"w{i * j} " for j in range(1, 400)) for i in range(1, 2_500)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(many)), "idx long, text string").coalesce(1)
+    assert all(r.input_ids == t(many[r.idx] or "") for r in pack.tokenize(df).collect())
+    held = pack.tokenize(df, factory=lambda: lambda x: [len(x)] * 3).agg({"idx": "count"}).first()[0]
+    assert held == len(many)

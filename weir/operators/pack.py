@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -34,6 +36,15 @@ def file_tokenizer(path: str) -> Callable[[], Callable[[str], list[int]]]:
     return load
 
 
+def slices(batches: Iterator[pa.Array], most: int = 1 << 20) -> Iterator[pa.Array]:
+    """Batches of strings in parts of about ``most`` bytes, or of one longer text; empty batches stay."""
+    for a in batches:
+        at = np.cumsum(pc.fill_null(pc.binary_length(a), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // most
+        cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(a)]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            yield a.slice(lo, hi - lo)
+
+
 def window(ids: Column, max_length: int | None, side: str = "right") -> Column:
     """At most ``max_length`` elements; what is too much goes from ``side``."""
     if side not in ("left", "right"):
@@ -49,14 +60,19 @@ def window(ids: Column, max_length: int | None, side: str = "right") -> Column:
 def tokenize(df: DataFrame, column: str = "text", factory: Callable[[], Callable[[str], list[int]]] = hash_tokenizer, keep: tuple[str, ...] = ("idx",), max_length: int | None = None, side: str = "right", mask: bool = False) -> DataFrame:
     """``keep`` columns and input_ids, with ``mask`` attention_mask too; the other columns go.  No padding.
 
-    With ``max_length`` longer lists are cut at ``side``; null text has no tokens.
+    With ``max_length`` longer lists are cut at ``side``; null text has no tokens.  A worker holds the numbers of about 1 MB of text at a time.
     """
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         t = factory()
-        for s in batches:
-            yield s.map(lambda x: t(x) if x is not None else [])
+        for part in slices(batches):
+            values, ends = array("i"), [0]
+            for x in part:
+                if x.is_valid:
+                    values.extend(t(x.as_py()))
+                ends.append(len(values))
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(values, np.int32)))
 
     out = df.select(*keep, ids(F.col(column)).alias("input_ids"))
     if max_length is not None:
