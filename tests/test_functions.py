@@ -115,3 +115,11 @@ def test_roman_letters_of_all_code_points(spark):
     assert X.WS_BUT_SPACE != X.WS and df.where(X.strip(F.col("c")) == "a").count() == 29  # white space of Python
     assert df.where((X.normalize_ws(F.concat("c", F.lit(" \t b "), "c")) != F.trim(F.regexp_replace(F.concat("c", F.lit(" \t b "), "c"), X.WS + "+", " ")))).count() == 0
     assert df.where(X.token_count(F.concat("c", F.lit("b"))) == 2).count() == 29
+
+
+def test_strip_searches_the_ends_alone(spark):
+    texts = ["", " ", "a", X.WS_CHARS, X.WS_CHARS + "a b\n c" + X.WS_CHARS, "​ a", "é　", "x" + " " * 50_000 + "y", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", X.strip(F.col("t")).alias("s"))
+    assert [r.s for r in got.collect()] == [t if t is None else t.strip() for t in texts]
+    assert "regexp" not in got._jdf.queryExecution().optimizedPlan().toString()

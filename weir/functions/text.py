@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: The same without the plain space; the class is tried only on characters that are not printed ASCII.
 WS_BUT_SPACE = r"(?=[^ -~])[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Its characters, one by one.
+WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 # Letters whose Unicode name has LATIN, as ranges.
 ROMAN_RANGES = (
@@ -56,7 +58,8 @@ def normalize_ws(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    """The text without white space at its ends; what is between them is not searched."""
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def token_count(c: Column) -> Column:
