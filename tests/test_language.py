@@ -110,3 +110,22 @@ def test_more_words(spark):
     got = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", X.more_words(F.col("t"), 3).alias("m"), X.token_count(F.col("t")).alias("n")).collect()
     assert [r.m for r in got[:-1]] == [len(t.split()) > 3 for t in texts] and got[-1].m is None and got[-1].n is None
     assert [r.n for r in got[:-1]] == [len(t.split()) for t in texts]
+
+
+def test_scores_are_those_of_single_words(spark):
+    """Texts whose words are short, long and of all scripts, in one batch and in many; a word never reaches into its neighbour."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    weights = rng.integers(-9000, 0, (3, 128)).tolist()
+    model = NgramModel(["a", "b", "c"], weights, 64)
+    letters = list("abcdefgé日\U0001f600ß")
+    texts = ["", None, "a", " ", "　ab\tc ", *[" ".join("".join(rng.choice(letters, rng.integers(1, 7))) for _ in range(rng.integers(1, 40))) for _ in range(200)]]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    want = [(None, None) if t is None else plain_score(dict(zip(model.labels, weights, strict=True)), t, 64) for t in texts]
+    for r, (lid, prob) in zip(quality.identify_language(df, ["text"], model).collect(), want, strict=True):
+        assert r.text_lid == lid and (prob is None or abs(r.text_lid_prob - prob) < 1e-9)
+    sums, n = language.score_words(pa.array(["ab c", None, "", "c"]), np.array(weights, float))
+    assert n.tolist() == [4, 0, 0, 2] and (sums[:, 1:3] == 0).all()
+    assert "aggregate(" not in quality.identify_language(df, ["text"], model)._jdf.queryExecution().optimizedPlan().toString()

@@ -1,4 +1,4 @@
-"""Language identification by the ends of words: a model that is counted in Spark and scored in DataFrame functions.
+"""Language identification by the ends of words: a model that is counted in Spark and scored by numpy in Arrow batches.
 
 Each word gives two n-grams, its first and its last three characters (fewer where it is shorter), each
 numbered by its code points; short words are among them whole.  A language's weight of a number is the
@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.functions.text import normalize_ws
+from weir.operators.pack import slices
 
 NONE = "und_Latn"
 UNIT = 1000  # weights are in thousandths
@@ -22,7 +26,7 @@ UNIT = 1000  # weights are in thousandths
 
 def words_of(text: Column) -> Column:
     """Lower-cased words."""
-    return F.filter(F.split(normalize_ws(F.lower(text)), " "), lambda w: w != "")
+    return F.array_remove(F.split(normalize_ws(F.lower(text)), " "), "")
 
 
 def _number(a: Column, b: Column, c: Column, buckets: int) -> Column:
@@ -39,12 +43,23 @@ def numbers_of(words: Column, buckets: int) -> Column:
     return F.flatten(F.transform(words, both))
 
 
-def _best(labels: list[str], scores: Column, n: Column) -> Column:
-    """struct<lid, prob> of the highest score, the first label of equals; without words NONE and 0."""
-    top = F.array_max(scores)
-    share = F.lit(1.0) / F.aggregate(scores, F.lit(0.0), lambda a, s: a + F.exp((s - top) / UNIT))
-    lid = F.element_at(F.array(*[F.lit(x) for x in labels]), F.array_position(scores, top).cast("int"))
-    return F.when(n > 0, F.struct(lid.alias("lid"), share.alias("prob"))).when(n == 0, F.struct(F.lit(NONE).alias("lid"), F.lit(0.0).alias("prob")))
+def score_words(text: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of each language's weights, languages by texts, and the number of n-grams of each text; words are parted by single spaces."""
+    texts = ["" if t is None else t for t in text.to_pylist()]
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    points = np.frombuffer("".join(f"{t} " for t in texts).encode("utf-32-le"), "<u4").astype(np.int64)
+    inside = np.concatenate([[False], points != 32, [False]])
+    first, end = (np.flatnonzero(x) for x in (inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]))
+    of = np.searchsorted(np.cumsum(sizes), first, side="right")
+    buckets = weights.shape[1] // 2
+
+    def number(step: int, start: np.ndarray, last: np.ndarray) -> np.ndarray:
+        a, b, c = (np.where((last - start) * step >= i, points[np.clip(start + step * i, 0, len(points) - 1)], 0) for i in range(3))
+        return (a * 961 + b * 31 + c) % buckets
+
+    front, back = number(1, first, end), number(-1, end, first) + buckets
+    sums = np.array([np.bincount(of, w[front] + w[back], len(texts)) for w in weights])
+    return sums, 2 * np.bincount(of, minlength=len(texts))
 
 
 @dataclass
@@ -56,17 +71,22 @@ class NgramModel:
     buckets: int
 
     def predict(self, text: Column) -> Column:
-        """struct<lid, prob> of a text; null stays null.  No shuffle and no Python: weights are constants of the plan, looked up by place."""
-        tables = [F.split(F.lit(",".join(map(str, w))), ",").cast("array<int>") for w in self.weights]
-        numbers = numbers_of(words_of(text), self.buckets)
-
-        def total(ids: Column, table: Column) -> Column:
-            return F.aggregate(ids, F.lit(0).cast("long"), lambda a, i: a + F.get(table, i))
-
-        # a one-element array names the numbers, so they are made once for all languages
-        scored = F.transform(F.array(numbers), lambda ids: F.struct(F.array(*[total(ids, t) for t in tables]).alias("s"), F.size(ids).alias("n")))
-        got = F.get(F.transform(scored, lambda x: _best(self.labels, x["s"], x["n"])), 0)
-        return F.when(text.isNotNull(), got)
+        """struct<lid, prob> of a text; null stays null.  No shuffle: the highest score, the first label of equals; without words NONE and 0.
+
+        Words are made in Spark, their numbers and weights are looked up by numpy in parts of about 1 MB of text.
+        """
+        weights, labels = np.array(self.weights, np.float64), np.array(self.labels, object)
+
+        @F.arrow_udf("struct<lid:string,prob:double>")
+        def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for part in slices(batches):
+                sums, n = score_words(part, weights)
+                shares = 1.0 / sum(np.exp((s - sums.max(axis=0)) / UNIT) for s in sums)
+                lid, prob = np.where(n > 0, labels[sums.argmax(axis=0)], NONE), np.where(n > 0, shares, 0.0)
+                empty = part.is_null()
+                yield pa.StructArray.from_arrays([pa.array(lid.tolist(), pa.string()), pa.array(prob, pa.float64())], ["lid", "prob"], mask=empty)
+
+        return scored(normalize_ws(F.lower(text)))
 
     def save(self, path: str) -> None:
         with open(path, "w", encoding="utf-8") as f:

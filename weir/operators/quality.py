@@ -131,7 +131,7 @@ def fasttext_model(path: str) -> Callable[[], Predict]:
 def identify_language(df: DataFrame, columns: list[str], model: Model = STAND_IN) -> DataFrame:
     """Adds {column}_lid and {column}_lid_prob; null text gives nulls.
 
-    A model of this library is a Column expression; a factory of a Python function, such as ``fasttext_model``, runs in
+    The stand-in is a Column expression; a fitted model and a factory of a Python function, such as ``fasttext_model``, run in
     Arrow batches, the one Python step of the curation plan.
     """
     for c in columns:
