@@ -87,3 +87,24 @@ def test_parities_never_part_similar_sets():
         assert apart <= len(np.setxor1d(a, b))
     c = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
     assert sum(int(v).bit_count() for v in (minhash.parities(a[:300]) ^ minhash.parities(c)).view(np.uint64)) > 100
+
+
+def test_similar_sets_share_a_value_and_unrelated_ones_few():
+    rng = np.random.Generator(np.random.PCG64(7))
+    universe = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)  # few shingles, so each is in many sets
+    octaves = np.zeros(1 << minhash.COUNTERS_LOG2, dtype=np.uint8)
+    octaves[minhash._slots(universe)] = 6
+    pick = lambda n: np.unique(rng.choice(universe, n, replace=False))
+    for n in (4, 5, 9, 17, 33, 60, 64, 130, 255, 256, 300, 1000):
+        for _ in range(40):
+            a = pick(n)
+            gone, more = rng.integers(0, n // 9 + 1, 2)
+            b = np.unique(np.concatenate([rng.permutation(a)[: n - gone], pick(more)]))
+            x, y = minhash.sketches([a, b], octaves, 1000, 80)
+            if minhash.similar(a, b, 80) and len(np.setxor1d(a, b)):
+                both = np.intersect1d(x >> 1, y >> 1)
+                assert len(both)
+                assert any((x[x >> 1 == v] | y[y >> 1 == v]).max() & 1 for v in both)  # one of them is at home there
+    kept = minhash.sketches([pick(100) for _ in range(1000)], octaves, 1000, 80)
+    _, uses = np.unique(np.concatenate(kept) >> 1, return_counts=True)
+    assert (uses * (uses - 1) // 2).sum() < 5000  # of 499,500 pairs; single shingles would bring all of them
