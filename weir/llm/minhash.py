@@ -210,7 +210,7 @@ def _same_text(size: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tuple[str, ...] = ("doc_id",), rounds: int = 2, stash: Stash | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tuple[str, ...] = ("doc_id",), rounds: int = 2) -> DataFrame:
     """``carry`` columns with n_shingles, component_id and kept of every row of ``docs``.
 
     Rows whose sets have 100 * intersection >= ``percent`` * union are linked; component_id
@@ -222,7 +222,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     result; ties go to the smaller class number.  Other columns of ``docs`` do not matter.
     """
     spark = docs.sparkSession
-    stash = Stash(spark, "minhash") if stash is None else stash
+    stash = Stash(spark, "minhash")
     own = docs.select(F.struct(*carry).alias("carried"), "doc_id", "text", F.xxhash64("text").alias("tkey"))
     with stash.cleanup():
         slots = own.select("text").mapInArrow(_counted(size), "slot int, uses long").groupBy("slot").agg(F.sum("uses").alias("uses")).toArrow()  # at most 2**COUNTERS_LOG2 rows
@@ -300,13 +300,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
         stash.drop(lists)
         lists = left
         last = r == rounds or lists.isEmpty()
-        # what is still open: pairs in different components, of long lists with one leader, drawn anew each time, and at last all of them
-        other = lists.filter("home")
-        if not last:
+        # what is still open: pairs in different components, of long lists with one leader, drawn anew each time, and at last all of them,
+        # each in the first of the lists that it shares
+        side = ["value", F.col("id").alias("id2"), F.col("component").alias("c2"), n.alias("m"), *[F.col(w).alias(f"{w}2") for w in WORDS]]
+        if last:
+            lists = lists.join(lists.groupBy("id").agg(F.collect_set("value").alias("all")), "id")
+            other, once = lists.select(*side, F.col("all").alias("all2")), (F.col("id") > F.col("id2")) & near & (F.col("value") == F.array_min(F.array_intersect("all", "all2")))
+        else:
             draw = F.struct(F.xxhash64("value", "id", F.lit(r)).alias("h"), "id")
-            other = other.join(other.groupBy("value").agg(F.min(draw)["id"].alias("id")), ["value", "id"])
-        other = other.select("value", F.col("id").alias("id2"), F.col("component").alias("c2"), n.alias("m"), *[F.col(w).alias(f"{w}2") for w in WORDS])
-        more = lists.join(other, "value").filter((F.col("component") != F.col("c2")) & near).select(*pair("id", "id2")).groupBy("u", "v").agg(F.count("*").alias("votes"))
+            lead = lists.filter("home").groupBy("value").agg(F.min(draw)["id"].alias("id"))
+            other, once = lists.join(lead, ["value", "id"]).select(*side), near
+        more = lists.join(other, "value").filter((F.col("component") != F.col("c2")) & once).select(*pair("id", "id2")).groupBy("u", "v").agg(F.count("*").alias("votes"))
         new = met.unionByName(more).groupBy("u", "v").agg(F.max("votes").alias("votes")).join(tried, ["u", "v"], "left_anti")
         for c, to in (("u", "cu"), ("v", "cv")):
             new = new.join(known.toDF(c, to), c, "left").withColumn(to, F.coalesce(to, c))
