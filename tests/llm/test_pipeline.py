@@ -143,3 +143,13 @@ def test_repeated_rows_and_null_ids_end_as_one(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_dedup_writes_no_texts(spark, tmp_path, monkeypatch):
+    wrote = []
+    put = corpus_pipeline.Stash.put
+    monkeypatch.setattr(corpus_pipeline.Stash, "put", lambda self, df: wrote.append(df.columns) or put(self, df))
+    docs = spark.createDataFrame([(1, "a b c", "en", "s", 5), (1, "a b c", "en", "s", 5), (2, "A b c", "en", "s", 5), (2, "d e", "en", "s", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    assert got == [(1, "a b c"), (2, "d e")]
+    assert wrote and not any("text" in c and "lang" in c for c in wrote)
