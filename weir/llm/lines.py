@@ -324,7 +324,9 @@ def near_line_groups(lines: DataFrame, stash: Stash, most: int = 2, least: int =
     found = known if more.isEmpty() else components(links.unionByName(more), stash)
     keys = distinct.select("id", "k1", "k2")
     one = keys.join(found.withColumnRenamed("node", "id"), "id").select("k1", "k2", "component")
-    return stash.put(one.join(keys.toDF("component", "r1", "r2"), "component").select("k1", "k2", "r1", "r2"))
+    out = stash.put(one.join(keys.toDF("component", "r1", "r2"), "component").select("k1", "k2", "r1", "r2"))
+    stash.drop(distinct, lead, led, text, named)
+    return out
 
 
 def dedup_near_lines(docs: DataFrame, most: int = 2, least: int = 40, exact: int = 20, texts: bool = False) -> DataFrame:
@@ -354,6 +356,7 @@ def dedup_near_lines(docs: DataFrame, most: int = 2, least: int = 40, exact: int
     while any(c.startswith(own) for c in docs.columns):
         own += "_"
     gone = stash.put(gone.toDF(f"{own}doc", f"{own}text", f"{own}gone"))
+    stash.drop(group, rows, shared)
     keyed = docs.withColumn(f"{own}tid", F.xxhash64("text"))
     if not texts:
         keyed = keyed.select("doc_id", f"{own}tid", F.when(F.length("text") > 0, F.size(F.split("text", "\n", -1))).otherwise(0).cast("long").alias("n_lines"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.llm.common import Stash
-from weir.llm.components import components
+from weir.llm.components import HELD, components
 from weir.llm.shingles import mix, shingle_sets
 
 COUNTERS_LOG2 = 22
@@ -292,7 +292,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
     lists = stash.put(lists)
     stash.drop(every)
 
-    known = components(links, stash)
+    known = components(links, stash, HELD)
     for r in range(rounds + 1):
         named = lists.select("value", "id", "home").join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         some = named.groupBy("value").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("value")
@@ -321,9 +321,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
         if not new.isEmpty():
             found = confirm(new)
             links, tried = links.unionByName(found), tried.unionByName(new)
-            known = known if found.isEmpty() else components(links, stash)
+            known = known if found.isEmpty() else components(links, stash, HELD)
         if last:
             break
+    stash.drop(met, left)
 
     label = classes.select("cls", "id", "min_doc").join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = label.groupBy("component").agg(F.min("min_doc").alias("least"))
