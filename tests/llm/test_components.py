@@ -61,3 +61,14 @@ def test_near_duplicates_contract_links(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "a b c d e f g h i j k l %s" % ("m" * (i % 2))) for i in range(6)], "doc_id long, text string")
     assert {r.component_id for r in minhash.near_duplicates(docs, size=2).collect()} == {0}
     assert told and all(h == (HELD,) for h in told)
+
+
+def test_open_lists_are_joined_with_sizes_once(spark, monkeypatch):
+    from weir.llm import minhash
+
+    joins, join = [], type(spark.range(1)).join
+    monkeypatch.setattr(minhash, "SHORT", 1)
+    monkeypatch.setattr(type(spark.range(1)), "join", lambda self, other, on=None, how=None: joins.append(1 if on == "id" and "home" in self.columns and how is None else 0) or join(self, other, on, how))
+    rows = [(i, " ".join(f"w{j if j % 4 or i % 3 == 0 else (i % 3) * 1000 + j}" for j in range(40)) + f" x{i}") for i in range(12)]
+    minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()
+    assert sum(joins) == 1

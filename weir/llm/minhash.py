@@ -294,9 +294,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
 
     known = components(links, stash, HELD)
     for r in range(rounds + 1):
-        named = lists.select("value", "id", "home").join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        named = lists.drop("component").join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         some = named.groupBy("value").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("value")
-        left = stash.put(named.join(some, "value").join(sized, "id"))
+        left = named.join(some, "value")
+        left = stash.put(left if r else left.join(sized, "id"))
         stash.drop(lists)
         lists = left
         last = r == rounds or lists.isEmpty()
@@ -304,7 +305,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, carry: tu
         # each in the first of the lists that it shares
         side = ["value", F.col("id").alias("id2"), F.col("component").alias("c2"), n.alias("m"), *[F.col(w).alias(f"{w}2") for w in WORDS]]
         if last:
-            lists = lists.join(lists.groupBy("id").agg(F.collect_set("value").alias("all")), "id")
+            lists = lists.withColumn("all", F.collect_set("value").over(Window.partitionBy("id")))
             other, once = lists.select(*side, F.col("all").alias("all2")), (F.col("id") > F.col("id2")) & near & (F.col("value") == F.array_min(F.array_intersect("all", "all2")))
         else:
             draw = F.struct(F.xxhash64("value", "id", F.lit(r)).alias("h"), "id")
