@@ -72,6 +72,16 @@ def test_sample_is_bounded_and_keeps_rare_labels(spark):
         fit_language_model(df.where("id < 0"))
 
 
+def test_all_rows_count_however_many(spark):
+    """More rows than the 100,000 that were once the most; a label whose only row has no words stays."""
+    n = 120_000
+    said = F.when(F.col("id") == 7, "").otherwise(F.concat(F.lit("w"), F.col("id").cast("string")))
+    df = spark.range(n).select(said.alias("text"), F.when(F.col("id") == 7, "none").when(F.col("id") % 3 == 0, "a").otherwise("b").alias("lang"))
+    model = fit_language_model(df, buckets=64)
+    want = plain_fit([("", "none") if i == 7 else (f"w{i}", "b" if i % 3 else "a") for i in range(n)], 64)
+    assert model.labels == ["a", "b", "none"] and dict(zip(model.labels, model.weights, strict=True)) == want
+
+
 def test_stop_words(spark):
     rows = spark.createDataFrame([("De kat, en het huis.",), ("the end of it",), ("",), (None,), ("xyz",)], "text string")
     got = quality.identify_language(rows, ["text"]).collect()

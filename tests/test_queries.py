@@ -34,3 +34,17 @@ def test_query_matches_sql(spark, duck, name):
         assert got == sorted((key(r[rel.columns.index(c)] for c in cols) for r in rel.fetchall()), key=repr)
     else:
         assert WITHOUT_SQL[name](got, cols)
+
+
+def test_identify_language_matches_sql_on_more_than_100_000_labelled_rows(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    rows = spark.range(130_000).selectExpr(
+        "id AS doc_id",
+        "CASE WHEN id % 1000 = 1 THEN '' WHEN id % 1000 = 2 THEN NULL ELSE concat('w', substring(md5(string(id)), 1, 3), ' ', substring(md5(string(id)), 4, 2)) END AS text",
+        "CASE WHEN id % 1000 = 1 THEN 'none' WHEN id % 1000 = 3 THEN NULL WHEN md5(string(id)) LIKE '%a%' THEN 'a' ELSE 'b' END AS lang",
+    )
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, catalog.QUERIES["identify_language"](spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert got == sorted(con.execute(catalog.ORACLE["identify_language"]).fetchall())

@@ -67,7 +67,7 @@ def parser() -> argparse.ArgumentParser:
     p = add("fit-lid")
     p.add_argument("--text-column", default="text")
     p.add_argument("--label-column", required=True)
-    p.add_argument("--max-rows", type=int, default=100_000)
+    p.add_argument("--max-rows", type=int, help="fit on a sample of about that many rows; without it on all")
     p = add("merge")
     p.add_argument("--revision", action="append", required=True)
     p.add_argument("--on", action="append", required=True)

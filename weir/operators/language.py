@@ -98,26 +98,28 @@ class NgramModel:
             return cls(**json.load(f))
 
 
-def fit_language_model(rows: DataFrame, text: str = "text", label: str = "lang", max_rows: int = 100_000, buckets: int = 4096, seed: int = 7, per_label: int = 200) -> NgramModel:
-    """A model of labelled rows.
+def fit_language_model(rows: DataFrame, text: str = "text", label: str = "lang", max_rows: int | None = None, buckets: int = 4096, seed: int = 7, per_label: int = 200) -> NgramModel:
+    """A model of all labelled rows, counted in one pass.
 
-    Rows beyond ``max_rows`` are sampled by a digest of their text to about that many, of rare labels at least ``per_label`` or all there are;
-    the labels times 2 * ``buckets`` counts come to the driver.  Rows without label or text do not count.
+    The labels times 2 * ``buckets`` counts come to the driver.  Rows without label or text do not count.  Only where ``max_rows`` is given,
+    rows beyond it are sampled by a digest of their text to about that many, of rare labels at least ``per_label`` or all there are.
     """
     rows = rows.select(F.col(text).alias("t"), F.col(label).alias("l")).where(F.col("t").isNotNull() & F.col("l").isNotNull())
-    have = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
-    if not have:
-        raise ValueError("there are no labelled rows")
-    share = min(1.0, max_rows / sum(have.values()))
-    if share < 1:
+    have = {} if max_rows is None else {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    if have and max_rows < sum(have.values()):
+        share = max_rows / sum(have.values())
         keep = F.element_at(F.create_map(*[F.lit(x) for k, n in have.items() for x in (k, max(share, min(1.0, per_label / n)))]), F.col("l"))
         u = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}-"), "t")), 1, 8), 16, 10).cast("double") / float(1 << 32)
         rows = rows.where(u < keep)
-    counted = rows.select("l", F.explode(numbers_of(words_of(F.col("t")), buckets)).alias("b")).groupBy("l", "b").agg(F.count("*").alias("n")).collect()
-    labels = sorted(have)
+    # a row without words leaves its label, without a number
+    counted = rows.select("l", F.explode_outer(numbers_of(words_of(F.col("t")), buckets)).alias("b")).groupBy("l", "b").agg(F.count("*").alias("n")).collect()
+    labels = sorted({*have, *(r.l for r in counted)})
+    if not labels:
+        raise ValueError("there are no labelled rows")
     counts = {x: [0] * (2 * buckets) for x in labels}
     for r in counted:
-        counts[r.l][r.b] = r.n
+        if r.b is not None:
+            counts[r.l][r.b] = r.n
     weights = [[math.floor(UNIT * math.log((n + 0.5) / (sum(counts[x]) + buckets))) for n in counts[x]] for x in labels]
     return NgramModel(labels, weights, buckets)
 
